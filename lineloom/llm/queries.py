@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from .op1_token_counts import op1_token_counts
+from .op2_substring_dedup import op2_substring_dedup
 from .op3_packing import op3_packing
+from .op4_mixing import op4_mixing
 from .op5_sentencepiece import op5_sentencepiece
+from .op6_dart_minhash import op6_dart_minhash
 from .op7_sharding import op7_sharding
 from .op8_pii import op8_pii
 from .op9_quality import op9_quality
 from .op10_exact_dedup import op10_exact_dedup
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op3_packing, op5_sentencepiece, op7_sharding, op8_pii, op9_quality, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_packing, op4_mixing, op5_sentencepiece, op6_dart_minhash, op7_sharding, op8_pii, op9_quality, op10_exact_dedup)}
 
 ORACLE = {
     "op10_exact_dedup": """
