@@ -36,6 +36,8 @@ from .words import hash64, windows
 SHINGLE, LEAST = 5, 0.8
 BANDS, ROWS = 28, 4
 K = BANDS * ROWS
+#: Buckets up to SMALL give pairs; larger ones go in blocks of BLOCK members.
+SMALL, BLOCK = 24, 256
 #: Poisson(1): the chance of at most so many darts in a cell.
 _TERMS = np.cumsum([1.0, *np.cumprod(1.0 / np.arange(1, 16))]) * np.exp(-1.0)
 U53 = 1.0 / (1 << 53)
@@ -170,6 +172,52 @@ def components(nodes: DataFrame, edges: DataFrame, tag: str = "components") -> D
     return nodes.join(comp, nodes["id"] == comp["u"], "left").select("id", F.coalesce("comp", "id").alias("comp"))
 
 
+def _compare(least: float):
+    """Links between the queries and the members of one block, one for each query and component of members."""
+
+    def run(t: pa.Table) -> pa.Table:
+        role, ids, comps, six = (t.column(c).to_pylist() for c in ("role", "id", "comp", "six"))
+        m = [i for i, r in enumerate(role) if r == 0]
+        member = [_wide(six[i]) for i in m]
+        flat = np.concatenate(member) if member else np.empty(0, np.uint64)
+        owner = np.repeat(np.arange(len(m)), [len(x) for x in member])
+        order = np.argsort(flat)
+        flat, owner = flat[order], owner[order]
+        size = np.array([len(x) for x in member])
+        links = set()
+        for q in (i for i, r in enumerate(role) if r == 1):
+            x = _wide(six[q])
+            lo, hi = np.searchsorted(flat, x), np.searchsorted(flat, x, side="right")
+            hit = np.repeat(lo, hi - lo) + np.arange((hi - lo).sum()) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo)
+            both = np.bincount(owner[hit], minlength=len(m))
+            met = set()
+            for k in np.flatnonzero(both >= least * (len(x) + size - both) - 1e-9).tolist():
+                if comps[m[k]] != comps[q] and comps[m[k]] not in met:
+                    met.add(comps[m[k]])
+                    links.add((max(ids[q], ids[m[k]]), min(ids[q], ids[m[k]])))
+        links = sorted(links)
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    return run
+
+
+def _across(marked: DataFrame, mixed: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Links of large buckets between a member outside the bucket's main component and any other member.
+
+    A task gets BLOCK members and BLOCK of the others, with their sets, and gives only links: no pair is a row.
+    """
+    open_ = marked.join(mixed, "key").select("key", "id", "comp", "n", (F.col("comp") != F.col("main")).alias("outside"))
+    outside = open_.groupBy("key").agg(F.ceil(F.count_if("outside") / BLOCK).cast("int").alias("chunks"))
+    open_ = open_.join(outside, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    spot = F.xxhash64("id")
+    all_chunks, all_blocks = (F.sequence(F.lit(0), F.col(c) - 1) for c in ("chunks", "blocks"))
+    members = open_.select("key", "id", "comp", F.lit(0).alias("role"), F.pmod(spot, F.col("blocks")).cast("int").alias("block"), F.explode(all_chunks).alias("chunk"))
+    queries = open_.where("outside").select("key", "id", "comp", F.lit(1).alias("role"), F.pmod(spot, F.col("chunks")).cast("int").alias("chunk"), F.explode(all_blocks).alias("block"))
+    dealt = members.unionByName(queries)
+    full = dealt.join(sets, dealt["id"] == sets["doc_id"]).select("key", "block", "chunk", "role", "id", "comp", "six")
+    return full.groupBy("key", "block", "chunk").applyInArrow(_compare(least), "a long, b long")
+
+
 def links_with(links: DataFrame, least: DataFrame) -> DataFrame:
     return links.join(least, "u")
 
@@ -217,16 +265,18 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
         tested = pairs if tested is None else tested.unionAll(pairs)
         links = found if links is None else links.unionAll(found)
         comp = cut(components(nodes, links), "comp")
-    # what is left: pairs across components within buckets, each once
+    # what is left: links across components within buckets. Small buckets give pairs, large ones are dealt out in blocks
     marked = member.join(comp, "id")
-    mixed = marked.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("n")).where("c0 != c1 AND n > 2")
-    open_ = marked.join(mixed.select("key"), "key")
-    other = open_.select("key", F.col("id").alias("b"), F.col("size").alias("size2"), F.col("comp").alias("comp2"))
-    rest = open_.join(other, "key").where((F.col("id") > F.col("b")) & (F.col("comp") != F.col("comp2")) & near).select(F.col("id").alias("a"), "b").distinct()
+    per_comp = marked.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    mixed = cut(per_comp.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("comps"), F.max_by("comp", F.struct("n", "comp")).alias("main")).where("comps > 1 AND n > 2"), "mixed")
+    small = marked.join(mixed.where(F.col("n") <= SMALL).select("key"), "key")
+    other = small.select("key", F.col("id").alias("b"), F.col("size").alias("size2"), F.col("comp").alias("comp2"))
+    rest = small.join(other, "key").where((F.col("id") > F.col("b")) & (F.col("comp") != F.col("comp2")) & near).select(F.col("id").alias("a"), "b").distinct()
     if tested is not None:
         rest = cut(rest.join(tested, ["a", "b"], "left_anti"), "rest")
-        if rest.limit(1).count():
-            comp = cut(components(nodes, links.unionAll(verified(rest))), "comp")
+        found = verified(rest).unionAll(cut(_across(marked, mixed.where(F.col("n") > SMALL), sets, least), "across"))
+        if found.limit(1).count():
+            comp = cut(components(nodes, links.unionAll(found)), "comp")
     of_set = reps.join(comp, reps["rep"] == comp["id"], "left").select(F.col("same").alias("_same"), F.coalesce("comp", "rep").alias("class"))
     return drawn.join(of_set, drawn["same"] == of_set["_same"], "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id")).alias("class_id"))
 
