@@ -29,35 +29,43 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import buckets, pieces, runs, table, texts, tune
+from .common import buckets, mix, pieces, runs, table, texts, tune
 from .words import deltas, hash64, hash128, packed, unpacked, windows
 
 LENGTH, PERIOD, COVER = 13, 7, (0, 1, 3)
 ANCHOR = LENGTH - PERIOD + 1
 FLUSH = 1_000_000
-OUT = "bucket int, doc_id long, body binary"
+#: meets: whether the entries still meet others of their hash, or wait for the rest of their document
+OUT = "bucket int, meets boolean, body binary"
+PLACES = "doc_id long, body binary"
 
 
-def _batch(rows: dict) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(rows["bucket"], pa.int32()), pa.array(rows["doc_id"], pa.int64()), pa.array(rows["body"], pa.binary())], names=["bucket", "doc_id", "body"])
-
-
-def _by_doc(doc: np.ndarray, columns: list[np.ndarray], n: int) -> dict:
-    """A row per document with its entries; these pass the reducers as they are."""
-    order = np.lexsort((columns[-1], doc))
-    doc, columns = doc[order], [c[order] for c in columns]
-    at, size = runs(np.append(True, doc[1:] != doc[:-1])) if len(doc) else (np.array([], int), np.array([], int))
-    ids = doc[at].tolist()
-    return {"bucket": [xxhash.xxh32_intdigest(d.to_bytes(8, "little", signed=True)) % n for d in ids], "doc_id": ids, "body": [b"".join(c[a : a + s].tobytes() for c in columns) for a, s in zip(at.tolist(), size.tolist(), strict=True)]}
-
-
-def _to_buckets(bucket: np.ndarray, doc: np.ndarray, columns: list[np.ndarray]) -> dict:
-    """A packed row per bucket; doc_id is null."""
+def _batch(bucket: np.ndarray, meets: bool, doc: np.ndarray, columns: list[np.ndarray]) -> pa.RecordBatch:
+    """A packed row per bucket, its entries in order of doc_id."""
     order = np.lexsort((doc, bucket))
     bucket, doc, columns = bucket[order], doc[order], [c[order] for c in columns]
     at, size = runs(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else (np.array([], int), np.array([], int))
     body = [packed(deltas(doc[a : a + s]), *(c[a : a + s] for c in columns)) for a, s in zip(at.tolist(), size.tolist(), strict=True)]
-    return {"bucket": bucket[at].tolist(), "doc_id": [None] * len(at), "body": body}
+    return pa.RecordBatch.from_arrays([pa.array(bucket[at], pa.int32()), pa.array([meets] * len(at), pa.bool_()), pa.array(body, pa.binary())], names=["bucket", "meets", "body"])
+
+
+def _home(doc: np.ndarray, n: int) -> np.ndarray:
+    """The bucket where a document's entries come together."""
+    return (mix(doc.view(np.uint64)) % np.uint64(n)).astype(np.int64)
+
+
+def _gather(*kinds: str):
+    """A row per document with its entries: each column's bytes, one after the other."""
+
+    def run(t: pa.Table) -> pa.Table:
+        doc, *columns = (np.concatenate(x) for x in zip(*(_unpack(b, *kinds) for b in t.column("body").to_pylist()), strict=True))
+        order = np.lexsort((columns[-1], doc))
+        doc, columns = doc[order], [c[order] for c in columns]
+        at, size = runs(np.append(True, doc[1:] != doc[:-1])) if len(doc) else (np.array([], int), np.array([], int))
+        body = [b"".join(c[a : a + s].tobytes() for c in columns) for a, s in zip(at.tolist(), size.tolist(), strict=True)]
+        return pa.table({"doc_id": pa.array(doc[at], pa.int64()), "body": pa.array(body, pa.binary())})
+
+    return run
 
 
 def _shared(keys: list[np.ndarray], doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -73,17 +81,22 @@ def _shared(keys: list[np.ndarray], doc: np.ndarray) -> tuple[np.ndarray, np.nda
     return order, np.repeat(d[at], size), np.repeat(d[at + size - 1], size)
 
 
+def _by_hash(h: np.ndarray, n: int) -> np.ndarray:
+    """A bucket by the upper half of a hash, so that the six lower bytes still tell hashes apart."""
+    return (((h >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
+
+
 def _anchors(n: int):
     def flush(held):
         doc, pos, h = (np.concatenate(x) for x in zip(*held, strict=True))
         order, least, most = _shared([h], doc)
         doc, pos, h = doc[order], pos[order], h[order]
         known = least != most
-        yield _batch(_by_doc(doc[known], [pos[known]], n))
+        yield _batch(_home(doc[known], n), False, doc[known], [pos[known]])
         on = doc == least  # one document speaks for the group
         doc, pos, h = doc[on], pos[on], h[on]
         low = h.view(np.uint8).reshape(-1, 8)[:, :6]
-        yield _batch(_to_buckets(((h >> np.uint64(48)) * np.uint64(n) >> np.uint64(16)).astype(np.int64) if n <= 1 << 16 else (h % np.uint64(n)).astype(np.int64), doc, [low, pos]))
+        yield _batch(_by_hash(h, n), True, doc, [low, pos])
 
     def run(batches):
         held, size = [], 0
@@ -105,21 +118,21 @@ def _anchors(n: int):
     return run
 
 
-def _passed(t: pa.Table) -> tuple[list[pa.Table], list[bytes]]:
-    """The rows that only pass, and the packed ones."""
-    own = t.column("doc_id").is_valid()
-    return [t.filter(own)], t.filter(pa.compute.invert(own)).column("body").to_pylist()
+def _meet(t: pa.Table, settle) -> pa.Table:
+    """Rows that wait for their document pass; of the others settle gives what is shared."""
+    meets = t.column("meets")
+    blobs = t.filter(meets).column("body").to_pylist()
+    return pa.concat_tables([t.filter(pa.compute.invert(meets)), *([pa.Table.from_batches([settle(blobs)])] if blobs else [])])
 
 
-def _meet_anchors(t: pa.Table) -> pa.Table:
-    out, blobs = _passed(t)
-    if blobs:
-        parts = [_unpack(x, (6,), "<i4") for x in blobs]
-        doc, low, pos = (np.concatenate(x) for x in zip(*parts, strict=True))
+def _meet_anchors(n: int):
+    def settle(blobs: list[bytes]) -> pa.RecordBatch:
+        doc, low, pos = (np.concatenate(x) for x in zip(*(_unpack(x, (6,), "<i4") for x in blobs), strict=True))
         order, least, most = _shared([low], doc)
         many = order[least != most]
-        out.append(pa.Table.from_batches([_batch(_by_doc(doc[many], [pos[many]], 1))]))
-    return pa.concat_tables(out)
+        return _batch(_home(doc[many], n), False, doc[many], [pos[many]])
+
+    return lambda t: _meet(t, settle)
 
 
 def _unpack(blob: bytes, *kinds) -> list[np.ndarray]:
@@ -147,17 +160,17 @@ def _extend(n: int):
         order, least, _ = _shared([h2, h1], doc)
         doc, tag, pos, h1, h2 = (x[order] for x in (doc, tag, pos, h1, h2))
         later = doc != least
-        yield _batch(_by_doc(doc[later], [tag[later], pos[later]], n))
+        yield _batch(_home(doc[later], n), False, doc[later], [tag[later], pos[later]])
         doc, tag, pos, h1, h2 = (x[~later] for x in (doc, tag, pos, h1, h2))
-        yield _batch(_to_buckets((h1 % np.uint64(n)).astype(np.int64), doc, [tag, pos, h1, h2]))
+        yield _batch(_by_hash(h1, n), True, doc, [tag, pos, h1, h2])
 
     def run(batches):
         held, size = [], 0
         for b in pieces(batches, 256):
-            for d, raw, bodies in zip(b.column(0).to_pylist(), texts(b), b.column(2).to_pylist(), strict=True):
-                if not bodies or not (words := raw.split()):
+            for d, raw, body in zip(b.column(0).to_pylist(), texts(b), b.column(2).to_pylist(), strict=True):
+                if not body or not (words := raw.split()):
                     continue
-                anchor = np.concatenate([np.frombuffer(x, "<i4") for x in bodies])
+                anchor = np.frombuffer(body, "<i4")
                 last = len(words) - LENGTH
                 steps = np.zeros(len(words) + 2, np.int32)
                 lo, hi = np.maximum(anchor - (PERIOD - 1), 0), np.minimum(anchor, last) + 1
@@ -177,30 +190,29 @@ def _extend(n: int):
     return run
 
 
-def _meet_windows(t: pa.Table) -> pa.Table:
-    out, blobs = _passed(t)
-    if blobs:
-        doc, tag, pos, h1, h2 = (np.concatenate(x) for x in zip(*[_unpack(x, "<i4", "<i4", "<u8", "<u8") for x in blobs], strict=True))
+def _meet_windows(n: int):
+    def settle(blobs: list[bytes]) -> pa.RecordBatch:
+        doc, tag, pos, h1, h2 = (np.concatenate(x) for x in zip(*(_unpack(x, "<i4", "<i4", "<u8", "<u8") for x in blobs), strict=True))
         order, least, _ = _shared([h2, h1], doc)
         later = order[doc[order] != least]
-        out.append(pa.Table.from_batches([_batch(_by_doc(doc[later], [tag[later], pos[later]], 1))]))
-    return pa.concat_tables(out)
+        return _batch(_home(doc[later], n), False, doc[later], [tag[later], pos[later]])
+
+    return lambda t: _meet(t, settle)
 
 
 def _keep(batches, with_text: bool):
     for b in pieces(batches, 256):
         ids, n, gone, sha, kept = [], [], [], [], []
-        for d, raw, bodies in zip(b.column(0).to_pylist(), texts(b), b.column(2).to_pylist(), strict=True):
+        for d, raw, body in zip(b.column(0).to_pylist(), texts(b), b.column(2).to_pylist(), strict=True):
             words = raw.split()
             left, removed = words, 0
-            if bodies:
+            if body:
                 tag = _tag(raw)
                 steps = np.zeros(len(words) + LENGTH + 1, np.int32)
-                for x in bodies:
-                    tags, pos = np.frombuffer(x, "<i4").reshape(2, -1)
-                    pos = pos[tags == tag]
-                    np.add.at(steps, pos, 1)
-                    np.add.at(steps, pos + LENGTH, -1)
+                tags, pos = np.frombuffer(body, "<i4").reshape(2, -1)
+                pos = pos[tags == tag]
+                np.add.at(steps, pos, 1)
+                np.add.at(steps, pos + LENGTH, -1)
                 stay = np.cumsum(steps[: len(words)]) == 0
                 left = [words[i] for i in np.flatnonzero(stay).tolist()]
                 removed = len(words) - len(left)
@@ -218,12 +230,12 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", with_text:
     tune(df.sparkSession)
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     n = buckets(docs, 10 << 20)
-    anchors = docs.mapInArrow(_anchors(n), OUT).groupBy("bucket").applyInArrow(_meet_anchors, OUT)
-    places = anchors.groupBy("doc_id").agg(F.collect_list("body").alias("bodies"))
-    near = docs.join(places.hint("shuffle_hash"), "doc_id", "left").select("doc_id", F.when(F.col("bodies").isNotNull(), F.col("text")).alias("text"), "bodies")
-    found = near.mapInArrow(_extend(n), OUT).groupBy("bucket").applyInArrow(_meet_windows, OUT)
-    gone = found.groupBy("doc_id").agg(F.collect_list("body").alias("bodies"))
-    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "bodies").mapInArrow(lambda batches: _keep(batches, with_text), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    anchors = docs.mapInArrow(_anchors(n), OUT).groupBy("bucket").applyInArrow(_meet_anchors(n), OUT)
+    places = anchors.groupBy("bucket").applyInArrow(_gather("<i4"), PLACES)
+    near = docs.join(places.hint("shuffle_hash"), "doc_id", "left").select("doc_id", F.when(F.col("body").isNotNull(), F.col("text")).alias("text"), "body")
+    found = near.mapInArrow(_extend(n), OUT).groupBy("bucket").applyInArrow(_meet_windows(n), OUT)
+    gone = found.groupBy("bucket").applyInArrow(_gather("<i4", "<i4"), PLACES)
+    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "body").mapInArrow(lambda batches: _keep(batches, with_text), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
