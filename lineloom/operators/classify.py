@@ -22,7 +22,7 @@ from ..functions.validate import BINARY, BINARY_SHARE
 from ..spec import META, FieldSpec
 from .cells import best_cells, merge_scheme, split_cells
 from .detect import Layout, given_layout, header_places, layout_of, repeats_header
-from .mapping import Mapper, loose_pairs, read_object
+from .mapping import Mapper, read_object, unquoted
 from .templates import Template, best_template, rubbish_template
 
 #: Sources whose layouts may be sent to all tasks; more are joined.
@@ -84,7 +84,7 @@ class Judge:
             return self._row(found[1], found[0].template_id, found[0].version)
         if found := rubbish_template(self.templates, line):
             return ("rubbish", found.template_id, found.version, None, None)
-        if structured and (obj is not None or loose_pairs(t)):
+        if structured or t[:1] == '"' and unquoted(t)[:1] in ("{", "["):  # never lose what looks like an object
             return ("parsed", "json-raw-meta", 1, None, dict.fromkeys(spec.wanted, "") | {META: t})
         return ("uncertain", None, None, "uncertain", None)
 

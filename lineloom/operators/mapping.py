@@ -48,17 +48,22 @@ def loose_pairs(text: str) -> dict:
     return out
 
 
-def read_object(text: str) -> dict | None:
-    """An object, the first object of an array, or what can be read of a broken object; also within a JSON string."""
+def unquoted(text: str) -> str:
+    """What is within a JSON string, or within one in it; other text as it is."""
     t = text.strip()
     for _ in range(3):
-        if t[:1] == '"' and t[-1:] == '"' and len(t) > 1:
-            try:
-                t = json.loads(t).strip()
-                continue
-            except ValueError:
-                return None
-        break
+        if len(t) < 2 or t[0] != '"' or t[-1] != '"':
+            break
+        try:
+            t = json.loads(t).strip()
+        except ValueError:
+            break
+    return t
+
+
+def read_object(text: str) -> dict | None:
+    """An object, the first object of an array, or what can be read of a broken object; also within a JSON string."""
+    t = unquoted(text)
     if t[:1] not in ("{", "["):
         return None
     try:
