@@ -39,7 +39,7 @@ def token_counts(df: DataFrame, model: bytes, text: str = "text", out: str = "n_
     def count(batches):
         vocabulary = unigram_of(sent.value, scores)
         for b in pieces(batches):
-            n = [vocabulary.count(x.decode()) for x in texts(b, text)]
+            n = vocabulary.count_batch([x.decode() for x in texts(b, text)])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(n, pa.int64())], names=[*b.schema.names, out])
 
     return df.mapInArrow(count, schema)

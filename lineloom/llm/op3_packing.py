@@ -98,9 +98,8 @@ def pack(df: DataFrame, model: bytes, length: int = 2048, end: int = 2, pad: int
         made = [(TaskContext.get().partitionId() if TaskContext.get() else 0) << 40]
         counting = np.arange(length, dtype=kind)
 
-        def ids_of(raw: bytes) -> np.ndarray:
-            text = p.encode_text(raw.decode())[0]
-            return np.array(text.split(","), dtype=np.int64).astype(kind) if text else np.empty(0, kind)
+        def ids_of(joined: str) -> np.ndarray:
+            return np.fromstring(joined, dtype=np.int64, sep=",").astype(kind) if joined else np.empty(0, kind)
 
         def emit(rows: list[list[tuple]]):
             out = [[] for _ in range(7)]
@@ -121,9 +120,9 @@ def pack(df: DataFrame, model: bytes, length: int = 2048, end: int = 2, pad: int
         held: list[tuple] = []
         size = 0
         full: list[list[tuple]] = []
-        for b in pieces(batches, 200):
-            for d, raw in zip(b.column(0).to_pylist(), texts(b), strict=True):
-                ids = np.append(ids_of(raw), np.array([end], kind))
+        for b in pieces(batches):
+            for d, joined in zip(b.column(0).to_pylist(), p.encode_batch([x.decode() for x in texts(b)])[0], strict=True):
+                ids = np.append(ids_of(joined), np.array([end], kind))
                 whole = len(ids) // length * length
                 full += [[(d, k, ids[k : k + length])] for k in range(0, whole, length)]
                 if whole < len(ids):

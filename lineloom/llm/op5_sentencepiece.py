@@ -32,10 +32,10 @@ def encode(df: DataFrame, model: bytes, text: str = "text", ids: str = "ids", de
     def run(batches):
         p = pieces_of(sent.value)
         for b in pieces(batches, 200):
-            got = [p.encode_text(x.decode()) for x in texts(b, text)]
-            new = [pa.array([list(map(int, i.split(","))) if i else [] for i, _ in got], pa.list_(pa.int32()))]
+            got, out = p.encode_batch([x.decode() for x in texts(b, text)])
+            new = [pa.array([list(map(int, i.split(","))) if i else [] for i in got], pa.list_(pa.int32()))]
             if decoded:
-                new.append(pa.array([d.decode() for _, d in got], pa.string()))
+                new.append(pa.array([d.decode() for d in out], pa.string()))
             yield pa.RecordBatch.from_arrays([*b.columns, *new], names=schema.names)
 
     return df.mapInArrow(run, schema)
@@ -64,9 +64,9 @@ def digests(df: DataFrame, model: bytes, doc_id: str = "doc_id", text: str = "te
     def run(batches):
         p = pieces_of(sent.value)
         for b in pieces(batches):
-            got = [p.encode_text(x.decode()) for x in texts(b, text)]
-            n = [i.count(",") + 1 if i else 0 for i, _ in got]
-            sha = [[hashlib.sha256(x).hexdigest() for x in xs] for xs in ((i.encode() for i, _ in got), (d for _, d in got))]
+            ids, out = p.encode_batch([x.decode() for x in texts(b, text)])
+            n = [i.count(",") + 1 if i else 0 for i in ids]
+            sha = [[hashlib.sha256(x).hexdigest() for x in xs] for xs in ((i.encode() for i in ids), out)]
             yield pa.RecordBatch.from_arrays([b.column(doc_id), pa.array(n, pa.int64()), pa.array(sha[0], pa.string()), pa.array(sha[1], pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     df = df.select(doc_id, text)

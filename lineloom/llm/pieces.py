@@ -8,15 +8,20 @@ encodes to is remembered in a table of bounded size.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from functools import lru_cache
 
-import ahocorasick
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from .automaton import Automaton
 
 MARK = "▁"
 #: Segments to remember. The table is emptied when it is full.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 #: Longer segments aren't remembered.
 SHORT = 48
 
@@ -61,27 +66,21 @@ class Pieces:
             else:
                 self.segment = re.compile(f"{MARK}*{latin}+(?={end})|{MARK}+{part}*|{part}+|\n+")
         self._merge_rank = {p: (-self.score[i], i) for p, i in self.normal.items()}
-        self._reset()
-        self._counts: dict[str, int] = {}
+        self._known_segments: dict[str, tuple[str, bytes]] = {}
         self._compatible: dict[int, bool] = {}
         self._build()
 
-    def _reset(self) -> None:
-        self._ids: dict[str, str] = {}
-        self._out: dict[str, bytes] = {}
-
     def _build(self) -> None:
         """The automaton over pieces that merging can reach, each with its longest proper prefix that is such a piece."""
         reach = {p: i for p, i in self.normal.items() if self._merged(p) == [p]}
         self.by_id = {i: p for p, i in reach.items()}
-        self.automaton = ahocorasick.Automaton()
-        for p, i in reach.items():
-            self.automaton.add_word(p, (i, len(p)))
-        self.automaton.make_automaton()
-        self.shorter = {}
+        # over reversed pieces, so that a state knows the longest piece that starts at a position
+        self.automaton = Automaton({p[::-1]: i for p, i in reach.items()})
+        self.longest = [x[0] if x else -1 for x in self.automaton.found]
+        self.size_of = [len(self.by_id.get(i, "")) for i in range(len(self.text))]
+        self.shorter = [-1] * len(self.text)
         for p, i in reach.items():
             self.shorter[i] = next((reach[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in reach), -1)
-        self.longest = max(map(len, reach))
 
     def _merged(self, text: str) -> list[str]:
         """The pieces that merging the best adjacent pair, the leftmost of equals, makes of a short text."""
@@ -99,49 +98,47 @@ class Pieces:
 
     def _fits(self, a: int, b: int) -> bool:
         """Whether merging the text of a and b gives just a and b again."""
-        key = a << 20 | b
-        if (known := self._compatible.get(key)) is None:
-            if len(self._compatible) > 1_000_000:
-                self._compatible.clear()
-            x, y = self.by_id[a], self.by_id[b]
-            known = self._compatible[key] = self._merged(x + y) == [x, y]
+        if len(self._compatible) > 1_000_000:
+            self._compatible.clear()
+        x, y = self.by_id[a], self.by_id[b]
+        known = self._compatible[a << 20 | b] = self._merged(x + y) == [x, y]
         return known
 
     def _known(self, text: str) -> list[int]:
         """Encodes a text of which every character is a piece, by backtracking.
 
         From the left the longest match is tried first; a token stays if it fits the one before it, else the next
-        shorter one is tried, else the last token is taken back. `failed` has a bit for each position from which no
-        way leads to the end.
+        shorter one is tried, else the last token is taken back. `failed` is a field of bits, one for each position
+        from which no way leads to the end.
         """
         n = len(text)
-        longest = [-1] * n
-        for end, (i, size) in self.automaton.iter(text):
-            at = end - size + 1
-            if longest[at] < 0 or len(self.by_id[longest[at]]) < size:
-                longest[at] = i
-        failed = bytearray(n // 8 + 1)
-        ids: list[int] = []
-        at, token = 0, longest[0]
-        fits, shorter, by_id = self._fits, self.shorter, self.by_id
-        while at < n:
-            while True:
-                if token < 0:  # nothing fits here
-                    failed[at >> 3] |= 1 << (at & 7)
-                    if not ids:
-                        raise ValueError("no valid encoding")
-                    last = ids.pop()
-                    at -= len(by_id[last])
-                    token = shorter[last]
-                    continue
-                end = at + len(by_id[token])
-                if not (failed[end >> 3] >> (end & 7)) & 1 and (not ids or fits(ids[-1], token)):
-                    ids.append(token)
-                    at = end
-                    token = longest[at] if at < n else -1
-                    break
+        longest = list(map(self.longest.__getitem__, self.automaton.states(text[::-1])))
+        longest.reverse()
+        ids, at, token, last = [], 0, longest[0], -1
+        failed: dict[int, int] = {}  # words of the bit field that aren't zero
+        size_of, shorter, compatible = self.size_of, self.shorter, self._compatible
+        while True:
+            if token < 0:  # nothing fits here
+                if not ids:
+                    raise ValueError("no valid encoding")
+                failed[at >> 6] = failed.get(at >> 6, 0) | 1 << (at & 63)
+                token = ids.pop()
+                at -= size_of[token]
                 token = shorter[token]
-        return ids
+                last = ids[-1] if ids else -1
+                continue
+            end = at + size_of[token]
+            if not failed or not failed.get(end >> 6, 0) >> (end & 63) & 1:
+                fit = True if last < 0 else compatible.get(last << 20 | token)
+                if fit is None:
+                    fit = self._fits(last, token)
+                if fit:
+                    ids.append(token)
+                    if end == n:
+                        return ids
+                    last, at, token = token, end, longest[end]
+                    continue
+            token = shorter[token]
 
     def _segment_ids(self, segment: str) -> list[int]:
         normal, out, start = self.normal, [], 0
@@ -155,40 +152,37 @@ class Pieces:
             out += self._known(segment[start:] if start else segment)
         return out
 
-    def _learn(self, segment: str) -> None:
-        if len(self._ids) >= REMEMBERED:
-            self._reset()
-        ids = self._segment_ids(segment)
-        self._ids[segment] = ",".join(map(str, ids))
-        self._out[segment] = b"".join(map(self.surface.__getitem__, ids))
-
     def normalised(self, text: str) -> str:
         return MARK + text.replace(" ", MARK) if text else ""
 
     def segments(self, text: str) -> list[str]:
         return self.segment.findall(self.normalised(text))
 
+    def _remembered(self, segment: str) -> tuple[str, bytes]:
+        if (got := self._known_segments.get(segment)) is None:
+            ids = self._segment_ids(segment)
+            got = ",".join(map(str, ids)), b"".join(map(self.surface.__getitem__, ids))
+            if len(segment) <= SHORT:
+                if len(self._known_segments) >= REMEMBERED:
+                    self._known_segments.clear()
+                self._known_segments[segment] = got
+        return got
+
+    def encode_batch(self, texts: list[str]) -> tuple[list[str], list[bytes]]:
+        """Per text the ids, in decimal and joined by commas, and what they decode to.
+
+        Each distinct segment of the batch is looked up once; Arrow spreads the results over the occurrences.
+        """
+        parts = [self.segments(t) for t in texts]
+        distinct, places, ends = _indexed(parts)
+        got = [self._remembered(x) for x in distinct]
+        ids = pc.binary_join(pa.LargeListArray.from_arrays(ends, pa.array([a for a, _ in got], pa.large_string()).take(places)), pa.scalar(",", pa.large_string())).to_pylist()
+        out = pc.binary_join(pa.LargeListArray.from_arrays(ends, pa.array([b for _, b in got], pa.large_binary()).take(places)), pa.scalar(b"", pa.large_binary())).to_pylist()
+        return ids, [self.stripped(x) for x in out]
+
     def encode_text(self, text: str) -> tuple[str, bytes]:
-        """The ids, in decimal and joined by commas, and what they decode to."""
-        parts = self.segments(text)
-        ids, out = self._ids, self._out
-        try:
-            return ",".join(map(ids.__getitem__, parts)), self.stripped(b"".join(map(out.__getitem__, parts)))
-        except KeyError:
-            pass
-        a, b = [], []
-        for x in parts:
-            if (y := self._ids.get(x)) is None:
-                if len(x) > SHORT:
-                    got = self._segment_ids(x)
-                    a.append(",".join(map(str, got)))
-                    b.append(b"".join(map(self.surface.__getitem__, got)))
-                    continue
-                self._learn(x)
-                y = self._ids[x]
-            a.append(y)
-            b.append(self._out[x])
-        return ",".join(a), self.stripped(b"".join(b))
+        (ids,), (out,) = self.encode_batch([text])
+        return ids, out
 
     def encode(self, text: str) -> list[int]:
         got = self.encode_text(text)[0]
@@ -210,6 +204,15 @@ class Pieces:
         return self.stripped(out).decode() if marked else _replaced(out)
 
 
+def _indexed(parts: list[list[str]]) -> tuple[list[str], pa.Array, pa.Array]:
+    """The distinct strings of all lists, the place of each occurrence among them, and where lists start and end."""
+    flat = pa.array(itertools.chain.from_iterable(parts), pa.large_string())
+    coded = flat.dictionary_encode()
+    ends = np.zeros(len(parts) + 1, np.int64)
+    np.cumsum([len(x) for x in parts], out=ends[1:])
+    return coded.dictionary.to_pylist(), coded.indices, pa.array(ends)
+
+
 def _replaced(raw: bytes) -> str:
     parts = []
     while raw:
@@ -240,58 +243,51 @@ class Unigram:
         keep = [i for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
         #: (piece, score) of each id that takes part, in order of id.
         self.vocabulary = [(sp.id_to_piece(i), -math.log(i + 1) if scores == "zipf" else sp.get_score(i)) for i in keep]
-        self.automaton = ahocorasick.Automaton()
-        for p, s in self.vocabulary:
-            self.automaton.add_word(p, (len(p), s))
-        self.automaton.make_automaton()
+        self.automaton = Automaton({p: (len(p), x) for p, x in self.vocabulary})
         self.unknown = min(s for _, s in self.vocabulary) - 10.0
         self.word = re.compile(f"{MARK}[^{MARK}]*|[^{MARK}]+")
         self._counts: dict[str, int] = {}
 
     def _count(self, word: str) -> int:
-        n = len(word)
-        found: list[list[tuple[int, float]]] = [[] for _ in range(n)]
-        for end, (size, s) in self.automaton.iter(word):
-            found[end - size + 1].append((size, s))
-        best: list[float | None] = [None] * (n + 1)
-        count = [0] * (n + 1)
-        best[0] = 0.0
-        for at in range(n):
-            if (here := best[at]) is None:
-                continue
-            here_n, single = count[at], False
-            for size, s in found[at]:
-                end = at + size
-                x = s + here
-                if (b := best[end]) is None or x > b:
-                    best[end] = x
-                    count[end] = here_n + 1
-                single |= size == 1
+        best, count = [0.0], [0]
+        found = self.automaton.found
+        for end, state in enumerate(self.automaton.states(word)):
+            top, pieces, single = None, 0, False
+            for size, score in found[state]:  # longest first, so starts ascend
+                x = score + best[end + 1 - size]
+                if top is None or x > top:
+                    top, pieces = x, count[end + 1 - size] + 1
+                single = size == 1
             if not single:
-                x = self.unknown + here
-                if (b := best[at + 1]) is None or x > b:
-                    best[at + 1] = x
-                    count[at + 1] = here_n + len(word[at].encode())
-        return count[n]
+                x = self.unknown + best[end]
+                if top is None or x > top:
+                    top, pieces = x, count[end] + len(word[end].encode())
+            best.append(top)
+            count.append(pieces)
+        return count[-1]
+
+    def _words(self, text: str) -> list[str]:
+        marked = text.replace(" ", MARK)
+        return self.word.findall(marked if marked[:1] == MARK or not text else MARK + marked)
+
+    def _remembered(self, word: str) -> int:
+        if (n := self._counts.get(word)) is None:
+            n = self._count(word)
+            if len(word) <= SHORT:
+                if len(self._counts) >= REMEMBERED:
+                    self._counts.clear()
+                self._counts[word] = n
+        return n
+
+    def count_batch(self, texts: list[str]) -> list[int]:
+        distinct, places, ends = _indexed([self._words(t) for t in texts])
+        each = np.fromiter((self._remembered(x) for x in distinct), np.int64, len(distinct))
+        total = np.concatenate([[0], np.cumsum(each[places.to_numpy()] if len(distinct) else [])])
+        at = ends.to_numpy()
+        return (total[at[1:]] - total[at[:-1]]).astype(int).tolist()
 
     def count(self, text: str) -> int:
-        marked = text.replace(" ", MARK)
-        parts = self.word.findall(marked if marked[:1] == MARK or not text else MARK + marked)
-        known = self._counts
-        try:
-            return sum(map(known.__getitem__, parts))
-        except KeyError:
-            pass
-        total = 0
-        for x in parts:
-            if (y := self._counts.get(x)) is None:
-                y = self._count(x)
-                if len(x) <= SHORT:
-                    if len(self._counts) >= REMEMBERED:
-                        self._counts.clear()
-                    self._counts[x] = y
-            total += y
-        return total
+        return self.count_batch([text])[0]
 
 
 @lru_cache(maxsize=2)
