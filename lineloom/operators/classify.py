@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from ..functions.text import sanitize
 from ..functions.validate import gate, share, trim, valid_field
 from ..functions.validate import BINARY, BINARY_SHARE
+from ..ship import ship
 from ..spec import META, FieldSpec
 from .cells import best_cells, merge_scheme, split_cells
 from .detect import Layout, given_layout, header_places, layout_of, repeats_header
@@ -91,6 +92,7 @@ class Judge:
 
 def layouts(lines: DataFrame, spec: FieldSpec, source: str = "source") -> DataFrame:
     """(source, labels, delimiter, places): a row per source whose first line is a header. Reads first lines only."""
+    ship(lines.sparkSession)
     schema = f"{source} string, labels array<string>, delimiter string, places map<string,array<int>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,6 +121,7 @@ def _plain() -> Column:
 
 def classify(lines: DataFrame, spec: FieldSpec, templates: list[Template] = (), headers: list[str] | None = None, source: str = "source", layout: DataFrame | None = None, native: bool = True) -> DataFrame:
     """lines (source, line_no, text, ...) with verdict, template_id, template_version, failure_class and fields."""
+    ship(lines.sparkSession)
     keep = lines.columns
     if headers is not None:
         stated = given_layout(headers, spec)

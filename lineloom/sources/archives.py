@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..ship import ship
+
 # First bytes of kinds of archives, and limits.
 ZIP, GZIP, SEVEN, RAR, TAR = b"PK\x03\x04", b"\x1f\x8b", b"7z\xbc\xaf\x27\x1c", b"Rar!", b"ustar"
 MOST_RATIO, MOST_BYTES, MOST_ENTRIES, MOST_DEPTH = 100, 10 << 30, 10_000, 3
@@ -97,6 +99,7 @@ def entries(raw: bytes, name: str = "", depth: int = 0) -> Iterator[tuple[str, b
 
 def extract(files: DataFrame) -> DataFrame:
     """(archive, entry, content, error) of files (path, content). What can't be opened gives a row with its error."""
+    ship(files.sparkSession)
 
     def run(batches):
         for b in batches:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.mapping import dump, load
 from ..operators.windows import block_id, mode_flag
+from ..ship import ship
 
 MYSQL_HEAD = r"(?i)MYSQL DUMP|^\s*(CREATE TABLE|INSERT INTO)"
 POSTGRES_HEAD = r"(?i)POSTGRESQL|PG_DUMP|^COPY\s+\S+\s*\("
@@ -99,6 +100,7 @@ def mysql_rows(lines: DataFrame) -> DataFrame:
 
     Statements are numbered in order within a file and put together; a file's dump is as sequential as its writing.
     """
+    ship(lines.sparkSession)
     ends = F.rtrim("text").endswith(";")
     before = F.coalesce(F.lag(ends).over(_in_order()), F.lit(True))
     own = lines.where(~F.col("text").rlike(r"^\s*(--|/\*|#)") & (F.trim("text") != "")).withColumn("_new", before)

@@ -23,5 +23,5 @@ def explode_document(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
     """(source, record_index, record) of whole files."""
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("source"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("source"), "value")
     return explode_document(files, "value", ["source"])

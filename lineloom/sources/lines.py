@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.encoding import decode, detect
+from ..ship import ship
 
 SCHEMA = "source string, line_no long, byte_offset long, byte_length int, text string"
 MAX_LINE_BYTES = 1 << 20
@@ -75,6 +76,7 @@ def lines_of(raw: bytes, encoding: str | None = None, quoted_newlines: int = 0)
 
 def from_binary(files: DataFrame, encoding: str | None = None, quoted_newlines: int = 0) -> DataFrame:
     """Lines of files that are read whole (path, content)."""
+    ship(files.sparkSession)
 
     def run(batches):
         for b in batches:
@@ -95,7 +97,7 @@ def read_lines(spark: SparkSession, path: str, encoding: str | None = None, quot
     large = [r[0] for r in files.where(F.col("length") > WHOLE).select("path").limit(10_000).collect()]
     if not large:
         return small
-    spark.dataSource.register(LinesSource)
+    register(spark)
     out = small
     for p in large:
         out = out.unionByName(numbered(spark.read.format("lines").option("path", p).option("encoding", encoding or "utf-8").load()))
@@ -111,6 +113,12 @@ def numbered(lines: DataFrame) -> DataFrame:
     return lines.join(before, ["source", "range"]).withColumn("line_no", F.col("_before") + F.col("line_no")).select("source", "line_no", "byte_offset", "byte_length", "text")
 
 
+def register(spark: SparkSession) -> None:
+    """Makes the format "lines" known."""
+    ship(spark)
+    spark.dataSource.register(LinesSource)
+
+
 class _Range(InputPartition):
     def __init__(self, index: int, start: int, end: int):
         super().__init__(index)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.jobs import allowed
+from ..ship import ship
 
 SCHEMA = "event_id string, event_type string, job_id string, source_service string, timestamp timestamp, data string"
 #: The status that an event asks for.
@@ -47,6 +48,7 @@ def _advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> I
 
 def job_states(events: DataFrame, late: str = "10 minutes") -> DataFrame:
     """The state of each job that has new events, after them."""
+    ship(events.sparkSession)
     once = asked(events).withWatermark("timestamp", late).dropDuplicatesWithinWatermark(["event_id"])
     shape = "job_id string, status string, applied long, ignored long"
     return once.groupBy("job_id").applyInPandasWithState(_advance, shape, "status string, applied long, ignored long", "update", GroupStateTimeout.NoTimeout)

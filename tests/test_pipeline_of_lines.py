@@ -96,3 +96,35 @@ def test_states(spark, tmp_path):
     got = {r.job_id: (r.status, r.applied, r.ignored) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == batch
     assert jobs.allowed("Created", "Detecting") and not jobs.allowed("Completed", "Failed")
+
+
+def test_api(spark, tmp_path):
+    import zipfile
+
+    from lineloom import api
+    from lineloom.operators.templates import offline_teacher
+
+    path = _files(tmp_path)
+    with zipfile.ZipFile(f"{path}/z.zip", "w") as z:
+        z.writestr("d.csv", "email;name\nz@example.com;Zoe\n")
+    jobs_ = api.submit(spark, path, ["email", "name"], now=NOW)
+    job = jobs_.first().job_id
+    assert job == api.submit(spark, path, ["email", "name"], now=NOW).first().job_id
+    assert api.submit_all(spark, path, ["email"], NOW).count() == 4
+    seen = {r.source.rpartition("/")[2]: r for r in api.detect(spark, path).collect()}
+    assert seen["z.zip!d.csv"].headers == ["email", "name"] and seen["a.csv"].encoding == "utf-8" and seen["a.csv"].probes == [0]
+    got = api.parse(spark, path, FieldSpec(["email", "name"]), job, NOW, teacher=offline_teacher)
+    assert "z@example.com" in {json.loads(r.fields)["email"] for r in got.records.collect()}
+    held = api.transition(api.transition(api.transition(jobs_, job, "Detecting", NOW), job, "Parsing", NOW), job, "Merging Output", NOW)
+    held = api.transition(held, job, "On Hold", NOW)
+    assert held.first().status == "On Hold" and api.transition(held, job, "Created", NOW).first().status == "On Hold"
+    out = str(tmp_path / "stored")
+    sinks.write_records(got.records, out)
+    assert api.release_hold(spark, held, job, out, "released", NOW).first().status == "Saving to Database"
+    assert spark.table("released").count() == got.records.count()
+    dead = got.dead_letters
+    assert api.retry(dead, FieldSpec(["email"]), ["uncertain"]).count() == dead.count()
+    (tmp_path / "d.sql").write_text("CREATE TABLE `t` (`id` int, `name` text);\nINSERT INTO `t` VALUES (1,'a'),(2,'b');\n")
+    assert [r.name for r in api.parse_dump(spark, str(tmp_path / "d.sql"), FieldSpec(["name", "meta"])).collect()] == ["a", "b"]
+    (tmp_path / "w.json").write_text('[{"email":"a@example.com"},\n{"email":"b@example.com"}]')
+    assert api.parse_json(spark, str(tmp_path / "w.json"), FieldSpec(["email"])).where("verdict='parsed'").count() == 2

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 
 from lineloom.functions import encoding as enc
 from lineloom.sources import archives, dumps, urls
-from lineloom.sources.lines import MAX_LINE_BYTES, LinesSource, from_binary, lines_of, numbered, read_lines, split_lines, split_tail
+from lineloom.sources.lines import MAX_LINE_BYTES, from_binary, lines_of, numbered, read_lines, register, split_lines, split_tail
 
 
 @settings(max_examples=60, deadline=None)
@@ -39,7 +39,7 @@ def test_ranges_give_the_same_lines(spark, tmp_path, chunk):
     raw = ("id,name\r\n" + "".join(f'{i},"näme {i}"\n' for i in range(300)) + "tail").encode()
     p = tmp_path / "f.csv"
     p.write_bytes(raw)
-    spark.dataSource.register(LinesSource)
+    register(spark)
     got = numbered(spark.read.format("lines").option("path", str(p)).option("chunk", str(chunk)).load()).orderBy("line_no").collect()
     assert [(r.line_no, r.byte_offset, r.byte_length, r.text) for r in got] == lines_of(raw, "utf-8")
 
