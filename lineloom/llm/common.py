@@ -11,6 +11,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..ship import ship
+
 WHITE = " \t\n\x0b\x0c\r"  # the word separators of every operator here
 
 
@@ -20,6 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def tune(spark: SparkSession) -> None:
     """Bounds what one Arrow batch may hold: whole texts differ in size by five orders of magnitude."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
