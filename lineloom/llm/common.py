@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..ship import ship
 
@@ -46,6 +47,32 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hidden(df: DataFrame) -> tuple[DataFrame, dict[str, str], Callable[..., DataFrame]]:
+    """df under names that no operator uses; those names by the old ones; and a function that gives the old ones back.
+
+    back(out, new) has the old columns, but for those of the same name as new ones, and then the new ones.
+    """
+    names = df.columns
+    at = {n: f"in{i}_" for i, n in enumerate(names)}
+
+    def back(out: DataFrame, new: tuple[str, ...] = ()) -> DataFrame:
+        return out.select(*[out[at[n]].alias(n) for n in dict.fromkeys(names) if n not in new], *new)
+
+    return df.toDF(*[f"in{i}_" for i in range(len(names))]), at, back
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, n: str) -> DataFrame:
+    """rows left-joined to groups, which have a row per key and the number n of rows that have it.
+
+    Keys of over a thousandth of all rows, and over 1000 rows, are at most 1000; their groups are sent to all tasks, so
+    no task gets all rows of a hot key. The others are joined by key.
+    """
+    bound = max(1000, rows.count() // 1000)
+    hot = groups.where(F.col(n) > bound)
+    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(groups.where(F.col(n) <= bound), key, "left")
+    return cold.unionByName(rows.join(F.broadcast(hot), key))
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of the size of df, from the sizes of its files. Starts no job."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -7,8 +7,9 @@ least squares by projected gradient, distributed. A step is r <- max(0, r - p .
 and g solves the Gram matrix of the step against the residual; so documents with like posteriors have like rates
 whatever their length, and an iteration moves only as many sums as there are domains.
 
-Targets are shares per domain. Their total is the largest at which no domain is asked for more tokens than it is
-expected to have; so the scarcest domain keeps rates of about one, and others go down.
+Targets are shares per domain of a total at which the domain of the largest share keeps all its expected tokens. A
+domain that has less than its share is asked for all it has, so scarce domains are neither repeated nor bound the
+others; one that has more goes down.
 
 The classifier is fitted on at most `sample` labelled documents, those whose doc_id hashes least: a bound on what the
 driver holds. Everything else covers all rows. Labels of one doc_id that disagree count each; labels with a null are
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, pieces, table, texts, tune
+from .common import cut, hidden, pieces, table, texts, tune
 from .words import hash64
 
 DOMAINS = ("toxic", "low", "good")
@@ -53,9 +54,12 @@ WIDTH = (1 << BITS) + 16
 
 
 class Classifier:
-    """Multinomial logistic regression over sets of features, in numpy."""
+    """Multinomial logistic regression, in numpy, over the features that go with a domain.
 
-    def __init__(self, rows: list[np.ndarray], domain: np.ndarray, steps: int = 150, rate: float = 1.0, decay: float = 1e-4):
+    A feature is used if it is in three rows or more and its chi-square against the domains is at least `chi`.
+    """
+
+    def __init__(self, rows: list[np.ndarray], domain: np.ndarray, steps: int = 200, rate: float = 0.5, decay: float = 0.02, chi: float = 16.0):
         n, c = len(rows), len(DOMAINS)
         counts = np.bincount(domain, minlength=c)
         self.prior = (counts + 1.0) / (counts.sum() + c)
@@ -63,14 +67,20 @@ class Classifier:
         self.weight = np.zeros((WIDTH, c), np.float64)
         if n == 0 or (counts > 0).sum() < 2:
             return
-        size = np.array([len(r) for r in rows])
-        row = np.repeat(np.arange(n), size)
-        # rare words weigh more; each row has length one
-        seen = np.bincount(np.concatenate(rows), minlength=WIDTH)
-        self.idf = np.log((n + 1.0) / (seen + 1.0)) * (seen > 1)
+        row = np.repeat(np.arange(n), [len(r) for r in rows])
         col = np.concatenate(rows)
-        value = self.idf[col]
-        value = value / np.sqrt(np.maximum(np.bincount(row, value**2, n), 1e-12))[row]
+        seen = np.stack([np.bincount(col[domain[row] == k], minlength=WIDTH) for k in range(c)], 1).astype(float)
+        total = seen.sum(1, keepdims=True)
+        chance = total * counts / n
+        absent, no_chance = counts - seen, counts - chance
+        with np.errstate(divide="ignore", invalid="ignore"):
+            score = np.nansum((seen - chance) ** 2 / chance + (absent - no_chance) ** 2 / no_chance, 1)
+        good = (score >= chi) & (total[:, 0] >= 3)
+        keep = good[col]
+        row, col = row[keep], col[keep]
+        value = np.ones(len(col))
+        if not len(col):
+            return
         used, at = np.unique(col, return_inverse=True)
         w, b = np.zeros((len(used), c)), self.bias.copy()
         truth = np.eye(c)[domain]
@@ -89,10 +99,7 @@ class Classifier:
         self.bias = b
 
     def posterior(self, row: np.ndarray) -> np.ndarray:
-        z = self.bias.copy()
-        if len(row) and hasattr(self, "idf"):
-            value = self.idf[row]
-            z += (value / max(float(np.sqrt((value**2).sum())), 1e-6)) @ self.weight[row]
+        z = self.bias + self.weight[row].sum(0)
         p = np.exp(z - z.max())
         return p / p.sum()
 
@@ -143,6 +150,12 @@ def rate_of(steps: list[list[float]]):
     return r
 
 
+def targets(supply: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """The tokens asked of each domain."""
+    lead = int(np.argmax(share))
+    return np.minimum(share * supply[lead] / share[lead], supply)
+
+
 def fit(soft: DataFrame, weights: dict[str, float] = WEIGHTS, most: int = 12, close: float = 1e-4) -> list[list[float]]:
     """The steps of the projected gradient until the totals are within `close` of the targets, or `most` steps."""
     c = len(DOMAINS)
@@ -153,7 +166,7 @@ def fit(soft: DataFrame, weights: dict[str, float] = WEIGHTS, most: int = 12, cl
     share = share / share.sum()
     if supply.sum() <= 0:
         return []
-    target = share * float(np.min(supply[share > 0] / share[share > 0]))
+    target = targets(supply, share)
     steps: list[list[float]] = []
     pairs = [(i, j) for i in range(c) for j in range(i, c)]
     state = soft.select("n_tokens", "p", F.lit(1.0).alias("r"))
@@ -183,9 +196,10 @@ def rates(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHT
 def mixed(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGHTS, sample: int = SAMPLE) -> DataFrame:
     """The rows of docs, each as often as its copies say, with the columns of docs."""
     found = cut(rates(docs, labels, weights, sample), "rates").where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "copies").distinct()
-    keyed = docs.withColumn("_k", F.xxhash64("doc_id", F.col("text").cast("string")))
-    out = keyed.join(found.hint("shuffle_hash"), keyed["doc_id"].eqNullSafe(found["_id"]) & (keyed["_k"] == found["_key"]))
-    return out.withColumn("_c", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(docs.columns)
+    own, at, back = hidden(docs)
+    keyed = own.withColumn("_k", F.xxhash64(at["doc_id"], F.col(at["text"]).cast("string")))
+    out = keyed.join(found.hint("shuffle_hash"), keyed[at["doc_id"]].eqNullSafe(found["_id"]) & (keyed["_k"] == found["_key"]))
+    return back(out.withColumn("_c", F.explode(F.sequence(F.lit(1), F.col("copies")))))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

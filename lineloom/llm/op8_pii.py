@@ -2,8 +2,8 @@
 
 Base kinds, each found leftmost and without overlap within its kind: email, ip (parts at most 255), card (12 to 19
 digits that pass Luhn) and phone (9 to 15 digits). The method adds iban (mod 97 must be 1; a span needs no context)
-and ssn (three, two and four digits; it counts only with one of its context words within `NEAR` characters before
-it, or none of its denying words and a score of at least `ENOUGH`). Base spans always stay.
+and ssn (three, two and four digits: that alone scores `SCORE`, a context word within `NEAR` characters before it
+adds `BONUS`, and `ENOUGH` is asked for). Base spans always stay.
 
 Positions are code points, end exclusive. A pattern gives the matches, splitting by it gives what lies between; the
 sums of their lengths are the positions. Patterns are linear in the text: a match may start only where the one before
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import hidden, table
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "ssn")
@@ -118,12 +118,13 @@ def _confirmed(kind: str) -> Column:
 def spans(df: DataFrame, text: str = "text") -> DataFrame:
     """df with, per kind, an array of (s, e, m, score) in the column pii_<kind>."""
     none = F.array().cast("array<struct<s:int,e:int,m:string,score:double>>")
-    df = df.drop(*[f"pii_{k}" for k in KINDS]).withColumn("_t", F.coalesce(F.col(text).cast("string"), F.lit("")))
+    df, at, back = hidden(df)
+    df = df.withColumn("_t", F.coalesce(F.col(at[text]).cast("string"), F.lit("")))
     df = df.withColumns({f"_m_{k}": _proposals(F.col("_t"), k) for k in KINDS})
     # matches that fail their check still take their place, so positions come before checks
     df = df.withColumns({f"_p_{k}": F.when(F.exists(F.col(f"_m_{k}"), _valid_as(k)), _placed(F.col(f"_m_{k}"), F.split(F.col("_t"), PATTERNS[k], -1))) for k in KINDS})
     out = {f"pii_{k}": F.coalesce(_confirmed(k), none) for k in KINDS}
-    return df.withColumns(out).drop("_t", *[f"_{x}_{k}" for x in "mp" for k in KINDS])
+    return back(df.withColumns(out), tuple(out))
 
 
 def _joined(kinds: tuple[str, ...]) -> Column:
@@ -138,7 +139,8 @@ def _joined(kinds: tuple[str, ...]) -> Column:
 
 def masked(df: DataFrame, text: str = "text", by: str = "[{}]") -> DataFrame:
     """df with each span of the text replaced by its kind; of spans that overlap the first, and then the longest, counts."""
-    df = spans(df, text)
+    df, at, back = hidden(df)
+    df, text = spans(df, at[text]), at[text]
 
     def named(kind: str) -> Column:
         return F.transform(F.col(f"pii_{kind}"), lambda x: F.struct(x["s"].alias("s"), (-x["e"]).alias("e"), F.lit(by.format(kind)).alias("by")))
@@ -151,7 +153,7 @@ def masked(df: DataFrame, text: str = "text", by: str = "[{}]") -> DataFrame:
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     new = F.aggregate(every, start, step, lambda acc: F.concat(acc["out"], F.col(text).substr(acc["at"] + 1, F.length(F.col(text)))))
-    return df.withColumn(text, F.when(F.size(every) > 0, new).otherwise(F.col(text))).drop(*[f"pii_{k}" for k in KINDS])
+    return df.withColumn(text, F.when(F.size(every) > 0, new).otherwise(F.col(text))).transform(back)
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WHITE, cut, table
+from .common import WHITE, cut, hidden, table
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -95,12 +95,14 @@ def thresholds(measured: DataFrame, lang: str, source: str, least: int, k: int,
 
 def quality(df: DataFrame, text: str = "text") -> DataFrame:
     """df with the measures, base_failed and the rates that the fences are about; one pass, nothing is moved."""
-    df = df.drop("base_failed", "kept", *RULES)
+    df, at, back = hidden(df)
+    text = at[text]
     m = measures(df, text)
     m = m.withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
     n = F.greatest(F.col("n_words"), F.lit(1))
     lines = F.greatest(F.size(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)), F.lit(1))
-    return m.withColumns({"symbol_rate": F.col("n_symbols") / n, "mean_word": F.col("word_chars") / n, "dup_rate": F.col("n_dup_lines") / lines})
+    m = m.withColumns({"symbol_rate": F.col("n_symbols") / n, "mean_word": F.col("word_chars") / n, "dup_rate": F.col("n_dup_lines") / lines})
+    return back(m, (*MEASURES, "base_failed", *RULES))
 
 
 def judged(measured: DataFrame, lang: str = "lang", source: str = "source", least: int = 100, k: int = 400, spread: float = 4.0, most_groups: int = 20_000, salts: int = 64) -> DataFrame:
@@ -130,5 +132,6 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kept(df: DataFrame) -> DataFrame:
     """The rows of df that the rules keep, with its columns."""
-    measured = cut(quality(df.select([F.col(c).alias(f"in_{c}") for c in df.columns]), "in_text"), "quality")
-    return judged(measured, "in_lang", "in_source").where("kept").select([F.col(f"in_{c}").alias(c) for c in df.columns])
+    own, at, back = hidden(df)
+    measured = cut(quality(own, at["text"]), "quality")
+    return back(judged(measured, at["lang"], at["source"]).where("kept"))
