@@ -24,6 +24,7 @@ _EMAIL, _ID, _SALUTATION, _DELIMITERS, _ZIP = (re.compile(p) for p in (EMAIL, ID
 _CONTROL = re.compile(CONTROLS)
 #: Trimmed like a script engine's trim(): tabs, line ends and Unicode spaces too.
 BLANKS = r"[\s   -     　﻿]+"
+NOT_BLANK = "[^" + BLANKS[1:-2] + "]"
 
 
 def trim(c: Column) -> Column:
@@ -61,7 +62,8 @@ def share(c: Column, pattern: str) -> Column:
 def gate(line: Column) -> Column:
     """length-gate, binary-gate, too-long, or null for lines that may be records."""
     t = trim(line)
-    return F.when(t == "", "length-gate").when(F.length(line) > MAX_LINE, "too-long").when((share(t, CONTROLS) > CONTROL_SHARE) | (share(t, BINARY) > BINARY_SHARE), "binary-gate")
+    # most lines have no such character at all, which one look settles
+    return F.when(~line.rlike(NOT_BLANK), "length-gate").when(F.length(line) > MAX_LINE, "too-long").when(line.rlike(BINARY) & ((share(t, CONTROLS) > CONTROL_SHARE) | (share(t, BINARY) > BINARY_SHARE)), "binary-gate")
 
 
 # plain forms
