@@ -9,8 +9,8 @@ Only if they agree for every digest are digests identifiers; else the next diges
 From then on a document is its recipe, the ordered list of its identifiers, and lists are compared, not texts.
 
 Empty texts equal each other and have an empty recipe. An empty table gives an empty one. Columns beside doc_id and
-text don't matter. A hot group of copies is one partial sum per task; the join back to its rows is of slim rows, by
-their recipe, and is split by adaptive execution where it is skewed.
+text don't matter. A hot group of copies is one partial sum per task; its sum is sent to all tasks, and the rows of other groups
+are joined by recipe.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, pieces, table, texts, tune
+from .common import cut, hidden, join_groups, pieces, table, texts, tune
 
 DIGESTS = {"xxh3_128": xxhash.xxh3_128_digest, "sha256": lambda b: hashlib.sha256(b).digest()}
 LEAST, MEAN_BITS, MOST = 256, 11, 1 << 14
@@ -47,9 +47,9 @@ def chunks(text: bytes) -> list[bytes]:
     return out
 
 
-def row_key() -> Column:
+def row_key(text: str = "text") -> Column:
     """With doc_id, what tells a row from others: a hash of its text as it is."""
-    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 
 def recipes(df: DataFrame, digest: str) -> DataFrame:
@@ -108,7 +108,7 @@ def groups(df: DataFrame, digests: tuple[str, ...] = tuple(DIGESTS)) -> DataFram
     df = df.select("doc_id", F.col("text").cast("string").alias("text"))
     rows = cut(recipes(df, verified_digest(df, digests)).withColumn("rid", F.monotonically_increasing_id()), "recipes")
     several = rows.groupBy("recipe").agg(F.max(F.struct("doc_id", "rid")).alias("best"), F.count("*").alias("n")).where("n > 1")
-    out = rows.join(several, "recipe", "left")
+    out = join_groups(rows, several, "recipe", "n")
     alone = F.col("n").isNull()
     return out.select("doc_id", "raw", F.when(alone, F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("keep_id"), F.coalesce("n", F.lit(1)).cast("long").alias("group_size"), (alone | (F.col("best.rid") == F.col("rid"))).alias("kept"), "text_sha256")
 
@@ -117,10 +117,11 @@ def kept(df: DataFrame, digests: tuple[str, ...] = tuple(DIGESTS)) -> DataFrame:
     """The rows of df that stay, with its columns."""
     marked = cut(groups(df, digests), "groups")
     good = marked.where("kept").select(F.col("doc_id").alias("_id"), F.col("raw").alias("_raw"))
-    keyed = df.withColumn("_key", row_key())
-    out = keyed.join(good.hint("shuffle_hash"), keyed["doc_id"].eqNullSafe(good["_id"]) & (keyed["_key"] == good["_raw"]), "left_semi")
+    own, at, back = hidden(df)
+    keyed = own.withColumn("_key", row_key(at["text"]))
+    out = keyed.join(good.hint("shuffle_hash"), keyed[at["doc_id"]].eqNullSafe(good["_id"]) & (keyed["_key"] == good["_raw"]), "left_semi")
     again = marked.where("NOT kept").select("doc_id", "raw").intersect(marked.where("kept").select("doc_id", "raw")).limit(1).count()
-    return (out.dropDuplicates(["doc_id", "_key"]) if again else out).select(df.columns)
+    return back(out.dropDuplicates([at["doc_id"], "_key"]) if again else out)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
