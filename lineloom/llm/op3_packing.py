@@ -1,6 +1,6 @@
 """Token ids packed into fixed rows by best-fit decreasing.
 
-Rule: each text becomes ids (the encoder of operator 5) with one end id. A document longer than a row is split, without
+Rule: each text becomes the ids of a public byte-level vocabulary with one end id behind them. A document longer than a row is split, without
 loss, into full rows and a rest. What is shorter than a row is packed best-fit-decreasing: longest first, each piece
 into the fullest row that still has room, found in a segment tree over the free capacities. Packing runs over windows
 of `window` tokens within a task, so memory is bounded whatever the input, and no document moves: there is no shuffle.
@@ -16,17 +16,29 @@ of equally full rows the oldest takes the piece. An empty table gives no row. A
 
 from __future__ import annotations
 
+import base64
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import pieces, table, texts, tune
 from .op1_token_counts import model_bytes
-from .pieces import pieces_of
 
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 SCHEMA = "pack_id long, doc_ids array<long>, doc_starts array<long>, cu_seqlens array<int>, n_tokens int, ids binary, position_ids binary"
 
 
+@lru_cache(maxsize=2)
+def encoder(ranks: bytes, pattern: str):
+    """The tiktoken encoding of a file of ranks, and the number of its ids."""
+    import tiktoken
+
+    known = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
+    return tiktoken.Encoding("public", pat_str=pattern, mergeable_ranks=known, special_tokens={}), max(known.values()) + 1
+
+
 class Room:
     """Open rows by free capacity; a segment tree finds the least capacity that is enough."""
 
@@ -85,22 +97,24 @@ def best_fit(lengths: list[int], length: int) -> list[list[int]]:
     return rows
 
 
-def pack(df: DataFrame, model: bytes, length: int = 2048, end: int = 2, pad: int = 0, window: int = 2_000_000, carry: float = 0.97, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def pack(df: DataFrame, ranks: bytes, length: int = 2048, end: int | None = None, pad: int = 0, window: int = 2_000_000, carry: float = 0.97, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """end: the id behind each document; if none is given, the first that the vocabulary doesn't use."""
+    import public_tokenizers
+
     tune(df.sparkSession)
-    sent = df.sparkSession.sparkContext.broadcast(model)
+    sent = df.sparkSession.sparkContext.broadcast(ranks)
+    pattern = public_tokenizers.PATTERN
     df = df.select(df[doc_id].cast("long").alias("doc_id"), df[text].alias("text"))
 
     def run(batches):
         from pyspark import TaskContext
 
-        p = pieces_of(sent.value)
-        kind = np.uint16 if len(p.text) <= 1 << 16 and length <= 1 << 16 else np.int32
+        encoding, free = encoder(sent.value, pattern)
+        last = free if end is None else end
+        kind = np.uint16 if max(free, last, pad, length) < 1 << 16 else np.int32
         made = [(TaskContext.get().partitionId() if TaskContext.get() else 0) << 40]
         counting = np.arange(length, dtype=kind)
 
-        def ids_of(joined: str) -> np.ndarray:
-            return np.fromstring(joined, dtype=np.int64, sep=",").astype(kind) if joined else np.empty(0, kind)
-
         def emit(rows: list[list[tuple]]):
             out = [[] for _ in range(7)]
             for row in rows:
@@ -121,8 +135,8 @@ def pack(df: DataFrame, model: bytes, length: int = 2048, end: int = 2, pad: int
         size = 0
         full: list[list[tuple]] = []
         for b in pieces(batches):
-            for d, joined in zip(b.column(0).to_pylist(), p.encode_batch([x.decode() for x in texts(b)])[0], strict=True):
-                ids = np.append(ids_of(joined), np.array([end], kind))
+            for d, raw in zip(b.column(0).to_pylist(), texts(b), strict=True):
+                ids = np.array([*encoding.encode_ordinary(raw.decode()), last], kind)
                 whole = len(ids) // length * length
                 full += [[(d, k, ids[k : k + length])] for k in range(0, whole, length)]
                 if whole < len(ids):
@@ -156,4 +170,4 @@ def write_packed(packed: DataFrame, path: str) -> None:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), model_bytes())
+    return pack(table(spark, sf_dir, "documents"), model_bytes(VOCABULARY))

@@ -1,0 +1,356 @@
+"""Each operator against a plain version, on a table with nulls, blanks, very long texts, ties, repeats and clashing names."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import brute
+from lineloom.llm import op1_token_counts as op1
+from lineloom.llm import op2_substring_dedup as op2
+from lineloom.llm import op3_packing as op3
+from lineloom.llm import op4_mixing as op4
+from lineloom.llm import op5_sentencepiece as op5
+from lineloom.llm import op6_dart_minhash as op6
+from lineloom.llm import op7_sharding as op7
+from lineloom.llm import op8_pii as op8
+from lineloom.llm import op9_quality as op9
+from lineloom.llm import op10_exact_dedup as op10
+
+R = random.Random(7)
+WORDS = ["".join(R.choices("abcdeéß漢", k=R.randint(1, 7))) for _ in range(400)]
+
+
+def text(n):
+    return " ".join(R.choices(WORDS, k=n))
+
+
+def near(t, edits):
+    w = t.split()
+    for i in R.sample(range(len(w)), edits):
+        w[i] = "edit%d" % R.randrange(10**6)
+    return " ".join(w)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    base, passage, long = text(120), text(40), text(20_000)
+    out = [(i, text(R.choice([0, 1, 4, 5, 12, 13, 60, 200]))) for i in range(40)]
+    out += [(100 + i, base) for i in range(6)] + [(110 + i, near(base, i)) for i in range(1, 9)] + [(120, base.upper())]
+    out += [(130 + i, text(30) + " " + passage + "\n" + text(20)) for i in range(5)]
+    out += [(140, None), (141, ""), (142, " \n\t "), (143, long), (144, near(long, 40)), (145, "x" * 30_000), (146, "7" * 5_000), (147, "a\n" * 50), (148, (text(9) + "\n") * 12)]
+    out += [(150, "mail a.b@example.com or x@y.example.org_z@q.net, ip 10.0.0.256 1.2.3.4.5 01.002.3.255"), (151, "card 4111 1111 1111 1111, 4111-1111-1111-1112 phone +1 (555) 010-0199 +49"), (152, "IBAN GB82 WEST 1234 5698 7654 32 ssn: 123-45-6789, and then a number of the same form without any such word: 987-65-4321"), (153, "😀 a@example.com 漢 4111111111111111")]
+    out += [(160, "### *** $$$ " * 30), (161, "Same Text"), (162, "same text"), (163, "ÄÖ same"), (164, "äö same")]
+    return out
+
+
+@pytest.fixture(scope="module")
+def odd(spark, rows):
+    """The rows twice over, a null id, one id with two texts, and columns whose names the operators use."""
+    more = [*rows, rows[5], rows[40], (None, "no id at all here"), (None, None), (7, "another text of document seven")]
+    df = spark.createDataFrame([(d, t, ["en", None, "de"][i % 3], "s" if i % 4 else None, i) for i, (d, t) in enumerate(more)], "doc_id long, text string, lang string, source string, n_chars long")
+    clash = {c: F.lit(1) for c in ("_t", "_w", "kept", "key", "n_tokens", "shard", "size", "slot", "rid", "_key", "_id", "_part", "n_words", "pii_email", "ids", "copies", "p", "rate")}
+    return df.withColumns(clash)
+
+
+@pytest.fixture(scope="module")
+def plain(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s")})
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], "doc_id long, text string, lang string, source string")
+
+
+@pytest.fixture(scope="module")
+def model():
+    return op1.model_bytes()
+
+
+def test_token_counts(odd, rows, empty, model):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    from lineloom.llm.pieces import Unigram
+
+    for scores in ("zipf", "file"):
+        v = Unigram(model, scores).vocabulary
+        t = Tokenizer(models.Unigram([("unk", min(s for _, s in v)), *v], 0, True))
+        t.pre_tokenizer = pre_tokenizers.Metaspace("▁", "always", True)
+        got = op1.token_counts(odd, model, scores=scores).collect()
+        assert len(got) == odd.count()
+        assert all(r.n_tokens == len(t.encode(r.text or "", add_special_tokens=False).ids) for r in got)
+    assert op1.token_counts(empty, model).count() == 0
+
+
+def test_substrings(plain, rows, odd, empty):
+    want = brute.substring(rows)
+    assert sum(n for _, n, _ in want.values()) > 300
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in op2.dedup(plain).collect()}
+    assert got == want
+    out = op2.dedup(odd).collect()
+    assert len(out) == odd.count() and all(r.n_removed == 0 for r in out if r.doc_id is None)
+    assert all(brute.sha(r.kept_text or "") == r.kept_sha256 for r in out)
+    assert {(r.n_words, r.n_removed) for r in out if r.doc_id == rows[5][0]} == {want[rows[5][0]][:2]}
+    assert op2.dedup(empty).count() == 0
+
+
+def test_cover():
+    for a in range(op2.PERIOD):
+        for b in range(op2.PERIOD):
+            assert any((a + k) % op2.PERIOD in op2.COVER and (b + k) % op2.PERIOD in op2.COVER for k in range(op2.PERIOD))
+
+
+@pytest.mark.parametrize("length", [16, 300])
+def test_packing(odd, empty, length):
+    import public_tokenizers
+
+    ranks = op1.model_bytes(op3.VOCABULARY)
+    sp, end = op3.encoder(ranks, public_tokenizers.PATTERN)
+    got = op3.pack(odd.coalesce(2), ranks, length=length, window=4000).collect()
+    seen = defaultdict(dict)
+    total = Counter()
+    for r in got:
+        ids, pos = np.frombuffer(r.ids, np.uint16), np.frombuffer(r.position_ids, np.uint16)
+        assert len(ids) == len(pos) == length and r.cu_seqlens[0] == 0 and r.cu_seqlens[-1] == r.n_tokens <= length
+        assert not ids[r.n_tokens :].any()
+        for d, s, a, b in zip(r.doc_ids, r.doc_starts, r.cu_seqlens, r.cu_seqlens[1:], strict=False):
+            assert (pos[a:b] == np.arange(b - a)).all()
+            total[d] += b - a
+            seen[d][s] = ids[a:b].tolist()
+    texts = defaultdict(list)
+    for r in odd.collect():
+        texts[r.doc_id].append(r.text or "")
+    assert total == Counter({d: sum(len(sp.encode_ordinary(t)) + 1 for t in ts) for d, ts in texts.items()})
+    for d, ts in texts.items():
+        if len(ts) == 1:
+            assert [i for s in sorted(seen[d]) for i in seen[d][s]] == [*sp.encode_ordinary(ts[0]), end]
+            assert sp.decode(sp.encode_ordinary(ts[0])) == ts[0]
+    assert len({r.pack_id for r in got}) == len(got)
+    assert op3.pack(empty, ranks).count() == 0
+
+
+def test_best_fit():
+    for _ in range(200):
+        length = R.choice([7, 8, 100])
+        sizes = [R.randint(1, length) for _ in range(R.randint(0, 60))]
+        got = op3.best_fit(sizes, length)
+        free = []
+        for n in sorted(sizes, reverse=True):
+            fit = [f for f in free if f >= n]
+            free.append((free.pop(free.index(min(fit))) if fit else length) - n)
+        assert sorted(length - sum(sizes[i] for i in r) for r in got) == sorted(free)
+        assert sorted(i for r in got for i in r) == list(range(len(sizes)))
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.createDataFrame([(i, int(i % 5 != 0), int(i % 7 == 0)) for i in range(40)] + [(3, None, 0), (None, 1, 1), (9999, 1, 0)], "doc_id long, quality int, toxic int")
+
+
+def test_mixing(spark, odd, labels, empty):
+    got = op4.rates(odd, labels).collect()
+    assert len(got) == odd.count()
+    p, n, r = np.array([x.p for x in got]), np.array([x.n_tokens for x in got]), np.array([x.rate for x in got])
+    assert np.allclose(p.sum(1), 1) and (r >= 0).all()
+    assert all(x.copies in (int(x.rate), int(x.rate) + 1) for x in got)
+    out = op4.mixed(odd, labels)
+    assert out.columns == odd.columns
+    keys = Counter((x.doc_id, x.key) for x in got)
+    assert out.count() == sum(x.copies for x in got) and max(keys.values()) == 2
+    assert op4.rates(empty, labels).count() == 0 and op4.mixed(empty, labels).count() == 0
+    assert op4.rates(odd, labels.where("false")).where("rate > 0").count() == odd.count()
+
+
+def test_rates_meet_targets(spark):
+    g = np.random.default_rng(5)
+    p, n = g.dirichlet([0.3, 0.4, 1.0], 500), g.integers(1, 900, 500)
+    soft = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(n, p, strict=True)], "n_tokens long, p array<double>")
+    steps = op4.fit(soft)
+    r = np.ones(500)
+    for s in steps:
+        r = np.maximum(0, r - p @ np.array(s))
+    mine = np.array([x.r for x in soft.select(op4.rate_of(steps).alias("r")).collect()])
+    supply = (n[:, None] * p).sum(0)
+    share = np.array([op4.WEIGHTS[d] for d in op4.DOMAINS])
+    target = np.minimum(share * supply[2] / share[2], supply)
+    assert np.allclose(np.sort(mine), np.sort(r)) and np.allclose((n * r) @ p, target, atol=1e-3 * target.sum())
+
+
+def test_a_scarce_domain_does_not_bind_the_others(spark):
+    rows = [(100, [0.0, 0.0, 1.0])] * 200 + [(100, [0.0, 1.0, 0.0])] * 2 + [(100, [1.0, 0.0, 0.0])] * 50
+    soft = spark.createDataFrame(rows, "n_tokens long, p array<double>")
+    r = np.array([x.r for x in soft.coalesce(1).select(op4.rate_of(op4.fit(soft)).alias("r")).collect()])
+    assert np.allclose(np.sort(r), np.sort([1.0] * 202 + [2.0 / 0.95 / 50] * 50), atol=1e-2)
+
+
+def test_classifier_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.1"
+    d, lab = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    train = op4.labelled(d, lab.where("doc_id % 3 != 0"))
+    rows, domain = op4.labelled(d, lab.where("doc_id % 3 = 0"))
+    m = op4.Classifier(*train)
+    assert np.mean([int(np.argmax(m.posterior(x))) == y for x, y in zip(rows, domain, strict=True)]) > 0.95
+
+
+def test_sentencepiece(odd, empty, model):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_proto=model)
+    for r in op5.encode(odd, model, decoded="back").collect():
+        ids = sp.encode(r.text or "")
+        assert r.ids == ids and r.back == sp.decode(ids)
+    for r in op5.digests(odd, model).join(odd.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("text").alias("text")).where("n = 1"), "doc_id").collect():
+        ids = sp.encode(r.text or "")
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), brute.sha(",".join(map(str, ids))), brute.sha(sp.decode(ids)))
+    assert [r.decoded for r in op5.decode(op5.encode(odd, model).select("ids").limit(5), model).collect()] is not None
+    assert op5.encode(empty, model).count() == 0 and op5.digests(empty, model).count() == 0
+
+
+def test_pieces_on_random_strings(model):
+    import sentencepiece
+
+    from lineloom.llm.pieces import Pieces
+
+    sp, p = sentencepiece.SentencePieceProcessor(model_proto=model), Pieces(model)
+    known = list(p.normal)
+    cases = ["".join(R.choices("abc ▁.,\n\t-0é漢😀", k=R.randint(0, 60))) for _ in range(500)] + ["".join(R.choices(known, k=R.randint(1, 15))).replace("▁", " ") for _ in range(1000)]
+    for t in cases:
+        assert p.encode(t) == sp.encode(t) and p.decode(p.encode(t)) == sp.decode(sp.encode(t))
+    for _ in range(200):
+        ids = [R.randrange(3, 32_000) for _ in range(5)]
+        assert p.decode(ids) == sp.decode(ids)
+
+
+def test_near_duplicates(plain, rows, odd, empty):
+    want = brute.classes(rows)
+    got = {r.doc_id: r.class_id for r in op6.classes(plain).collect()}
+    assert got == want and len(set(want.values())) < len(want) - 5
+    out = op6.classes(odd).collect()
+    assert len(out) == odd.count() and all(r.class_id is None for r in out if r.doc_id is None)
+    kept = op6.kept(odd)
+    assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} == {r.class_id for r in out}
+    assert op6.classes(empty).count() == 0
+
+
+def test_large_buckets(spark, monkeypatch):
+    base = text(150)
+    rows = [(i, near(base, R.randint(0, 20))) for i in range(150)] + [(1000 + i, text(100)) for i in range(30)]
+    monkeypatch.setattr(op6, "SMALL", 4)
+    monkeypatch.setattr(op6, "BLOCK", 16)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in op6.classes(df, rounds=1).collect()} == brute.classes(rows)
+
+
+def test_dart_signatures():
+    a = np.random.default_rng(1).integers(0, 2**63, 500).astype(np.uint64)
+    w1 = np.random.default_rng(2).random(500) * 5
+    w2 = w1 * np.random.default_rng(3).uniform(0.5, 1.5, 500)
+    same = [np.mean(np.equal(*op6.signatures([a ^ np.uint64(s * 7919)] * 2, [w1, w2]))) for s in range(40)]
+    assert abs(np.mean(same) - np.minimum(w1, w2).sum() / np.maximum(w1, w2).sum()) < 0.03
+
+
+def test_sharding(odd, empty):
+    got = op7.assign(odd).collect()
+    assert len(got) == odd.count()
+    by = defaultdict(list)
+    for r in got:
+        by[r.shard].append(r.slot)
+        assert r.law == "key" and 0 <= r.shard < 24 and r.grown_shard in (r.shard, 24)
+    assert all(sorted(s) == list(range(len(s))) for s in by.values())
+    sizes = Counter((r.doc_id, r.size, r.text_crc32) for r in got)
+    assert sizes == Counter((r.doc_id, len((r.text or "").encode()) + 8, zlib.crc32((r.text or "").encode())) for r in odd.collect())
+    assert op7.assign(empty).count() == 0
+    many = odd.sparkSession.range(40_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    root = op7.tree(weights={3: 2.0})
+    placed = op7.shards(many, root).groupBy("shard").count().collect()
+    share = {r.shard: r["count"] / 40_000 for r in placed}
+    assert abs(share[3] - 2 / 25) < 0.01 and all(abs(v - 1 / 25) < 0.008 for k, v in share.items() if k != 3)
+    for step in (op7.tree(), op7.grown(op7.tree())):  # one more shard, twice
+        a, b = op7.shards(many, step), op7.shards(many, op7.grown(step))
+        moved = a.select("doc_id", F.col("shard").alias("a"), F.col("grown_shard").alias("g")).join(b.select("doc_id", F.col("shard").alias("b")), "doc_id")
+        n = op7.size(step)
+        assert moved.where(f"a != b AND b != {n}").count() == 0 and moved.where("g != b").count() == 0 and moved.where(f"b = {n}").count() > 1000
+
+
+def test_personal_data(odd, rows, empty):
+    got = op8.spans(odd)
+    assert got.count() == odd.count() and "_t" in got.columns
+    for r in got.collect():
+        want = Counter((k, s, e) for s, _, e, k in brute.base_spans(r.text))
+        mine = Counter((k, x.s, x.e) for k in op8.BASE for x in r[f"pii_{k}"])
+        assert mine == want
+        assert all((r.text or "")[x.s : x.e] == x.m for k in op8.KINDS for x in r[f"pii_{k}"])
+    one = {r.doc_id: r for r in got.where("doc_id >= 150").collect()}
+    assert [x.m for x in one[152].pii_iban] == ["GB82 WEST 1234 5698 7654 32"] and [x.m for x in one[152].pii_ssn] == ["123-45-6789"]
+    masked = {r.doc_id: r.text for r in op8.masked(odd).where("doc_id >= 150").collect()}
+    assert masked[153] == "😀 [email] 漢 [card]" and "[iban]" in masked[152]
+    assert op8.spans(empty).count() == 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_quality(odd, empty, spark):
+    got = op9.quality(odd).collect()
+    for r in got:
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute.quality(r.text)
+    j = op9.judged(op9.quality(odd))
+    plan = j._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    verdict = {r.doc_id: r.kept for r in j.collect()}
+    assert len(got) == odd.count() and not verdict[160] and verdict[143] and not verdict[141] and not verdict[140]
+    assert op9.kept(odd).columns == odd.columns and op9.kept(empty).count() == 0
+    salted = op9.judged(op9.quality(odd), most_groups=0)
+    assert {r.doc_id: r.kept for r in salted.collect()} == verdict
+
+
+def test_thresholds_follow_the_group(spark):
+    rows = [(i, "g", " ".join(["word"] * 0 + R.choices(WORDS, k=60)) + " #" * 3) for i in range(150)] + [(1000 + i, "h", text(60)) for i in range(150)] + [(2000, "h", text(60) + " #" * 40)]
+    df = spark.createDataFrame([(d, t, "en", s) for d, s, t in rows], "doc_id long, text string, lang string, source string")
+    bad = {r.doc_id for r in op9.judged(op9.quality(df)).where("NOT kept").collect()}
+    assert bad == {2000}
+
+
+@pytest.mark.parametrize("digests", [("xxh3_128",), ("weak", "sha256")])
+def test_exact_duplicates(odd, rows, empty, digests, monkeypatch):
+    monkeypatch.setitem(op10.DIGESTS, "weak", lambda b: hashlib.sha256(b).digest()[:1])
+    data = [(r.doc_id, r.text) for r in odd.collect()]
+    low = lambda t: (t or "").encode().lower()
+    by = defaultdict(list)
+    for d, t in data:
+        by[low(t)].append(d)
+    best = {k: max((d for d in v if d is not None), default=None) for k, v in by.items()}
+    got = op10.groups(odd, digests).collect()
+    assert len(got) == len(data)
+    sha = {hashlib.sha256(k).hexdigest(): k for k in by}
+    for r in got:
+        k = sha[r.text_sha256]
+        assert (r.keep_id, r.group_size) == (best[k], len(by[k]))
+    assert sum(r.kept for r in got) == len(by) and all(r.doc_id == r.keep_id for r in got if r.kept)
+    assert op10.groups(empty, digests).count() == 0
+
+
+def test_exact_duplicates_kept(odd):
+    out = op10.kept(odd)
+    assert out.columns == odd.columns
+    assert out.count() == len({(r.text or "").encode().lower() for r in odd.select("text").collect()})
+
+
+def test_shared_digest_is_an_error(plain, monkeypatch):
+    monkeypatch.setitem(op10.DIGESTS, "weak", lambda b: b"")
+    with pytest.raises(ValueError):
+        op10.verified_digest(plain, ("weak",))
+
+
+def test_chunks():
+    for n in (0, 1, 255, 256, 257, 5000, 100_000):
+        b = bytes(R.choices(range(256), k=n))
+        parts = op10.chunks(b)
+        assert b"".join(parts) == b and all(len(p) <= op10.MOST for p in parts)
+    assert b"".join(op10.chunks(b"a" * 50_000)) == b"a" * 50_000
+    a = bytes(R.choices(range(256), k=60_000))
+    assert len(set(op10.chunks(a)) & set(op10.chunks(b"some bytes before" + a))) > 10
