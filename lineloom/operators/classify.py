@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import sanitize
-from ..functions.validate import gate, share, trim, valid_field
-from ..functions.validate import BINARY, BINARY_SHARE
+from ..functions.validate import BINARY, BINARY_SHARE, NOT_BLANK, gate, share, trim, valid_field
 from ..ship import ship
 from ..spec import META, FieldSpec
 from .cells import best_cells, merge_scheme, split_cells
@@ -105,13 +104,27 @@ def layouts(lines: DataFrame, spec: FieldSpec, source: str = "source") -> DataFr
 
 def _with_layout(lines: DataFrame, found: DataFrame, source: str) -> DataFrame:
     """Each line with its source's layout; few layouts are sent around, else both sides are dealt by source and part."""
-    if found.limit(MOST_LAYOUTS + 1).count() <= MOST_LAYOUTS:
-        return lines.join(F.broadcast(found), source, "left")
+    some = found.limit(MOST_LAYOUTS + 1).collect()
+    if len(some) <= MOST_LAYOUTS:
+        few = found.sparkSession.createDataFrame(some, found.schema)
+        return lines.join(F.broadcast(few), source, "left")
     parts = 64
     wide = found.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     return lines.withColumn("_part", F.pmod(F.xxhash64("line_no"), F.lit(parts)).cast("int")).join(wide, [source, "_part"], "left").drop("_part")
 
 
+#: A blank that isn't a plain space.
+ODD_BLANK = "[" + NOT_BLANK[2:-1].replace("\\s", "\\t\\n\\x0B\\f\\r") + "]"
+
+
+def _split(c: Column) -> Column:
+    """A line's cells by its layout's delimiter, which is a comma if none is known."""
+    out = F.split(c, ",", -1)
+    for d, pattern in (("\t", "\t"), ("|", "[|]"), (";", ";")):
+        out = F.when(F.col("delimiter") == d, F.split(c, pattern, -1)).otherwise(out)
+    return out
+
+
 def _plain() -> Column:
     """Native: whether a line is sure to be a row by its header: no quote, brace or label with a colon; as many cells as labels."""
     t = F.col("text")
@@ -128,10 +141,12 @@ def classify(lines: DataFrame, spec: FieldSpec, templates: list[Template] = (),
         found = lines.select(F.col(source)).distinct().withColumns({"labels": F.array(*map(F.lit, stated.labels)), "delimiter": F.lit(None).cast("string"), "places": F.map_from_entries(F.array(*[F.struct(F.lit(f), F.array(*map(F.lit, at))) for f, at in stated.places.items()]))})
     else:
         found = layouts(lines, spec, source) if layout is None else layout
+    found = found.withColumn("label_keys", F.transform("labels", lambda h: F.regexp_replace(F.lower(h), r"[^\p{L}\p{N}]", "")))
     gated = _with_layout(lines, found, source).withColumn("_gate", gate(F.col("text")))
-    split = F.when(F.col("delimiter") == "\t", F.split("text", "\t", -1)).when(F.col("delimiter") == "|", F.split("text", "[|]", -1)).when(F.col("delimiter") == ";", F.split("text", ";", -1)).otherwise(F.split("text", ",", -1))
-    cells = F.when(F.col("delimiter").isNotNull(), F.transform(split, trim))
-    gated = gated.withColumn("_cells", cells)
+    # one look at the line spares most cells the general trim
+    split = _split(F.col("text"))
+    cells = F.when(F.col("text").rlike(ODD_BLANK), F.transform(split, trim)).otherwise(F.transform(split, lambda c: F.trim(c)))
+    gated = gated.withColumn("_cells", F.when(F.col("delimiter").isNotNull(), cells))
     gated = gated.withColumn("_route", F.when(F.col("_gate").isNotNull(), "gate").when(_plain() & F.lit(native and headers is None), "plain").otherwise("judge"))
 
     none = F.lit(None).cast("map<string,string>")
@@ -172,12 +187,11 @@ def _by_header(plain: DataFrame, spec: FieldSpec, keep: list[str]) -> DataFrame:
     """Native form of the header stages."""
     cells, labels, places = F.col("_cells"), F.col("labels"), F.col("places")
 
-    def key(c):
-        return F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]", "")
-
-    known = F.filter(F.zip_with(cells, labels, lambda c, h: F.struct(c.alias("c"), h.alias("h"))), lambda x: x["h"] != "")
-    same = F.size(F.filter(known, lambda x: key(x["c"]) == key(x["h"])))
-    header = (F.col("line_no") == 1) | ((F.size(known) >= 2) & (same >= F.greatest(F.lit(2), F.ceil(F.size(known) / 2).cast("int"))))
+    # the keys of all cells by one pattern over the line, delimiters kept
+    keys = _split(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N},;|\t]", ""))
+    same = F.aggregate(F.zip_with(keys, F.col("label_keys"), lambda c, h: ((h != "") & (c == h)).cast("int")), F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0)))
+    known = F.size(F.filter(labels, lambda h: h != ""))
+    header = (F.col("line_no") == 1) | ((known >= 2) & (same >= F.greatest(F.lit(2), F.ceil(known / 2).cast("int"))))
     fields = {}
     for f in spec.wanted:
         at = F.try_element_at(places, F.lit(f))
@@ -192,7 +206,7 @@ def _by_header(plain: DataFrame, spec: FieldSpec, keep: list[str]) -> DataFrame:
     rest = F.filter(F.transform(F.arrays_zip(labels.alias("h"), cells.alias("c")), lambda x, i: F.struct(x["h"].alias("h"), x["c"].alias("c"), i.alias("i"))), lambda x: ~F.array_contains(used, x["i"]) & (x["c"] != ""))
     pairs = F.transform(rest, lambda x: F.concat(F.to_json(F.array(x["h"])).substr(F.lit(2), F.length(F.to_json(F.array(x["h"]))) - 2), F.lit(":"), F.to_json(F.array(x["c"])).substr(F.lit(2), F.length(F.to_json(F.array(x["c"]))) - 2)))
     meta = F.when(F.size(rest) > 0, F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}")))
-    bad = F.exists(cells, lambda c: share(c, BINARY) > BINARY_SHARE)
+    bad = F.when(F.col("text").rlike(BINARY), F.exists(cells, lambda c: share(c, BINARY) > BINARY_SHARE)).otherwise(F.lit(False))
     enough = any_field | meta.isNotNull()
     done = plain.withColumns({"_header": header, "_bad": bad, "_enough": enough, "_meta": meta})
     row = F.create_map(*[x for f in spec.wanted for x in (F.lit(f), fields[f])], F.lit(META), F.col("_meta"))

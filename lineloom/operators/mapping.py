@@ -122,9 +122,11 @@ def join_scalars(values: list) -> str:
 
 
 def _text(v) -> str:
+    if isinstance(v, str):
+        return v
     if isinstance(v, bool):
         return "true" if v else "false"
-    return v if isinstance(v, str) else dump(v)
+    return str(v) if isinstance(v, int) else dump(v)
 
 
 class _Source:
