@@ -16,6 +16,16 @@ from .op10_exact_dedup import op10_exact_dedup
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_packing, op4_mixing, op5_sentencepiece, op6_dart_minhash, op7_sharding, op8_pii, op9_quality, op10_exact_dedup)}
 
 ORACLE = {
+    "op2_substring_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 12], ' ')) AS h FROM d, unnest(range(1, len(ws) - 11)) AS t(i)),
+least AS (SELECT h, min(doc_id) AS owner FROM win GROUP BY h),
+gone AS (SELECT DISTINCT win.doc_id, unnest(range(i, i + 13)) AS p FROM win JOIN least USING (h) WHERE owner < win.doc_id),
+word AS (SELECT doc_id, p, ws[p] AS w FROM d, unnest(range(1, len(ws) + 1)) AS t(p)),
+kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY p) AS t, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, len(ws) AS n_words, len(ws) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""",
     "op10_exact_dedup": """
 WITH low AS (
   SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
