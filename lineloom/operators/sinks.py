@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import csv_line
+from ..ship import ship
 from ..spec import META
 
 ROWS_PER_FILE = 50_000
@@ -24,9 +26,16 @@ def csv_lines(parsed: DataFrame, fields: list[str], row: str = "fields") -> Data
 
 
 def write_csv(parsed: DataFrame, fields: list[str], path: str, row: str = "fields") -> None:
-    """Files with a header each, quoted where needed."""
+    """Files that each start with a byte order mark and a header, with CRLF ends."""
+    ship(parsed.sparkSession)
     names = [*dict.fromkeys(f for f in fields if f != META), META]
-    parsed.select(*[F.col(row)[n].alias(n) for n in names]).write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "").csv(path)
+    head = "\ufeff" + ",".join(f'"{n.replace(chr(34), chr(34) * 2)}"' if any(c in n for c in '",\r\n') else n for n in names)
+
+    def with_head(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([head], pa.string())], names=["value"])
+        yield from (pa.RecordBatch.from_arrays(b.columns, names=["value"]) for b in batches)  # as nullable as the head
+
+    csv_lines(parsed, fields, row).mapInArrow(with_head, "value string").write.mode("overwrite").option("lineSep", "\r\n").text(path)
 
 
 def rejected(rubbish: DataFrame, dead: DataFrame) -> DataFrame:

@@ -128,3 +128,10 @@ def test_api(spark, tmp_path):
     assert [r.name for r in api.parse_dump(spark, str(tmp_path / "d.sql"), FieldSpec(["name", "meta"])).collect()] == ["a", "b"]
     (tmp_path / "w.json").write_text('[{"email":"a@example.com"},\n{"email":"b@example.com"}]')
     assert api.parse_json(spark, str(tmp_path / "w.json"), FieldSpec(["email"])).where("verdict='parsed'").count() == 2
+
+
+def test_csv_files(spark, tmp_path):
+    rows = spark.createDataFrame([({"a": 'x"y', "b,c": "1\n2", "meta": None},), ({"a": "é", "b,c": "", "meta": "{}"},)], "fields map<string,string>").coalesce(1)
+    sinks.write_csv(rows, ["a", "meta", "b,c", "a"], str(tmp_path / "csv"))
+    files = list((tmp_path / "csv").glob("part-*"))
+    assert [f.read_bytes().decode() for f in files] == ['\ufeffa,"b,c",meta\r\n"x""y","1\n2",\r\né,,{}\r\n']
