@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, mix, pieces, runs, table, texts, tune
+from .common import cut, hidden, join_groups, mix, pieces, runs, table, texts, tune
 from .words import hash64, windows
 
 SHINGLE, LEAST = 5, 0.8
@@ -229,7 +229,7 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     drawn = cut(docs.mapInArrow(_sketch, "doc_id long, same binary, size int, bands array<long>"), "darts")
     one = drawn.where("doc_id IS NOT NULL AND size > 0")
-    reps = one.groupBy("same").agg(F.min("doc_id").alias("rep"))
+    reps = one.groupBy("same").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     # rows of one doc_id with different texts stand for the one document
     lead = one.select("doc_id", "same", "size", "bands").join(reps, [one["same"] == reps["same"], one["doc_id"] == reps["rep"]], "left_semi").dropDuplicates(["doc_id"])
     banded = lead.select(F.col("doc_id").alias("id"), "size", F.explode("bands").alias("key"))
@@ -253,8 +253,8 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
     for turn in range(rounds):
         marked = member.join(comp, "id")
         rank = F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn))
-        chosen = marked.groupBy("key").agg(F.min_by(F.struct("id", "size", "comp"), rank).alias("l"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 != c1")
-        star = marked.join(chosen, "key").where("comp != l.comp").select("id", F.col("l.id").alias("b"), "size", F.col("l.size").alias("size2")).where(near)
+        chosen = marked.groupBy("key").agg(F.min_by(F.struct("id", "size", "comp"), rank).alias("l"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("n")).where("c0 != c1")
+        star = join_groups(marked, chosen, "key", "n").where("comp != l.comp").select("id", F.col("l.id").alias("b"), "size", F.col("l.size").alias("size2")).where(near)
         pairs = star.select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -277,15 +277,15 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
         found = verified(rest).unionAll(cut(_across(marked, mixed.where(F.col("n") > SMALL), sets, least), "across"))
         if found.limit(1).count():
             comp = cut(components(nodes, links.unionAll(found)), "comp")
-    of_set = reps.join(comp, reps["rep"] == comp["id"], "left").select(F.col("same").alias("_same"), F.coalesce("comp", "rep").alias("class"))
-    return drawn.join(of_set, drawn["same"] == of_set["_same"], "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id")).alias("class_id"))
+    of_set = reps.join(comp, reps["rep"] == comp["id"], "left").select("same", "copies", F.coalesce("comp", "rep").alias("class"))
+    return join_groups(drawn.select("doc_id", "same"), cut(of_set, "classes"), "same", "copies").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id")).alias("class_id"))
 
 
 def kept(df: DataFrame) -> DataFrame:
     """The rows of df whose doc_id names their class, with its columns; rows that share it stay."""
     good = cut(classes(df), "classes").where("doc_id = class_id OR doc_id IS NULL").select("doc_id").distinct()
-    keyed = df.join(good.select(F.col("doc_id").alias("_id")).hint("shuffle_hash"), df["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
-    return keyed.select(df.columns)
+    own, at, back = hidden(df)
+    return back(own.join(good.select(F.col("doc_id").alias("_id")).hint("shuffle_hash"), own[at["doc_id"]].eqNullSafe(F.col("_id")), "left_semi"))
 
 
 def op6_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
