@@ -3,7 +3,7 @@
 A `Pieces` is built on each executor from the bytes of a SentencePiece model of type BPE with byte fallback and
 identity normalisation. Texts are cut into segments where no piece of the vocabulary can cross: before a run of
 word marks, around line breaks and, if the vocabulary allows, before a trailing full stop or comma. What one segment
-encodes to is remembered in a table of bounded size.
+encodes to is remembered in tables of bounded size.
 """
 
 from __future__ import annotations
@@ -20,12 +20,31 @@ import pyarrow.compute as pc
 from .automaton import Automaton
 
 MARK = "▁"
-#: Segments to remember. The table is emptied when it is full.
-REMEMBERED = 600_000
+#: Segments to remember in each of two generations.
+REMEMBERED = 100_000
 #: Longer segments aren't remembered.
 SHORT = 48
 
 
+class Memory:
+    """Results by text, in two generations: when the young one is full it becomes the old one, so what is used stays."""
+
+    def __init__(self, make):
+        self.make, self.young, self.old = make, {}, {}
+
+    def __call__(self, key: str):
+        got = self.young.get(key)
+        if got is None:
+            got = self.old.get(key)
+            if got is None:
+                got = self.make(key)
+            if len(key) <= SHORT:
+                if len(self.young) >= REMEMBERED:
+                    self.young, self.old = {}, self.young
+                self.young[key] = got
+        return got
+
+
 class Pieces:
     def __init__(self, model: bytes):
         import sentencepiece
@@ -66,7 +85,7 @@ class Pieces:
             else:
                 self.segment = re.compile(f"{MARK}*{latin}+(?={end})|{MARK}+{part}*|{part}+|\n+")
         self._merge_rank = {p: (-self.score[i], i) for p, i in self.normal.items()}
-        self._known_segments: dict[str, tuple[str, bytes]] = {}
+        self._remembered = Memory(self._result)
         self._compatible: dict[int, bool] = {}
         self._build()
 
@@ -158,15 +177,9 @@ class Pieces:
     def segments(self, text: str) -> list[str]:
         return self.segment.findall(self.normalised(text))
 
-    def _remembered(self, segment: str) -> tuple[str, bytes]:
-        if (got := self._known_segments.get(segment)) is None:
-            ids = self._segment_ids(segment)
-            got = ",".join(map(str, ids)), b"".join(map(self.surface.__getitem__, ids))
-            if len(segment) <= SHORT:
-                if len(self._known_segments) >= REMEMBERED:
-                    self._known_segments.clear()
-                self._known_segments[segment] = got
-        return got
+    def _result(self, segment: str) -> tuple[str, bytes]:
+        ids = self._segment_ids(segment)
+        return ",".join(map(str, ids)), b"".join(map(self.surface.__getitem__, ids))
 
     def encode_batch(self, texts: list[str]) -> tuple[list[str], list[bytes]]:
         """Per text the ids, in decimal and joined by commas, and what they decode to.
@@ -246,7 +259,7 @@ class Unigram:
         self.automaton = Automaton({p: (len(p), x) for p, x in self.vocabulary})
         self.unknown = min(s for _, s in self.vocabulary) - 10.0
         self.word = re.compile(f"{MARK}[^{MARK}]*|[^{MARK}]+")
-        self._counts: dict[str, int] = {}
+        self._remembered = Memory(self._count)
 
     def _count(self, word: str) -> int:
         best, count = [0.0], [0]
@@ -270,15 +283,6 @@ class Unigram:
         marked = text.replace(" ", MARK)
         return self.word.findall(marked if marked[:1] == MARK or not text else MARK + marked)
 
-    def _remembered(self, word: str) -> int:
-        if (n := self._counts.get(word)) is None:
-            n = self._count(word)
-            if len(word) <= SHORT:
-                if len(self._counts) >= REMEMBERED:
-                    self._counts.clear()
-                self._counts[word] = n
-        return n
-
     def count_batch(self, texts: list[str]) -> list[int]:
         distinct, places, ends = _indexed([self._words(t) for t in texts])
         each = np.fromiter((self._remembered(x) for x in distinct), np.int64, len(distinct))
