@@ -56,10 +56,11 @@ WIDTH = (1 << BITS) + 16
 class Classifier:
     """Multinomial logistic regression, in numpy, over the features that go with a domain.
 
-    A feature is used if it is in three rows or more and its chi-square against the domains is at least `chi`.
+    A feature is used if it is in `least` rows or more and its chi-square against the domains is at least `chi`; rarer
+    ones go with a domain by chance too often.
     """
 
-    def __init__(self, rows: list[np.ndarray], domain: np.ndarray, steps: int = 200, rate: float = 0.5, decay: float = 0.02, chi: float = 16.0):
+    def __init__(self, rows: list[np.ndarray], domain: np.ndarray, steps: int = 200, rate: float = 0.5, decay: float = 0.02, chi: float = 16.0, least: int = 3):
         n, c = len(rows), len(DOMAINS)
         counts = np.bincount(domain, minlength=c)
         self.prior = (counts + 1.0) / (counts.sum() + c)
@@ -75,7 +76,7 @@ class Classifier:
         absent, no_chance = counts - seen, counts - chance
         with np.errstate(divide="ignore", invalid="ignore"):
             score = np.nansum((seen - chance) ** 2 / chance + (absent - no_chance) ** 2 / no_chance, 1)
-        good = (score >= chi) & (total[:, 0] >= 3)
+        good = (score >= chi) & (total[:, 0] >= least)
         keep = good[col]
         row, col = row[keep], col[keep]
         value = np.ones(len(col))
@@ -156,8 +157,12 @@ def targets(supply: np.ndarray, share: np.ndarray) -> np.ndarray:
     return np.minimum(share * supply[lead] / share[lead], supply)
 
 
-def fit(soft: DataFrame, weights: dict[str, float] = WEIGHTS, most: int = 12, close: float = 1e-4) -> list[list[float]]:
-    """The steps of the projected gradient until the totals are within `close` of the targets, or `most` steps."""
+def fit(soft: DataFrame, weights: dict[str, float] = WEIGHTS, most: int = 12, close: float = 2e-3, ridge: float = 1e-3) -> list[list[float]]:
+    """The steps of the projected gradient until the totals are within `close` of all tokens of the targets, or `most` steps.
+
+    ridge damps steps for the sake of domains that hardly any document belongs to: without it, rates would follow
+    differences of posteriors that mean nothing.
+    """
     c = len(DOMAINS)
     n = F.col("n_tokens").cast("double")
     p = [F.col("p")[k] for k in range(c)]
@@ -179,7 +184,7 @@ def fit(soft: DataFrame, weights: dict[str, float] = WEIGHTS, most: int = 12, cl
         gram = np.zeros((c, c))
         for (i, j), x in zip(pairs, s[c:], strict=True):
             gram[i, j] = gram[j, i] = x
-        g = np.linalg.lstsq(gram + 1e-9 * np.trace(gram) * np.eye(c), residual, rcond=None)[0]
+        g = np.linalg.lstsq(gram + ridge * np.trace(gram) * np.eye(c), residual, rcond=None)[0]
         steps.append(g.tolist())
         state = soft.select("n_tokens", "p", rate_of(steps).alias("r"))
     return steps
