@@ -21,7 +21,7 @@ from .automaton import Automaton
 
 MARK = "▁"
 #: Segments to remember in each of two generations.
-REMEMBERED = 100_000
+REMEMBERED = 150_000
 #: Longer segments aren't remembered.
 SHORT = 48
 
