@@ -22,6 +22,8 @@ doc_id and text, so it is the same whatever the partitions.
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +36,7 @@ DOMAINS = ("toxic", "low", "good")
 WEIGHTS = {"toxic": 0.01, "low": 0.04, "good": 0.95}
 BITS = 16
 SAMPLE = 4000
+LOG = logging.getLogger(__name__)
 _PUNCTUATION = b".,;:!?\"'()[]{}"
 
 
@@ -143,11 +146,15 @@ def _sums(soft: DataFrame, columns: list) -> np.ndarray:
     return np.array([x or 0.0 for x in row])
 
 
+def _stepped(r, g: list[float]):
+    return F.greatest(F.lit(0.0), r - sum((F.col("p")[k] * F.lit(float(x)) for k, x in enumerate(g)), F.lit(0.0)))
+
+
 def rate_of(steps: list[list[float]]):
     """The rate after the given steps, as a column: r starts at 1 and never goes under 0."""
     r = F.lit(1.0)
     for g in steps:
-        r = F.greatest(F.lit(0.0), r - sum((F.col("p")[k] * F.lit(float(x)) for k, x in enumerate(g)), F.lit(0.0)))
+        r = _stepped(r, g)
     return r
 
 
@@ -157,8 +164,11 @@ def targets(supply: np.ndarray, share: np.ndarray) -> np.ndarray:
     return np.minimum(share * supply[lead] / share[lead], supply)
 
 
-def fit(soft: DataFrame, weights: dict[str, float] = WEIGHTS, most: int = 12, close: float = 2e-3, ridge: float = 1e-3) -> list[list[float]]:
-    """The steps of the projected gradient until the totals are within `close` of all tokens of the targets, or `most` steps.
+def fit(soft: DataFrame, weights: dict[str, float] = WEIGHTS, most: int = 100, close: float = 1e-3, ridge: float = 1e-3) -> list[list[float]]:
+    """The steps of the projected gradient until the total of each domain is within `close` of its own target.
+
+    Where no rates meet the targets, as with posteriors that are all alike, it ends when a step takes away less than
+    a thousandth of what `close` allows, or after `most` steps; a warning then says so.
 
     ridge damps steps for the sake of domains that hardly any document belongs to: without it, rates would follow
     differences of posteriors that mean nothing.
@@ -172,21 +182,27 @@ def fit(soft: DataFrame, weights: dict[str, float] = WEIGHTS, most: int = 12, cl
     if supply.sum() <= 0:
         return []
     target = targets(supply, share)
+    allowed = close * np.where(target > 0, target, target[target > 0].min(initial=supply.sum()))  # a target of 0 goes by the least other one
     steps: list[list[float]] = []
     pairs = [(i, j) for i in range(c) for j in range(i, c)]
     state = soft.select("n_tokens", "p", F.lit(1.0).alias("r"))
-    for _ in range(most):
+    while True:
         active = F.when(F.col("r") > 0, 1.0).otherwise(0.0)
         s = _sums(state, [n * x * F.col("r") for x in p] + [active * n * p[i] * p[j] for i, j in pairs])
         residual = s[:c] - target
-        if np.abs(residual).max() <= close * target.sum():
+        if (np.abs(residual) <= allowed).all():
             break
         gram = np.zeros((c, c))
         for (i, j), x in zip(pairs, s[c:], strict=True):
             gram[i, j] = gram[j, i] = x
         g = np.linalg.lstsq(gram + ridge * np.trace(gram) * np.eye(c), residual, rcond=None)[0]
+        if len(steps) == most or (np.abs(gram @ g) <= 1e-3 * allowed).all():
+            LOG.warning("rates end after %d steps with tokens of %s off their targets by %s", len(steps), DOMAINS, (residual / allowed * close).tolist())
+            break
         steps.append(g.tolist())
-        state = soft.select("n_tokens", "p", rate_of(steps).alias("r"))
+        state = state.select("n_tokens", "p", _stepped(F.col("r"), steps[-1]).alias("r"))
+        if len(steps) % 8 == 0:  # a longer expression is no longer compiled
+            state = cut(state, "state")
     return steps
 
 
