@@ -139,14 +139,21 @@ class _Reader(DataSourceReader):
         return [_Range(i, a, min(size, a + self.chunk)) for i, a in enumerate(range(0, size, self.chunk))] or [_Range(0, 0, 0)]
 
     def read(self, part: _Range):
-        """The lines that start within the range; the last of them may end behind it."""
+        """The lines that start within the range; the last of them may end behind it, all its pieces are given here."""
         with open(self.local, "rb") as f:
             at = part.start
             if at:
                 f.seek(at - 1)
-                at += len(f.readline()) - 1
-            no = 0
-            while at < part.end:
+                at -= 1
+                while at < part.end:
+                    skipped = f.readline(MAX_LINE_BYTES)
+                    at += len(skipped)
+                    if not skipped or skipped.endswith(b"\n"):
+                        break
+                else:
+                    return
+            no, inside = 0, False
+            while at < part.end or inside:
                 f.seek(at)
                 line = f.readline(MAX_LINE_BYTES)
                 if not line:
@@ -157,6 +164,7 @@ class _Reader(DataSourceReader):
                     text = text[3:]
                 yield self.path, part.index, no, at, len(line), decode(text, self.encoding)
                 at += len(line)
+                inside = not line.endswith(b"\n")
 
 
 class LinesSource(DataSource):

@@ -44,6 +44,18 @@ def test_ranges_give_the_same_lines(spark, tmp_path, chunk):
     assert [(r.line_no, r.byte_offset, r.byte_length, r.text) for r in got] == lines_of(raw, "utf-8")
 
 
+@pytest.mark.parametrize("end", [b"\r\n", b""])
+def test_ranges_give_long_lines_whole(spark, tmp_path, end):
+    m = MAX_LINE_BYTES
+    raw = b"a\n" + b"x" * (3 * m + 5) + b"\nb\n" + b"y" * (2 * m) + b"\n" + b"z" * (m - 1) + b"\nc\n" + b"w" * (4 * m + 1) + end
+    p = tmp_path / "long.sql"
+    p.write_bytes(raw)
+    register(spark)
+    for chunk in (m // 2, m, m + 7, 3 * m):
+        got = numbered(spark.read.format("lines").option("path", str(p)).option("chunk", str(chunk)).load()).orderBy("line_no").collect()
+        assert [(r.byte_offset, r.byte_length, r.text.encode()) for r in got] == [(at, size, line) for line, at, size in split_lines(raw)]
+
+
 def test_read_lines(spark, tmp_path):
     (tmp_path / "a.txt").write_text("x\ny\n")
     (tmp_path / "b.txt").write_bytes("é\n".encode("cp1252") * 30)
