@@ -6,14 +6,15 @@ files are read as binary up to a size, and larger ones by byte ranges through th
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import codecs
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from ..functions.encoding import decode, detect
+from ..functions.encoding import HEAD, decode, detect, known_name
 from ..ship import ship
 
 SCHEMA = "source string, line_no long, byte_offset long, byte_length int, text string"
@@ -52,6 +53,50 @@ def split_lines(raw: bytes, start: int = 0, quoted_newlines: int = 0, last: bool
         at = stop
 
 
+def stream_lines(blocks: Iterable[bytes], quoted_newlines: int = 0) -> Iterator[tuple[bytes, int, int]]:
+    """What split_lines gives of the blocks put together; holds a block and a line."""
+    raw, start = b"", 0
+    for block in blocks:
+        raw, used = raw + block, 0
+        for line, at, size in split_lines(raw, start, quoted_newlines, last=False):
+            yield line, at, size
+            used = at + size - start
+        raw, start = raw[used:], start + used
+    yield from split_lines(raw, start, quoted_newlines)
+
+
+def utf16_lines(blocks: Iterable[bytes], name: str) -> Iterator[tuple[str, int, int]]:
+    """(line, offset, length with its end) of UTF-16, cut as text: line ends aren't single bytes."""
+    decoder = codecs.getincrementaldecoder(known_name(name))("replace")
+
+    def decoded():
+        first = True
+        for block in blocks:
+            if t := decoder.decode(block):
+                yield t.lstrip("\ufeff") if first else t
+                first = False
+        yield decoder.decode(b"", True)
+
+    def whole():
+        rest, held = [], ""
+        for t in decoded():
+            t = held + t
+            held = "\r" if t.endswith("\r") else ""  # a \n may follow
+            for x in t[: len(t) - len(held)].splitlines(keepends=True):
+                rest.append(x)
+                if x.splitlines()[0] != x:
+                    yield "".join(rest)
+                    rest = []
+        if last := "".join(rest) + held:
+            yield last
+
+    at = 0
+    for t in whole():
+        size = len(t.encode(name))
+        yield t.rstrip("\r\n"), at, size
+        at += size
+
+
 def split_tail(text: str, label: str = "Email:") -> list[str]:
     """A last line that holds several records is cut before each label."""
     if text.count(label) < 2:
@@ -64,13 +109,8 @@ def split_tail(text: str, label: str = "Email:") -> list[str]:
 def lines_of(raw: bytes, encoding: str | None = None, quoted_newlines: int = 0) -> list[tuple[int, int, int, str]]:
     """(line_no, offset, length, text) of a whole file."""
     name = encoding or detect(raw)
-    if name.startswith("utf-16"):  # cut as text: line ends aren't single bytes
-        out, at = [], 0
-        for no, t in enumerate(decode(raw, name).lstrip("﻿").splitlines(keepends=True), 1):
-            size = len(t.encode(name))
-            out.append((no, at, size, t.rstrip("\r\n")))
-            at += size
-        return out
+    if name.startswith("utf-16"):
+        return [(no, at, size, t) for no, (t, at, size) in enumerate(utf16_lines([raw], name), 1)]
     return [(no, at, size, decode(line, name)) for no, (line, at, size) in enumerate(split_lines(raw, 0, quoted_newlines), 1)]
 
 
@@ -100,7 +140,8 @@ def read_lines(spark: SparkSession, path: str, encoding: str | None = None, quot
     register(spark)
     out = small
     for p in large:
-        out = out.unionByName(numbered(spark.read.format("lines").option("path", p).option("encoding", encoding or "utf-8").load()))
+        found = spark.read.format("lines").option("path", p).option("quoted_newlines", str(quoted_newlines))
+        out = out.unionByName(numbered((found.option("encoding", encoding) if encoding else found).load()))
     return out
 
 
@@ -129,17 +170,31 @@ class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.path = options["path"]
         self.local = self.path.removeprefix("file://").removeprefix("file:")
-        self.encoding = options.get("encoding", "utf-8")
+        self.encoding = options.get("encoding") or self._detected()
+        self.quoted_newlines = int(options.get("quoted_newlines", 0))
         self.chunk = int(options.get("chunk", CHUNK))
 
+    def _detected(self) -> str:
+        with open(self.local, "rb") as f:
+            return detect(f.read(HEAD))
+
+    def _in_order(self) -> bool:
+        """Whether line starts are known only from the start of the file."""
+        return self.quoted_newlines > 0 or self.encoding.startswith("utf-16")
+
     def partitions(self):
         import os
 
         size = os.path.getsize(self.local)
+        if self._in_order():
+            return [_Range(0, 0, size)]
         return [_Range(i, a, min(size, a + self.chunk)) for i, a in enumerate(range(0, size, self.chunk))] or [_Range(0, 0, 0)]
 
     def read(self, part: _Range):
         """The lines that start within the range; the last of them may end behind it, all its pieces are given here."""
+        if self._in_order():
+            yield from self._all(part)
+            return
         with open(self.local, "rb") as f:
             at = part.start
             if at:
@@ -167,8 +222,22 @@ class _Reader(DataSourceReader):
                 inside = not line.endswith(b"\n")
 
 
+    def _all(self, part: _Range):
+        with open(self.local, "rb") as f:
+            blocks = iter(lambda: f.read(4 * MAX_LINE_BYTES), b"")
+            if self.encoding.startswith("utf-16"):
+                found = utf16_lines(blocks, self.encoding)
+            else:
+                found = ((decode(line, self.encoding), at, size) for line, at, size in stream_lines(blocks, self.quoted_newlines))
+            for no, (text, at, size) in enumerate(found, 1):
+                yield self.path, part.index, no, at, size, text
+
+
 class LinesSource(DataSource):
-    """spark.read.format("lines").option("path", file): lines by byte ranges of one large file that all hosts can open."""
+    """spark.read.format("lines").option("path", file): lines by byte ranges of one large file that all hosts can open.
+
+    Without the option encoding, it is detected. UTF-16 and quoted newlines are read in order, by one task a file.
+    """
 
     @classmethod
     def name(cls) -> str:

@@ -10,8 +10,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from lineloom.functions import encoding as enc
-from lineloom.sources import archives, dumps, urls
-from lineloom.sources.lines import MAX_LINE_BYTES, from_binary, lines_of, numbered, read_lines, register, split_lines, split_tail
+from lineloom.sources import archives, dumps, lines, urls
+from lineloom.sources.lines import MAX_LINE_BYTES, from_binary, lines_of, numbered, read_lines, register, split_lines, split_tail, stream_lines, utf16_lines
 
 
 @settings(max_examples=60, deadline=None)
@@ -64,6 +64,32 @@ def test_read_lines(spark, tmp_path):
     assert from_binary(spark.createDataFrame([("p", None)], "path string, content binary")).count() == 0
 
 
+def test_large_files_are_read_like_small_ones(spark, tmp_path, monkeypatch):
+    text = "".join(f'{i},"né {i}\r\nzwei"\r\n' for i in range(200)) + "é" * 9000 + "\nlast"
+    for name, encoding in (("w", "cp1252"), ("u", "utf-8"), ("le", "utf-16-le"), ("be", "utf-16-be"), ("bom", "utf-16")):
+        (tmp_path / name).write_bytes(text.encode(encoding))
+    for quoted in (0, 2):
+        rows = []
+        for whole in (1 << 20, 10):
+            monkeypatch.setattr(lines, "WHOLE", whole)
+            rows.append(sorted((r.source.rpartition("/")[2], r.line_no, r.byte_offset, r.byte_length, r.text) for r in read_lines(spark, str(tmp_path), quoted_newlines=quoted).collect()))
+        assert rows[0] == rows[1] and "\ufffd" not in "".join(r[4] for r in rows[1])
+
+
+def test_lines_of_blocks():
+    raw = b'\xef\xbb\xbfa,"x\r\ny"\r\n\r\nb,"\n\n\n"\n' + b"k" * (MAX_LINE_BYTES + 9) + b'\n"'
+    text = "\ufeffa\r\nb\rc\n\nd\u2028😀é\r"
+    for k in (1, 2, 3, 5, 1 << 20):
+        part = raw if k > 9 else raw[:40]
+        for q in (0, 1, 2):
+            assert list(stream_lines([part[i : i + k] for i in range(0, len(part), k)], q)) == list(split_lines(part, 0, q))
+        for name in ("utf-16le", "utf-16be"):
+            b = text.encode(name)
+            got = list(utf16_lines([b[i : i + k] for i in range(0, len(b), k)], name))
+            assert [x for x, *_ in got] == [x.rstrip("\r\n") for x in text[1:].splitlines(keepends=True)]
+            assert [at for _, at, _ in got] == [sum(n for *_, n in got[:i]) for i in range(len(got))]
+
+
 def test_encodings():
     assert enc.detect("abc".encode("utf-16-le") * 10) == "utf-16le" and enc.detect("abc".encode("utf-16-be") * 10) == "utf-16be"
     assert enc.detect("é".encode()[:1] + b"") != "utf-16le" and enc.likely_utf8("aé".encode()[:-1])
