@@ -167,6 +167,7 @@ def targets(supply: np.ndarray, share: np.ndarray) -> np.ndarray:
 def fit(soft: DataFrame, weights: dict[str, float] = WEIGHTS, most: int = 100, close: float = 1e-3, ridge: float = 1e-3) -> list[list[float]]:
     """The steps of the projected gradient until the total of each domain is within `close` of its own target.
 
+    The log has the shares of each domain by weight, as target and as reached; as a warning where scarcity lowers a target.
     Where no rates meet the targets, as with posteriors that are all alike, it ends when a step takes away less than
     a thousandth of what `close` allows, or after `most` steps; a warning then says so.
 
@@ -203,6 +204,9 @@ def fit(soft: DataFrame, weights: dict[str, float] = WEIGHTS, most: int = 100, c
         state = state.select("n_tokens", "p", _stepped(F.col("r"), steps[-1]).alias("r"))
         if len(steps) % 8 == 0:  # a longer expression is no longer compiled
             state = cut(state, "state")
+    scarce = bool((target < share * target.sum() * (1 - close)).any())
+    for d, *x in zip(DOMAINS, share, target / target.sum() if target.sum() > 0 else target, s[:c] / max(s[:c].sum(), 1e-300), strict=True):
+        LOG.log(logging.WARNING if scarce else logging.INFO, "%s: share of tokens by weight %.4g, target %.4g, reached %.4g", d, *x)
     return steps
 
 

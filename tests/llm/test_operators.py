@@ -204,6 +204,14 @@ def test_rates_are_close_to_the_target_of_each_domain(spark):
     assert np.isfinite(totals([(50, [0.3, 0.3, 0.4])] * 20)).all()
 
 
+def test_missed_weights_are_logged(spark, caplog):
+    rows = [(100, [0.0, 0.0, 1.0])] * 200 + [(100, [0.0, 1.0, 0.0])] * 2 + [(100, [1.0, 0.0, 0.0])] * 50
+    op4.fit(spark.createDataFrame(rows, "n_tokens long, p array<double>"))
+    said = {r.args[0]: r.args[1:] for r in caplog.records if r.name == op4.__name__ and r.levelname == "WARNING"}
+    assert np.allclose(said["low"], [0.04, 200 / (20000 + 200 + 20000 / 95)] + [said["low"][2]]) and abs(said["low"][2] - said["low"][1]) < 1e-4
+    assert set(said) == set(op4.DOMAINS)
+
+
 def test_classifier_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     d, lab = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
