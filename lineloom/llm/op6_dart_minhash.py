@@ -273,10 +273,11 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
     other = small.select("key", F.col("id").alias("b"), F.col("size").alias("size2"), F.col("comp").alias("comp2"))
     rest = small.join(other, "key").where((F.col("id") > F.col("b")) & (F.col("comp") != F.col("comp2")) & near).select(F.col("id").alias("a"), "b").distinct()
     if tested is not None:
-        rest = cut(rest.join(tested, ["a", "b"], "left_anti"), "rest")
-        found = verified(rest).unionAll(cut(_across(marked, mixed.where(F.col("n") > SMALL), sets, least), "across"))
-        if found.limit(1).count():
-            comp = cut(components(nodes, links.unionAll(found)), "comp")
+        rest = rest.join(tested, ["a", "b"], "left_anti")
+    rest = cut(rest, "rest")
+    found = verified(rest).unionAll(cut(_across(marked, mixed.where(F.col("n") > SMALL), sets, least), "across"))
+    if found.limit(1).count():
+        comp = cut(components(nodes, found if links is None else links.unionAll(found)), "comp")
     of_set = reps.join(comp, reps["rep"] == comp["id"], "left").select("same", "copies", F.coalesce("comp", "rep").alias("class"))
     return join_groups(drawn.select("doc_id", "same"), cut(of_set, "classes"), "same", "copies").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id")).alias("class_id"))
 

@@ -147,6 +147,22 @@ def test_best_fit():
         assert sorted(i for r in got for i in r) == list(range(len(sizes)))
 
 
+def test_pairs_that_no_leader_is_near_to(spark, monkeypatch):
+    sketch = op6._sketch
+
+    def one_bucket(batches):
+        import pyarrow as pa
+
+        for b in sketch(batches):
+            i = b.schema.get_field_index("bands")
+            yield b.set_column(i, b.schema.field(i), pa.array([[7]] * b.num_rows, b.schema.field(i).type))
+
+    monkeypatch.setattr(op6, "_sketch", one_bucket)
+    words = [f"w{i}" for i in range(60)]
+    df = spark.createDataFrame([(0, " ".join(words[:9])), (1, " ".join(words)), (2, " ".join([*words, "more"]))], "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in op6.classes(df).collect()} == {0: 0, 1: 1, 2: 1}
+
+
 @pytest.fixture(scope="module")
 def labels(spark):
     return spark.createDataFrame([(i, int(i % 5 != 0), int(i % 7 == 0)) for i in range(40)] + [(3, None, 0), (None, 1, 1), (9999, 1, 0)], "doc_id long, quality int, toxic int")
