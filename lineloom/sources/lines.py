@@ -7,6 +7,7 @@ files are read as binary up to a size, and larger ones by byte ranges through th
 from __future__ import annotations
 
 import codecs
+import json
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -134,15 +135,17 @@ def read_lines(spark: SparkSession, path: str, encoding: str | None = None, quot
     """Lines of all files of a path or pattern. Files over WHOLE bytes are read by byte ranges."""
     files = spark.read.format("binaryFile").load(path)
     small = from_binary(files.where(F.col("length") <= WHOLE), encoding, quoted_newlines)
-    large = [r[0] for r in files.where(F.col("length") > WHOLE).select("path").limit(10_000).collect()]
+    large = large_files(files)
     if not large:
         return small
     register(spark)
-    out = small
-    for p in large:
-        found = spark.read.format("lines").option("path", p).option("quoted_newlines", str(quoted_newlines))
-        out = out.unionByName(numbered((found.option("encoding", encoding) if encoding else found).load()))
-    return out
+    found = spark.read.format("lines").option("paths", json.dumps(large)).option("quoted_newlines", str(quoted_newlines))
+    return small.unionByName(numbered((found.option("encoding", encoding) if encoding else found).load()))
+
+
+def large_files(files: DataFrame) -> list[str]:
+    """The paths of all files over WHOLE bytes."""
+    return [r[0] for r in files.where(F.col("length") > WHOLE).select("path").collect()]
 
 
 def numbered(lines: DataFrame) -> DataFrame:
@@ -161,41 +164,50 @@ def register(spark: SparkSession) -> None:
 
 
 class _Range(InputPartition):
-    def __init__(self, index: int, start: int, end: int):
+    def __init__(self, index: int, start: int, end: int, path: str, encoding: str):
         super().__init__(index)
-        self.index, self.start, self.end = index, start, end
+        self.index, self.start, self.end, self.path, self.encoding = index, start, end, path, encoding
+
+    @property
+    def local(self) -> str:
+        return _local(self.path)
+
+
+def _local(path: str) -> str:
+    return path.removeprefix("file://").removeprefix("file:")
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
-        self.path = options["path"]
-        self.local = self.path.removeprefix("file://").removeprefix("file:")
-        self.encoding = options.get("encoding") or self._detected()
+        self.paths = json.loads(options["paths"]) if "paths" in options else [options["path"]]
+        self.encoding = options.get("encoding")
         self.quoted_newlines = int(options.get("quoted_newlines", 0))
         self.chunk = int(options.get("chunk", CHUNK))
 
-    def _detected(self) -> str:
-        with open(self.local, "rb") as f:
+    def _detected(self, path: str) -> str:
+        with open(_local(path), "rb") as f:
             return detect(f.read(HEAD))
 
-    def _in_order(self) -> bool:
+    def _in_order(self, encoding: str) -> bool:
         """Whether line starts are known only from the start of the file."""
-        return self.quoted_newlines > 0 or self.encoding.startswith("utf-16")
+        return self.quoted_newlines > 0 or encoding.startswith("utf-16")
 
     def partitions(self):
         import os
 
-        size = os.path.getsize(self.local)
-        if self._in_order():
-            return [_Range(0, 0, size)]
-        return [_Range(i, a, min(size, a + self.chunk)) for i, a in enumerate(range(0, size, self.chunk))] or [_Range(0, 0, 0)]
+        out = []
+        for p in self.paths:
+            size, encoding = os.path.getsize(_local(p)), self.encoding or self._detected(p)
+            chunk = max(1, size) if self._in_order(encoding) else self.chunk
+            out += [_Range(i, a, min(size, a + chunk), p, encoding) for i, a in enumerate(range(0, size, chunk))] or [_Range(0, 0, 0, p, encoding)]
+        return out
 
     def read(self, part: _Range):
         """The lines that start within the range; the last of them may end behind it, all its pieces are given here."""
-        if self._in_order():
+        if self._in_order(part.encoding):
             yield from self._all(part)
             return
-        with open(self.local, "rb") as f:
+        with open(part.local, "rb") as f:
             at = part.start
             if at:
                 f.seek(at - 1)
@@ -217,26 +229,26 @@ class _Reader(DataSourceReader):
                 text = line[:-2] if line.endswith(b"\r\n") else line.removesuffix(b"\n")
                 if at == 0 and text.startswith(BOM):
                     text = text[3:]
-                yield self.path, part.index, no, at, len(line), decode(text, self.encoding)
+                yield part.path, part.index, no, at, len(line), decode(text, part.encoding)
                 at += len(line)
                 inside = not line.endswith(b"\n")
 
 
     def _all(self, part: _Range):
-        with open(self.local, "rb") as f:
+        with open(part.local, "rb") as f:
             blocks = iter(lambda: f.read(4 * MAX_LINE_BYTES), b"")
-            if self.encoding.startswith("utf-16"):
-                found = utf16_lines(blocks, self.encoding)
+            if part.encoding.startswith("utf-16"):
+                found = utf16_lines(blocks, part.encoding)
             else:
-                found = ((decode(line, self.encoding), at, size) for line, at, size in stream_lines(blocks, self.quoted_newlines))
+                found = ((decode(line, part.encoding), at, size) for line, at, size in stream_lines(blocks, self.quoted_newlines))
             for no, (text, at, size) in enumerate(found, 1):
-                yield self.path, part.index, no, at, size, text
+                yield part.path, part.index, no, at, size, text
 
 
 class LinesSource(DataSource):
-    """spark.read.format("lines").option("path", file): lines by byte ranges of one large file that all hosts can open.
+    """spark.read.format("lines").option("path", file): lines by byte ranges of a large file that all hosts can open.
 
-    Without the option encoding, it is detected. UTF-16 and quoted newlines are read in order, by one task a file.
+    The option paths, a JSON array, takes the place of path for several files. Without the option encoding, it is detected. UTF-16 and quoted newlines are read in order, by one task a file.
     """
 
     @classmethod

@@ -76,6 +76,11 @@ def test_large_files_are_read_like_small_ones(spark, tmp_path, monkeypatch):
         assert rows[0] == rows[1] and "\ufffd" not in "".join(r[4] for r in rows[1])
 
 
+def test_all_large_files_are_known(spark):
+    files = spark.range(10_050).selectExpr("concat('file:/f', id) AS path", "if(id = 7, 5, shiftleft(1L, 40)) AS length")
+    assert len(lines.large_files(files)) == 10_049
+
+
 def test_lines_of_blocks():
     raw = b'\xef\xbb\xbfa,"x\r\ny"\r\n\r\nb,"\n\n\n"\n' + b"k" * (MAX_LINE_BYTES + 9) + b'\n"'
     text = "\ufeffa\r\nb\rc\n\nd\u2028😀é\r"
