@@ -8,6 +8,7 @@ import zipfile
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lineloom.functions import encoding as enc
 from lineloom.sources import archives, dumps, lines, urls
@@ -95,6 +96,17 @@ def test_lines_of_blocks():
             assert [at for _, at, _ in got] == [sum(n for *_, n in got[:i]) for i in range(len(got))]
 
 
+def test_what_the_queries_leave_out(spark):
+    """The texts that byte_lines and mojibake filter away."""
+    texts = ["plain", "né", "λόγος", "слово", "漢字", "😀", "€ “x”", "a\r\nb\r\n", "a\nb\n", "\n", "\r", "a\r\n\r\n", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    broken = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
+    assert [r.t for r in df.orderBy("i").select(enc.recover_mojibake(broken).alias("t")).collect()] == texts
+    files = df.select(F.col("i").cast("string").alias("path"), F.encode("text", "UTF-8").alias("content"))
+    got = {int(r.source): (r.n, r.bytes) for r in from_binary(files, "utf-8").groupBy("source").agg(F.count("*").alias("n"), F.sum("byte_length").alias("bytes")).collect()}
+    assert got == {i: (x.count("\n") + (not x.endswith("\n")), len(x.encode())) for i, x in enumerate(texts) if x}
+
+
 def test_encodings():
     assert enc.detect("abc".encode("utf-16-le") * 10) == "utf-16le" and enc.detect("abc".encode("utf-16-be") * 10) == "utf-16be"
     assert enc.detect("é".encode()[:1] + b"") != "utf-16le" and enc.likely_utf8("aé".encode()[:-1])
