@@ -220,6 +220,75 @@ def test_rates_are_close_to_the_target_of_each_domain(spark):
     assert np.isfinite(totals([(50, [0.3, 0.3, 0.4])] * 20)).all()
 
 
+def least_squares(p, n, target):
+    """min |(n r) @ p - target|, r >= 0, by the active set method of Lawson and Hanson, on columns scaled by their tokens."""
+    a = (p * n[:, None]).T / n.sum()
+    t = target / n.sum()
+    on, x = np.zeros(len(n), bool), np.zeros(len(n))
+    while True:
+        w = a.T @ (t - a @ x)
+        w[on] = -np.inf
+        if w.max() <= 1e-13 or on.all():
+            return np.linalg.norm(a @ x - t) * n.sum(), x
+        on[int(w.argmax())] = True
+        while True:
+            z = np.zeros(len(n))
+            z[on] = np.linalg.lstsq(a[:, on], t, rcond=None)[0]
+            if (z[on] > 0).all():
+                x = z
+                break
+            bad = on & (z <= 0)
+            x = x + np.min(x[bad] / (x[bad] - z[bad])) * (z - x)
+            on &= x > 1e-15
+
+
+@pytest.mark.parametrize("seed,shape", [(1, [0.2, 0.4, 1.2]), (2, [0.3, 0.8, 0.9]), (3, [0.1, 0.1, 3.0])])
+def test_rates_are_least_squares(spark, seed, shape):
+    g = np.random.default_rng(seed)
+    p, n = g.dirichlet(shape, 300), g.integers(1, 900, 300)
+    soft = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(n, p, strict=True)], "n_tokens long, p array<double>").coalesce(1)
+    got = op4.fitted(soft)
+    r = np.array([x.r for x in soft.select(op4.rate_of(got.steps).alias("r")).collect()])
+    best, x = least_squares(p, n, got.target)
+    assert best <= 1e-9 * n.sum() and (x >= 0).all()  # targets can be met
+    assert got.met and np.allclose((n * r) @ p, got.target, rtol=1.01e-3) and np.allclose((n * r) @ p, got.reached, rtol=1e-9) and (r >= 0).all()
+
+
+def test_targets_out_of_reach(spark):
+    # every row has 3 % of toxic, so no rates give 1 %: the larger target is met all the same
+    n, p = np.arange(100, 400), np.tile([0.03, 0.0, 0.97], (300, 1))
+    soft = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(n, p, strict=True)], "n_tokens long, p array<double>").coalesce(1)
+    got = op4.fitted(soft)
+    best, _ = least_squares(p, n, got.target)
+    assert not got.met and abs(np.linalg.norm(got.reached - got.target) - best) < 0.01 * best
+    assert abs(got.reached[2] / got.target[2] - 1) < 1e-3 and got.passes <= 100
+
+
+def test_domains_without_labels(spark):
+    words = [f"w{i}" for i in range(50)]
+    df = spark.createDataFrame([(i, " ".join(R.choices(words, k=40) + ["awful"] * (i % 4 == 0))) for i in range(200)], "doc_id long, text string")
+    two = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(100)], "doc_id long, quality int, toxic int")
+    got = op4.rates(df, two).collect()
+    assert all(r.p[1] == 0 for r in got) and min(r.rate for r in got if r.doc_id % 4) > 0.97 and max(r.rate for r in got if r.doc_id % 4 == 0) < 0.2
+    one = op4.rates(df, two.where("toxic = 0")).collect()
+    assert all(r.p == [0.0, 0.0, 1.0] and r.rate == 1 for r in one)
+
+
+def test_wrong_labels_do_not_bar_targets(spark):
+    words = [f"w{i}" for i in range(50)]
+    df = spark.createDataFrame([(i, " ".join(R.choices(words, k=40) + ["awful", "vile"] * (i % 8 == 0))) for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i % 8 == 0 or i % 50 == 1)) for i in range(400)], "doc_id long, quality int, toxic int")
+    got = op4.rates(df, labels).collect()
+    assert sum(r.copies > 0 for r in got if r.doc_id % 8) >= 0.97 * 350 and sum(r.copies for r in got if r.doc_id % 8 == 0) <= 15
+
+
+def test_an_id_that_many_rows_share(spark):
+    df = spark.createDataFrame([(1, "a b c")] * 50 + [(2, "d e f")] * 3 + [(None, "x")] * 9, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    rows, domain = op4.labelled(df, labels)
+    assert len(rows) == 2 and sorted(domain.tolist()) == [1, 2] and op4.rates(df, labels).count() == 62
+
+
 def test_missed_weights_are_logged(spark, caplog):
     rows = [(100, [0.0, 0.0, 1.0])] * 200 + [(100, [0.0, 1.0, 0.0])] * 2 + [(100, [1.0, 0.0, 0.0])] * 50
     op4.fit(spark.createDataFrame(rows, "n_tokens long, p array<double>"))

@@ -70,6 +70,24 @@ def test_mixing(stages, spark):
     assert after.count() >= 0.8 * before.count()
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_mixing_meets_its_targets(stages, spark, sf):
+    from lineloom.llm import op4_mixing as op4
+    from lineloom.llm.common import cut
+
+    d = f"/root/testdata/{sf}"
+    if sf == "sf0.01":
+        docs = stages["mixing"][0]
+    else:
+        docs = spark.read.parquet(f"{d}/documents.parquet")
+        for name, stage in pipeline.STAGES[:3]:
+            docs = cut(stage(spark, docs, d), f"test-{name}")
+    model = op4.Classifier(*op4.labelled(docs, spark.read.parquet(f"{d}/labels.parquet")))
+    got = op4.fitted(cut(op4.soft(docs.select("doc_id", "text"), model).drop("text"), "soft"))
+    asked = got.target > 0
+    assert got.met and (abs(got.reached - got.target)[asked] <= 1e-3 * got.target[asked]).all()
+
+
 def test_encoding(stages):
     import public_tokenizers
     import sentencepiece
