@@ -1,19 +1,26 @@
 """Near-duplicate classes by DartMinHash.
 
-Rule: a document is its set of shingles of five words (all its words, if fewer). Two documents are linked when the
-Jaccard similarity of their sets is 0.8 or more; a class is a connected component, named by its least doc_id.
-
-Signatures: each shingle is an element with a weight (1 here; `signature` takes any). Over the plane of weight and
-rank, cells of area one hold a Poisson(1) number of darts, drawn from a hash of shingle and cell. A dart counts if it
-lies under the element's weight; each dart has one of K coordinates, and a coordinate keeps its dart of least rank.
-Rows of cells are thrown until about K (ln K + 5) darts are expected, and more where a coordinate is still empty, so a signature costs the
-shingles plus that. Two documents agree at a coordinate with the probability of their weighted similarity.
-
-Search: documents with equal sets are one representative (the least doc_id). Signatures are cut into BANDS bands of
-ROWS; a pair of similarity 0.8 misses every band with a probability under 4e-7. Within a band's bucket every member is
-compared to one leader, not to each other; over several rounds leaders differ, verified links are made components, and
-buckets whose members are in one component are done. What is left after the rounds, buckets of texts that are not all
-alike, is compared exactly across components. Every link is verified on the sets (six bytes of each shingle's hash).
+Rule: a document is its shingles of five words (all its words, if fewer), each weighted by how often it occurs. The
+similarity of two documents is the sum of the lesser weights over the sum of the greater ones; `weighted=False` takes
+every weight as 1. Two documents are linked when it is 0.8 or more; a class is a connected component, named by its
+least doc_id.
+
+Signatures: over the plane of weight and rank of an element, cells of area one hold a Poisson(1) number of darts, drawn
+from a hash of shingle and cell. A dart counts if it lies under the element's weight; each dart has one of K
+coordinates, and a coordinate keeps its dart of least rank. Rows of cells are thrown until about K (ln K + 5) darts are
+expected, and more where a coordinate is still empty, so a signature costs the shingles plus that. Two documents agree
+at a coordinate with the probability of their weighted similarity.
+
+Search: documents with equal weighted shingles are one representative (the least doc_id). Signatures are cut into
+BANDS bands of ROWS; a pair of similarity 0.8 misses every band with a probability under 4e-7. Within a band's bucket
+every member is compared to one leader, not to each other; over several rounds leaders differ, verified links are made
+components, and buckets whose members are in one component are done. What is left after the rounds, buckets of texts
+that are not all alike, is compared exactly across components, those of like size only. Every link is verified: as
+weights are whole numbers, the n-th occurrence of a shingle is an element of its own, and the similarity is that of the
+sets of elements (six bytes of each one's hash).
+
+Hot buckets and documents in many pairs are dealt to many tasks: groups of hot keys are sent to all tasks, and a
+document's set is repeated once for each 64 of its pairs.
 
 Null and empty texts have no shingles and are each alone. Equal texts of fewer than five words are one class. Rows
 that share a doc_id are judged as one document with the shingles of the one whose text hashes least. A null doc_id is
@@ -27,10 +34,10 @@ from math import log
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, hidden, join_groups, mix, pieces, runs, table, texts, tune
+from .common import at_groups, cut, hidden, join_groups, mix, pieces, runs, table, texts, tune
 from .words import hash64, windows
 
 SHINGLE, LEAST = 5, 0.8
@@ -43,14 +50,23 @@ _TERMS = np.cumsum([1.0, *np.cumprod(1.0 / np.arange(1, 16))]) * np.exp(-1.0)
 U53 = 1.0 / (1 << 53)
 
 
-def shingles(raw: bytes, n: int = SHINGLE) -> np.ndarray:
-    """The sorted distinct hashes of the shingles of a text."""
+def shingles(raw: bytes, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct hashes of the shingles of a text, and how often each occurs."""
     words = raw.split()
     if not words:
-        return np.empty(0, np.uint64)
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
     h = hash64(words)
     n_own = min(n, len(words))
-    return np.unique(windows(h, np.arange(len(words) - n_own + 1), n_own, 100 + n_own))
+    return np.unique(windows(h, np.arange(len(words) - n_own + 1), n_own, 100 + n_own), return_counts=True)
+
+
+def elements(shingle: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """A hash for each occurrence of each shingle, so that weights become sizes of sets."""
+    if not len(count) or count.max() == 1:
+        return shingle
+    nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    each = np.repeat(shingle, count)
+    return np.where(nth == 0, each, mix(each + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
 
 
 def _unit(h: np.ndarray) -> np.ndarray:
@@ -115,23 +131,35 @@ def signatures(sets: list[np.ndarray], weights: list[np.ndarray] | None = None,
     return out
 
 
-def _sketch(batches):
-    """doc_id, the hash of the set (16 bytes), its size and the band keys; rows without shingles have none."""
-    for b in pieces(batches, 128):
-        sets = [shingles(x) for x in texts(b)]
-        sig = signatures(sets)
-        keys = np.zeros((len(sets), BANDS), np.uint64)
-        for r in range(ROWS):
-            keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + sig[:, r::ROWS] + np.arange(1, BANDS + 1, dtype=np.uint64))
-        same = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-        bands = [k.view(np.int64).tolist() if len(s) else [] for k, s in zip(keys, sets, strict=True)]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(same, pa.binary()), pa.array([len(s) for s in sets], pa.int32()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "same", "size", "bands"])
+def _sketch(weighted: bool):
+    """doc_id, the hash of the elements (16 bytes), their number and the band keys; rows without shingles have none."""
 
+    def run(batches):
+        for b in pieces(batches, 128):
+            found = [shingles(x) for x in texts(b)]
+            if not weighted:
+                found = [(s, np.ones_like(n)) for s, n in found]
+            sig = signatures([s for s, _ in found], [n for _, n in found] if weighted else None)
+            keys = np.zeros((len(found), BANDS), np.uint64)
+            for r in range(ROWS):
+                keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + sig[:, r::ROWS] + np.arange(1, BANDS + 1, dtype=np.uint64))
+            same = [xxhash.xxh3_128_digest(elements(s, n).tobytes()) if len(s) else None for s, n in found]
+            bands = [k.view(np.int64).tolist() if len(s) else [] for k, (s, _) in zip(keys, found, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(same, pa.binary()), pa.array([int(n.sum()) for _, n in found], pa.int32()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "same", "size", "bands"])
+
+    return run
 
-def _sets(batches):
-    for b in pieces(batches, 256):
-        got = [shingles(x).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for x in texts(b)]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.binary())], names=["doc_id", "six"])
+
+def _sets(weighted: bool):
+    def run(batches):
+        for b in pieces(batches, 256):
+            got = []
+            for x in texts(b):
+                s, n = shingles(x)
+                got.append((elements(s, n) if weighted else s).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.binary())], names=["doc_id", "six"])
+
+    return run
 
 
 def _wide(six: bytes) -> np.ndarray:
@@ -204,30 +232,60 @@ def _compare(least: float):
 def _across(marked: DataFrame, mixed: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Links of large buckets between a member outside the bucket's main component and any other member.
 
-    A task gets BLOCK members and BLOCK of the others, with their sets, and gives only links: no pair is a row.
+    A task gets BLOCK members and BLOCK of the others, with their sets, and gives only links: no pair is a row. Similar documents'
+    sizes differ by a factor of 1 / least at most, so members are dealt by classes of size, and each meets the others of its class and
+    of the two beside it only.
     """
-    open_ = marked.join(mixed, "key").select("key", "id", "comp", "n", (F.col("comp") != F.col("main")).alias("outside"))
-    outside = open_.groupBy("key").agg(F.ceil(F.count_if("outside") / BLOCK).cast("int").alias("chunks"))
-    open_ = open_.join(outside, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    ratio = -log(least) + 1e-6  # a little more than the greatest ratio, so that rounding can't part two classes
+    open_ = at_groups(marked, mixed.select("key", "main", "n"), "key", "n")
+    open_ = cut(open_.select("key", "id", "comp", F.floor(F.log(F.col("size").cast("double")) / F.lit(ratio)).cast("int").alias("class"), (F.col("comp") != F.col("main")).alias("outside")), "open")
+    counts = open_.groupBy("key", "class").agg(F.count("*").alias("n"), F.count_if("outside").alias("out"))
+    counts = cut(counts.select("key", "class", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("out") / BLOCK).cast("int").alias("chunks")), "counts")
+    other = counts.select("key", F.col("class").alias("to"), F.struct("class", "blocks", "chunks").alias("other"))
+    beside = counts.withColumn("to", F.explode(F.array(*[F.col("class") + k for k in (-1, 0, 1)]))).join(other.hint("merge"), ["key", "to"])
+    # a row per bucket and class, with the at most three classes that it meets
+    near = beside.groupBy("key", "class", "n", "blocks", "chunks").agg(F.collect_list("other").alias("others")).withColumn("kc", F.xxhash64("key", "class"))
+    met = at_groups(open_.withColumn("kc", F.xxhash64("key", "class")).drop("key", "class"), cut(near, "near"), "kc", "n")
+
+    def all_of(part: str) -> Column:
+        """(class, number) of each part of the classes beside."""
+        some = F.filter("others", lambda x: x[part] > 0)
+        return F.explode(F.flatten(F.transform(some, lambda x: F.transform(F.sequence(F.lit(0), x[part] - 1), lambda k: F.struct(x["class"].alias("class"), k.alias("k"))))))
+
     spot = F.xxhash64("id")
-    all_chunks, all_blocks = (F.sequence(F.lit(0), F.col(c) - 1) for c in ("chunks", "blocks"))
-    members = open_.select("key", "id", "comp", F.lit(0).alias("role"), F.pmod(spot, F.col("blocks")).cast("int").alias("block"), F.explode(all_chunks).alias("chunk"))
-    queries = open_.where("outside").select("key", "id", "comp", F.lit(1).alias("role"), F.pmod(spot, F.col("chunks")).cast("int").alias("chunk"), F.explode(all_blocks).alias("block"))
-    dealt = members.unionByName(queries)
-    full = dealt.join(sets, dealt["id"] == sets["doc_id"]).select("key", "block", "chunk", "role", "id", "comp", "six")
-    return full.groupBy("key", "block", "chunk").applyInArrow(_compare(least), "a long, b long")
+    block, chunk = F.pmod(spot, F.col("blocks")).cast("int"), F.pmod(spot, F.greatest("chunks", F.lit(1))).cast("int")
+    members = met.select("key", "id", "comp", F.lit(0).alias("role"), F.col("class").alias("mc"), block.alias("block"), all_of("chunks").alias("x"))
+    members = members.select("key", "id", "comp", "role", "mc", "block", F.col("x.class").alias("qc"), F.col("x.k").alias("chunk"))
+    queries = met.where("outside").select("key", "id", "comp", F.lit(1).alias("role"), F.col("class").alias("qc"), chunk.alias("chunk"), all_of("blocks").alias("x"))
+    queries = queries.select("key", "id", "comp", "role", F.col("x.class").alias("mc"), F.col("x.k").alias("block"), "qc", "chunk")
+    dealt = cut(members.unionByName(queries), "dealt")
+    full = attached(cut(in_parts(dealt, "id", F.xxhash64("key", "block", "chunk"), "part"), "parts"), "id", "part", sets, "six")
+    return full.groupBy("key", "mc", "block", "qc", "chunk").applyInArrow(_compare(least), "a long, b long")
+
+
+def in_parts(rows: DataFrame, of: str, spread: Column, part: str) -> DataFrame:
+    """rows, a written table, with the part of the rows of one document `of` that each belongs to: 64 rows or so are a part."""
+    many = rows.groupBy(of).agg(F.count("*").alias("_n")).where("_n > 64").withColumn("_parts", F.ceil(F.col("_n") / 64).cast("int"))
+    return at_groups(rows, many, of, "_n", "left").withColumn(part, F.pmod(spread, F.coalesce("_parts", F.lit(1))).cast("int")).drop("_n", "_parts")
+
+
+def attached(rows: DataFrame, of: str, part: str, sets: DataFrame, name: str) -> DataFrame:
+    """rows with the set of the document `of`, which is repeated once for each of its parts."""
+    parts = rows.select(F.col(of).alias("_of"), F.col(part).alias("_part")).distinct()
+    wide = parts.join(sets.hint("merge"), parts["_of"] == sets["doc_id"]).select("_of", "_part", F.col("six").alias(name))
+    return rows.join(wide.hint("merge"), (rows[of] == wide["_of"]) & (rows[part] == wide["_part"])).drop("_of", "_part", part)
 
 
 def links_with(links: DataFrame, least: DataFrame) -> DataFrame:
-    return links.join(least, "u")
+    return links.join(least.hint("merge"), "u")
 
 
-def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = LEAST, rounds: int = 3) -> DataFrame:
+def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = LEAST, rounds: int = 3, weighted: bool = True) -> DataFrame:
     """doc_id, class_id of each row."""
     spark = df.sparkSession
     tune(spark)
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    drawn = cut(docs.mapInArrow(_sketch, "doc_id long, same binary, size int, bands array<long>"), "darts")
+    drawn = cut(docs.mapInArrow(_sketch(weighted), "doc_id long, same binary, size int, bands array<long>"), "darts")
     one = drawn.where("doc_id IS NOT NULL AND size > 0")
     reps = one.groupBy("same").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     # rows of one doc_id with different texts stand for the one document
@@ -235,26 +293,24 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
     banded = lead.select(F.col("doc_id").alias("id"), "size", F.explode("bands").alias("key"))
     counted = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     member = cut(banded.join(counted, "key", "left_semi").select("key", "id", "size"), "members")
+    members = member.count()
     nodes = cut(member.select("id").distinct(), "nodes")
-    sets = cut(docs.join(nodes, docs["doc_id"] == nodes["id"], "left_semi").mapInArrow(_sets, "doc_id long, six binary").dropDuplicates(["doc_id"]), "sets")
+    sets = cut(docs.join(nodes, docs["doc_id"] == nodes["id"], "left_semi").mapInArrow(_sets(weighted), "doc_id long, six binary").dropDuplicates(["doc_id"]), "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are similar. b may be in many: its set is dealt out to parts of its pairs."""
-        parts = cut(pairs, "pairs")
-        many = parts.groupBy("b").agg(F.ceil(F.count("*") / 64).cast("int").alias("parts"))
-        wide = many.join(sets, many["b"] == sets["doc_id"]).select(F.col("b").alias("_b"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("_part"), F.col("six").alias("y"))
-        dealt = parts.join(many.withColumnRenamed("b", "_m"), F.col("b") == F.col("_m")).withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int"))
-        left = dealt.join(sets, dealt["a"] == sets["doc_id"]).select("a", "b", "part", F.col("six").alias("x"))
-        full = left.join(wide, (left["b"] == wide["_b"]) & (left["part"] == wide["_part"])).select("a", "b", "x", "y")
+        """The pairs (a, b) that are similar."""
+        dealt = cut(in_parts(pairs, "a", F.xxhash64("b"), "pa"), "pairs")
+        dealt = cut(in_parts(dealt, "b", F.xxhash64("a"), "pb"), "pairs")
+        full = attached(attached(dealt, "a", "pa", sets, "x"), "b", "pb", sets, "y").select("a", "b", "x", "y")
         return cut(full.mapInArrow(_verify(least), "a long, b long"), "links")
 
     near = F.least("size", "size2") >= F.lit(least) * F.greatest("size", "size2") - 1e-9
     links, tested, comp = None, None, nodes.select("id", F.col("id").alias("comp"))
     for turn in range(rounds):
-        marked = member.join(comp, "id")
+        marked = member.join(comp.hint("merge"), "id")
         rank = F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn))
         chosen = marked.groupBy("key").agg(F.min_by(F.struct("id", "size", "comp"), rank).alias("l"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("n")).where("c0 != c1")
-        star = join_groups(marked, chosen, "key", "n").where("comp != l.comp").select("id", F.col("l.id").alias("b"), "size", F.col("l.size").alias("size2")).where(near)
+        star = at_groups(marked, chosen, "key", "n", total=members).where("comp != l.comp").select("id", F.col("l.id").alias("b"), "size", F.col("l.size").alias("size2")).where(near)
         pairs = star.select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -266,10 +322,11 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
         links = found if links is None else links.unionAll(found)
         comp = cut(components(nodes, links), "comp")
     # what is left: links across components within buckets. Small buckets give pairs, large ones are dealt out in blocks
-    marked = member.join(comp, "id")
+    marked = member.join(comp.hint("merge"), "id")
+    marked = cut(marked, "marked")
     per_comp = marked.groupBy("key", "comp").agg(F.count("*").alias("n"))
     mixed = cut(per_comp.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("comps"), F.max_by("comp", F.struct("n", "comp")).alias("main")).where("comps > 1 AND n > 2"), "mixed")
-    small = marked.join(mixed.where(F.col("n") <= SMALL).select("key"), "key")
+    small = marked.join(mixed.where(F.col("n") <= SMALL).select("key").hint("merge"), "key")
     other = small.select("key", F.col("id").alias("b"), F.col("size").alias("size2"), F.col("comp").alias("comp2"))
     rest = small.join(other, "key").where((F.col("id") > F.col("b")) & (F.col("comp") != F.col("comp2")) & near).select(F.col("id").alias("a"), "b").distinct()
     if tested is not None:
@@ -286,7 +343,7 @@ def kept(df: DataFrame) -> DataFrame:
     """The rows of df whose doc_id names their class, with its columns; rows that share it stay."""
     good = cut(classes(df), "classes").where("doc_id = class_id OR doc_id IS NULL").select("doc_id").distinct()
     own, at, back = hidden(df)
-    return back(own.join(good.select(F.col("doc_id").alias("_id")).hint("shuffle_hash"), own[at["doc_id"]].eqNullSafe(F.col("_id")), "left_semi"))
+    return back(own.join(good.select(F.col("doc_id").alias("_id")).hint("merge"), own[at["doc_id"]].eqNullSafe(F.col("_id")), "left_semi"))
 
 
 def op6_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -67,9 +67,22 @@ def shingles(text, n=5):
     return {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
 
 
-def classes(rows, least=0.8):
-    """{doc_id: class}: connected components of pairs whose shingle sets have that similarity; the least id names one."""
-    sets = [(d, shingles(t)) for d, t in rows]
+def weighted_shingles(text, n=5):
+    w = WORD.findall(text or "")
+    return Counter(tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))) if w else Counter()
+
+
+def classes(rows, least=0.8, weighted=False):
+    """{doc_id: class}: connected components of pairs whose shingles have that similarity; the least id names one.
+
+    weighted: the sum of the lesser counts over the sum of the greater ones.
+    """
+    if weighted:
+        return _classes([(d, weighted_shingles(t)) for d, t in rows], least, lambda x, y: sum((x & y).values()) >= least * sum((x | y).values()), lambda x: sum(x.values()))
+    return _classes([(d, shingles(t)) for d, t in rows], least, lambda x, y: len(x & y) >= least * len(x | y), len)
+
+
+def _classes(sets, least, similar, size):
     top = {d: d for d, _ in sets}
 
     def find(x):
@@ -79,7 +92,7 @@ def classes(rows, least=0.8):
 
     for i, (a, x) in enumerate(sets):
         for b, y in sets[:i]:
-            if x and y and min(len(x), len(y)) >= least * max(len(x), len(y)) and len(x & y) >= least * len(x | y):
+            if x and y and min(size(x), size(y)) >= least * max(size(x), size(y)) and similar(x, y):
                 p, q = sorted((find(a), find(b)))
                 top[q] = p
     return {d: find(d) for d, _ in sets}

@@ -150,12 +150,15 @@ def test_best_fit():
 def test_pairs_that_no_leader_is_near_to(spark, monkeypatch):
     sketch = op6._sketch
 
-    def one_bucket(batches):
-        import pyarrow as pa
+    def one_bucket(weighted):
+        def run(batches):
+            import pyarrow as pa
 
-        for b in sketch(batches):
-            i = b.schema.get_field_index("bands")
-            yield b.set_column(i, b.schema.field(i), pa.array([[7]] * b.num_rows, b.schema.field(i).type))
+            for b in sketch(weighted)(batches):
+                i = b.schema.get_field_index("bands")
+                yield b.set_column(i, b.schema.field(i), pa.array([[7]] * b.num_rows, b.schema.field(i).type))
+
+        return run
 
     monkeypatch.setattr(op6, "_sketch", one_bucket)
     words = [f"w{i}" for i in range(60)]
@@ -336,9 +339,10 @@ def test_pieces_on_random_strings(model):
 
 
 def test_near_duplicates(plain, rows, odd, empty):
-    want = brute.classes(rows)
-    got = {r.doc_id: r.class_id for r in op6.classes(plain).collect()}
-    assert got == want and len(set(want.values())) < len(want) - 5
+    for weighted in (False, True):
+        want = brute.classes(rows, weighted=weighted)
+        got = {r.doc_id: r.class_id for r in op6.classes(plain, weighted=weighted).collect()}
+        assert got == want and len(set(want.values())) < len(want) - 5
     out = op6.classes(odd).collect()
     assert len(out) == odd.count() and all(r.class_id is None for r in out if r.doc_id is None)
     kept = op6.kept(odd)
@@ -352,7 +356,49 @@ def test_large_buckets(spark, monkeypatch):
     monkeypatch.setattr(op6, "SMALL", 4)
     monkeypatch.setattr(op6, "BLOCK", 16)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {r.doc_id: r.class_id for r in op6.classes(df, rounds=1).collect()} == brute.classes(rows)
+    assert {r.doc_id: r.class_id for r in op6.classes(df, rounds=1, weighted=False).collect()} == brute.classes(rows)
+    assert {r.doc_id: r.class_id for r in op6.classes(df, rounds=1).collect()} == brute.classes(rows, weighted=True)
+
+
+def test_weights_decide(spark):
+    line, other = text(30), text(30)
+    rows = [(0, "\n".join([line] * 10 + [other])), (1, "\n".join([line] * 9 + [other])), (2, "\n".join([line] + [other] * 10)), (3, "\n".join([line, other]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    many = {r.doc_id: r.class_id for r in op6.classes(df).collect()}
+    assert many == brute.classes(rows, weighted=True) == {0: 0, 1: 0, 2: 2, 3: 3}
+    assert {r.doc_id: r.class_id for r in op6.classes(df, weighted=False).collect()} == brute.classes(rows)
+    s, n = op6.shingles(rows[0][1].encode())
+    assert len(op6.elements(s, n)) == n.sum() == len(set(op6.elements(s, n).tolist())) and n.max() == 10
+
+
+def test_sizes_in_large_buckets(spark, monkeypatch):
+    # one bucket of many sizes, among them pairs at the very ratio of 0.8
+    monkeypatch.setattr(op6, "SMALL", 2)
+    monkeypatch.setattr(op6, "BLOCK", 4)
+    sketch = op6._sketch
+
+    def one_bucket(weighted):
+        def run(batches):
+            import pyarrow as pa
+
+            for b in sketch(weighted)(batches):
+                i = b.schema.get_field_index("bands")
+                yield b.set_column(i, b.schema.field(i), pa.array([[7]] * b.num_rows, b.schema.field(i).type))
+
+        return run
+
+    monkeypatch.setattr(op6, "_sketch", one_bucket)
+    words = [[f"g{g}w{i}" for i in range(600)] for g in range(3)]
+    rows = [(100 * g + k, " ".join(words[g][: n + 4])) for g in range(3) for k, n in enumerate([4, 5, 20, 25, 32, 40, 50, 64, 80, 100, 125, 500, 400, 321])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in op6.classes(df, rounds=0).collect()} == brute.classes(rows, weighted=True)
+
+
+def test_documents_in_many_pairs(spark, monkeypatch):
+    base = [f"w{i}" for i in range(200)]
+    rows = [(0, " ".join(base))] + [(i, " ".join([*base[:-1], f"end{i}"])) for i in range(1, 300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.class_id for r in op6.classes(df).collect()} == {0}
 
 
 def test_dart_signatures():

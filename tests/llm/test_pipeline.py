@@ -55,7 +55,7 @@ def test_exact(stages):
 
 def test_near(stages):
     before, after = stages["near_dedup"]
-    classes = brute.classes([(r.doc_id, r.text) for r in before.collect()])
+    classes = brute.classes([(r.doc_id, r.text) for r in before.collect()], weighted=True)
     assert after.columns == COLUMNS and sorted(r.doc_id for r in after.collect()) == sorted(set(classes.values()))
 
 
