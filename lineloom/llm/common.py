@@ -66,13 +66,13 @@ def hidden(df: DataFrame) -> tuple[DataFrame, dict[str, str], Callable[..., Data
 def at_groups(rows: DataFrame, groups: DataFrame, key: str, n: str, how: str = "inner", total: int | None = None) -> DataFrame:
     """rows joined to groups, which have a row per key and the number n of rows that have it. total: the number of rows, if known.
 
-    Keys of over a thousandth of all rows, and over 1000 rows, are at most 1000; their groups are sent to all tasks, so
+    Keys of over a thousandth of all rows, and over 100 rows, are at most 1000; their groups are sent to all tasks, so
     no task gets all rows of a hot key. The others are joined by key.
     """
     tune(rows.sparkSession)
-    bound = max(1000, (rows.count() if total is None else total) // 1000)
+    bound = max(100, (rows.count() if total is None else total) // 1000)
     hot = groups.where(F.col(n) > bound)
-    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(groups.where(F.col(n) <= bound).hint("merge"), key, how)
+    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(groups.where(F.col(n) <= bound), key, how)
     return cold.unionByName(rows.join(F.broadcast(hot), key))
 
 

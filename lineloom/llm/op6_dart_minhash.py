@@ -242,7 +242,7 @@ def _across(marked: DataFrame, mixed: DataFrame, sets: DataFrame, least: float)
     counts = open_.groupBy("key", "class").agg(F.count("*").alias("n"), F.count_if("outside").alias("out"))
     counts = cut(counts.select("key", "class", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("out") / BLOCK).cast("int").alias("chunks")), "counts")
     other = counts.select("key", F.col("class").alias("to"), F.struct("class", "blocks", "chunks").alias("other"))
-    beside = counts.withColumn("to", F.explode(F.array(*[F.col("class") + k for k in (-1, 0, 1)]))).join(other.hint("merge"), ["key", "to"])
+    beside = counts.withColumn("to", F.explode(F.array(*[F.col("class") + k for k in (-1, 0, 1)]))).join(other, ["key", "to"])
     # a row per bucket and class, with the at most three classes that it meets
     near = beside.groupBy("key", "class", "n", "blocks", "chunks").agg(F.collect_list("other").alias("others")).withColumn("kc", F.xxhash64("key", "class"))
     met = at_groups(open_.withColumn("kc", F.xxhash64("key", "class")).drop("key", "class"), cut(near, "near"), "kc", "n")
@@ -272,12 +272,12 @@ def in_parts(rows: DataFrame, of: str, spread: Column, part: str) -> DataFrame:
 def attached(rows: DataFrame, of: str, part: str, sets: DataFrame, name: str) -> DataFrame:
     """rows with the set of the document `of`, which is repeated once for each of its parts."""
     parts = rows.select(F.col(of).alias("_of"), F.col(part).alias("_part")).distinct()
-    wide = parts.join(sets.hint("merge"), parts["_of"] == sets["doc_id"]).select("_of", "_part", F.col("six").alias(name))
-    return rows.join(wide.hint("merge"), (rows[of] == wide["_of"]) & (rows[part] == wide["_part"])).drop("_of", "_part", part)
+    wide = parts.join(sets, parts["_of"] == sets["doc_id"]).select("_of", "_part", F.col("six").alias(name))
+    return rows.join(wide, (rows[of] == wide["_of"]) & (rows[part] == wide["_part"])).drop("_of", "_part", part)
 
 
 def links_with(links: DataFrame, least: DataFrame) -> DataFrame:
-    return links.join(least.hint("merge"), "u")
+    return links.join(least, "u")
 
 
 def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = LEAST, rounds: int = 3, weighted: bool = True) -> DataFrame:
@@ -307,7 +307,7 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
     near = F.least("size", "size2") >= F.lit(least) * F.greatest("size", "size2") - 1e-9
     links, tested, comp = None, None, nodes.select("id", F.col("id").alias("comp"))
     for turn in range(rounds):
-        marked = member.join(comp.hint("merge"), "id")
+        marked = member.join(comp, "id")
         rank = F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn))
         chosen = marked.groupBy("key").agg(F.min_by(F.struct("id", "size", "comp"), rank).alias("l"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("n")).where("c0 != c1")
         star = at_groups(marked, chosen, "key", "n", total=members).where("comp != l.comp").select("id", F.col("l.id").alias("b"), "size", F.col("l.size").alias("size2")).where(near)
@@ -322,11 +322,11 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
         links = found if links is None else links.unionAll(found)
         comp = cut(components(nodes, links), "comp")
     # what is left: links across components within buckets. Small buckets give pairs, large ones are dealt out in blocks
-    marked = member.join(comp.hint("merge"), "id")
+    marked = member.join(comp, "id")
     marked = cut(marked, "marked")
     per_comp = marked.groupBy("key", "comp").agg(F.count("*").alias("n"))
     mixed = cut(per_comp.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("comps"), F.max_by("comp", F.struct("n", "comp")).alias("main")).where("comps > 1 AND n > 2"), "mixed")
-    small = marked.join(mixed.where(F.col("n") <= SMALL).select("key").hint("merge"), "key")
+    small = marked.join(mixed.where(F.col("n") <= SMALL).select("key"), "key")
     other = small.select("key", F.col("id").alias("b"), F.col("size").alias("size2"), F.col("comp").alias("comp2"))
     rest = small.join(other, "key").where((F.col("id") > F.col("b")) & (F.col("comp") != F.col("comp2")) & near).select(F.col("id").alias("a"), "b").distinct()
     if tested is not None:
@@ -343,7 +343,7 @@ def kept(df: DataFrame) -> DataFrame:
     """The rows of df whose doc_id names their class, with its columns; rows that share it stay."""
     good = cut(classes(df), "classes").where("doc_id = class_id OR doc_id IS NULL").select("doc_id").distinct()
     own, at, back = hidden(df)
-    return back(own.join(good.select(F.col("doc_id").alias("_id")).hint("merge"), own[at["doc_id"]].eqNullSafe(F.col("_id")), "left_semi"))
+    return back(own.join(good.select(F.col("doc_id").alias("_id")), own[at["doc_id"]].eqNullSafe(F.col("_id")), "left_semi"))
 
 
 def op6_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
