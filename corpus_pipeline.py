@@ -1,6 +1,11 @@
 """A corpus pipeline: quality rules, exact dedup, near-duplicate dedup, mixing, encoding.
 
-Each stage takes (spark, docs, sf_dir) and gives a DataFrame; all but the last give the columns of documents.
+Each stage takes (spark, docs, sf_dir) and gives a DataFrame; all but the last give the columns of documents, whatever their names.
+
+Nulls: a null text has no words, so the quality rules reject it; null languages and sources are groups of their own; rows with a null
+doc_id are judged by their text and are near duplicates of none. Empty texts go with the nulls, very long ones are judged whole. Rows
+that repeat: exact dedup keeps one, of ties in doc_id one. Rows that share a doc_id with different texts stay or go together as near
+duplicates. Empty tables give empty ones; without labels, or with labels of one domain, mixing keeps all.
 """
 
 from __future__ import annotations

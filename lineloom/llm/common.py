@@ -33,9 +33,11 @@ def tune(spark: SparkSession) -> None:
 def scratch(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    It is spark.checkpoint.dir. Only where that isn't set, as in tests on one machine, a temporary folder serves.
+    It is spark.checkpoint.dir. Only where that isn't set and all runs on one machine, as in tests, a temporary folder serves.
     """
     if not (path := spark.conf.get("spark.checkpoint.dir", None)):
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="lineloom-")
         atexit.register(__import__("shutil").rmtree, path, True)
         spark.conf.set("spark.checkpoint.dir", path)

@@ -319,7 +319,7 @@ def test_sentencepiece(odd, empty, model):
     for r in op5.digests(odd, model).join(odd.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("text").alias("text")).where("n = 1"), "doc_id").collect():
         ids = sp.encode(r.text or "")
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), brute.sha(",".join(map(str, ids))), brute.sha(sp.decode(ids)))
-    assert [r.decoded for r in op5.decode(op5.encode(odd, model).select("ids").limit(5), model).collect()] is not None
+    assert Counter(r.decoded for r in op5.decode(op5.encode(odd, model), model).collect()) == Counter(sp.decode(sp.encode(r.text or "")) for r in odd.collect())
     assert op5.encode(empty, model).count() == 0 and op5.digests(empty, model).count() == 0
 
 
@@ -449,6 +449,51 @@ def test_personal_data(odd, rows, empty):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def plain_shard(doc_id, children):
+    """Down a tree of nested (name, weight, children or shard number) by the least -ln(u) / weight."""
+    import math
+
+    import xxhash
+
+    def draw(name, weight):
+        h = 42 if doc_id is None else xxhash.xxh64_intdigest(doc_id.to_bytes(8, "little", signed=True), 42)
+        return -math.log(((xxhash.xxh64_intdigest(name.encode(), h) >> 11) + 0.5) / 2**53) / weight
+
+    while isinstance(children, list):
+        children = min(children, key=lambda c: draw(c[0], c[1]))[2]
+    return children
+
+
+def test_sharding_equals_a_plain_tree(spark):
+    weight = {5: 3.0, 17: 0.25}
+    w = lambda s: weight.get(s, 1.0)
+    tree = []
+    for r in range(3):
+        racks = [(f"r{r}/q{q}", sum(w(8 * r + 4 * q + k) for k in range(4)), [(f"r{r}/q{q}/s{s}", w(s), s) for s in range(8 * r + 4 * q, 8 * r + 4 * q + 4)]) for q in range(2)]
+        tree.append((f"r{r}", sum(x[1] for x in racks), racks))
+    more = [*tree, ("g24", 1.0, 24)]
+    ids = [*range(3000), -5, 2**62, None]
+    got = op7.assign(spark.createDataFrame([(i, "x") for i in ids], "doc_id long, text string"), op7.tree(weights=weight)).collect()
+    assert {(r.doc_id, r.shard, r.grown_shard) for r in got} == {(i, plain_shard(i, tree), plain_shard(i, more)) for i in ids}
+
+
+def test_shards_and_packs_as_files(spark, odd, tmp_path):
+    docs = odd.select("doc_id", "text")
+    op7.write_shards(docs, str(tmp_path / "shards"))
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert Counter((r.doc_id, r.text, r.shard) for r in back.select("doc_id", "text", "shard").collect()) == Counter((r.doc_id, r.text, r.shard) for r in op7.shards(docs, op7.tree()).collect())
+    packs = op3.pack(docs.coalesce(1), op1.model_bytes(op3.VOCABULARY), length=70_000, window=4000)
+    op3.write_packed(packs, str(tmp_path / "packs"))
+    wide = spark.read.parquet(str(tmp_path / "packs"))
+    assert {len(r.ids) for r in wide.collect()} == {70_000 * 4} and sorted(r.pack_id for r in wide.collect()) == sorted(r.pack_id for r in packs.collect())
+
+
+def test_packs_are_full(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = op3.pack(docs.coalesce(2), op1.model_bytes(op3.VOCABULARY)).agg(F.sum("n_tokens").alias("n"), F.count("*").alias("rows")).first()
+    assert got.n / (2048 * got.rows) > 0.99
+
+
 def test_base_spans_of_random_strings(spark):
     g = random.Random(11)
     marks = [*"@.+-() ", "\n", ",", "é", "漢", *"0123456789" * 2, *"abZ_%"]
@@ -515,6 +560,56 @@ def test_quality(odd, empty, spark):
     assert {r.doc_id: r.kept for r in salted.collect()} == verdict
 
 
+def plain_fences(values, slack):
+    v = sorted(values)
+    at = lambda q: v[max(0, int(np.ceil(q * len(v))) - 1)]
+    s = max(at(0.75) - at(0.10), slack)
+    return at(0.10) - 4 * s, at(0.75) + 4 * s
+
+
+def test_verdicts_equal_plain_quantiles(spark):
+    g = random.Random(3)
+
+    def doc(kind):
+        words = ["".join(g.choices("abcdefg", k=g.randint(2, 9) + (14 if kind == 1 else 0))) for _ in range(g.randint(15, 90))]
+        words += ["#"] * (g.randint(0, 2) + (60 if kind == 2 else 0))
+        lines = [" ".join(words[i : i + 6]) for i in range(0, len(words), 6)]
+        return "\n".join(lines + lines[:2] * (9 if kind == 3 else 0))
+
+    rows = [(i, doc(i % 40 if i % 40 < 4 else 0), "en" if i % 3 else None, ["a", "b", "rare"][0 if i % 2 else 2 if i % 50 == 0 else 1]) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.kept for r in op9.judged(op9.quality(df)).collect()}
+    seen = {}
+    for d, t, lang, source in rows:
+        n, chars, symbols, dup, _, failed = brute.quality(t)
+        seen[d] = (lang, source, failed, (symbols / max(1, n), chars / max(1, n), dup / len(t.split("\n"))))
+    fit = [x for x in seen.values() if not x[2]]
+    want = {}
+    for d, (lang, source, failed, values) in seen.items():
+        own = next(x for x in ([y for y in fit if y[:2] == (lang, source)], [y for y in fit if y[0] == lang], fit) if len(x) >= 100 or x is fit)
+        fences = [plain_fences([y[3][k] for y in own], slack) for k, slack in enumerate((0.02, 0.75, 0.15))]
+        want[d] = not failed and all(v <= hi + 1e-12 for v, (_, hi) in zip(values, fences, strict=True)) and values[1] >= fences[1][0] - 1e-12
+    assert got == want and 20 < sum(not v and not seen[d][2] for d, v in want.items()) < 200
+
+
+def test_measures_of_random_texts(spark):
+    g = random.Random(5)
+    bits = [" ", "  ", "\n", "\r\n", "\t", "\x0b", "\x0c", "\u00a0", "\u2003", "a", "b", "é", "漢", "😀", "#", "<", "|", "a b c d e f g h ", "\x00", "\x1c"]
+    texts = ["".join(g.choices(bits, k=g.randint(0, 80))) for _ in range(2000)]
+    for r in op9.quality(spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")).collect():
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute.quality(r.text)
+
+
+def test_substrings_of_random_texts(spark, monkeypatch):
+    g = random.Random(9)
+    passages = [" ".join(f"p{k}w{i}" for i in range(g.randint(10, 60))) for k in range(25)]
+    texts = [" ".join(g.choice(passages) if g.random() < 0.4 else " ".join(g.choices(WORDS, k=g.randint(1, 20))) for _ in range(g.randint(1, 9))) for _ in range(300)]
+    rows = [(g.randrange(10**9) * 1000 + i, t) for i, t in enumerate(texts)]
+    monkeypatch.setattr(op2, "FLUSH", 500)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in op2.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute.substring(rows) and sum(x[1] for x in got.values()) > 5000
+
+
 def test_thresholds_follow_the_group(spark):
     rows = [(i, "g", " ".join(["word"] * 0 + R.choices(WORDS, k=60)) + " #" * 3) for i in range(150)] + [(1000 + i, "h", text(60)) for i in range(150)] + [(2000, "h", text(60) + " #" * 40)]
     df = spark.createDataFrame([(d, t, "en", s) for d, s, t in rows], "doc_id long, text string, lang string, source string")

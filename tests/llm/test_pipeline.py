@@ -1,6 +1,7 @@
 """The corpus pipeline, stage by stage and as a whole, against plain versions of its stages."""
 
 import hashlib
+import random
 import sys
 from pathlib import Path
 
@@ -105,6 +106,52 @@ def test_run_gives_what_the_stages_give(stages, spark):
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
+@pytest.fixture(scope="module")
+def odd_dir(spark, tmp_path_factory):
+    """Documents with nulls in every column, blank and very long texts, repeats, ties, and columns whose names the operators use; and labels of some."""
+    d = tmp_path_factory.mktemp("odd")
+    words = [f"word{i}" for i in range(300)]
+    text = lambda i, n: " ".join(random.Random(i).choices(words, k=n))
+    rows = [(i, text(i, 60), "en", "s", i) for i in range(30)] + [(3, text(3, 60), "en", "s", 3), (40, text(5, 60), None, None, None), (41, text(6, 59) + " changed", "en", "s", 1)]
+    rows += [(None, text(50, 70), "en", "s", 1), (None, None, None, None, None), (50, None, "en", "s", 1), (51, "", "en", "s", 1), (52, " \n ", "en", "s", 1), (53, text(1, 40_000), "en", "s", 1)]
+    rows += [(60, text(8, 60).upper(), "en", "s", 1), (60, text(9, 60), "de", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumns({c: F.lit(1) for c in ("_t", "kept", "key", "n_tokens", "p", "rate", "copies", "_id", "_key", "rid", "recipe", "id", "comp", "size")})
+    docs.write.parquet(str(d / "documents.parquet"))
+    spark.createDataFrame([(i, 1, 0) for i in range(20)] + [(53, 1, 0), (None, 1, 1), (4, None, None)], "doc_id long, quality int, toxic int").write.parquet(str(d / "labels.parquet"))
+    return str(d)
+
+
+def test_odd_rows_go_through(spark, odd_dir):
+    docs = spark.read.parquet(f"{odd_dir}/documents.parquet")
+    columns = docs.columns
+    for name, stage in pipeline.STAGES[:-1]:
+        out = spark.createDataFrame(stage(spark, docs, odd_dir).collect(), docs.schema)
+        assert out.columns == columns, name
+        before, after = ({(r.doc_id, r.text) for r in x.collect()} for x in (docs, out))
+        assert after <= before and after, name
+        docs = out
+    ids = [r.doc_id for r in docs.collect()]
+    assert set(range(30)) - {3, 5, 6, 8, 9} <= set(ids) and 53 in ids and None in ids and not {50, 51, 52} & set(ids)
+    end = pipeline.STAGES[-1][1](spark, docs, odd_dir)
+    assert end.count() == len(ids) and pipeline.run(spark, odd_dir).count() >= 20
+
+
+def test_empty_tables_go_through(spark, odd_dir, tmp_path):
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{odd_dir}/{name}.parquet").limit(0).coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for _, stage in pipeline.STAGES:
+        assert stage(spark, docs, str(tmp_path)).count() == 0
+    assert pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_no_labels(spark, odd_dir, tmp_path):
+    spark.read.parquet(f"{odd_dir}/labels.parquet").limit(0).coalesce(1).write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.read.parquet(f"{odd_dir}/documents.parquet")
+    assert dict(pipeline.STAGES)["mixing"](spark, docs, str(tmp_path)).count() == docs.count()
+
+
 def test_registered(spark):
     import __spark_entry__ as entry
 
