@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from .operators import jobs, sinks, stats
 from .operators.templates import Teacher, Template, learn
 from .ship import ship
 from .sources import archives, dumps, jsons, lines
-from .spec import FieldSpec
+from .spec import FieldSpec, guessed_map
 
 JOB = "job_id string, batch_id string, parent_job_id string, source_type string, source_ref string, field_spec array<string>, status string, parsed long, dropped_rubbish long, total_failed long, created_at timestamp, updated_at timestamp"
 LOG = "job_id string, at timestamp, level string, message string"
@@ -37,9 +38,24 @@ def submit_all(spark: SparkSession, prefix: str, fields: list[str], now: dt.date
     return files.select(F.substring(key, 1, 32).alias("job_id"), F.lit(prefix).alias("batch_id"), F.lit(None).cast("string").alias("parent_job_id"), F.lit("path").alias("source_type"), F.col("path").alias("source_ref"), F.array(*map(F.lit, fields)).alias("field_spec"), F.lit("Created").alias("status"), *[F.lit(0).cast("long").alias(c) for c in ("parsed", "dropped_rubbish", "total_failed")], F.lit(now).cast("timestamp").alias("created_at"), F.lit(now).cast("timestamp").alias("updated_at"))
 
 
-def sources(spark: SparkSession, path: str) -> DataFrame:
-    """(source, content) of the files under a path, those within archives too, and the errors of those that can't be opened."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+PACKED = r"(?i)\.(zip|gz|tgz|tar|7z|rar)$"
+
+
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """df, written once to the folder that the driver and the executors share (spark.checkpoint.dir) and read again; df itself without one."""
+    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        return df
+    path = f"{folder}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sources(spark: SparkSession, path: str, large: bool = True) -> DataFrame:
+    """(source, content) of the files under a path, those within archives too, and the errors of those that can't be opened. Without
+    `large`, files that read_lines reads by ranges are left out, but for archives."""
+    files = spark.read.format("binaryFile").load(path)
+    files = (files if large else files.where((F.col("length") <= lines.WHOLE) | F.col("path").rlike(PACKED))).select("path", "content")
     packed = archives.extract(files.where(archives.kind(F.col("content")).isNotNull()))
     plain = files.where(archives.kind(F.col("content")).isNull()).select(F.col("path").alias("source"), "content", F.lit(None).cast("string").alias("error"))
     return plain.unionByName(packed.select(F.concat_ws("!", "archive", "entry").alias("source"), "content", "error"))
@@ -74,18 +90,63 @@ class Parsed:
     templates: list[Template]
 
 
+def whole_records(files: DataFrame) -> DataFrame:
+    """Lines (source, line_no, byte_offset, byte_length, text) and error: a record each of JSON files that are one document."""
+    text = F.decode(F.col("content"), "UTF-8")
+    docs = files.select("source", text.alias("text"))
+    got = jsons.explode_document(docs, "text", ["source"])
+    place = [(F.col("record_index") + 1).cast("long").alias("line_no"), F.lit(0).cast("long").alias("byte_offset"), F.octet_length("record").alias("byte_length"), F.col("record").alias("text")]
+    good = got.select("source", *place, F.lit(None).cast("string").alias("error"))
+    bad = jsons.too_large(docs, "text", ["source"])
+    return good.unionByName(bad.select("source", F.lit(1).cast("long").alias("line_no"), F.lit(0).cast("long").alias("byte_offset"), F.lit(0).alias("byte_length"), F.lit(None).cast("string").alias("text"), "error"))
+
+
+def judged(spark: SparkSession, path: str, spec: FieldSpec, templates: list[Template] = (), headers: list[str] | None = None, encoding: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The lines of all files, judged by what kind of file they are in, and the layouts of those with headers.
+
+    A file that is one JSON document gives its records, a MySQL dump the tuples of its INSERTs, a PostgreSQL dump its lines by stage,
+    any other its lines. What can't be read (a document too large, a statement, a file in a broken archive) becomes a dead letter.
+    """
+    files = stored(sources(spark, path, large=False), "files")
+    head = F.decode(F.substring("content", 1, 1 << 16), "ISO-8859-1")
+    one = jsons.is_whole(F.decode("content", "UTF-8")) | ((F.length("content") > jsons.WHOLE_MOST) & F.startswith(F.ltrim(head), F.lit("[")))
+    kinds = files.where("error IS NULL").withColumn("kind", dumps.kind(head))
+    kinds = kinds.withColumn("kind", F.when(F.col("kind") != "json", F.col("kind")).when(one, "json"))
+    ls = lines.from_binary(kinds.where("kind IS DISTINCT FROM 'json'").select(F.col("source").alias("path"), "content"), encoding)
+    found = spark.read.format("binaryFile").load(path).where(~F.col("path").rlike(PACKED))
+    if big := lines.large_files(found):
+        ls = ls.unionByName(lines.read_large(spark, big, encoding))
+    ls = stored(ls.join(F.broadcast(kinds.where("kind IN ('mysql', 'postgres')").select("source", "kind")), "source", "left"), "lines")
+
+    plain = ls.where("kind IS NULL").drop("kind")
+    layout = stored(cl.layouts(plain, spec), "layouts") if headers is None else None
+    none = cl.no_layout(spark)
+    out = cl.classify(plain, spec, list(templates), headers, layout=layout)
+    out = out.unionByName(cl.classify_dump(ls.where("kind = 'postgres'").drop("kind"), spec))
+    tuples = dumps.mysql_all(ls.where("kind = 'mysql'").drop("kind")).select("source", "line_no", "byte_offset", F.octet_length("text").alias("byte_length"), "text", "error")
+    packed = files.where("error IS NOT NULL").select("source", F.lit(1).cast("long").alias("line_no"), F.lit(0).cast("long").alias("byte_offset"), F.lit(0).alias("byte_length"), F.lit(None).cast("string").alias("text"), F.concat(F.lit("unreadable_archive: "), "error").alias("error"))
+    whole = whole_records(kinds.where("kind = 'json'")).unionByName(tuples).unionByName(packed)
+    out = out.unionByName(cl.classify(whole.where("error IS NULL").drop("error"), spec, list(templates), layout=none))
+    failed = whole.where("error IS NOT NULL").select(*plain.columns, F.lit("uncertain").alias("verdict"), F.lit(None).cast("string").alias("template_id"), F.lit(None).cast("int").alias("template_version"), F.col("error").alias("failure_class"), F.lit(None).cast("map<string,string>").alias("fields"))
+    return stored(out.unionByName(failed), "verdicts"), none if layout is None else layout
+
+
 def parse(spark: SparkSession, path: str, spec: FieldSpec, job_id: str, now: dt.datetime, templates: list[Template] = (), teacher: Teacher | None = None, budget: int = 10, headers: list[str] | None = None, encoding: str | None = None) -> Parsed:
-    """All lines of a path, judged. With a teacher, what stays uncertain is asked about, within a budget, and judged again."""
-    files = sources(spark, path).where("error IS NULL").select(F.col("source").alias("path"), "content")
-    ls = lines.from_binary(files, encoding)
-    judged = cl.classify(ls, spec, list(templates), headers)
+    """All lines of a path, judged. With a teacher, what stays uncertain is asked about, within a budget, and judged again.
+
+    Verdicts are written once, and all tables come from what is written.
+    """
+    if headers and spec.column_map:
+        spec = replace(spec, column_map=guessed_map(spec.column_map, headers, spec.fields))
+    done, layout = judged(spark, path, spec, templates, headers, encoding)
     known = list(templates)
     if teacher:
-        new = learn(judged.where("verdict = 'uncertain'"), spec, teacher, budget)
-        if new:
+        open_ = (F.col("verdict") == "uncertain") & (F.col("failure_class") == "uncertain")
+        if new := learn(done.where(open_), spec, teacher, budget):
             known += new
-            judged = cl.classify(ls, spec, known, headers)
-    return Parsed(judged, cl.records(judged, job_id, now), cl.rubbish(judged, job_id, now), cl.dead_letters(judged, job_id, now), stats.job_counts(judged.withColumn("job_id", F.lit(job_id)), ["job_id"]), known)
+            again = done.where(open_).select("source", "line_no", "byte_offset", "byte_length", "text")
+            done = stored(done.where(~F.coalesce(open_, F.lit(False))).unionByName(cl.classify(again, spec, known, headers, layout=layout)), "verdicts")
+    return Parsed(done, cl.records(done, job_id, now), cl.rubbish(done, job_id, now), cl.dead_letters(done, job_id, now), stats.job_counts(done.withColumn("job_id", F.lit(job_id)), ["job_id"]), known)
 
 
 def parse_dump(spark: SparkSession, path: str, spec: FieldSpec) -> DataFrame:
@@ -95,8 +156,8 @@ def parse_dump(spark: SparkSession, path: str, spec: FieldSpec) -> DataFrame:
 
 def parse_json(spark: SparkSession, path: str, spec: FieldSpec) -> DataFrame:
     """Records of whole JSON files, mapped like lines."""
-    r = jsons.read_json(spark, path).select("source", (F.col("record_index") + 2).cast("long").alias("line_no"), F.col("record").alias("text"))
-    return cl.classify(r, spec)
+    r = jsons.read_json(spark, path).select("source", (F.col("record_index") + 1).cast("long").alias("line_no"), F.col("record").alias("text"))
+    return cl.classify(r, spec, layout=cl.no_layout(spark))
 
 
 def finalize(spark: SparkSession, path: str, target: str) -> int:
@@ -117,8 +178,8 @@ def rollup(jobs_: DataFrame) -> DataFrame:
 
 def retry(dead: DataFrame, spec: FieldSpec, classes: list[str], templates: list[Template] = ()) -> DataFrame:
     """Dead letters of some classes, judged again."""
-    again = sinks.reprocess(dead, classes).select(F.col("job_id").alias("source"), (F.col("line_no") + 1).alias("line_no"), "byte_offset", "byte_length", F.col("raw_bytes").alias("text"))
-    return cl.classify(again, spec, list(templates))
+    again = sinks.reprocess(dead, classes).select(F.col("job_id").alias("source"), "line_no", "byte_offset", "byte_length", F.col("raw_bytes").alias("text"))
+    return cl.classify(again, spec, list(templates), layout=cl.no_layout(dead.sparkSession))
 
 
 def transition(jobs_: DataFrame, job_id: str, status: str, now: dt.datetime) -> DataFrame:

@@ -18,11 +18,13 @@ from pyspark.sql import types as T
 
 from ..functions.text import sanitize
 from ..functions.validate import BINARY, BINARY_SHARE, NOT_BLANK, gate, share, trim, valid_field
+from ..functions.validate import field_ok as _field_ok
 from ..ship import ship
-from ..spec import META, FieldSpec
+from ..sources.dumps import COPY, copy_cell, dump_stage
+from ..spec import META, FieldSpec, copy_targets
 from .cells import best_cells, merge_scheme, split_cells
 from .detect import Layout, given_layout, header_places, layout_of, repeats_header
-from .mapping import Mapper, read_object, unquoted
+from .mapping import Mapper, dump, read_object, unquoted
 from .templates import Template, best_template, rubbish_template
 
 #: Sources whose layouts may be sent to all tasks; more are joined.
@@ -170,10 +172,7 @@ def classify(lines: DataFrame, spec: FieldSpec, templates: list[Template] = (),
                     if (lay := seen.get(key)) is None:
                         lay = seen[key] = Layout(labels, delimiter, dict(places or []), in_file)
                 got.append(judge.judge(text or "", lay, no == 1))
-            v = list(zip(*got, strict=True)) if got else [()] * 5
-            kinds = (pa.string(), pa.string(), pa.int32(), pa.string(), pa.map_(pa.string(), pa.string()))
-            new = [pa.array(x if k != kinds[4] else [None if y is None else list(y.items()) for y in x], k) for x, k in zip(v, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in keep], *new], names=[*keep, *RESULT.fieldNames()])
+            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in keep], *_verdicts(got)], names=[*keep, *RESULT.fieldNames()])
 
     rest = gated.where("_route = 'judge'").select(*keep, "labels", "delimiter", "places")
     out.append(rest.mapInArrow(run, T.StructType([*lines.schema.fields, *RESULT.fields])))
@@ -183,6 +182,78 @@ def classify(lines: DataFrame, spec: FieldSpec, templates: list[Template] = (),
     return total
 
 
+def email_ok(v: str) -> bool:
+    return _field_ok("email", v)
+
+
+def phone_ok(v: str) -> bool:
+    return "@" not in v and 10 <= sum(c.isdigit() for c in v) <= 15
+
+
+def no_layout(spark) -> DataFrame:
+    """For lines that have no header: whole records, or dead letters that come again."""
+    return spark.createDataFrame([], "source string, labels array<string>, delimiter string, places map<string,array<int>>")
+
+
+def placed_contacts(row: dict) -> dict:
+    """user_name falls back to full_name; what stands in user_email and msisdn goes where it belongs, or goes if it is neither."""
+    row = dict(row)
+
+    def get(k):
+        v = row.get(k)
+        return v.strip() or None if v is not None else None
+
+    if "user_name" in row and get("full_name") and not get("user_name"):
+        row["user_name"] = get("full_name")
+    seen = [v for v in (get("user_email"), get("msisdn")) if v]
+    if not seen:
+        return row
+    mail = next((v for v in seen if email_ok(v)), None)
+    phone = next((v for v in reversed(seen) if phone_ok(v) and not email_ok(v)), None)
+    for k, v in (("user_email", mail), ("msisdn", phone)):
+        if k in row:
+            row[k] = v
+    return row
+
+
+def classify_dump(lines: DataFrame, spec: FieldSpec) -> DataFrame:
+    """Lines of PostgreSQL dumps: rows of COPY blocks are parsed, all other lines are rubbish by their stage. Lines before the dump's
+    first line, if any, aren't given."""
+    ship(lines.sparkSession)
+    keep = lines.columns
+    staged = dump_stage(lines).where("stage IS NOT NULL")
+    none = [F.lit("rubbish").alias("verdict"), F.col("stage").alias("template_id"), F.lit(None).cast("int").alias("template_version"), F.lit(None).cast("string").alias("failure_class"), F.lit(None).cast("map<string,string>").alias("fields")]
+    cells = F.transform(F.split("text", "\t", -1), copy_cell)
+    rows = staged.where("stage = 'pg-copy'").select(*keep, cells.alias("_cells"), F.regexp_extract("copy_head", COPY, 2).alias("_columns"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge, known = Judge(spec), {}
+        for b in batches:
+            got = []
+            for values, head in zip(b.column("_cells").to_pylist(), b.column("_columns").to_pylist(), strict=True):
+                if head not in known:
+                    columns = [c.strip().strip('"') for c in head.split(",")]
+                    known[head] = (columns, copy_targets(columns, spec))
+                columns, targets = known[head]
+                values = values + [None] * (len(columns) - len(values))
+                row = dict.fromkeys(spec.fields) | {f: v for f, v in zip(targets, values, strict=False) if f}
+                rest = {c: v for c, f, v in zip(columns, targets, values, strict=False) if not f}
+                try:
+                    got.append(judge._row(placed_contacts(row) | {META: dump(rest) if rest else None}, "pg-copy"))
+                except Exception as e:  # one bad row must not lose the others
+                    got.append(("uncertain", None, None, f"transform_error: {type(e).__name__}", None))
+            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in keep], *_verdicts(got)], names=[*keep, *RESULT.fieldNames()])
+
+    parsed = rows.mapInArrow(run, T.StructType([*lines.schema.fields, *RESULT.fields]))
+    return staged.where("stage != 'pg-copy'").select(*keep, *none).unionByName(parsed)
+
+
+def _verdicts(got: list[tuple]) -> list[pa.Array]:
+    kinds = (pa.string(), pa.string(), pa.int32(), pa.string(), pa.map_(pa.string(), pa.string()))
+    v = list(zip(*got, strict=True)) if got else [()] * 5
+    return [pa.array(x if k != kinds[4] else [None if y is None else list(y.items()) for y in x], k) for x, k in zip(v, kinds, strict=True)]
+
+
 def _by_header(plain: DataFrame, spec: FieldSpec, keep: list[str]) -> DataFrame:
     """Native form of the header stages."""
     cells, labels, places = F.col("_cells"), F.col("labels"), F.col("places")

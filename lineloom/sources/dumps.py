@@ -96,14 +96,25 @@ def insert_rows(statement: str, columns: list[str]) -> list[tuple[dict, int]]:
 
 
 def mysql_rows(lines: DataFrame) -> DataFrame:
-    """(source, byte_offset, line_no, table, text): a row per tuple. A statement ends with a line that ends with ;.
+    """(source, byte_offset, line_no, table, text): a row per tuple of the statements that can be read."""
+    return mysql_all(lines).where("error IS NULL").drop("error")
 
-    Statements are numbered in order within a file and put together; a file's dump is as sequential as its writing.
+
+def mysql_all(lines: DataFrame) -> DataFrame:
+    """(source, byte_offset, line_no, table, text, error): a row per tuple; an INSERT that can't be read gives itself and an error.
+
+    A statement ends with a line that ends with ; outside of quotes. Blank lines and comments count only between quotes. Statements are
+    numbered in order within a file and put together; a file's dump is as sequential as its writing.
     """
     ship(lines.sparkSession)
-    ends = F.rtrim("text").endswith(";")
+    blank = F.col("text").rlike(r"^\s*(--|/\*|#)") | (F.trim("text") == "")
+    bare = F.regexp_replace("text", r"\\.", "")
+    quotes = F.when(blank, 0).otherwise(F.length(bare) - F.length(F.replace(bare, F.lit("'"), F.lit(""))))
+    own = lines.withColumns({"_blank": blank, "_quotes": F.sum(quotes).over(_in_order().rowsBetween(Window.unboundedPreceding, 0)), "_own": quotes})
+    own = own.where(~F.col("_blank") | (F.col("_quotes") % 2 == 1))
+    ends = F.rtrim("text").endswith(";") & (F.col("_quotes") % 2 == 0)
     before = F.coalesce(F.lag(ends).over(_in_order()), F.lit(True))
-    own = lines.where(~F.col("text").rlike(r"^\s*(--|/\*|#)") & (F.trim("text") != "")).withColumn("_new", before)
+    own = own.withColumn("_new", before)
     own = own.withColumn("statement", block_id(F.col("_new"), ["source"], "line_no"))
     whole = own.groupBy("source", "statement").agg(F.min("byte_offset").alias("byte_offset"), F.min("line_no").alias("line_no"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "text"))), lambda x: x["text"]), " ").alias("sql"))
     name = F.regexp_extract("sql", r"(?i)^\s*(?:CREATE TABLE(?:\s+IF NOT EXISTS)?|INSERT\s+(?:IGNORE\s+)?INTO)\s+[`\"]?([^`\"\s(]+)", 1)
@@ -116,14 +127,17 @@ def mysql_rows(lines: DataFrame) -> DataFrame:
             out = []
             for source, table, offset, no, sql, create in zip(*(b.column(c).to_pylist() for c in ("source", "table", "byte_offset", "line_no", "sql", "create")), strict=True):
                 try:
-                    rows = insert_rows(sql, table_columns(create) if create else [])
-                except (ValueError, IndexError):
-                    rows = []
-                out += [(source, (offset or 0) + at, no, table, dump(row)) for row, at in rows]
-            cols = list(zip(*out, strict=True)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)], names=["source", "byte_offset", "line_no", "table", "text"])
+                    rows, error = insert_rows(sql, table_columns(create) if create else []), "no tuples"
+                except (ValueError, IndexError) as e:
+                    rows, error = [], type(e).__name__
+                if rows:
+                    out += [(source, (offset or 0) + at, no, table, dump(row), None) for row, at in rows]
+                else:
+                    out.append((source, offset, no, table, sql, f"unreadable_statement: {error}"))
+            cols = list(zip(*out, strict=True)) or [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()), strict=True)], names=["source", "byte_offset", "line_no", "table", "text", "error"])
 
-    return inserts.mapInArrow(run, "source string, byte_offset long, line_no long, table string, text string")
+    return inserts.mapInArrow(run, "source string, byte_offset long, line_no long, table string, text string, error string")
 
 
 def _in_order():
@@ -160,12 +174,20 @@ def cleaned(c: Column) -> Column:
     return F.when(t.isin(*EMPTY) | t.rlike(r"^[-_*?\s]+$"), F.lit(None)).otherwise(t)
 
 
+def copy_cell(c: Column) -> Column:
+    """A cell of a COPY row as a value: what stands for nothing is null."""
+    return cleaned(c)
+
+
 def dump_stage(lines: DataFrame) -> DataFrame:
-    """Within PostgreSQL dumps: the stage of each line, pg-dump-start, pg-copy-start, pg-copy, pg-copy-end or pg-sql-junk; else null."""
+    """Within PostgreSQL dumps: the stage of each line, pg-dump-start, pg-copy-start, pg-copy, pg-copy-end or pg-sql-junk; else null.
+
+    copy_head is the last COPY statement at or before the line.
+    """
     t = F.col("text")
-    begin = t.rlike("^-- PostgreSQL database dump$")
-    start, stop = t.rlike(COPY), t == "\\."
-    flagged = lines.withColumns({"_dump": F.max(begin).over(_in_order().rowsBetween(Window.unboundedPreceding, 0)), "_in": mode_flag(start, stop, ["source"], "line_no")})
+    begin = t.rlike("^\\s*-- PostgreSQL database dump")
+    start, stop = t.rlike(COPY), t.rlike(r"^\s*\\\.\s*$")
+    flagged = lines.withColumns({"_dump": F.max(begin).over(_in_order().rowsBetween(Window.unboundedPreceding, 0)), "_in": mode_flag(start, stop, ["source"], "line_no"), "copy_head": F.last(F.when(start, t), ignorenulls=True).over(_in_order())})
     stage = F.when(~F.col("_dump"), F.lit(None)).when(begin, "pg-dump-start").when(start, "pg-copy-start").when(stop, "pg-copy-end").when(F.col("_in"), "pg-copy").otherwise("pg-sql-junk")
     return flagged.withColumn("stage", stage).drop("_dump", "_in")
 

@@ -138,9 +138,14 @@ def read_lines(spark: SparkSession, path: str, encoding: str | None = None, quot
     large = large_files(files)
     if not large:
         return small
+    return small.unionByName(read_large(spark, large, encoding, quoted_newlines))
+
+
+def read_large(spark: SparkSession, paths: list[str], encoding: str | None = None, quoted_newlines: int = 0) -> DataFrame:
+    """Lines of files, read by byte ranges."""
     register(spark)
-    found = spark.read.format("lines").option("paths", json.dumps(large)).option("quoted_newlines", str(quoted_newlines))
-    return small.unionByName(numbered((found.option("encoding", encoding) if encoding else found).load()))
+    found = spark.read.format("lines").option("paths", json.dumps(paths)).option("quoted_newlines", str(quoted_newlines))
+    return numbered((found.option("encoding", encoding) if encoding else found).load())
 
 
 def large_files(files: DataFrame) -> list[str]:

@@ -30,8 +30,9 @@ KEYWORDS = [
 #: A field that is put together from others, in this order.
 COMPONENTS = {"name": ("firstname", "lastname")}
 
-#: Columns that are never mapped to a field by guessing.
-DENIED = re.compile(r"\b(id|dob|ssn)\b|passport|birth|national.?id|tax.?id|employer|salary|gender|religion", re.I)
+# Labels of columns that a guessed mapping never uses.
+DENIED = ["snils", "снилс", "passport", "паспорт", r"\btin\b", r"\binn\b", "инн", r"\bssn\b", "national.?id", "insurance.?number", "insurer", "employer", "работодат", "patronymic", "date.?of.?birth", r"\bdob\b", "birth.?date", "дата.?рожд"]
+_DENIED = re.compile("|".join(DENIED), re.I)
 
 META = "meta"
 
@@ -78,6 +79,28 @@ def clean_column_map(value) -> dict[str, list[int]]:
     return out
 
 
+def denied(label: str) -> bool:
+    return _DENIED.search(label) is not None
+
+
+def guessed_map(value, headers: list[str], fields: list[str]) -> dict[str, list[int]]:
+    """A guessed mapping, cleaned: wanted fields only, and no position whose label is denied."""
+    kept = {f: [i for i in at if i >= len(headers) or not denied(headers[i])] for f, at in clean_column_map(value).items() if f in fields}
+    return {f: at for f, at in kept.items() if at}
+
+
+def copy_targets(columns: list[str], spec: FieldSpec) -> list[str | None]:
+    """The field of each column of a COPY statement: by equal names first, then by synonyms; each field is used once."""
+    found: list[str | None] = [None] * len(columns)
+    free = list(spec.wanted)
+    for fits in (lambda c, f: spec.key[f] == normalize_key(c), spec.matches):
+        for i, c in enumerate(columns):
+            if found[i] is None and (f := next((f for f in free if fits(c, f)), None)) is not None:
+                found[i] = f
+                free.remove(f)
+    return found
+
+
 def select_headers(headers: list[str], chosen: list[str]) -> tuple[list[str], dict[str, list[int]]]:
     """Fields and column map for headers that a user chose; meta joins if some are left out."""
     at = {h: [i] for i, h in reversed(list(enumerate(headers))) if h in chosen}

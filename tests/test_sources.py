@@ -24,7 +24,7 @@ def test_lines_add_up(parts, end):
     assert all(b[1] == a[1] + a[2] for a, b in zip(got, got[1:]))  # noqa: B905
     want = raw.split(b"\n")
     want = want[:-1] if want[-1] == b"" else want
-    assert [t for *_, t in got] == [w.removesuffix(b"\r").decode() if i < len(want) - 1 or end else w.decode() for i, w in enumerate(want)]
+    assert [t for *_, t in got] == [w.removesuffix(b"\r").decode() if i < len(want) - 1 or raw.endswith(b"\n") else w.decode() for i, w in enumerate(want)]
 
 
 def test_line_rules():
