@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 from .op1_token_counts import op1_token_counts
 from .op2_substring_dedup import op2_substring_dedup
 from .op3_packing import op3_packing
@@ -15,7 +18,64 @@ from .op10_exact_dedup import op10_exact_dedup
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_packing, op4_mixing, op5_sentencepiece, op6_dart_minhash, op7_sharding, op8_pii, op9_quality, op10_exact_dedup)}
 
+
+
+def pii_base_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op8_pii gives of the base kinds."""
+    return op8_pii(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
+
+
+def quality_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op9_quality gives beside the method's verdict."""
+    return op9_quality(spark, sf_dir).drop("kept")
+
+
+def shard_laws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op7_sharding by shard: rows and bytes add up, slots have no gap, growth moves rows only into the new shard."""
+    got = op7_sharding(spark, sf_dir)
+    per = got.groupBy("shard").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), F.countDistinct("slot").alias("slots"), F.max("slot").alias("last"), F.bool_and(F.expr("grown_shard = shard OR grown_shard = 24")).alias("stays"))
+    return per.agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.bool_and(F.expr("slots = n AND last = n - 1")).alias("gapless"), F.bool_and("stays").alias("stays"), F.bool_and(F.expr("shard BETWEEN 0 AND 23")).alias("known"))
+
+
+#: Beside the ten: parts of what they give, as far as SQL can express them.
+QUERIES |= {f.__name__: f for f in (pii_base_spans, quality_measures, shard_laws)}
+
 ORACLE = {
+    "pii_base_spans": r"""
+WITH kinds(kind, k, pattern) AS (VALUES
+  ('email', 1, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+'), ('ip', 2, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'),
+  ('card', 3, '[0-9]([\x20-]?[0-9])+'), ('phone', 4, '\+[0-9][\x20().0-9-]+[0-9]')),
+found AS (
+  SELECT doc_id, kind, k, regexp_extract_all(coalesce(text, ''), pattern) AS ms, string_split_regex(coalesce(text, ''), pattern) AS bs FROM documents, kinds),
+each AS (
+  SELECT doc_id, kind, k, ms[i] AS m, regexp_replace(ms[i], '[^0-9]', '', 'g') AS d,
+         len(array_to_string(bs[1:i], '')) + len(array_to_string(ms[1:i - 1], '')) AS s
+  FROM found, unnest(range(1, len(ms) + 1)) AS t(i)),
+good AS (
+  SELECT *, s + len(m) AS e FROM each WHERE CASE kind
+    WHEN 'email' THEN true
+    WHEN 'ip' THEN list_max(list_transform(string_split(m, '.'), lambda x: CAST(x AS HUGEINT))) <= 255
+    WHEN 'card' THEN len(d) BETWEEN 12 AND 19 AND
+      list_sum(list_transform(list_reverse(string_split(d, '')), lambda x, i: CASE WHEN i % 2 = 1 THEN CAST(x AS INT) ELSE 2 * CAST(x AS INT) - CASE WHEN x > '4' THEN 9 ELSE 0 END END)) % 10 = 0
+    ELSE len(d) BETWEEN 9 AND 15 END)
+SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip, count(*) FILTER (kind = 'card') AS n_card,
+       count(*) FILTER (kind = 'phone') AS n_phone, sha256(coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k), '')) AS base_sha256
+FROM documents LEFT JOIN good USING (doc_id) GROUP BY doc_id
+""",
+    "quality_measures": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+line AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d),
+dup AS (SELECT doc_id, sum(n - 1)::BIGINT AS n_dup_lines FROM (SELECT doc_id, x, count(*) AS n FROM line WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY ALL) GROUP BY doc_id),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS w FROM d, unnest(range(1, len(ws) - 6)) AS t(i)),
+many AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, w) > 1),
+cover AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM many) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, len(array_to_string(ws, '')) AS word_chars, len(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+       coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(ws) < 20 OR 100 * coalesce(n, 0) > 30 * len(ws) AS base_failed
+FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN cover USING (doc_id)
+""",
+    "shard_laws": """
+SELECT count(*) AS n, sum(strlen(coalesce(text, '')) + 8)::BIGINT AS bytes, true AS gapless, true AS stays, true AS known FROM documents
+""",
     "op2_substring_dedup": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 win AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 12], ' ')) AS h FROM d, unnest(range(1, len(ws) - 11)) AS t(i)),
