@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import normalize_key as native_key
 from ..functions.validate import BLANKS, HEADER_LABEL, trim
-from ..spec import META, FieldSpec, normalize_key
+from ..spec import DENIED, META, FieldSpec, normalize_key
 from .cells import best_cells, best_delimiter
 from .mapping import Mapper
 
@@ -165,6 +165,11 @@ def repeats_header(cells: list[str], labels: list[str]) -> bool:
     return len(pairs) >= 2 and same >= max(2, -(-len(pairs) // 2))
 
 
+def denied(label: Column) -> Column:
+    """Native: whether a guessed mapping never uses a column of this label."""
+    return label.rlike("(?iu)" + "|".join(DENIED))
+
+
 def header_labels(line: Column) -> Column:
     """Native: the cells of a line if all of them look like labels, else null."""
     cells = best_delimiter(line)["cells"]

@@ -140,20 +140,20 @@ def content_typing(spark, sf_dir):
 @query("""
 SELECT verdict, count(*) AS n FROM (
   SELECT CASE WHEN trim(line, ' ' || chr(9) || chr(13)) = '' THEN 'length-gate' ELSE 'open' END AS verdict
-  FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL))
+  FROM (SELECT unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents))
 GROUP BY verdict""")
 def gate_verdicts(spark, sf_dir):
-    ls = lines.explode_text(t(spark, sf_dir, "documents").where("text IS NOT NULL"), "doc_id", "text")
+    ls = lines.explode_text(t(spark, sf_dir, "documents"), "doc_id", "text")
     return ls.groupBy(F.coalesce(gate(F.col("text")), F.lit("open")).alias("verdict")).agg(F.count("*").alias("n"))
 
 
 @query("""
-SELECT doc_id, (length(x) - length(regexp_replace(x, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F]', '', 'g'))) * 1000 // length(x) AS per_mille
-FROM (SELECT doc_id, text || repeat(chr(1), CAST(doc_id % 50 AS INT)) AS x FROM documents WHERE length(text) > 0)""")
+SELECT doc_id, (length(x) - length(regexp_replace(x, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F]', '', 'g'))) * 1000 // greatest(length(x), 1) AS per_mille
+FROM (SELECT doc_id, coalesce(text, '') || repeat(chr(1), CAST(doc_id % 50 AS INT)) AS x FROM documents)""")
 def control_ratio(spark, sf_dir):
-    d = t(spark, sf_dir, "documents").where(F.length("text") > 0)
-    x = F.concat("text", F.repeat(F.lit("\x01"), (F.col("doc_id") % 50).cast("int")))
-    return d.select("doc_id", F.floor(share(x, CONTROLS) * F.length(x) * 1000 / F.length(x) + 1e-9).cast("long").alias("per_mille"))
+    d = t(spark, sf_dir, "documents")
+    x = F.concat(F.coalesce("text", F.lit("")), F.repeat(F.lit("\x01"), (F.col("doc_id") % 50).cast("int")))
+    return d.select("doc_id", F.floor(F.coalesce(share(x, CONTROLS), F.lit(0.0)) * 1000 + 1e-9).cast("long").alias("per_mille"))
 
 
 @query("""
@@ -469,12 +469,103 @@ def header_labels(spark, sf_dir):
     return c.select(F.col("c_custkey").alias("k"), detect.header_labels(line).isNotNull().alias("header"))
 
 
-@query("SELECT doc_id, text FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[^\\x00-\\x{FF}]') AND regexp_matches(text, '[\\x{80}-\\x{FF}]')")
+@query("SELECT doc_id, text AS back, text AS same FROM documents")
 def mojibake(spark, sf_dir):
-    """Texts read twice in the wrong encoding come back."""
-    d = t(spark, sf_dir, "documents").where(F.col("text").rlike("[\\u0080-\\u00FF]") & ~F.col("text").rlike("[^\\u0000-\\u00FF]"))
+    """Texts read in the wrong encoding come back, whatever their letters; texts that weren't stay as they are."""
     broken = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
-    return d.select("doc_id", recover_mojibake(broken).alias("text"))
+    return t(spark, sf_dir, "documents").select("doc_id", recover_mojibake(broken).alias("back"), recover_mojibake(F.col("text")).alias("same"))
+
+
+@query("""
+SELECT c_custkey AS k, c_name AS name, CASE WHEN c_custkey % 4 IN (0, 3) THEN 'u' || c_custkey || '@example.com' END AS email,
+       CASE WHEN c_custkey % 4 < 3 THEN '1555' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') END AS phone, c_mktsegment AS segment
+FROM customer""")
+def dump_mode_rows(spark, sf_dir):
+    """A PostgreSQL dump through the classifier: columns to fields, names that fall back, contacts in the wrong column."""
+    c = t(spark, sf_dir, "customer")
+    k = F.col("c_custkey").cast("long")
+    mail, phone = F.concat(F.lit("u"), k.cast("string"), F.lit("@example.com")), F.concat(F.lit("1555"), F.lpad(k.cast("string"), 7, "0"))
+    # by turns: both in place, only a phone where the mail belongs, a phone and a copy of it, a mail where the phone belongs
+    first = F.when(k % 4 == 0, mail).when(k % 4 == 3, F.lit("\\N")).otherwise(phone)
+    second = F.when(k % 4 == 0, phone).when(k % 4 == 1, F.lit("---")).when(k % 4 == 2, phone).otherwise(mail)
+    body = c.select((k % 3).cast("string").alias("source"), (k + 10).alias("line_no"), F.concat_ws("\t", k.cast("string"), "c_name", first, second, "c_mktsegment").alias("text"))
+    frame = [(1, "-- PostgreSQL database dump"), (2, "SET x = 1;"), (3, "COPY public.users (id, full_name, user_email, msisdn, segment) FROM stdin;"), (1 << 40, "\\."), ((1 << 40) + 1, "done")]
+    heads = spark.createDataFrame([(str(s), n, x) for s in range(3) for n, x in frame], "source string, line_no long, text string")
+    spec = FieldSpec(["user_name", "full_name", "user_email", "msisdn"])
+    f = F.col("fields")
+    got = cl.classify_dump(heads.unionByName(body), spec).where("template_id = 'pg-copy'")
+    return got.select(F.get_json_object(f["meta"], "$.id").cast("long").alias("k"), f["user_name"].alias("name"), f["user_email"].alias("email"), f["msisdn"].alias("phone"), F.get_json_object(f["meta"], "$.segment").alias("segment"))
+
+
+@query("SELECT c_custkey AS k, c_custkey % 5 = 0 AS failed FROM customer")
+def statement_errors(spark, sf_dir):
+    """INSERT statements, some without tuples: these come back with an error; comments between quotes stay."""
+    c = t(spark, sf_dir, "customer")
+    k = F.col("c_custkey").cast("long")
+    parts = [F.concat(F.lit("INSERT INTO `c` (k, note) VALUES "), F.when(k % 5 == 0, F.concat(F.lit("broken "), k.cast("string"), F.lit(";"))).otherwise(F.concat(F.lit("("), k.cast("string"), F.lit(",'it''s"))))]
+    parts += [F.when(k % 5 == 0, F.lit("-- a comment; don't read it")).otherwise(F.lit("-- no comment;")), F.when(k % 5 == 0, F.lit("")).otherwise(F.lit("');"))]
+    each = F.posexplode(F.array(*parts))
+    body = c.select((k % 4).cast("string").alias("source"), k.alias("k"), each.alias("i", "text")).select("source", (F.col("k") * 3 + F.col("i") + 1).alias("line_no"), (F.col("k") * 1000 + F.col("i")).alias("byte_offset"), "text")
+    got = dumps.mysql_all(body)
+    ok = F.get_json_object("text", "$.note") == "it's -- no comment; "
+    return got.select(F.when(F.col("error").isNull(), F.get_json_object("text", "$.k").cast("long")).otherwise(F.floor(F.col("byte_offset") / 1000)).cast("long").alias("k"), (F.col("error").isNotNull() | ~F.coalesce(ok, F.lit(False))).alias("failed"))
+
+
+@query("""
+SELECT c_custkey AS k, c_custkey % 7 < 4 AS denied FROM customer""")
+def denied_labels(spark, sf_dir):
+    c = t(spark, sf_dir, "customer")
+    label = F.element_at(F.array(*map(F.lit, ("Passport No", "ssn", "date-of-birth", "employer_name", "tinted", "Dobson", "inner join"))), (c.c_custkey % 7 + 1).cast("int"))
+    return c.select(F.col("c_custkey").alias("k"), detect.denied(F.concat(label, F.lit(" "), F.col("c_custkey").cast("string"))).alias("denied"))
+
+
+@query("SELECT event_id AS k, '{broken ' || event_id || ' ' || event_type AS meta FROM events")
+def raw_objects(spark, sf_dir):
+    """What looks like an object but can't be read is kept whole in meta."""
+    e = t(spark, sf_dir, "events")
+    line = F.concat(F.lit("{broken "), e.event_id.cast("string"), F.lit(" "), "event_type")
+    spec = FieldSpec(["email", "meta"])
+    got = cl.classify(as_lines(e, e.event_id % 8, line, e.event_id), spec).where("template_id = 'json-raw-meta'")
+    return cl.wide(got, spec).select((F.col("line_no") - 1).alias("k"), "meta")
+
+
+@query("""
+SELECT sha256('j:f:' || (s_suppkey * 10) || ':' || (s_suppkey + 1)) AS dlq_id, s_suppkey + 1 AS line_no, 'just words ' || s_name AS raw_bytes, 'uncertain' AS failure_class, 0 AS attempts, 'pending' AS status
+FROM supplier""")
+def dead_letter_rows(spark, sf_dir):
+    s = t(spark, sf_dir, "supplier")
+    ls = as_lines(s, F.lit("f"), F.concat(F.lit("just words "), "s_name"), s.s_suppkey).withColumns({"byte_offset": ((F.col("line_no") - 1) * 10).cast("long"), "byte_length": F.length("text")})
+    now = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    got = cl.dead_letters(cl.classify(ls, FieldSpec(["email"]), layout=cl.no_layout(spark)), "j", now)
+    return got.select("dlq_id", "line_no", "raw_bytes", "failure_class", "attempts", "status")
+
+
+@query("SELECT c_custkey AS k, split_part(c_name, '#', 1) || ' ' || c_mktsegment AS name FROM customer")
+def composite_names(spark, sf_dir):
+    """A field that the source has in parts."""
+    c = t(spark, sf_dir, "customer")
+    line = F.to_json(F.struct(F.col("c_custkey").alias("k"), F.split("c_name", "#")[0].alias("first_name"), F.col("c_mktsegment").alias("last_name")))
+    spec = FieldSpec(["k", "name"])
+    got = cl.wide(cl.classify(as_lines(c, c.c_custkey % 8, line, c.c_custkey), spec, layout=cl.no_layout(spark)).where("verdict = 'parsed'"), spec)
+    return got.select(F.col("k").cast("long").alias("k"), "name")
+
+
+@query("""
+SELECT kind, count(*) AS n FROM (SELECT CASE doc_id % 4 WHEN 0 THEN 'json' WHEN 1 THEN 'mysql' WHEN 2 THEN 'postgres' END AS kind FROM documents) GROUP BY kind""")
+def sniffed_kinds(spark, sf_dir):
+    """The kind of a file by its head, before a document's text."""
+    d = t(spark, sf_dir, "documents")
+    head = F.element_at(F.array(*map(F.lit, (' [{"a": 1}', "-- MySQL dump 10\n", "--\n-- PostgreSQL database dump\n", "email,name\n"))), (d.doc_id % 4 + 1).cast("int"))
+    return d.groupBy(dumps.kind(F.concat(head, F.coalesce("text", F.lit("")))).alias("kind")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT c_custkey AS k, c_custkey % 3 = 0 AS whole FROM customer")
+def whole_documents(spark, sf_dir):
+    """One JSON document, or several in lines."""
+    c = t(spark, sf_dir, "customer")
+    one = F.to_json(F.struct("c_custkey", "c_name"))
+    text = F.when(c.c_custkey % 3 == 0, F.concat(F.lit("[\n"), one, F.lit(",\n"), one, F.lit("\n]\n"))).when(c.c_custkey % 3 == 1, F.concat(one, F.lit("\n"), one)).otherwise(F.concat(F.lit("["), one))
+    return c.select(F.col("c_custkey").alias("k"), jsons.is_whole(text).alias("whole"))
 
 
 # -- sources ----------------------------------------------------------------------------------------------------------
@@ -519,19 +610,26 @@ def json_explode(spark, sf_dir):
     return r.groupBy(F.col("o_custkey").alias("k")).agg(F.count("*").alias("n"), F.sum(F.get_json_object("record", "$.o_orderkey").cast("long")).alias("keys"))
 
 
-@query("SELECT doc_id, count(*) AS n, sum(length(rtrim(line, chr(13))))::BIGINT AS chars FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL) GROUP BY doc_id")
+@query("SELECT doc_id, count(*) AS n, sum(length(rtrim(line, chr(13))))::BIGINT AS chars FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents) GROUP BY doc_id")
 def text_lines(spark, sf_dir):
-    ls = lines.explode_text(t(spark, sf_dir, "documents").where("text IS NOT NULL"), "doc_id", "text")
+    ls = lines.explode_text(t(spark, sf_dir, "documents"), "doc_id", "text")
     return ls.groupBy(F.col("source").cast("long").alias("doc_id")).agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
 
 
-@query("SELECT doc_id, len(string_split(rtrim(text, chr(10)), chr(10))) AS n, strlen(text) AS bytes FROM documents WHERE length(rtrim(text, chr(10))) > 0 AND NOT contains(text, chr(13)) AND text = rtrim(text, chr(10))")
+@query("""
+WITH d AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN replace(text, chr(10), chr(13) || chr(10)) WHEN 1 THEN text || chr(10) ELSE text END AS x FROM documents),
+line AS (SELECT doc_id, x, string_split(x, chr(10)) AS ls FROM d WHERE x <> '')
+SELECT doc_id, len(ls) - CASE WHEN ends_with(x, chr(10)) THEN 1 ELSE 0 END AS n, strlen(x) AS bytes,
+       sha256(array_to_string(list_transform(CASE WHEN ends_with(x, chr(10)) THEN ls[1:len(ls) - 1] ELSE ls END, lambda l, i:
+         CASE WHEN ends_with(l, chr(13)) AND (i < len(ls) OR ends_with(x, chr(10))) THEN l[1:length(l) - 1] ELSE l END), '|')) AS sha
+FROM line""")
 def byte_lines(spark, sf_dir):
-    """Lines of binary files with offsets: their lengths add up to the file."""
-    d = t(spark, sf_dir, "documents").where((F.length("text") > 0) & ~F.contains("text", F.lit("\r")) & ~F.col("text").rlike("\\n$"))
-    files = d.select(F.col("doc_id").cast("string").alias("path"), F.encode("text", "UTF-8").alias("content"))
-    ls = lines.from_binary(files, "utf-8")
-    return ls.groupBy(F.col("source").cast("long").alias("doc_id")).agg(F.count("*").alias("n"), F.sum("byte_length").alias("bytes"))
+    """Lines of binary files with offsets, with CRLF ends and with a last line end too: their lengths add up to the file, their texts are its lines."""
+    x = F.when(F.col("doc_id") % 3 == 0, F.replace("text", F.lit("\n"), F.lit("\r\n"))).when(F.col("doc_id") % 3 == 1, F.concat("text", F.lit("\n"))).otherwise(F.col("text"))
+    files = t(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.encode(x, "UTF-8").alias("content"))
+    ls = lines.from_binary(files, "utf-8").groupBy(F.col("source").cast("long").alias("doc_id"))
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("line_no", "text"))), lambda r: r["text"])
+    return ls.agg(F.count("*").alias("n"), F.sum("byte_length").alias("bytes"), F.sha2(F.array_join(parts, "|"), 256).alias("sha"))
 
 
 @query("SELECT kind, count(*) AS n FROM (SELECT CASE doc_id % 4 WHEN 0 THEN 'zip' WHEN 1 THEN 'gz' WHEN 2 THEN 'rar' END AS kind FROM documents) GROUP BY kind")
@@ -655,9 +753,9 @@ def load_queues(spark, sf_dir):
 @query("""
 SELECT doc_id, count(*) FILTER (regexp_full_match(w, '[A-Za-z0-9._%+=\\-]+@[A-Za-z0-9.\\-]+\\.[A-Za-z]{2,}')) AS emails,
   count(*) FILTER (NOT contains(w, '@') AND length(regexp_replace(w, '[^0-9]', '', 'g')) BETWEEN 10 AND 15) AS phones
-FROM (SELECT doc_id, unnest(string_split_regex(text, '[ \\n\\r\\t\\f]+')) AS w FROM documents WHERE text IS NOT NULL) GROUP BY doc_id""")
+FROM (SELECT doc_id, unnest(string_split_regex(coalesce(text, ''), '[ \\n\\r\\t\\f]+')) AS w FROM documents) GROUP BY doc_id""")
 def validators(spark, sf_dir):
-    w = t(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", F.explode(F.split("text", "[ \\n\\r\\t\\f]+")).alias("w"))
+    w = t(spark, sf_dir, "documents").select("doc_id", F.explode(F.split(F.coalesce("text", F.lit("")), "[ \\n\\r\\t\\f]+")).alias("w"))
     return w.groupBy("doc_id").agg(F.count_if(is_email(F.col("w"))).alias("emails"), F.count_if(is_phone(F.col("w"))).alias("phones"))
 
 
