@@ -6,29 +6,48 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def dense_index(df: DataFrame, by: list[str], order: str, out: str, width: int = 100_000) -> DataFrame:
-    """A dense index from 0 within `by`, in order of a number that starts near 1.
+WIDTH = 100_000
 
-    No task holds a whole group: rows are numbered within stretches of `width` of the order, and the rows of the
-    stretches before are added; only counts per stretch are summed up in order.
-    """
-    part = df.withColumn("_stretch", F.floor(F.col(order) / width))
-    counts = part.groupBy(*by, "_stretch").agg(F.count("*").alias("_n"))
-    before = counts.withColumn("_before", F.sum("_n").over(Window.partitionBy(*by).orderBy("_stretch")) - F.col("_n")).drop("_n")
-    own = F.row_number().over(Window.partitionBy(*by, "_stretch").orderBy(order))
-    return part.withColumn("_own", own).join(before, [*by, "_stretch"]).withColumn(out, F.col("_before") + F.col("_own") - 1).drop("_stretch", "_own", "_before")
 
+def running(df: DataFrame, by: list[str], order: str, sums: dict[str, Column] | None = None, lasts: dict[str, Column] | None = None, width: int = WIDTH) -> DataFrame:
+    """Adds to each row, within `by` and in order of a number that starts near 1: sums of all values up to it, and the last values at or
+    before it that aren't null.
 
-def fill_line_numbers(df: DataFrame, by: list[str], order: str, line: str = "_line_no") -> DataFrame:
+    No task holds a whole group: this is done within stretches of `width` of the order, and what the stretches before give, one row a
+    stretch, is added. Rows of one order number are in no stated order among themselves.
+    """
+    sums, lasts = sums or {}, lasts or {}
+    values = {f"_v_{k}": v for k, v in {**sums, **lasts}.items()}
+    part = df.withColumns({**values, "_stretch": F.floor(F.col(order) / width)})
+    last_of = lambda k: F.max_by(f"_v_{k}", F.when(F.col(f"_v_{k}").isNotNull(), F.col(order)))
+    ends = part.groupBy(*by, "_stretch").agg(F.count("*").alias("_n"), *[F.sum(f"_v_{k}").alias(f"_b_{k}") for k in sums], *[last_of(k).alias(f"_b_{k}") for k in lasts])
+    past = Window.partitionBy(*by).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    before = ends.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)], F.col("_stretch").alias("_at"), *[F.coalesce(F.sum(f"_b_{k}").over(past), F.lit(0)).alias(f"_b_{k}") for k in sums], *[F.last(f"_b_{k}", ignorenulls=True).over(past).alias(f"_b_{k}") for k in lasts])
+    own = Window.partitionBy(*by, "_stretch").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    part = part.withColumns({**{f"_o_{k}": F.coalesce(F.sum(f"_v_{k}").over(own), F.lit(0)) for k in sums}, **{f"_o_{k}": F.last(f"_v_{k}", ignorenulls=True).over(own) for k in lasts}})
+    on = part["_stretch"].eqNullSafe(before["_at"])
+    for i, c in enumerate(by):
+        on &= part[c].eqNullSafe(before[f"_k{i}"])
+    kept = [c for c in df.columns if c not in sums and c not in lasts]
+    return part.join(before, on).select(*kept, *[(F.col(f"_o_{k}") + F.col(f"_b_{k}")).alias(k) for k in sums], *[F.coalesce(f"_o_{k}", f"_b_{k}").alias(k) for k in lasts])
+
+
+def dense_index(df: DataFrame, by: list[str], order: str, out: str, width: int = WIDTH) -> DataFrame:
+    """A dense index from 0 within `by`, in order of a number that starts near 1; no task holds a whole group."""
+    got = running(df, by, order, sums={out: F.lit(1).cast("long")}, width=width)
+    return got.withColumn(out, F.col(out) - 1)
+
+
+def fill_line_numbers(df: DataFrame, by: list[str], order: str, line: str = "_line_no", width: int = WIDTH) -> DataFrame:
     """Line numbers that are 0 or null become the row's place in order."""
-    w = Window.partitionBy(*by).orderBy(order)
-    return df.withColumn(line, F.coalesce(F.nullif(F.col(line), F.lit(0)), F.row_number().over(w)).cast("long"))
+    got = running(df, by, order, sums={"_place": F.lit(1).cast("long")}, width=width)
+    return got.withColumn(line, F.coalesce(F.nullif(F.col(line), F.lit(0)), F.col("_place")).cast("long")).drop("_place")
 
 
-def newline_lines(df: DataFrame, by: list[str], offset: str, newlines: str, out: str = "line_no") -> DataFrame:
+def newline_lines(df: DataFrame, by: list[str], offset: str, newlines: str, out: str = "line_no", width: int = WIDTH) -> DataFrame:
     """From the number of line ends in each stretch of bytes: the line at which a stretch starts."""
-    w = Window.partitionBy(*by).orderBy(offset).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn(out, (F.coalesce(F.sum(newlines).over(w), F.lit(0)) + 1).cast("long"))
+    got = running(df, by, offset, sums={"_ends": F.col(newlines)}, width=width)
+    return got.withColumn(out, (F.col("_ends") - F.coalesce(newlines, F.lit(0)) + 1).cast("long")).drop("_ends")
 
 
 def recent(df: DataFrame, by: list[str], order: list[str], value: str, n: int = 3, out: str = "recent") -> DataFrame:
@@ -42,18 +61,11 @@ def latest(df: DataFrame, by: list[str], order: str) -> DataFrame:
     return df.groupBy(*by).agg(F.max_by(F.struct(*rest), order).alias("_r")).select(*by, "_r.*")
 
 
-def mode_flag(starts: Column, ends: Column, by: list[str], order: str) -> Column:
-    """Whether a row lies within a block: after the last start, and no end since."""
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return F.coalesce(F.last(F.when(starts, True).when(ends, False), ignorenulls=True).over(w), F.lit(False))
-
-
-def block_id(starts: Column, by: list[str], order: str) -> Column:
-    """The number of starts up to a row."""
-    return F.sum(F.when(starts, 1).otherwise(0)).over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+def in_block(starts: Column, ends: Column) -> Column:
+    """A value for `running`'s lasts: whether a block is open behind this row."""
+    return F.when(starts, True).when(ends, False)
 
 
-def layout_epoch(lines: DataFrame, headers: DataFrame, by: list[str], order: str, layout_id: str = "layout_id") -> DataFrame:
+def layout_epoch(lines: DataFrame, headers: DataFrame, by: list[str], order: str, layout_id: str = "layout_id", width: int = WIDTH) -> DataFrame:
     """Lines with the id of the last header line at or before them."""
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return lines.join(headers, [*by, order], "left").withColumn(layout_id, F.last(layout_id, ignorenulls=True).over(w))
+    return running(lines.join(headers, [*by, order], "left"), by, order, lasts={layout_id: F.col(layout_id)}, width=width)

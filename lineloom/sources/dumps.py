@@ -5,11 +5,11 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.mapping import dump, load
-from ..operators.windows import block_id, mode_flag
+from ..operators.windows import in_block, running
 from ..ship import ship
 
 MYSQL_HEAD = r"(?i)MYSQL DUMP|^\s*(CREATE TABLE|INSERT INTO)"
@@ -103,19 +103,19 @@ def mysql_rows(lines: DataFrame) -> DataFrame:
 def mysql_all(lines: DataFrame) -> DataFrame:
     """(source, byte_offset, line_no, table, text, error): a row per tuple; an INSERT that can't be read gives itself and an error.
 
-    A statement ends with a line that ends with ; outside of quotes. Blank lines and comments count only between quotes. Statements are
-    numbered in order within a file and put together; a file's dump is as sequential as its writing.
+    A statement ends with a line that ends with ; outside of quotes. Blank lines and comments count only between quotes. Quotes and
+    statements are counted along each file by stretches, so no task holds a dump; a task holds a statement.
     """
     ship(lines.sparkSession)
     blank = F.col("text").rlike(r"^\s*(--|/\*|#)") | (F.trim("text") == "")
     bare = F.regexp_replace("text", r"\\.", "")
     quotes = F.when(blank, 0).otherwise(F.length(bare) - F.length(F.replace(bare, F.lit("'"), F.lit(""))))
-    own = lines.withColumns({"_blank": blank, "_quotes": F.sum(quotes).over(_in_order().rowsBetween(Window.unboundedPreceding, 0)), "_own": quotes})
+    own = running(lines.withColumn("_blank", blank), ["source"], "line_no", sums={"_quotes": quotes.cast("long")})
     own = own.where(~F.col("_blank") | (F.col("_quotes") % 2 == 1))
-    ends = F.rtrim("text").endswith(";") & (F.col("_quotes") % 2 == 0)
-    before = F.coalesce(F.lag(ends).over(_in_order()), F.lit(True))
-    own = own.withColumn("_new", before)
-    own = own.withColumn("statement", block_id(F.col("_new"), ["source"], "line_no"))
+    ends = (F.rtrim("text").endswith(";") & (F.col("_quotes") % 2 == 0)).cast("long")
+    # a statement's number is that of the ends before it
+    own = running(own.withColumn("_end", ends), ["source"], "line_no", sums={"statement": F.col("_end")})
+    own = own.withColumn("statement", F.col("statement") - F.col("_end"))
     whole = own.groupBy("source", "statement").agg(F.min("byte_offset").alias("byte_offset"), F.min("line_no").alias("line_no"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "text"))), lambda x: x["text"]), " ").alias("sql"))
     name = F.regexp_extract("sql", r"(?i)^\s*(?:CREATE TABLE(?:\s+IF NOT EXISTS)?|INSERT\s+(?:IGNORE\s+)?INTO)\s+[`\"]?([^`\"\s(]+)", 1)
     whole = whole.withColumn("table", name)
@@ -140,10 +140,6 @@ def mysql_all(lines: DataFrame) -> DataFrame:
     return inserts.mapInArrow(run, "source string, byte_offset long, line_no long, table string, text string, error string")
 
 
-def _in_order():
-    return Window.partitionBy("source").orderBy("line_no")
-
-
 def copy_value(c: Column) -> Column:
     """A cell of a COPY block: \\N is null; escapes are undone in the order \\\\, \\n, \\t, \\r."""
     s = c
@@ -155,7 +151,7 @@ def copy_value(c: Column) -> Column:
 def copy_rows(lines: DataFrame) -> DataFrame:
     """Native: (source, line_no, table, columns, cells, fields) of the rows within COPY blocks."""
     start, stop = F.col("text").rlike(COPY), F.col("text") == "\\."
-    flagged = lines.withColumns({"_in": mode_flag(start, stop, ["source"], "line_no"), "_head": F.last(F.when(start, F.col("text")), ignorenulls=True).over(_in_order())})
+    flagged = running(lines, ["source"], "line_no", lasts={"_in": in_block(start, stop), "_head": F.when(start, F.col("text"))})
     rows = flagged.where(F.col("_in") & ~start & ~stop)
     cols = F.transform(F.split(F.regexp_extract("_head", COPY, 2), ","), lambda c: F.replace(F.trim(c), F.lit('"'), F.lit("")))
     rows = rows.withColumns({"table": F.regexp_extract("_head", COPY, 1), "columns": cols, "cells": F.transform(F.split("text", "\t", -1), copy_value)})
@@ -187,8 +183,8 @@ def dump_stage(lines: DataFrame) -> DataFrame:
     t = F.col("text")
     begin = t.rlike("^\\s*-- PostgreSQL database dump")
     start, stop = t.rlike(COPY), t.rlike(r"^\s*\\\.\s*$")
-    flagged = lines.withColumns({"_dump": F.max(begin).over(_in_order().rowsBetween(Window.unboundedPreceding, 0)), "_in": mode_flag(start, stop, ["source"], "line_no"), "copy_head": F.last(F.when(start, t), ignorenulls=True).over(_in_order())})
-    stage = F.when(~F.col("_dump"), F.lit(None)).when(begin, "pg-dump-start").when(start, "pg-copy-start").when(stop, "pg-copy-end").when(F.col("_in"), "pg-copy").otherwise("pg-sql-junk")
+    flagged = running(lines, ["source"], "line_no", lasts={"_dump": F.when(begin, True), "_in": in_block(start, stop), "copy_head": F.when(start, t)})
+    stage = F.when(F.col("_dump").isNull(), F.lit(None)).when(begin, "pg-dump-start").when(start, "pg-copy-start").when(stop, "pg-copy-end").when(F.col("_in"), "pg-copy").otherwise("pg-sql-junk")
     return flagged.withColumn("stage", stage).drop("_dump", "_in")
 
 

@@ -102,3 +102,23 @@ def test_denied_labels():
     assert all(map(denied, ["SNILS", "Passport No", "national-id", "ssn", "DOB", "Date of birth", "employer_name", "ИНН"]))
     assert not any(map(denied, ["email", "tinted", "Dobson", "inner", "name"]))
     assert guessed_map({"name": [0, 1], "email": 2, "x": 3, "phone": [1]}, ["name", "passport", "mail"], ["name", "email", "phone"]) == {"name": [0], "email": [2]}
+
+
+def test_running_values_cross_stretches(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from lineloom.operators import windows
+
+    g = random.Random(4)
+    rows = [(s, o, g.choice([None, 1, 2, 5]), g.choice([None, None, "a", "b"])) for s in ("x", "y", None) for o in sorted(g.sample(range(1, 400), 120))]
+    df = spark.createDataFrame(rows, "s string, o long, n long, v string")
+    got = {(r.s, r.o): (r.total, r.last, r.i) for r in windows.dense_index(windows.running(df, ["s"], "o", {"total": F.col("n")}, {"last": F.col("v")}, width=16), ["s"], "o", "i", width=7).collect()}
+    for s in ("x", "y", None):
+        total, last = 0, None
+        for i, (_, o, n, v) in enumerate(r for r in rows if r[0] == s):
+            total, last = total + (n or 0), v or last
+            assert got[s, o] == (total, last, i)
+    a, b = (sorted(map(tuple, dumps.mysql_all(spark.createDataFrame([("m", i * 60_000 + 1, i * 100, x) for i, x in enumerate(MYSQL.splitlines())][:n], "source string, line_no long, byte_offset long, text string")).drop("line_no").collect()), key=repr) for n in (100, 99))
+    assert a == b and len(a) == 4
