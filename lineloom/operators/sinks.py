@@ -12,6 +12,8 @@ from ..spec import META
 
 ROWS_PER_FILE = 50_000
 MERGE_MOST = 64 << 20
+#: Loads of up to so many jobs name them, so that other jobs' parts aren't read.
+MOST_JOBS = 1000
 RUBBISH_COLUMNS = ("line_no", "byte_offset", "byte_length", "raw_bytes", "source", "failure_class", "error", "matched_template_id", "dlq_id")
 
 
@@ -63,19 +65,31 @@ def compact(spark: SparkSession, path: str, target: str, size: int | None = None
 
 
 def new_rows(incoming: DataFrame, existing: DataFrame | None, key: tuple[str, ...] = ("_job_id", "_byte_offset", "_record_index")) -> DataFrame:
-    """Rows whose key isn't loaded yet, one for each key: a load may be repeated."""
+    """Rows whose key isn't loaded yet, one for each key: a load may be repeated. Nulls in a key are equal."""
     one = incoming.dropDuplicates(list(key))
-    return one if existing is None else one.join(existing.select(*key), list(key), "left_anti")
+    if existing is None:
+        return one
+    there = existing.select(*[F.col(k).alias(f"_have_{k}") for k in key])
+    on = F.lit(True)
+    for k in key:
+        on &= one[k].eqNullSafe(there[f"_have_{k}"])
+    return one.join(there, on, "left_anti")
 
 
 def load(records: DataFrame, table: str, fields: str = "fields") -> None:
-    """Appends to a table what isn't there yet; columns that the table lacks are left out."""
+    """Appends to a table what isn't there yet; columns that the table lacks are left out. The table is parted by job, and only the parts
+    of the jobs that are loaded are looked at."""
     spark = records.sparkSession
     if not spark.catalog.tableExists(table):
-        records.write.saveAsTable(table)
+        new_rows(records, None).write.partitionBy("_job_id").saveAsTable(table)
         return
     there = spark.table(table)
-    new_rows(records, there).select(*[c for c in there.columns if c in records.columns]).write.mode("append").saveAsTable(table)
+    own = [r[0] for r in records.select("_job_id").distinct().limit(MOST_JOBS + 1).collect()]
+    if len(own) <= MOST_JOBS:
+        there = there.where(F.col("_job_id").isin([j for j in own if j is not None]) | F.col("_job_id").isNull())
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    rows = new_rows(records, there).select(*[c for c in there.columns if c in records.columns]).write.mode("append")
+    (rows.partitionBy(*parts) if parts else rows).saveAsTable(table)
 
 
 def as_variant(records: DataFrame, fields: str = "fields") -> DataFrame:

@@ -51,8 +51,8 @@ def _read(stream, packed: int, before: int = 0) -> bytes:
     return b"".join(out)
 
 
-def entries(raw: bytes, name: str = "", depth: int = 0) -> Iterator[tuple[str, bytes]]:
-    """(path within the archive, content) of all files, those of nested archives too."""
+def entries(raw: bytes, name: str = "", depth: int = 0) -> Iterator[tuple[str, bytes | Exception]]:
+    """(path within the archive, content) of all files, those of nested archives too, one by one; for what can't be read, why."""
     k = kind_of(raw[:512])
     if k is None:
         yield name, raw
@@ -61,7 +61,21 @@ def entries(raw: bytes, name: str = "", depth: int = 0) -> Iterator[tuple[str, b
         raise Bomb(f"archives within archives, {depth} deep")
     if k in ("7z", "rar"):
         raise NotImplementedError(f"{k} archives are not supported")
-    found: list[tuple[str, bytes]] = []
+    for n, content in _opened(raw, name, k):
+        if isinstance(content, Exception):
+            yield n, content
+            continue
+        try:
+            for inner, c in entries(content, n, depth + 1):
+                yield (inner if inner == n else f"{n}/{inner}"), c
+        except Bomb:
+            raise
+        except Exception as why:  # an archive within that can't be read costs itself only
+            yield n, why
+
+
+def _opened(raw: bytes, name: str, k: str) -> Iterator[tuple[str, bytes | Exception]]:
+    """The entries one by one; an entry that can't be read gives why, and the others go on."""
     total = 0
     if k == "zip":
         with zipfile.ZipFile(io.BytesIO(raw)) as z:
@@ -71,30 +85,50 @@ def entries(raw: bytes, name: str = "", depth: int = 0) -> Iterator[tuple[str, b
                 if e.is_dir():
                     continue
                 if e.flag_bits & 1:
-                    raise PermissionError("encrypted")
-                with z.open(e) as f:
-                    content = _read(f, len(raw), total)
+                    yield e.filename, PermissionError("encrypted")
+                    continue
+                try:
+                    with z.open(e) as f:
+                        content = _read(f, len(raw), total)
+                except (zipfile.BadZipFile, NotImplementedError, EOFError, zlib.error) as why:
+                    yield e.filename, why
+                    continue
                 total += len(content)
-                found.append((e.filename, content))
+                yield e.filename, content
     elif k == "gz":
-        d = zlib.decompressobj(31)
         out, data = [], raw
-        while data and not d.eof:
-            out.append(d.decompress(data, STEP))
-            total += len(out[-1])
-            check_ratio(total, len(raw))
-            data = d.unconsumed_tail
-        found.append((name.removesuffix(".gz"), b"".join(out)))
+        while data[:2] == GZIP:  # members one after the other; what follows the last one is padding
+            d = zlib.decompressobj(31)
+            while data and not d.eof:
+                out.append(d.decompress(data, STEP))
+                total += len(out[-1])
+                check_ratio(total, len(raw))
+                data = d.unconsumed_tail
+            if not d.eof:
+                raise EOFError("a gzip member ends early")
+            data = d.unused_data
+        yield name.removesuffix(".gz"), b"".join(out)
     else:
         with tarfile.open(fileobj=io.BytesIO(raw)) as t:
             for i, e in enumerate(t):
                 if i >= MOST_ENTRIES:
                     raise Bomb("too many entries")
                 if e.isfile():
-                    found.append((e.name, _read(t.extractfile(e), len(raw))))
-    for n, content in found:
-        for inner, c in entries(content, n, depth + 1):
-            yield (inner if inner == n else f"{n}/{inner}"), c
+                    content = _read(t.extractfile(e), len(raw), total)
+                    total += len(content)
+                    yield e.name, content
+
+
+def _error(e: Exception) -> str:
+    return f"password: {e}" if isinstance(e, PermissionError) else f"bomb: {e}" if isinstance(e, Bomb) else f"archive: {type(e).__name__}: {e}"
+
+
+def _rows(path: str, raw: bytes) -> Iterator[tuple]:
+    try:
+        for name, content in entries(raw, path.rpartition("/")[2]):
+            yield (path, name, None, _error(content)) if isinstance(content, Exception) else (path, name, content, None)
+    except Exception as e:  # a broken archive is a row, not a failed job; what was read before stays
+        yield path, None, None, _error(e)
 
 
 def extract(files: DataFrame) -> DataFrame:
@@ -104,17 +138,7 @@ def extract(files: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             for path, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                rows: list[tuple] = []
-                try:
-                    for name, content in entries(raw or b"", path.rpartition("/")[2]):
-                        rows.append((path, name, content, None))
-                except PermissionError as e:
-                    rows = [(path, None, None, f"password: {e}")]
-                except Bomb as e:
-                    rows = [(path, None, None, f"bomb: {e}")]
-                except Exception as e:  # a broken archive is a row, not a failed job
-                    rows = [(path, None, None, f"archive: {type(e).__name__}: {e}")]
-                for r in rows:
+                for r in _rows(path, raw or b""):
                     yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(r, (pa.string(), pa.string(), pa.binary(), pa.string()), strict=True)], names=["archive", "entry", "content", "error"])
 
     return files.select("path", "content").mapInArrow(run, "archive string, entry string, content binary, error string")

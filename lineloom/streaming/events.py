@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.jobs import allowed
+from ..operators.jobs import FOLLOWS, allowed
 from ..ship import ship
 
+#: How long the state of a job that is done is kept.
+FORGET_MS = 24 * 3600 * 1000
 SCHEMA = "event_id string, event_type string, job_id string, source_service string, timestamp timestamp, data string"
 #: The status that an event asks for.
 ASKS = {
@@ -35,6 +37,9 @@ def asked(events: DataFrame) -> DataFrame:
 
 
 def _advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    if state.hasTimedOut:
+        state.remove()
+        return
     status, applied, ignored = state.get if state.exists else ("Created", 0, 0)
     rows = pd.concat(list(frames)).sort_values(["timestamp", "event_id"])
     for new in rows["status"]:
@@ -43,15 +48,19 @@ def _advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> I
         else:
             ignored += 1
     state.update((status, applied, ignored))
+    if not FOLLOWS[status]:  # a job that is done is forgotten some time after its last event
+        last = int(rows["timestamp"].max().timestamp() * 1000)
+        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + FORGET_MS)
     yield pd.DataFrame({"job_id": [key[0]], "status": [status], "applied": [applied], "ignored": [ignored]})
 
 
 def job_states(events: DataFrame, late: str = "10 minutes") -> DataFrame:
-    """The state of each job that has new events, after them."""
+    """The state of each job that has new events, after them. Jobs that are done leave no state behind: it goes FORGET_MS after their last
+    event; nothing may follow a final state, and duplicates of older events are below the watermark by then."""
     ship(events.sparkSession)
     once = asked(events).withWatermark("timestamp", late).dropDuplicatesWithinWatermark(["event_id"])
     shape = "job_id string, status string, applied long, ignored long"
-    return once.groupBy("job_id").applyInPandasWithState(_advance, shape, "status string, applied long, ignored long", "update", GroupStateTimeout.NoTimeout)
+    return once.groupBy("job_id").applyInPandasWithState(_advance, shape, "status string, applied long, ignored long", "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def write_snapshots(states: DataFrame, path: str, checkpoint: str):

@@ -122,3 +122,45 @@ def test_running_values_cross_stretches(spark):
             assert got[s, o] == (total, last, i)
     a, b = (sorted(map(tuple, dumps.mysql_all(spark.createDataFrame([("m", i * 60_000 + 1, i * 100, x) for i, x in enumerate(MYSQL.splitlines())][:n], "source string, line_no long, byte_offset long, text string")).drop("line_no").collect()), key=repr) for n in (100, 99))
     assert a == b and len(a) == 4
+
+
+def test_first_load_and_nulls(spark):
+    from lineloom.operators import sinks
+
+    rows = spark.createDataFrame([("j", 1, 0, "a"), ("j", 1, 0, "a"), ("j", None, 0, "b"), ("k", 2, 0, "c")], "_job_id string, _byte_offset long, _record_index long, fields string")
+    for _ in range(2):
+        sinks.load(rows, "first_load")
+        assert spark.table("first_load").count() == 3
+    assert [r[0] for r in spark.sql("SHOW PARTITIONS first_load").collect()] == ["_job_id=j", "_job_id=k"]
+
+
+def test_state_of_done_jobs_goes():
+    import pandas as pd
+
+    from lineloom.streaming import events
+
+    class State:
+        def __init__(self):
+            self.exists, self.hasTimedOut, self.get, self.at = False, False, None, None
+
+        def update(self, v):
+            self.exists, self.get = True, v
+
+        def remove(self):
+            self.exists = False
+
+        def setTimeoutTimestamp(self, ms):
+            self.at = ms
+
+        def getCurrentWatermarkMs(self):
+            return 5
+
+    def day(n, *statuses):
+        return pd.DataFrame({"timestamp": pd.Timestamp("2024-01-01") + pd.Timedelta(days=n), "event_id": [f"{n}-{i}" for i in range(len(statuses))], "status": statuses})
+
+    s = State()
+    assert list(events._advance(("j",), iter([day(0, "Detecting", "Parsing")]), s))[0].status[0] == "Parsing" and s.at is None
+    assert list(events._advance(("j",), iter([day(1, "Merging Output", "Saving to Database", "Reporting", "Completed")]), s))[0].status[0] == "Completed"
+    assert s.at == pd.Timestamp("2024-01-03").value // 10**6
+    s.hasTimedOut = True
+    assert list(events._advance(("j",), iter([]), s)) == [] and not s.exists

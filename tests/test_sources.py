@@ -141,6 +141,17 @@ def test_archives(spark):
     assert {r.entry for r in got if r.archive == "z"} == {"a.txt", "x.gz/x", "d/t.tar/t.txt"}
 
 
+def test_entries_that_cannot_be_read(spark):
+    z = bytearray(_zip({"a.txt": b"A" * 50, "b.txt": b"B" * 50, "c.gz": b"\x1f\x8bnot", "d.txt": b"D"}))
+    at = z.index(b"b.txt") + 5
+    z[at : at + 4] = bytes(x ^ 255 for x in z[at : at + 4])
+    got = {r.entry: (bytes(r.content) if r.content is not None else None, (r.error or "").split(":")[0]) for r in archives.extract(spark.createDataFrame([("z", bytes(z))], "path string, content binary")).collect()}
+    assert got == {"a.txt": (b"A" * 50, ""), "b.txt": (None, "archive"), "c.gz": (None, "archive"), "d.txt": (b"D", "")}
+    assert list(archives.entries(gzip.compress(b"one ") + gzip.compress(b"two") + b"\0" * 9, "x.gz")) == [("x", b"one two")]
+    with pytest.raises(EOFError):
+        list(archives.entries(gzip.compress(b"one")[:-9], "x.gz"))
+
+
 def test_urls():
     assert urls.check_url("http://93.184.216.34/x") is None
     for u, why in (("ftp://x", "scheme"), ("http://u:p@example.com", "credentials"), ("http://127.0.0.1", "private"), ("http://[::1]/", "private"), ("http://localhost", "host"), ("http://10.0.0.1", "private"), ("http://[::ffff:10.0.0.1]/", "private")):
