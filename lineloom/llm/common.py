@@ -93,6 +93,15 @@ def buckets(df: DataFrame, each: int) -> int:
     return int(min(1 << 22, max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), plan_bytes(df) // each + 1)))
 
 
+def tasks(df: DataFrame, each: int = 32 << 20) -> int:
+    """Into how many tasks to deal df, so that one reads about `each` bytes of its files; at least the session's number of them.
+
+    Of what isn't read from files, and of products of joins, Catalyst knows no size but states a huge one: that gives the session's number.
+    """
+    least, size = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), plan_bytes(df)
+    return least if size >= 1 << 50 else int(min(1 << 17, max(least, size // each + 1)))
+
+
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """A string column as UTF-8; null is empty."""
     return [x or b"" for x in batch.column(name).cast(pa.large_binary() if pa.types.is_large_string(batch.schema.field(name).type) else pa.binary()).to_pylist()]

@@ -11,7 +11,7 @@ with a smaller owner cover what goes.
 
 Numbers travel packed: a task holds `FLUSH` anchors, groups them, settles what it can by itself, and sends per hash
 one document's entries, so a passage in a third of all rows costs one entry a flush, not one a row. A reducer's group is a bucket
-of a size that plan_bytes sets. Texts are moved once (the exchange by doc_id is reused).
+of a size that plan_bytes sets, and so is the number of tasks. Texts are moved once (the exchange by doc_id is reused).
 
 Null texts have no words. A document with a null doc_id is kept whole and judges none. Rows that share a doc_id are
 not smaller than one another; each is judged by its own text. Texts under 13 words are kept. An empty table gives an
@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import buckets, mix, pieces, runs, table, texts, tune
+from .common import buckets, mix, pieces, runs, table, tasks, texts, tune
 from .words import deltas, hash64, hash128, packed, unpacked, windows
 
 LENGTH, PERIOD, COVER = 13, 7, (0, 1, 3)
@@ -229,13 +229,19 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", with_text:
     """doc_id, n_words, n_removed, kept_sha256 and, if asked, kept_text of each row."""
     tune(df.sparkSession)
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    n = buckets(docs, 10 << 20)
-    anchors = docs.mapInArrow(_anchors(n), OUT).groupBy("bucket").applyInArrow(_meet_anchors(n), OUT)
-    places = anchors.groupBy("bucket").applyInArrow(_gather("<i4"), PLACES)
-    near = docs.join(places.hint("shuffle_hash"), "doc_id", "left").select("doc_id", F.when(F.col("body").isNotNull(), F.col("text")).alias("text"), "body")
-    found = near.mapInArrow(_extend(n), OUT).groupBy("bucket").applyInArrow(_meet_windows(n), OUT)
-    gone = found.groupBy("bucket").applyInArrow(_gather("<i4", "<i4"), PLACES)
-    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "body").mapInArrow(lambda batches: _keep(batches, with_text), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    n, parts = buckets(docs, 10 << 20), tasks(docs)
+
+    def by_bucket(rows: DataFrame):
+        return rows.repartition(parts, "bucket").groupBy("bucket")  # one exchange, into tasks whose number grows with the input
+
+    anchors = by_bucket(docs.mapInArrow(_anchors(n), OUT)).applyInArrow(_meet_anchors(n), OUT)
+    places = by_bucket(anchors).applyInArrow(_gather("<i4"), PLACES)
+    # the places of a task's documents, at most about as large as their texts, are its hash table
+    dealt = docs.repartition(parts, "doc_id")
+    near = dealt.join(places.repartition(parts, "doc_id").hint("shuffle_hash"), "doc_id", "left").select("doc_id", F.when(F.col("body").isNotNull(), F.col("text")).alias("text"), "body")
+    found = by_bucket(near.mapInArrow(_extend(n), OUT)).applyInArrow(_meet_windows(n), OUT)
+    gone = by_bucket(found).applyInArrow(_gather("<i4", "<i4"), PLACES)
+    return dealt.join(gone.repartition(parts, "doc_id").hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "body").mapInArrow(lambda batches: _keep(batches, with_text), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
