@@ -92,19 +92,19 @@ def shards(df: DataFrame, root: Node, doc_id: str = "doc_id", text: str = "text"
 
 
 def slots(placed: DataFrame, doc_id: str = "doc_id", each: int = 8 << 20) -> DataFrame:
-    """Numbers the rows of each shard. placed is read twice and must not change between."""
+    """Numbers the rows of each shard. placed is a written table with _row, a number of each row: ids that repeat are dealt out by it."""
     n = buckets(placed, each)
-    part = placed.withColumn("_part", F.pmod(F.xxhash64(F.col(doc_id), F.lit("slot")), F.lit(n)))
+    part = placed.withColumn("_part", F.pmod(F.xxhash64("_row", F.lit("slot")), F.lit(n)))
     counts = part.groupBy("shard", "_part").agg(F.count("*").alias("_n"))
     before = counts.select("shard", "_part", (F.sum("_n").over(Window.partitionBy("shard").orderBy("_part")) - F.col("_n")).alias("_before"))
-    own = F.row_number().over(Window.partitionBy("shard", "_part").orderBy(doc_id, "text_crc32"))
-    return part.withColumn("_own", own).join(before, ["shard", "_part"]).withColumn("slot", (F.col("_before") + F.col("_own") - 1).cast("long")).drop("_part", "_own", "_before")
+    own = F.row_number().over(Window.partitionBy("shard", "_part").orderBy(doc_id, "text_crc32", "_row"))
+    return part.withColumn("_own", own).join(before, ["shard", "_part"]).withColumn("slot", (F.col("_before") + F.col("_own") - 1).cast("long")).drop("_part", "_own", "_before", "_row")
 
 
 def assign(df: DataFrame, root: Node | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document, without its text: what sharding decides. Join it by doc_id, or use shards() to keep texts."""
     columns = [F.col(doc_id).alias("doc_id"), F.col(text).alias("text")]
-    placed = cut(shards(df.select(*columns), root or tree()).drop("text"), "shards")
+    placed = cut(shards(df.select(*columns), root or tree()).drop("text").withColumn("_row", F.monotonically_increasing_id()), "shards")
     return slots(placed).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
