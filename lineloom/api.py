@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from .functions.encoding import detect as detect_encoding
 from .operators import classify as cl
 from .operators import detect as dt_ops
+from .operators import headers as hd
 from .operators import jobs, sinks, stats
+from .operators import registry as rg
 from .operators.templates import Teacher, Template, learn
 from .ship import ship
 from .sources import archives, dumps, jsons, lines
@@ -62,8 +64,9 @@ def sources(spark: SparkSession, path: str, large: bool = True) -> DataFrame:
 
 
 def detect(spark: SparkSession, path: str) -> DataFrame:
-    """Per file: encoding, width of rows, fingerprint, kind of dump and the labels of a header, from the head of the file."""
-    files = sources(spark, path).where("error IS NULL").select("source", F.substring("content", 1, 1 << 20).alias("head"), F.length("content").cast("long").alias("size"))
+    """Per file: encoding, width of rows, fingerprint, kind of dump and labels, from its head; keys of objects come from probes too."""
+    found = sources(spark, path).where("error IS NULL")
+    files = found.select("source", F.substring("content", 1, 1 << 20).alias("head"), F.length("content").cast("long").alias("size"))
 
     ship(spark)
 
@@ -72,12 +75,20 @@ def detect(spark: SparkSession, path: str) -> DataFrame:
         return detect_encoding(bytes(head or b""))
 
     ls = lines.from_binary(files.select(F.col("source").alias("path"), F.col("head").alias("content")))
-    first = ls.where("line_no = 1").select("source", F.col("text").alias("first"), dt_ops.fingerprint(F.col("text")).alias("fingerprint"), dt_ops.header_labels(F.col("text")).alias("headers"))
+    first = ls.where("line_no = 1").select("source", F.col("text").alias("first"), dt_ops.fingerprint(F.col("text")).alias("fingerprint"))
     width = dt_ops.row_width(ls, ["source"]).withColumn("window", dt_ops.window_size(F.col("avg_bytes"), F.col("max_bytes")))
-    out = files.select("source", "size", encoding("head").alias("encoding"), dumps.kind(F.decode("head", "ISO-8859-1")).alias("dump")).join(first, "source", "left").join(width, "source", "left")
+    text = F.make_valid_utf8(F.substring("head", 1, 1 << 16).cast("string"))
+    beyond = hd.probe_lines(found, F.lit(dt_ops.MIN_WINDOW)).where("byte_offset > 0").select("source", ((1 << 40) + F.col("byte_offset")).alias("line_no"), "text")
+    labels = hd.source_headers(files.select("source", text.alias("head")), ls.select("source", "line_no", "text").unionByName(beyond)).withColumnRenamed("origin", "headers_from")
+    out = files.select("source", "size", encoding("head").alias("encoding"), dumps.kind(F.decode("head", "ISO-8859-1")).alias("dump")).join(first, "source", "left").join(labels, "source", "left").join(width, "source", "left")
     return out.withColumn("probes", dt_ops.probe_offsets(F.col("size"), F.coalesce("window", F.lit(dt_ops.MIN_WINDOW)).cast("long")))
 
 
+def structures(spark: SparkSession, path: str, registry: DataFrame | None = None, window: int = dt_ops.MIN_WINDOW) -> DataFrame:
+    """The structures that probes of each file show, and the template that is known for each."""
+    return hd.probed_structures(sources(spark, path).where("error IS NULL"), F.lit(window), registry)
+
+
 @dataclass
 class Parsed:
     """The verdicts of a job's lines, and its tables."""
@@ -131,8 +142,9 @@ def judged(spark: SparkSession, path: str, spec: FieldSpec, templates: list[Temp
     return stored(out.unionByName(failed), "verdicts"), none if layout is None else layout
 
 
-def parse(spark: SparkSession, path: str, spec: FieldSpec, job_id: str, now: dt.datetime, templates: list[Template] = (), teacher: Teacher | None = None, budget: int = 10, headers: list[str] | None = None, encoding: str | None = None) -> Parsed:
-    """All lines of a path, judged. With a teacher, what stays uncertain is asked about, within a budget, and judged again.
+def parse(spark: SparkSession, path: str, spec: FieldSpec, job_id: str, now: dt.datetime, templates: list[Template] = (), teacher: Teacher | None = None, budget: int = 10, headers: list[str] | None = None, encoding: str | None = None, registry: DataFrame | None = None) -> Parsed:
+    """All lines of a path, judged. What stays uncertain is judged by the registry's templates for lines of its structure; with a
+    teacher, what is left is asked about, within a budget, and judged again.
 
     Verdicts are written once, and all tables come from what is written.
     """
@@ -140,8 +152,11 @@ def parse(spark: SparkSession, path: str, spec: FieldSpec, job_id: str, now: dt.
         spec = replace(spec, column_map=guessed_map(spec.column_map, headers, spec.fields))
     done, layout = judged(spark, path, spec, templates, headers, encoding)
     known = list(templates)
+    open_ = (F.col("verdict") == "uncertain") & (F.col("failure_class") == "uncertain")
+    if registry is not None:
+        again = done.where(open_).select("source", "line_no", "byte_offset", "byte_length", "text")
+        done = stored(done.where(~F.coalesce(open_, F.lit(False))).unionByName(rg.by_fingerprint(again, registry, spec)), "verdicts")
     if teacher:
-        open_ = (F.col("verdict") == "uncertain") & (F.col("failure_class") == "uncertain")
         if new := learn(done.where(open_), spec, teacher, budget):
             known += new
             again = done.where(open_).select("source", "line_no", "byte_offset", "byte_length", "text")
@@ -160,8 +175,8 @@ def parse_json(spark: SparkSession, path: str, spec: FieldSpec) -> DataFrame:
     return cl.classify(r, spec, layout=cl.no_layout(spark))
 
 
-def finalize(spark: SparkSession, path: str, target: str) -> int:
-    return sinks.compact(spark, path, target)
+def finalize(spark: SparkSession, path: str, target: str, by_template: bool = False) -> int:
+    return sinks.compact_groups(spark, path, target) if by_template else sinks.compact(spark, path, target)
 
 
 def load(records: DataFrame, table: str) -> None:

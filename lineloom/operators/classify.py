@@ -104,7 +104,7 @@ def layouts(lines: DataFrame, spec: FieldSpec, source: str = "source") -> DataFr
     return lines.where("line_no = 1").select(F.col(source).cast("string"), "text").mapInArrow(run, schema)
 
 
-def _with_layout(lines: DataFrame, found: DataFrame, source: str) -> DataFrame:
+def with_known(lines: DataFrame, found: DataFrame, source: str) -> DataFrame:
     """Each line with its source's layout; few layouts are sent around, else both sides are dealt by source and part."""
     some = found.limit(MOST_LAYOUTS + 1).collect()
     if len(some) <= MOST_LAYOUTS:
@@ -144,7 +144,7 @@ def classify(lines: DataFrame, spec: FieldSpec, templates: list[Template] = (),
     else:
         found = layouts(lines, spec, source) if layout is None else layout
     found = found.withColumn("label_keys", F.transform("labels", lambda h: F.regexp_replace(F.lower(h), r"[^\p{L}\p{N}]", "")))
-    gated = _with_layout(lines, found, source).withColumn("_gate", gate(F.col("text")))
+    gated = with_known(lines, found, source).withColumn("_gate", gate(F.col("text")))
     # one look at the line spares most cells the general trim
     split = _split(F.col("text"))
     cells = F.when(F.col("text").rlike(ODD_BLANK), F.transform(split, trim)).otherwise(F.transform(split, lambda c: F.trim(c)))
@@ -172,7 +172,7 @@ def classify(lines: DataFrame, spec: FieldSpec, templates: list[Template] = (),
                     if (lay := seen.get(key)) is None:
                         lay = seen[key] = Layout(labels, delimiter, dict(places or []), in_file)
                 got.append(judge.judge(text or "", lay, no == 1))
-            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in keep], *_verdicts(got)], names=[*keep, *RESULT.fieldNames()])
+            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in keep], *verdict_arrays(got)], names=[*keep, *RESULT.fieldNames()])
 
     rest = gated.where("_route = 'judge'").select(*keep, "labels", "delimiter", "places")
     out.append(rest.mapInArrow(run, T.StructType([*lines.schema.fields, *RESULT.fields])))
@@ -242,13 +242,13 @@ def classify_dump(lines: DataFrame, spec: FieldSpec) -> DataFrame:
                     got.append(judge._row(placed_contacts(row) | {META: dump(rest) if rest else None}, "pg-copy"))
                 except Exception as e:  # one bad row must not lose the others
                     got.append(("uncertain", None, None, f"transform_error: {type(e).__name__}", None))
-            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in keep], *_verdicts(got)], names=[*keep, *RESULT.fieldNames()])
+            yield pa.RecordBatch.from_arrays([*[b.column(n) for n in keep], *verdict_arrays(got)], names=[*keep, *RESULT.fieldNames()])
 
     parsed = rows.mapInArrow(run, T.StructType([*lines.schema.fields, *RESULT.fields]))
     return staged.where("stage != 'pg-copy'").select(*keep, *none).unionByName(parsed)
 
 
-def _verdicts(got: list[tuple]) -> list[pa.Array]:
+def verdict_arrays(got: list[tuple]) -> list[pa.Array]:
     kinds = (pa.string(), pa.string(), pa.int32(), pa.string(), pa.map_(pa.string(), pa.string()))
     v = list(zip(*got, strict=True)) if got else [()] * 5
     return [pa.array(x if k != kinds[4] else [None if y is None else list(y.items()) for y in x], k) for x, k in zip(v, kinds, strict=True)]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import csv_line
@@ -28,16 +28,24 @@ def csv_lines(parsed: DataFrame, fields: list[str], row: str = "fields") -> Data
 
 
 def write_csv(parsed: DataFrame, fields: list[str], path: str, row: str = "fields") -> None:
+    _with_heads(csv_lines(parsed, fields, row), [*dict.fromkeys(f for f in fields if f != META), META], path)
+
+
+def write_rejected(rows: DataFrame, path: str) -> None:
+    """What `rejected` gives as CSV, in files of the same form."""
+    _with_heads(rows.select(csv_line(*[F.col(c).cast("string") for c in RUBBISH_COLUMNS]).alias("value")), list(RUBBISH_COLUMNS), path)
+
+
+def _with_heads(values: DataFrame, names: list[str], path: str) -> None:
     """Files that each start with a byte order mark and a header, with CRLF ends."""
-    ship(parsed.sparkSession)
-    names = [*dict.fromkeys(f for f in fields if f != META), META]
+    ship(values.sparkSession)
     head = "\ufeff" + ",".join(f'"{n.replace(chr(34), chr(34) * 2)}"' if any(c in n for c in '",\r\n') else n for n in names)
 
     def with_head(batches):
         yield pa.RecordBatch.from_arrays([pa.array([head], pa.string())], names=["value"])
         yield from (pa.RecordBatch.from_arrays(b.columns, names=["value"]) for b in batches)  # as nullable as the head
 
-    csv_lines(parsed, fields, row).mapInArrow(with_head, "value string").write.mode("overwrite").option("lineSep", "\r\n").text(path)
+    values.mapInArrow(with_head, "value string").write.mode("overwrite").option("lineSep", "\r\n").text(path)
 
 
 def rejected(rubbish: DataFrame, dead: DataFrame) -> DataFrame:
@@ -64,6 +72,40 @@ def compact(spark: SparkSession, path: str, target: str, size: int | None = None
     return int(n)
 
 
+def group_files(sizes: DataFrame, total: int, group: str = "_template_id") -> DataFrame:
+    """(group, n_files) from rows per group (group, n): its share of all bytes in files of at most about MERGE_MOST."""
+    every = sizes.agg(F.sum("n").alias("_all"))
+    return sizes.join(F.broadcast(every)).select(group, F.greatest(F.lit(1), F.ceil(F.col("n") * F.lit(float(total)) / F.col("_all") / MERGE_MOST)).cast("int").alias("n_files"))
+
+
+def compact_groups(spark: SparkSession, path: str, target: str, group: str = "_template_id", key: tuple[str, ...] = ("_job_id", "_byte_offset", "_record_index")) -> int:
+    """Rewrites small files by group: one file for all if all of them are small, else a folder per group, whose rows are dealt by key to
+    as many files as its bytes need. Gives the number of files that was asked for. The input stays as it is."""
+    total = part_bytes(spark, path)
+    rows = spark.read.parquet(path)
+    if total <= MERGE_MOST:
+        rows.coalesce(1).write.mode("overwrite").parquet(target)
+        return 1
+    plan = group_files(rows.groupBy(group).agg(F.count("*").alias("n")), total, group)
+    n = int(plan.agg(F.sum("n_files")).first()[0])
+    plan = plan.select(F.col(group).alias("_group"), "n_files")
+    dealt = rows.join(plan, F.col(group).eqNullSafe(F.col("_group"))).withColumn("_salt", F.pmod(F.xxhash64(*key), F.col("n_files")))
+    dealt.repartition(n, F.col(group), F.col("_salt")).drop("_group", "n_files", "_salt").write.mode("overwrite").partitionBy(group).parquet(target)
+    return n
+
+
+def recovered(dead: DataFrame, fields: Column, now) -> DataFrame:
+    """Dead letters that were put right by hand, as records: fields (a map) is what each has become. Their part is named recovered."""
+    text = F.to_json(F.map_filter(fields, lambda k, v: ~F.startswith(k, F.lit("_"))), {"ignoreNullFields": "false"})
+    zero = lambda c, kind: F.coalesce(F.col(c).cast(kind), F.lit(0).cast(kind))
+    return dead.select(F.col("job_id").alias("_job_id"), zero("byte_offset", "long").alias("_byte_offset"), zero("byte_length", "int").alias("_byte_length"), F.lit(0).cast("long").alias("_record_index"), zero("line_no", "long").alias("_line_no"), F.lit("unknown").alias("_template_id"), F.lit(1).alias("_template_version"), F.lit("").alias("_checksum"), F.lit(now).cast("timestamp").alias("_parsed_at"), F.lit("recovered").alias("_part_id"), text.alias("fields"))
+
+
+def write_reports(reports: DataFrame, path: str, by: str = "job_id") -> None:
+    """A folder per job with its report as a line of JSON."""
+    reports.select(by, "report").write.mode("overwrite").partitionBy(by).text(path)
+
+
 def new_rows(incoming: DataFrame, existing: DataFrame | None, key: tuple[str, ...] = ("_job_id", "_byte_offset", "_record_index")) -> DataFrame:
     """Rows whose key isn't loaded yet, one for each key: a load may be repeated. Nulls in a key are equal."""
     one = incoming.dropDuplicates(list(key))

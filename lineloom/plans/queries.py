@@ -12,7 +12,8 @@ from ..functions import text as tx
 from ..functions.encoding import recover_mojibake
 from ..functions.validate import CONTROLS, gate, is_email, is_phone, share
 from ..operators import classify as cl
-from ..operators import detect, jobs, sinks, stats, templates, windows
+from ..operators import detect, jobs, metrics, registry, sinks, stats, templates, windows
+from ..operators import headers as hd
 from ..operators.cells import best_delimiter, merged_scheme
 from ..sources import archives, dumps, jsons, lines
 from ..spec import FieldSpec
@@ -278,6 +279,84 @@ def template_cache_join(spark, sf_dir):
     return c.select(detect.line_hash(F.concat(F.lit(" "), "c_name", F.lit(" "))).alias("h")).join(known, "h").groupBy("k").agg(F.count("*").alias("n"))
 
 
+@query("SELECT event_id AS k, CASE WHEN event_type <> 'error' THEN event_type END AS kind, CASE WHEN event_type <> 'error' THEN 2 END::INT AS version FROM events")
+def template_registry(spark, sf_dir):
+    """Lines meet the newest kept template of their structure; lines of other structures stay uncertain."""
+    e = t(spark, sf_dir, "events")
+    text = F.when(e.event_type == "error", F.concat_ws("~", "event_id", "event_type")).otherwise(F.concat_ws(",", F.lit("x"), F.col("user_id").cast("string"), "event_type"))
+    kept = [templates.Template("old", "csv|,|3", "record", 1, {"kind": "index:0"}), templates.Template("new", "csv|,|3", "record", 2, {"kind": "index:2"}), templates.Template("junk", "csv|,|3", "rubbish", 9, signature="event_type", confidence=1.0)]
+    spec = FieldSpec(["kind"])
+    got = registry.by_fingerprint(as_lines(e, F.lit("e"), text, e.event_id), spark.createDataFrame([x.row() for x in kept], templates.SCHEMA), spec)
+    return got.select((F.col("line_no") - 1).alias("k"), F.col("fields")["kind"].alias("kind"), F.col("template_version").alias("version"))
+
+
+@query("""
+SELECT c_custkey AS k, CASE c_custkey % 6 WHEN 0 THEN 'id,full_name' WHEN 1 THEN 'a,n' || c_nationkey || ',z' WHEN 2 THEN 'b,s' || c_nationkey WHEN 3 THEN 'email,t' || c_nationkey WHEN 4 THEN 'first name,mail' END AS headers,
+       CASE c_custkey % 6 WHEN 0 THEN 'copy' WHEN 1 THEN 'json-lines' WHEN 2 THEN 'json-array' WHEN 3 THEN 'create-table' WHEN 4 THEN 'header' END AS origin
+FROM customer""")
+def source_labels(spark, sf_dir):
+    """The labels of files of six kinds; one without any has none."""
+    c = t(spark, sf_dir, "customer")
+    n = F.col("c_nationkey").cast("string")
+    copy = F.concat(F.lit('--\n-- PostgreSQL database dump\nCOPY public.u ("id", full_name) FROM stdin;\n1\t'), "c_name", F.lit("\n\\.\n"))
+    objects = F.concat(F.lit('{"a":1,"n'), n, F.lit('":2}\nnot one\n{"z":[1],"a":2}\n'))
+    array = F.concat(F.lit('[{"b":1},3,\n {"s'), n, F.lit('":2,"b":0}]'))
+    create = F.concat(F.lit("-- MySQL dump 10\nCREATE TABLE `u` (\n  `email` varchar(9),\n  `t"), n, F.lit("` int,\n  PRIMARY KEY (`email`)\n) ENGINE=x;\nINSERT INTO `u` VALUES ('a',1);\n"))
+    header, data = F.concat(F.lit("first name;mail\n"), "c_name", F.lit(";x\n")), F.concat(F.lit("\nhttps://a.b|12345678|"), "c_name", F.lit("\n"))
+    head = F.element_at(F.array(copy, objects, array, create, header, data), (c.c_custkey % 6 + 1).cast("int"))
+    files = c.select(F.col("c_custkey").cast("string").alias("source"), head.alias("head"))
+    got = hd.source_headers(files, lines.explode_text(files, "source", "head"))
+    return got.select(F.col("source").cast("long").alias("k"), F.array_join("headers", ",").alias("headers"), "origin")
+
+
+@query("""
+WITH f AS (SELECT doc_id, 16 * n_chars AS size FROM documents),
+p AS (SELECT DISTINCT doc_id, size, CASE WHEN size <= 1024 THEN 0 ELSE (size - 1024) * i // 4 END AS o FROM f, range(5) r(i))
+SELECT doc_id, CAST(o AS BIGINT) AS byte_offset, CAST((least(o + 1024, size) // 16 * 16 - CASE WHEN o = 0 THEN 0 ELSE (o // 16 + 1) * 16 END) // 16 AS BIGINT) AS n, TRUE AS whole
+FROM p WHERE size > 0""")
+def probe_windows(spark, sf_dir):
+    """Whole lines within the windows of files of n_chars lines of 16 bytes."""
+    d = t(spark, sf_dir, "documents")
+    line = F.concat(F.lpad(d.doc_id.cast("string"), 15, "0"), F.lit("\n"))
+    files = d.select(F.col("doc_id").cast("string").alias("source"), F.encode(F.repeat(line, F.col("n_chars").cast("int")), "UTF-8").alias("content"))
+    got = hd.probe_lines(files, F.lit(1024))
+    return got.groupBy(F.col("source").cast("long").alias("doc_id"), "byte_offset").agg(F.count("*").alias("n"), F.bool_and(F.col("text") == F.lpad("source", 15, "0")).alias("whole"))
+
+
+@query("""
+SELECT source AS kind, fingerprint_count AS n, template_id FROM (
+  SELECT event_type AS source, count(*) AS fingerprint_count, CASE WHEN event_type = 'click' THEN 'kept' END AS template_id FROM events GROUP BY event_type)""")
+def probe_templates(spark, sf_dir):
+    """The structure of files that are one window each, and the template that is known for it."""
+    e = t(spark, sf_dir, "events")
+    line = F.when(e.event_type == "click", F.lit("a,b,c")).otherwise(F.concat_ws(";", F.lit("a"), "event_type"))
+    files = e.groupBy("event_type").agg(F.count("*").alias("n"), F.min(line).alias("line")).select(F.col("event_type").alias("source"), F.encode(F.repeat(F.concat("line", F.lit("\n")), F.col("n").cast("int")), "UTF-8").alias("content"))
+    known = spark.range(1).select(detect.fingerprint(F.lit("x,y,z")).alias("fingerprint"), F.lit("kept").alias("template_id"))
+    return hd.probed_structures(files, F.lit(1 << 30), known).select(F.col("source").alias("kind"), "n", "template_id")
+
+
+@query("SELECT event_type AS _template_id, CAST(greatest(1, ceil(count(*) * 1e9 / (SELECT count(*) FROM events) / 67108864)) AS INT) AS n_files FROM events GROUP BY event_type")
+def group_files(spark, sf_dir):
+    """Files for each template's rows, if all rows come to a billion bytes."""
+    return sinks.group_files(t(spark, sf_dir, "events").groupBy(F.col("event_type").alias("_template_id")).agg(F.count("*").alias("n")), 10**9)
+
+
+@query("""SELECT 'j' || c_nationkey AS _job_id, CAST(c_custkey AS BIGINT) AS _byte_offset, CAST(0 AS BIGINT) AS _record_index, CAST(CASE WHEN c_custkey % 2 = 0 THEN c_custkey ELSE 0 END AS BIGINT) AS _line_no, 'recovered' AS _part_id,
+'{"name":"' || c_name || '","city":null}' AS fields FROM customer""")
+def recovered_rows(spark, sf_dir):
+    """Dead letters that were put right, as records."""
+    c = t(spark, sf_dir, "customer")
+    dead = c.select(F.concat(F.lit("j"), c.c_nationkey.cast("string")).alias("job_id"), F.col("c_custkey").alias("byte_offset"), F.lit(3).alias("byte_length"), F.when(c.c_custkey % 2 == 0, c.c_custkey).alias("line_no"), "c_name")
+    fields = F.create_map(F.lit("name"), F.col("c_name"), F.lit("city"), F.lit(None).cast("string"), F.lit("_inner"), F.lit("x"))
+    return sinks.recovered(dead, fields, "2024-01-01 00:00:00").select("_job_id", "_byte_offset", "_record_index", "_line_no", "_part_id", "fields")
+
+
+@query("SELECT 'cents,event_type=' || event_type || ',parity=' || (user_id % 2) AS key, count(*) AS count, min(CAST(round(value * 100) AS BIGINT)) AS min, max(CAST(round(value * 100) AS BIGINT)) AS max, avg(CAST(round(value * 100) AS BIGINT)) AS avg FROM events GROUP BY ALL")
+def value_histograms(spark, sf_dir):
+    e = t(spark, sf_dir, "events").select("event_type", (F.col("user_id") % 2).alias("parity"), F.round(F.col("value") * 100).cast("long").alias("cents"))
+    return metrics.histograms(e, "cents", "cents", ["parity", "event_type"])
+
+
 # -- counts, gates, reports -------------------------------------------------------------------------------------------
 
 
