@@ -1,14 +1,16 @@
 """Lines of files with their number, byte offset and byte length.
 
-`read_lines` works on any path that Spark reads, in two passes over Spark's own text splits where offsets matter:
-files are read as binary up to a size, and larger ones by byte ranges through the `lines` data source.
+`read_lines` works on any path that Spark reads: files are read as binary up to a size, larger ones by Spark's own text splits, whose
+lines are counted first so that each split knows where it starts. What must be read in order goes through the `lines` data source.
 """
 
 from __future__ import annotations
 
 import codecs
 import json
+import re
 from collections.abc import Iterable, Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,13 +27,13 @@ WHOLE = 128 << 20
 BOM = b"\xef\xbb\xbf"
 
 
-def split_lines(raw: bytes, start: int = 0, quoted_newlines: int = 0, last: bool = True) -> Iterator[tuple[bytes, int, int]]:
+def split_lines(raw: bytes, start: int = 0, quoted_newlines: int = 0, last: bool = True, most: int | None = None) -> Iterator[tuple[bytes, int, int]]:
     """(line, offset, length with its end) of bytes that start at an offset.
 
     A line ends at \\n; within double quotes it doesn't until `quoted_newlines` line ends have been passed. It is cut at
-    MAX_LINE_BYTES. A final line without an end counts only if `last`.
+    `most` bytes, MAX_LINE_BYTES unless said otherwise. A final line without an end counts only if `last`.
     """
-    at, n = 0, len(raw)
+    at, n, most = 0, len(raw), most or MAX_LINE_BYTES
     while at < n:
         end = raw.find(b"\n", at)
         if quoted_newlines and end >= 0:
@@ -40,10 +42,10 @@ def split_lines(raw: bytes, start: int = 0, quoted_newlines: int = 0, last: bool
                 passed += 1
                 end = raw.find(b"\n", end + 1)
         if end < 0:
-            if not last and n - at <= MAX_LINE_BYTES:
+            if not last and n - at <= most:
                 return
             end = n - 1
-        stop = min(end + 1, at + MAX_LINE_BYTES)
+        stop = min(end + 1, at + most)
         line = raw[at:stop]
         size = len(line)
         if line.endswith(b"\n"):
@@ -102,8 +104,6 @@ def split_tail(text: str, label: str = "Email:") -> list[str]:
     """A last line that holds several records is cut before each label."""
     if text.count(label) < 2:
         return [text]
-    import re
-
     return [x for x in re.split(rf"\s+(?={label}\s)", text) if x.strip()]
 
 
@@ -141,11 +141,88 @@ def read_lines(spark: SparkSession, path: str, encoding: str | None = None, quot
     return small.unionByName(read_large(spark, large, encoding, quoted_newlines))
 
 
+#: Names by which Spark's text reader would undo a compression that lines_of leaves alone.
+CODEC = (".gz", ".bz2", ".lz4", ".snappy", ".zst", ".deflate")
+
+
+def head_of(spark: SparkSession, path: str) -> bytes:
+    """The first bytes of a file on any file system that Spark reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    f = where.getFileSystem(spark._jsc.hadoopConfiguration()).open(where)
+    try:
+        return bytes(f.readNBytes(HEAD))
+    finally:
+        f.close()
+
+
 def read_large(spark: SparkSession, paths: list[str], encoding: str | None = None, quoted_newlines: int = 0) -> DataFrame:
-    """Lines of files, read by byte ranges."""
-    register(spark)
-    found = spark.read.format("lines").option("paths", json.dumps(paths)).option("quoted_newlines", str(quoted_newlines))
-    return numbered((found.option("encoding", encoding) if encoding else found).load())
+    """Lines of large files. Those whose lines can be told anywhere are read by Spark's text splits, UTF-16 and quoted newlines by one
+    task a file, which opens it as a file."""
+    heads = {p: head_of(spark, p) for p in paths}
+    kinds = {p: (encoding or detect(h), h.startswith(BOM)) for p, h in heads.items()}
+    split = [p for p, (name, _) in kinds.items() if not quoted_newlines and not name.startswith("utf-16") and not p.lower().endswith(CODEC)]
+    found = [by_splits(spark, {p: kinds[p] for p in split})] if split else []
+    if rest := [p for p in paths if p not in set(split)]:
+        register(spark)
+        own = spark.read.format("lines").option("paths", json.dumps(rest)).option("quoted_newlines", str(quoted_newlines))
+        found.append(numbered((own.option("encoding", encoding) if encoding else own).load()))
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
+
+
+def by_splits(spark: SparkSession, kinds: dict[str, tuple[str, bool]]) -> DataFrame:
+    """Lines of files {path: (encoding, whether it has a byte order mark)} by Spark's text splits. They are longer than such a mark.
+
+    A split counts its lines and bytes from its first line on; sums over the splits before it give number and offset. How many lines
+    start up to a place doesn't depend on how a file is split, so a sum is right for any split that starts there; a split that has no
+    sum, as the two passes were split differently, stops the job rather than losing lines.
+    """
+    from pyspark.sql import Window
+
+    ship(spark)
+    place = F.col("_metadata")
+    raw = spark.read.option("lineSep", "\n").text([re.sub(r"([*?{}\[\]\\])", r"\\\1", p) for p in kinds]).select(place["file_path"].alias("source"), place["file_size"].alias("size"), place["file_block_start"].alias("range"), F.col("value").cast("binary").alias("raw"))
+    by_path, most = {_plain(p): (p, *k) for p, k in kinds.items()}, MAX_LINE_BYTES
+
+    def run(batches):
+        now, no, at = None, 0, 0
+        for b in batches:
+            out = []
+            for path, size, start, line in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if now != (path, start):
+                    now, no, at = (path, start), 0, 0
+                    own, name, marked = by_path[_plain(unquote(path))]
+                first = start == 0 and at == 0
+                shift = 0 if first else 1  # only the file's start may have a mark, which Spark's reader has taken away
+                for piece, begin, n in split_lines((BOM if first and marked else b"") + line + b"\n", shift, most=most):
+                    no += 1
+                    out.append((own, size, start, no, at + begin - shift, n, decode(piece, name)))
+                at = out[-1][4] + out[-1][5]
+                if len(out) >= 20_000:
+                    yield _cut(out)
+                    out = []
+            if out:
+                yield _cut(out)
+
+    cut = raw.mapInArrow(run, "source string, size long, range long, line_no long, byte_offset long, byte_length int, text string")
+    sums = cut.groupBy("source", "range").agg(F.count("*").alias("_n"), F.max(F.col("byte_offset") + F.col("byte_length")).alias("_bytes"))
+    up_to = Window.partitionBy("source").orderBy("range")
+    before = sums.select("source", "range", (F.sum("_n").over(up_to) - F.col("_n")).alias("_lines"), (F.sum("_bytes").over(up_to) - F.col("_bytes")).alias("_start"))
+    known = F.coalesce("_start", F.raise_error(F.lit("files were split differently in two passes")).cast("long"))
+    out = cut.join(before, ["source", "range"], "left").select("source", "size", (F.col("_lines") + F.col("line_no")).alias("line_no"), (known + F.col("byte_offset")).alias("byte_offset"), "byte_length", "text")
+    # the last line may have no end: it was counted one byte too long
+    whole = out.where(F.col("byte_offset") < F.col("size"))
+    return whole.select("source", "line_no", "byte_offset", F.least("byte_length", F.col("size") - F.col("byte_offset")).cast("int").alias("byte_length"), "text")
+
+
+def _cut(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string())
+    cols = list(zip(*rows, strict=True))
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["source", "size", "range", "line_no", "byte_offset", "byte_length", "text"])
+
+
+def _plain(path: str) -> str:
+    """A path as one form: its scheme is followed by one slash or by several."""
+    return re.sub(r"^(\w+):/+", r"\1:/", path if re.match(r"\w+:/", path) else f"file:{path}")
 
 
 def large_files(files: DataFrame) -> list[str]:

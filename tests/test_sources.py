@@ -2,6 +2,7 @@
 
 import gzip
 import io
+import random
 import tarfile
 import zipfile
 
@@ -77,6 +78,30 @@ def test_large_files_are_read_like_small_ones(spark, tmp_path, monkeypatch):
         assert rows[0] == rows[1] and "\ufffd" not in "".join(r[4] for r in rows[1])
 
 
+@pytest.mark.parametrize("split", [5, 17, 64, 4096])
+def test_text_splits_give_the_same_lines(spark, tmp_path, monkeypatch, split):
+    rng = random.Random(split)
+    made = {"we[i]rd {x} 50%.txt": b"".join(rng.choice([b"a", b"\n", b"\r\n", "é".encode(), b"bcd", b'"']) for _ in range(300)), "a%20b.txt": b"\xef\xbb\xbf\xef\xbb\xbffirst\nlast", "latin.txt": b"caf\xe9,\n" * 9, "ends.txt": b"\n\n\r\n\n", "one.txt": b"no end " * 20}
+    for n in (19, 20, 21, 40):
+        made[f"long{n}.txt"] = b"x" * n
+        made[f"longer{n}.txt"] = b"\xef\xbb\xbf" + b"x" * n + b"\n" + b"y" * n + b"\r\n"
+    monkeypatch.setattr(lines, "MAX_LINE_BYTES", 20)
+    for name, raw in made.items():
+        (tmp_path / name).write_bytes(raw)
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set(f"fs.viewfs.mounttable.store{split}.link./in", f"file://{tmp_path}")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        monkeypatch.setattr(lines, "WHOLE", 0)
+        for root in (str(tmp_path), f"viewfs://store{split}/in"):
+            got = sorted((r.source.rpartition("/")[2], r.line_no, r.byte_offset, r.byte_length, r.text) for r in read_lines(spark, root).collect())
+            assert got == sorted((name, *x) for name, raw in made.items() for x in lines_of(raw))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_all_large_files_are_known(spark):
     files = spark.range(10_050).selectExpr("concat('file:/f', id) AS path", "if(id = 7, 5, shiftleft(1L, 40)) AS length")
     assert len(lines.large_files(files)) == 10_049
