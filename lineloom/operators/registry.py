@@ -17,8 +17,8 @@ from ..functions.text import LITERAL_RUN, literal_run, safe_pattern
 from ..ship import ship
 from ..spec import FieldSpec
 from .classify import RESULT, Judge, verdict_arrays, with_known
-from .detect import quick_fingerprint
-from .templates import Teacher, Template, extract, line_id
+from .detect import line_hash, quick_fingerprint
+from .templates import CONFIDENT, Teacher, Template, extract, line_id
 
 # Delimiters of a template by position, and the teacher's limits.
 DELIMITERS = (",", ";", "\t", "|")
@@ -156,3 +156,14 @@ def by_fingerprint(lines: DataFrame, registry: DataFrame, spec: FieldSpec) -> Da
     taken = met.where("_template IS NOT NULL").select(*keep, "_template").mapInArrow(run, T.StructType([*lines.schema.fields, *RESULT.fields]))
     none = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(open_, RESULT.fields, strict=True)]
     return taken.unionByName(met.where("_template IS NULL").select(*keep, *none))
+
+
+def by_line(lines: DataFrame, registry: DataFrame) -> DataFrame:
+    """Native: lines with template_id and kind of what is kept for just this line, regardless of case and outer blanks; else null.
+
+    The registry's fingerprint is the hash of the line. Rubbish counts above CONFIDENT only; a record template goes before it.
+    """
+    sure = registry.where((F.col("kind") == "record") | (F.col("confidence") > CONFIDENT))
+    order = F.struct("kind", -F.coalesce("version", F.lit(1)), "template_id")
+    known = sure.groupBy("fingerprint").agg(F.min_by(F.struct("template_id", "kind"), order).alias("_kept")).select("fingerprint", "_kept.*")
+    return with_known(lines.withColumn("fingerprint", line_hash(F.col("text"))), known, "fingerprint").drop("fingerprint")

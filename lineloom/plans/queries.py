@@ -5,6 +5,7 @@ Where an operator works on lines, a query first renders a table as lines, so tha
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -228,12 +229,10 @@ def template_best_match(spark, sf_dir):
     return cl.classify(as_lines(n, F.lit("n"), line, n.n_nationkey), FieldSpec(["label", "part"]), ts).where("verdict = 'parsed'").select((F.col("line_no") - 1).cast("int").alias("k"), "template_id")
 
 
-@query("""
-SELECT e.event_id AS k, e.event_type AS best FROM events e""")
+@query("SELECT l_orderkey AS k, l_partkey AS best FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC, l_linenumber, l_partkey) = 1")
 def template_rank(spark, sf_dir):
-    """Native: the best of scored candidates."""
-    e = t(spark, sf_dir, "events")
-    scored = e.select(F.col("event_id").alias("k"), F.explode(F.array(F.struct(F.lit(1.0).alias("score"), F.lit(2).alias("order"), F.lit("other").alias("best")), F.struct(F.lit(1.0).alias("score"), F.lit(1).alias("order"), F.col("event_type").alias("best")), F.struct(F.lit(0.5).alias("score"), F.lit(0).alias("order"), F.lit("low").alias("best")))).alias("x")).select("k", "x.*")
+    """Native: the best of scored candidates, the first of equals."""
+    scored = t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_quantity").alias("score"), F.struct("l_linenumber", "l_partkey").alias("order"), F.col("l_partkey").alias("best"))
     return templates.rank_templates(scored, ["k"], "score", "order").select("k", "best")
 
 
@@ -271,12 +270,15 @@ def template_upsert(spark, sf_dir):
 
 
 @query("""
-SELECT c_custkey AS k, count(*) AS n FROM customer GROUP BY c_custkey""")
+SELECT c_custkey AS k, CASE c_custkey % 4 WHEN 0 THEN 'record' WHEN 1 THEN 'rubbish' END AS kind, CASE c_custkey % 4 WHEN 0 THEN 'r' || c_custkey WHEN 1 THEN 'x' || c_custkey END AS template_id FROM customer""")
 def template_cache_join(spark, sf_dir):
-    """Lines and known templates by the hash of the line."""
+    """Lines and what is kept for just them: a record template before rubbish, rubbish only if it may be trusted."""
     c = t(spark, sf_dir, "customer")
-    known = c.select(detect.line_hash(F.upper("c_name")).alias("h"), F.col("c_custkey").alias("k"))
-    return c.select(detect.line_hash(F.concat(F.lit(" "), "c_name", F.lit(" "))).alias("h")).join(known, "h").groupBy("k").agg(F.count("*").alias("n"))
+    k, turn = F.col("c_custkey").cast("string"), c.c_custkey % 4
+    ls = c.select(F.lit("c").alias("source"), (c.c_custkey + 1).alias("line_no"), F.concat(F.lit(" "), "c_name", F.lit("\t")).alias("text"))
+    row = lambda kind, prefix, sure, when: c.where(when).select(detect.line_hash(F.upper("c_name")).alias("fingerprint"), F.concat(F.lit(prefix), k).alias("template_id"), F.lit(kind).alias("kind"), F.lit(1).alias("version"), F.lit(sure).alias("confidence"))
+    kept = row("record", "r", 1.0, turn == 0).unionByName(row("rubbish", "x", 0.95, turn < 2)).unionByName(row("rubbish", "y", 0.9, turn == 2))
+    return registry.by_line(ls, kept).select((F.col("line_no") - 1).alias("k"), "kind", "template_id")
 
 
 @query("SELECT event_id AS k, CASE WHEN event_type <> 'error' THEN event_type END AS kind, CASE WHEN event_type <> 'error' THEN 2 END::INT AS version FROM events")
@@ -491,9 +493,11 @@ def line_number_fill(spark, sf_dir):
     return windows.fill_line_numbers(o, ["o_custkey"], "o_orderkey").select("o_orderkey", "_line_no")
 
 
-@query("SELECT event_id, 1 + coalesce(sum(user_id) OVER (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS line_no FROM events")
+@query("SELECT doc_id, 1 + coalesce(sum(length(text) - length(replace(text, chr(10), ''))) OVER (PARTITION BY lang ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS line_no FROM documents")
 def newline_prefix(spark, sf_dir):
-    return windows.newline_lines(t(spark, sf_dir, "events"), ["event_type"], "event_id", "user_id").select("event_id", "line_no")
+    """The line at which each text starts, if those of a language stand one after the other in a file."""
+    d = t(spark, sf_dir, "documents").select("doc_id", "lang", (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))).cast("long").alias("ends"))
+    return windows.newline_lines(d, ["lang"], "doc_id", "ends").select("doc_id", "line_no")
 
 
 @query("SELECT user_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id")
@@ -532,11 +536,14 @@ def row_width_window(spark, sf_dir):
     return w.select(F.col("source").cast("long").alias("doc_id"), F.round("avg_bytes").cast("long").alias("avg_bytes"), "max_bytes", detect.window_size(F.col("avg_bytes"), F.col("max_bytes")).alias("win"))
 
 
-@query("SELECT user_id, 'k,event_type,n' AS headers FROM events GROUP BY user_id")
+@query("""
+SELECT user_id, 'k,' || string_agg(label, ',' ORDER BY first_id, place) AS headers FROM (
+  SELECT user_id, label, min(event_id) AS first_id, min(place) AS place FROM (SELECT user_id, event_id, 0 AS place, event_type AS label FROM events UNION ALL SELECT user_id, event_id, 1, 'p' || (event_id % 3) FROM events) GROUP BY user_id, label) GROUP BY user_id""")
 def json_header_union(spark, sf_dir):
-    """Keys of JSON lines, in order of appearance."""
+    """Keys of JSON lines that differ from line to line, in order of appearance."""
     e = t(spark, sf_dir, "events")
-    line = F.concat(F.lit('{"k":1,"event_type":"x"'), F.when(F.col("event_id") % 2 == 0, ',"n":2').otherwise(",\"n\":null"), F.lit("}"))
+    part = F.concat(F.lit("p"), (e.event_id % 3).cast("string"))
+    line = F.format_string('{"k":1,"%s":null,"%s":{"in":2}}', "event_type", part)
     h = detect.header_union(e.select("user_id", "event_id", line.alias("text")), ["event_id"], ["user_id"])
     return h.select("user_id", F.array_join("headers", ",").alias("headers"))
 
@@ -619,6 +626,54 @@ def dead_letter_rows(spark, sf_dir):
     return got.select("dlq_id", "line_no", "raw_bytes", "failure_class", "attempts", "status")
 
 
+@query("SELECT doc_id, entry, strlen(coalesce(text, '')) AS n FROM documents, (VALUES ('a.txt'), ('d/b.gz/b'), ('t.tar/c.txt')) e(entry)")
+def archive_entries(spark, sf_dir):
+    """Texts in zip files, plain, in a gzip file and in a tar file within, come out whole."""
+    import gzip
+    import io
+    import tarfile
+    import zipfile
+
+    def packed(batches):
+        for b in batches:
+            out = []
+            for text in b.column(1).to_pylist():
+                raw, whole, tar = (text or "").encode(), io.BytesIO(), io.BytesIO()
+                with tarfile.open(fileobj=tar, mode="w") as f:
+                    info = tarfile.TarInfo("c.txt")
+                    info.size = len(raw)
+                    f.addfile(info, io.BytesIO(raw))
+                with zipfile.ZipFile(whole, "w") as z:
+                    for name, content in (("a.txt", raw), ("d/b.gz", gzip.compress(raw, 0)), ("t.tar", tar.getvalue())):
+                        z.writestr(name, content)
+                out.append(whole.getvalue())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["path", "content"])
+
+    d = t(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), "text")
+    got = archives.extract(d.mapInArrow(packed, "path string, content binary")).where("error IS NULL")
+    return got.select(F.col("archive").cast("long").alias("doc_id"), "entry", F.length("content").cast("long").alias("n"))
+
+
+@query("SELECT c_custkey AS k, i AS line_no, c_name || ' é ' || i AS text FROM customer, range(1, 4) r(i)")
+def encoded_lines(spark, sf_dir):
+    """Files in four encodings, one of them with a byte order mark, give the same lines."""
+    c = t(spark, sf_dir, "customer")
+    text = F.concat_ws("\r\n", *[F.concat("c_name", F.lit(f" é {i}")) for i in (1, 2, 3)])
+    raw = F.when(c.c_custkey % 4 == 0, F.encode(text, "UTF-8")).when(c.c_custkey % 4 == 1, F.encode(text, "UTF-16")).when(c.c_custkey % 4 == 2, F.encode(text, "UTF-16LE")).otherwise(F.encode(text, "ISO-8859-1"))
+    got = lines.from_binary(c.select(F.col("c_custkey").cast("string").alias("path"), raw.alias("content")))
+    return got.select(F.col("source").cast("long").alias("k"), "line_no", "text")
+
+
+@query("SELECT c_custkey AS k, 'u' || c_custkey || '@example.com' AS email, c_name AS city FROM customer")
+def nested_objects(spark, sf_dir):
+    """Fields that lie deep within objects."""
+    c = t(spark, sf_dir, "customer")
+    line = F.format_string('{"id":%d,"user":{"contact":{"email":"u%d@example.com"},"place":{"city":"%s"}}}', "c_custkey", "c_custkey", "c_name")
+    spec = FieldSpec(["email", "city"])
+    got = cl.classify(as_lines(c, c.c_custkey % 8, line, c.c_custkey), spec, layout=cl.no_layout(spark)).where("template_id = 'json'")
+    return cl.wide(got, spec).select((F.col("line_no") - 1).alias("k"), "email", "city")
+
+
 @query("SELECT c_custkey AS k, split_part(c_name, '#', 1) || ' ' || c_mktsegment AS name FROM customer")
 def composite_names(spark, sf_dir):
     """A field that the source has in parts."""

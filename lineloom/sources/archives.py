@@ -107,7 +107,7 @@ def _opened(raw: bytes, name: str, k: str) -> Iterator[tuple[str, bytes | Except
             if not d.eof:
                 raise EOFError("a gzip member ends early")
             data = d.unused_data
-        yield name.removesuffix(".gz"), b"".join(out)
+        yield name.rpartition("/")[2].removesuffix(".gz"), b"".join(out)
     else:
         with tarfile.open(fileobj=io.BytesIO(raw)) as t:
             for i, e in enumerate(t):
