@@ -674,6 +674,38 @@ def nested_objects(spark, sf_dir):
     return cl.wide(got, spec).select((F.col("line_no") - 1).alias("k"), "email", "city")
 
 
+@query("SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN 'rubbish' ELSE 'parsed' END AS verdict, CASE WHEN c_custkey % 3 = 0 THEN 'binary-field' ELSE 'csv-mapped' END AS template_id FROM customer")
+def binary_cells(spark, sf_dir):
+    """A line with a cell of control characters, few enough for the gate, is rubbish."""
+    c = t(spark, sf_dir, "customer")
+    cell = F.when(c.c_custkey % 3 == 0, F.lit("\x01\x02")).when(c.c_custkey % 3 == 1, F.lit("plain")).otherwise(F.lit(""))
+    ls = with_header(c, c.c_custkey % 4, "id,name,note", F.concat_ws(",", c.c_custkey.cast("string"), F.repeat("c_name", 4), cell), c.c_custkey)
+    got = cl.classify(ls, FieldSpec(["id", "name", "note"])).where("template_id != 'header'")
+    return got.select((F.col("line_no") - 2).alias("k"), "verdict", "template_id")
+
+
+@query("""SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN 'u' || c_custkey || '@example.com' END AS email, CASE WHEN c_custkey % 3 = 1 THEN '+1 555 ' || lpad(c_custkey::VARCHAR, 7, '0') END AS phone, c_name AS name FROM customer""")
+def strong_fields(spark, sf_dir):
+    """E-mail addresses and phone numbers that aren't any become null; the row stays."""
+    c = t(spark, sf_dir, "customer")
+    k = c.c_custkey.cast("string")
+    mail = F.when(c.c_custkey % 3 == 0, F.concat(F.lit("u"), k, F.lit("@example.com"))).otherwise(F.concat(F.lit("at home "), k))
+    phone = F.when(c.c_custkey % 3 == 1, F.concat(F.lit("+1 555 "), F.lpad(k, 7, "0"))).otherwise(F.lit("none"))
+    spec = FieldSpec(["email", "phone", "name"])
+    got = cl.wide(cl.classify(with_header(c, c.c_custkey % 4, "email;phone;name", F.concat_ws(";", mail, phone, "c_name"), c.c_custkey), spec).where("verdict = 'parsed'"), spec)
+    return got.select((F.col("line_no") - 2).alias("k"), "email", "phone", "name")
+
+
+@query("SELECT c_custkey AS k, c_name AS name, CASE WHEN c_custkey % 2 = 0 THEN 'u' || c_custkey || '@example.com' END AS email FROM customer")
+def json_cells(spark, sf_dir):
+    """A field without a place is taken from an object in a cell."""
+    c = t(spark, sf_dir, "customer")
+    cell = F.when(c.c_custkey % 2 == 0, F.format_string('{"email":"u%d@example.com"}', "c_custkey")).otherwise(F.lit("words"))
+    spec = FieldSpec(["name", "email"])
+    got = cl.wide(cl.classify(with_header(c, c.c_custkey % 4, "name;extra", F.concat_ws(";", "c_name", cell), c.c_custkey), spec).where("template_id = 'csv-mapped'"), spec)
+    return got.select((F.col("line_no") - 2).alias("k"), "name", "email")
+
+
 @query("SELECT c_custkey AS k, split_part(c_name, '#', 1) || ' ' || c_mktsegment AS name FROM customer")
 def composite_names(spark, sf_dir):
     """A field that the source has in parts."""
