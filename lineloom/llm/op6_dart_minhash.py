@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import at_groups, cut, hidden, join_groups, mix, pieces, runs, table, texts, tune
+from .common import at_groups, cut, hidden, join_groups, mix, pieces, released, runs, table, texts, tune
 from .words import hash64, windows
 
 SHINGLE, LEAST = 5, 0.8
@@ -192,7 +192,8 @@ def components(nodes: DataFrame, edges: DataFrame, tag: str = "components") -> D
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = links_with(large, down).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").unionAll(down.select("u", F.col("m").alias("v"))).distinct()
         new = cut(small, tag)
-        same = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() == links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        with released(nodes.sparkSession):
+            same = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() == links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         links = new
         if same:
             break
@@ -293,7 +294,8 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
     banded = lead.select(F.col("doc_id").alias("id"), "size", F.explode("bands").alias("key"))
     counted = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     member = cut(banded.join(counted, "key", "left_semi").select("key", "id", "size"), "members")
-    members = member.count()
+    with released(spark):
+        members = member.count()
     nodes = cut(member.select("id").distinct(), "nodes")
     sets = cut(docs.join(nodes, docs["doc_id"] == nodes["id"], "left_semi").mapInArrow(_sets(weighted), "doc_id long, six binary").dropDuplicates(["doc_id"]), "sets")
 
@@ -315,7 +317,7 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = cut(pairs, "star")
-        if not pairs.limit(1).count():
+        if pairs.isEmpty():
             break
         found = verified(pairs)
         tested = pairs if tested is None else tested.unionAll(pairs)
@@ -333,7 +335,7 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
         rest = rest.join(tested, ["a", "b"], "left_anti")
     rest = cut(rest, "rest")
     found = verified(rest).unionAll(cut(_across(marked, mixed.where(F.col("n") > SMALL), sets, least), "across"))
-    if found.limit(1).count():
+    if not found.isEmpty():
         comp = cut(components(nodes, found if links is None else links.unionAll(found)), "comp")
     of_set = reps.join(comp, reps["rep"] == comp["id"], "left").select("same", "copies", F.coalesce("comp", "rep").alias("class"))
     return join_groups(drawn.select("doc_id", "same"), cut(of_set, "classes"), "same", "copies").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id")).alias("class_id"))

@@ -2,8 +2,10 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -20,6 +22,7 @@ from lineloom.llm import op7_sharding as op7
 from lineloom.llm import op8_pii as op8
 from lineloom.llm import op9_quality as op9
 from lineloom.llm import op10_exact_dedup as op10
+from lineloom.llm.common import RELEASE
 
 R = random.Random(7)
 WORDS = ["".join(R.choices("abcdeéß漢", k=R.randint(1, 7))) for _ in range(400)]
@@ -656,3 +659,22 @@ def test_chunks():
     assert b"".join(op10.chunks(b"a" * 50_000)) == b"a" * 50_000
     a = bytes(R.choices(range(256), k=60_000))
     assert len(set(op10.chunks(a)) & set(op10.chunks(b"some bytes before" + a))) > 10
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    # classes writes some fifty tables; what they shuffled would stay on disk for as long as the driver collects no garbage
+    dirs = [str(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def held():
+        return {p.name for d in dirs for p in Path(d).rglob("shuffle_*.data")}
+
+    old, before = spark.conf.get(RELEASE), held()
+    base = text(60)
+    df = spark.createDataFrame([(i, near(base, i % 9)) for i in range(40)], "doc_id long, text string")
+    out = op6.classes(df)
+    for _ in range(20):
+        if not held() - before:
+            break
+        time.sleep(0.2)
+    assert not held() - before and spark.conf.get(RELEASE) == old
+    assert out.count() == 40
