@@ -15,8 +15,9 @@ from .op7_sharding import op7_sharding
 from .op8_pii import op8_pii
 from .op9_quality import op9_quality
 from .op10_exact_dedup import op10_exact_dedup
+from .op11_filter_audit import op11_filter_audit
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_packing, op4_mixing, op5_sentencepiece, op6_dart_minhash, op7_sharding, op8_pii, op9_quality, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_packing, op4_mixing, op5_sentencepiece, op6_dart_minhash, op7_sharding, op8_pii, op9_quality, op10_exact_dedup, op11_filter_audit)}
 
 
 
@@ -92,5 +93,31 @@ WITH low AS (
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
        doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
 FROM low
+""",
+    "op11_filter_audit": r"""
+WITH w AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+said AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+flag AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, map {'A': len(ws) < 50, 'B': 100 * len(list_distinct(ws)) < 65 * len(ws),
+         'C': 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * len(t), 'D': regexp_matches(t, '[#$%&*|]'),
+         'E': coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)} AS f
+  FROM w LEFT JOIN said USING (doc_id)),
+l(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT [a.x, b.x, c.x, d.x, e.x] AS o FROM l a, l b, l c, l d, l e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+step AS (SELECT o, unnest(range(1, 6)) AS step FROM orders),
+each AS (
+  SELECT part, o, step, good, toxic, f[o[step]] AS fails, list_bool_or(list_transform(o[1:step - 1], lambda x: f[x])) AS gone,
+         list_sum(list_transform(o, lambda x: f[x]::INT)) AS n_fails
+  FROM flag, step),
+counted AS (
+  SELECT part, o, step, count(*) FILTER (NOT fails AND NOT coalesce(gone, false)) AS kept, count(*) FILTER (fails AND NOT coalesce(gone, false)) AS removed,
+         count(*) FILTER (fails AND coalesce(gone, false)) AS redundant, count(*) FILTER (fails AND n_fails = 1) AS unique_fails,
+         count(*) FILTER (fails AND NOT coalesce(gone, false) AND good) AS good_lost, count(*) FILTER (fails AND NOT coalesce(gone, false) AND toxic) AS toxic_lost
+  FROM each GROUP BY ALL)
+SELECT part, array_to_string(o, '') AS filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, o[step]))::BIGINT AS shapley
+FROM counted
 """,
 }
