@@ -16,8 +16,9 @@ from .op8_pii import op8_pii
 from .op9_quality import op9_quality
 from .op10_exact_dedup import op10_exact_dedup
 from .op11_filter_audit import op11_filter_audit
+from .op13_conversation_repair import op13_conversation_repair
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_packing, op4_mixing, op5_sentencepiece, op6_dart_minhash, op7_sharding, op8_pii, op9_quality, op10_exact_dedup, op11_filter_audit)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_packing, op4_mixing, op5_sentencepiece, op6_dart_minhash, op7_sharding, op8_pii, op9_quality, op10_exact_dedup, op11_filter_audit, op13_conversation_repair)}
 
 
 
@@ -119,5 +120,49 @@ counted AS (
 SELECT part, array_to_string(o, '') AS filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
        (sum(removed) OVER (PARTITION BY part, o[step]))::BIGINT AS shapley
 FROM counted
+""",
+    "op13_conversation_repair": r"""
+WITH RECURSIVE hit AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_prepend(4294967295, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ord(x)::BIGINT)),
+           lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))), 4294967295) % 20 AS h
+  FROM conversations),
+rows AS (
+  SELECT conv_id, turn, CASE h WHEN 4 THEN 'user' ELSE role END AS role, CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM hit, (VALUES (0), (1)) AS c(c) WHERE h <> 0 AND (c = 0 OR h = 3)),
+placed AS (
+  SELECT *, row_number() OVER w AS i, left(role, 1) AS r, lag(left(role, 1)) OVER w AS before, count(*) OVER (PARTITION BY conv_id) AS n
+  FROM rows WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text))),
+judged AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN i > min(i) OVER (PARTITION BY conv_id, role, text) THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE 'ok' END AS fault FROM placed),
+-- state: '' at the start, else the initial before
+pass(ins, from_q, q, more, c) AS (VALUES ('', '', '', '', 0), ('', 's', 's', '', 0), ('', 'u', 'u', '', 0), ('', 'a', 'a', '', 0),
+  ('I', '', 'u', 'user:' || chr(10), 5), ('I', 's', 'u', 'user:' || chr(10), 5), ('I', 'a', 'u', 'user:' || chr(10), 5), ('I', 'u', 'a', 'assistant:' || chr(10), 5),
+  ('II', '', 'a', 'user:' || chr(10) || 'assistant:' || chr(10), 10), ('II', 's', 'a', 'user:' || chr(10) || 'assistant:' || chr(10), 10),
+  ('II', 'a', 'a', 'user:' || chr(10) || 'assistant:' || chr(10), 10), ('II', 'u', 'u', 'assistant:' || chr(10) || 'user:' || chr(10), 10)),
+path(conv_id, i, q, best) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, '', {'c': 0, 'audit': '', 't': ''} FROM conversations
+  UNION ALL
+  SELECT conv_id, i, q2, min(b) FROM (
+    SELECT p.conv_id, j.i, e.q2, {'c': p.best.c + s.c + e.c, 'audit': p.best.audit || s.ins || e.e, 't': p.best.t || s.more || e.more} AS b
+    FROM path p JOIN judged j ON j.conv_id IS NOT DISTINCT FROM p.conv_id AND j.i = p.i + 1 JOIN pass s ON s.from_q = p.q,
+    LATERAL (SELECT unnest([
+      {'e': 'D', 'c': 2, 'q2': s.q, 'more': '', 'ok': true},
+      {'e': 'K', 'c': CASE fault WHEN 'truncated' THEN 5 ELSE 0 END, 'q2': r, 'more': role || ':' || text || chr(10),
+       'ok': fault NOT IN ('blank', 'duplicate') AND s.q || r IN ('s', 'u', 'su', 'ua', 'au')},
+      {'e': 'R', 'c': CASE fault WHEN 'truncated' THEN 6 ELSE 1 END, 'q2': CASE s.q WHEN 'u' THEN 'a' ELSE 'u' END,
+       'more': CASE s.q WHEN 'u' THEN 'assistant:' ELSE 'user:' END || text || chr(10), 'ok': fault NOT IN ('blank', 'duplicate')}], recursive := true)) AS e
+    WHERE e.ok) GROUP BY conv_id, i, q2),
+done AS (
+  SELECT p.conv_id, min({'c': p.best.c + s.c, 'audit': p.best.audit || s.ins, 't': p.best.t || s.more}) AS b
+  FROM path p JOIN pass s ON s.from_q = p.q LEFT JOIN (SELECT DISTINCT conv_id, n, true AS some FROM judged) k ON k.conv_id IS NOT DISTINCT FROM p.conv_id
+  WHERE p.i = coalesce(k.n, 0) AND s.q IN ('', 'a') GROUP BY p.conv_id),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (i > 1 AND before || r NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id)
+SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, d.b.c::BIGINT AS cost, d.b.audit AS audit, sha256(d.b.t[:-2]) AS repaired_sha256
+FROM done d LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM d.conv_id
 """,
 }
