@@ -16,9 +16,10 @@ from .op8_pii import op8_pii
 from .op9_quality import op9_quality
 from .op10_exact_dedup import op10_exact_dedup
 from .op11_filter_audit import op11_filter_audit
+from .op12_toxicity import op12_toxicity
 from .op13_conversation_repair import op13_conversation_repair
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_packing, op4_mixing, op5_sentencepiece, op6_dart_minhash, op7_sharding, op8_pii, op9_quality, op10_exact_dedup, op11_filter_audit, op13_conversation_repair)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_packing, op4_mixing, op5_sentencepiece, op6_dart_minhash, op7_sharding, op8_pii, op9_quality, op10_exact_dedup, op11_filter_audit, op12_toxicity, op13_conversation_repair)}
 
 
 
