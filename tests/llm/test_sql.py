@@ -11,7 +11,8 @@ SMALL = [q for q in queries.ORACLE]
 @pytest.mark.parametrize("name", SMALL)
 def test_query(name, spark, sf):
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{sf}/documents.parquet'")
+    for t in ("documents", "labels", "conversations"):
+        con.execute(f"create view {t} as select * from '{sf}/{t}.parquet'")
     df = queries.QUERIES[name](spark, sf)
     cols = sorted(df.columns)
     r = con.execute(queries.ORACLE[name])
