@@ -13,14 +13,14 @@ at a coordinate with the probability of their weighted similarity.
 
 Search: documents with equal weighted shingles are one representative (the least doc_id). Signatures are cut into
 BANDS bands of ROWS; a pair of similarity 0.8 misses every band with a probability under 4e-7. Within a band's bucket
-every member is compared to one leader, not to each other; over several rounds leaders differ, verified links are made
-components, and buckets whose members are in one component are done. What is left after the rounds, buckets of texts
-that are not all alike, is compared exactly across components, those of like size only. Every link is verified: as
+every member is compared to its leader, the least doc_id, not to each other; verified links are made components, and
+buckets whose members are in one component are done. What is left, buckets of texts that are not all alike, is compared
+exactly across components, those of like size only: a bucket in one task, or in blocks. Every link is verified: as
 weights are whole numbers, the n-th occurrence of a shingle is an element of its own, and the similarity is that of the
 sets of elements (six bytes of each one's hash).
 
 Hot buckets and documents in many pairs are dealt to many tasks: groups of hot keys are sent to all tasks, and a
-document's set is repeated once for each 64 of its pairs.
+document's set is repeated once for each 64 of its rows. A task holds one leader's set, or the sets of one group.
 
 Null and empty texts have no shingles and are each alone. Equal texts of fewer than five words are one class. Rows
 that share a doc_id are judged as one document with the shingles of the one whose text hashes least. A null doc_id is
@@ -29,6 +29,7 @@ alone with class null. An empty table gives an empty one; other columns aren't r
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from math import log
 
 import numpy as np
@@ -43,8 +44,8 @@ from .words import hash64, windows
 SHINGLE, LEAST = 5, 0.8
 BANDS, ROWS = 28, 4
 K = BANDS * ROWS
-#: Buckets up to SMALL give pairs; larger ones go in blocks of BLOCK members.
-SMALL, BLOCK = 24, 256
+#: Buckets up to SMALL members are compared whole, larger ones in blocks of BLOCK members; HELD bounds the elements of either.
+SMALL, BLOCK, HELD = 2048, 2048, 1 << 20
 #: Poisson(1): the chance of at most so many darts in a cell.
 _TERMS = np.cumsum([1.0, *np.cumprod(1.0 / np.arange(1, 16))]) * np.exp(-1.0)
 U53 = 1.0 / (1 << 53)
@@ -168,80 +169,168 @@ def _wide(six: bytes) -> np.ndarray:
     return x.view("<u8").ravel()
 
 
-def _verify(least: float):
+class _Forest:
+    """Links of a task as trees: only that much is sent on as tells what is linked."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        up, top = self.up, x
+        while (y := up.get(top, top)) != top:
+            top = y
+        while x != top:
+            up[x], x = top, up.get(x, x)
+        return top
+
+    def join(self, x: int, y: int) -> None:
+        x, y = self.root(x), self.root(y)
+        if x != y:
+            self.up[max(x, y)] = min(x, y)
+
+    def sent(self, most: int = 0) -> Iterator[pa.RecordBatch]:
+        """(u, v) of each u whose tree's least member is another, v, once there are more than `most`; then it starts anew."""
+        if len(self.up) > most:
+            u = list(self.up)
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array([self.root(x) for x in u], pa.int64())], names=["u", "v"])
+            self.up = {}
+
+
+#: Nodes of a forest that a task holds.
+TREES = 1 << 20
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    f = _Forest()
+    for b in batches:
+        for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            f.join(u, v)
+        yield from f.sent(TREES)
+    yield from f.sent()
+
+
+def _least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of links sorted by (u, v), v less than u: (u, its least v, false), and (v, that least, true) for each other v."""
+    last, lead = None, 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        u, v = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        new = np.append(last is None or u[0] != last, u[1:] != u[:-1])
+        at = np.where(new, np.arange(len(u)), -1)
+        at = np.maximum.accumulate(at)
+        least = np.where(at < 0, lead, v[at])
+        other = ~new & (v != least)
+        last, lead = u[-1], least[-1]
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(u[new], v[other])), pa.array(np.append(v[new], least[other])), pa.array(np.repeat([False, True], [new.sum(), other.sum()]))], names=["u", "v", "other"])
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(u, comp) of each id in a link (u, v) that isn't the least id it is connected to.
+
+    Tasks contract their links to trees. Then each id keeps its least neighbour, which may have another one in turn, or
+    the id may have more of them: these are links of a smaller graph, treated alike, until none is left. A long list
+    of links of one id is sorted and streamed; a hot component's partition is split by adaptive execution.
+    """
+    spark, kind = links.sparkSession, "u long, v long"
+    tune(spark)
+    levels, edges = [], links.mapInArrow(_forest, kind)
+    while True:
+        step = cut(edges.repartition("u").sortWithinPartitions("u", "v").mapInArrow(_least, f"{kind}, other boolean"), "step")
+        own = step.where("NOT other").select("u", "v")
+        levels.append(own)
+        chained = own.join(own.select(F.col("v").alias("u")).distinct(), "u", "left_semi")
+        edges = cut(chained.unionByName(step.where("other").select("u", "v")).mapInArrow(_forest, kind), "edges")
+        if edges.isEmpty():
+            break
+    comp = levels.pop().withColumnRenamed("v", "comp")
+    for own in reversed(levels):
+        over = comp.select(F.col("u").alias("v"), "comp")
+        comp = own.join(over, "v", "left").select("u", F.coalesce("comp", "v").alias("comp")).unionByName(comp).groupBy("u").agg(F.min("comp").alias("comp"))
+    return cut(comp, "comp")
+
+
+def _led(least: float):
+    """Links of leaders and members. Rows come by group: the leader with its set, then the members with theirs."""
+
     def run(batches):
+        f, x = _Forest(), np.empty(0, np.uint64)
         for b in pieces(batches, 256):
-            ok = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                x, y = _wide(x), _wide(y)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(both >= least * (len(x) + len(y) - both) - 1e-9)
-            keep = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], names=["a", "b"])
+            for lead, doc, six in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                if doc == lead:
+                    x = _wide(six)
+                elif similar(x, _wide(six), least):
+                    f.join(doc, lead)
+            yield from f.sent(TREES)
+        yield from f.sent()
 
     return run
 
 
-def components(nodes: DataFrame, edges: DataFrame, tag: str = "components") -> DataFrame:
-    """(id, comp): the least id reachable over edges (a, b). Links alternate between large and small stars, slim rows only."""
-    links = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), tag)
-    while True:
-        both = links.unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = links_with(both, least).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = links_with(large, down).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").unionAll(down.select("u", F.col("m").alias("v"))).distinct()
-        new = cut(small, tag)
-        with released(nodes.sparkSession):
-            same = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() == links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        links = new
-        if same:
-            break
-    comp = links.groupBy("u").agg(F.min("v").alias("comp"))
-    return nodes.join(comp, nodes["id"] == comp["u"], "left").select("id", F.coalesce("comp", "id").alias("comp"))
-
-
-def _compare(least: float):
-    """Links between the queries and the members of one block, one for each query and component of members."""
-
-    def run(t: pa.Table) -> pa.Table:
-        role, ids, comps, six = (t.column(c).to_pylist() for c in ("role", "id", "comp", "six"))
-        m = [i for i, r in enumerate(role) if r == 0]
-        member = [_wide(six[i]) for i in m]
-        flat = np.concatenate(member) if member else np.empty(0, np.uint64)
-        owner = np.repeat(np.arange(len(m)), [len(x) for x in member])
-        order = np.argsort(flat)
-        flat, owner = flat[order], owner[order]
-        size = np.array([len(x) for x in member])
-        links = set()
-        for q in (i for i, r in enumerate(role) if r == 1):
-            x = _wide(six[q])
-            lo, hi = np.searchsorted(flat, x), np.searchsorted(flat, x, side="right")
-            hit = np.repeat(lo, hi - lo) + np.arange((hi - lo).sum()) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo)
-            both = np.bincount(owner[hit], minlength=len(m))
-            met = set()
-            for k in np.flatnonzero(both >= least * (len(x) + size - both) - 1e-9).tolist():
-                if comps[m[k]] != comps[q] and comps[m[k]] not in met:
-                    met.add(comps[m[k]])
-                    links.add((max(ids[q], ids[m[k]]), min(ids[q], ids[m[k]])))
-        links = sorted(links)
-        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+def similar(x: np.ndarray, y: np.ndarray, least: float) -> bool:
+    if min(len(x), len(y)) < least * max(len(x), len(y)) - 1e-9:
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= least * (len(x) + len(y) - both) - 1e-9
 
-    return run
 
+def _grouped(least: float):
+    """Links between components within groups. Rows (group, role, comp, set) come sorted by group.
 
-def _across(marked: DataFrame, mixed: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """Links of large buckets between a member outside the bucket's main component and any other member.
+    Roles: 0 is compared to all queries, 1 is a query, 2 is both.
+    """
 
-    A task gets BLOCK members and BLOCK of the others, with their sets, and gives only links: no pair is a row. Similar documents'
-    sizes differ by a factor of 1 / least at most, so members are dealt by classes of size, and each meets the others of its class and
-    of the two beside it only.
+    def run(batches):
+        f, name, rows = _Forest(), None, []
+        for b in pieces(batches, 256):
+            for group, role, comp, six in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if group != name:
+                    _compare(rows, f, least)
+                    name, rows = group, []
+                rows.append((role, comp, _wide(six)))
+            yield from f.sent(TREES)
+        _compare(rows, f, least)
+        yield from f.sent()
+
+    return run
+
+
+def _compare(rows: list[tuple], f: _Forest, least: float) -> None:
+    members, queries = [r for r in rows if r[0] != 1], [r for r in rows if r[0] != 0]
+    if len(rows) <= 6:
+        for i, (_, c, x) in enumerate(members):
+            for _, d, y in queries if len(queries) < len(rows) else queries[i + 1 :]:
+                if f.root(c) != f.root(d) and similar(x, y, least):
+                    f.join(c, d)
+        return
+    if not members or not queries:
+        return
+    size = np.array([len(x) for _, _, x in members])
+    flat = np.concatenate([x for _, _, x in members])
+    owner = np.repeat(np.arange(len(members)), size)
+    order = np.argsort(flat)
+    flat, owner = flat[order], owner[order]
+    comps = [c for _, c, _ in members]
+    for _, comp, x in queries:
+        lo, hi = np.searchsorted(flat, x), np.searchsorted(flat, x, side="right")
+        hit = np.repeat(lo, hi - lo) + np.arange((hi - lo).sum()) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo)
+        both = np.bincount(owner[hit], minlength=len(members))
+        for c in {comps[k] for k in np.flatnonzero(both >= least * (len(x) + size - both) - 1e-9).tolist()}:
+            f.join(c, comp)
+
+
+def _dealt(open_: DataFrame, least: float) -> DataFrame:
+    """Groups of large buckets: (name, role, id, comp).
+
+    A member outside the bucket's main component is a query to all others. A group is a block of members and a chunk of queries.
+    Similar documents' sizes differ by a factor of 1 / least at most, so members are dealt by classes of size, and each
+    meets the others of its class and of the two beside it only. open_ has key, id, comp, size and outside.
     """
     ratio = -log(least) + 1e-6  # a little more than the greatest ratio, so that rounding can't part two classes
-    open_ = at_groups(marked, mixed.select("key", "main", "n"), "key", "n")
-    open_ = cut(open_.select("key", "id", "comp", F.floor(F.log(F.col("size").cast("double")) / F.lit(ratio)).cast("int").alias("class"), (F.col("comp") != F.col("main")).alias("outside")), "open")
-    counts = open_.groupBy("key", "class").agg(F.count("*").alias("n"), F.count_if("outside").alias("out"))
-    counts = cut(counts.select("key", "class", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil(F.col("out") / BLOCK).cast("int").alias("chunks")), "counts")
+    open_ = cut(open_.withColumn("class", F.floor(F.log(F.col("size").cast("double")) / F.lit(ratio)).cast("int")), "open")
+    parts = lambda n, size: F.ceil(F.greatest(n / BLOCK, size / HELD)).cast("int")
+    counts = open_.groupBy("key", "class").agg(F.count("*").alias("n"), F.sum("size").alias("s"), F.count_if("outside").alias("out"), F.coalesce(F.sum(F.when(F.col("outside"), F.col("size"))), F.lit(0)).alias("so"))
+    counts = cut(counts.select("key", "class", "n", parts(F.col("n"), F.col("s")).alias("blocks"), parts(F.col("out"), F.col("so")).alias("chunks")), "counts")
     other = counts.select("key", F.col("class").alias("to"), F.struct("class", "blocks", "chunks").alias("other"))
     beside = counts.withColumn("to", F.explode(F.array(*[F.col("class") + k for k in (-1, 0, 1)]))).join(other, ["key", "to"])
     # a row per bucket and class, with the at most three classes that it meets
@@ -256,32 +345,30 @@ def _across(marked: DataFrame, mixed: DataFrame, sets: DataFrame, least: float)
     spot = F.xxhash64("id")
     block, chunk = F.pmod(spot, F.col("blocks")).cast("int"), F.pmod(spot, F.greatest("chunks", F.lit(1))).cast("int")
     members = met.select("key", "id", "comp", F.lit(0).alias("role"), F.col("class").alias("mc"), block.alias("block"), all_of("chunks").alias("x"))
-    members = members.select("key", "id", "comp", "role", "mc", "block", F.col("x.class").alias("qc"), F.col("x.k").alias("chunk"))
+    members = members.select(F.struct("key", "mc", "block", F.col("x.class").alias("qc"), F.col("x.k").alias("chunk")).alias("g"), "role", "id", "comp")
     queries = met.where("outside").select("key", "id", "comp", F.lit(1).alias("role"), F.col("class").alias("qc"), chunk.alias("chunk"), all_of("blocks").alias("x"))
-    queries = queries.select("key", "id", "comp", "role", F.col("x.class").alias("mc"), F.col("x.k").alias("block"), "qc", "chunk")
-    dealt = cut(members.unionByName(queries), "dealt")
-    full = attached(cut(in_parts(dealt, "id", F.xxhash64("key", "block", "chunk"), "part"), "parts"), "id", "part", sets, "six")
-    return full.groupBy("key", "mc", "block", "qc", "chunk").applyInArrow(_compare(least), "a long, b long")
-
-
-def in_parts(rows: DataFrame, of: str, spread: Column, part: str) -> DataFrame:
-    """rows, a written table, with the part of the rows of one document `of` that each belongs to: 64 rows or so are a part."""
-    many = rows.groupBy(of).agg(F.count("*").alias("_n")).where("_n > 64").withColumn("_parts", F.ceil(F.col("_n") / 64).cast("int"))
-    return at_groups(rows, many, of, "_n", "left").withColumn(part, F.pmod(spread, F.coalesce("_parts", F.lit(1))).cast("int")).drop("_n", "_parts")
+    queries = queries.select(F.struct("key", F.col("x.class").alias("mc"), F.col("x.k").alias("block"), "qc", "chunk").alias("g"), "role", "id", "comp")
+    return members.unionByName(queries).select(_name("g"), "role", "id", "comp")
 
 
-def attached(rows: DataFrame, of: str, part: str, sets: DataFrame, name: str) -> DataFrame:
-    """rows with the set of the document `of`, which is repeated once for each of its parts."""
-    parts = rows.select(F.col(of).alias("_of"), F.col(part).alias("_part")).distinct()
-    wide = parts.join(sets, parts["_of"] == sets["doc_id"]).select("_of", "_part", F.col("six").alias(name))
-    return rows.join(wide, (rows[of] == wide["_of"]) & (rows[part] == wide["_part"])).drop("_of", "_part", part)
+def _name(*of: str) -> Column:
+    """128 bits that name a group."""
+    return F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(seed), *of)), 16, "0") for seed in (1, 2)]).alias("name")
 
 
-def links_with(links: DataFrame, least: DataFrame) -> DataFrame:
-    return links.join(least, "u")
+def with_sets(rows: DataFrame, sets: DataFrame, of: str) -> DataFrame:
+    """rows with the set `six` of the document `of`. One with many rows is dealt to many tasks, and its set is repeated for each 64 of them."""
+    spread = rows.withColumn("_part", F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 20)).cast("int"))
+    many = cut(rows.groupBy(of).agg(F.count("*").alias("n")).where("n > 64").select(F.col(of).alias("doc_id"), F.ceil(F.col("n") / 64).cast("int").alias("parts")), "many")
+    if many.isEmpty():
+        return rows.join(sets, rows[of] == sets["doc_id"]).drop("doc_id")
+    parts = many.withColumnRenamed("doc_id", "_of")
+    dealt = spread.join(parts, spread[of] == parts["_of"], "left").withColumn("_part", F.pmod("_part", F.coalesce("parts", F.lit(1)))).drop("_of", "parts")
+    wide = sets.join(many, "doc_id", "left").select("doc_id", "six", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("_at"))
+    return dealt.join(wide, (dealt[of] == wide["doc_id"]) & (dealt["_part"] == wide["_at"])).drop("doc_id", "_part", "_at")
 
 
-def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = LEAST, rounds: int = 3, weighted: bool = True) -> DataFrame:
+def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = LEAST, rounds: int = 1, weighted: bool = True) -> DataFrame:
     """doc_id, class_id of each row."""
     spark = df.sparkSession
     tune(spark)
@@ -291,53 +378,57 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
     reps = one.groupBy("same").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     # rows of one doc_id with different texts stand for the one document
     lead = one.select("doc_id", "same", "size", "bands").join(reps, [one["same"] == reps["same"], one["doc_id"] == reps["rep"]], "left_semi").dropDuplicates(["doc_id"])
-    banded = lead.select(F.col("doc_id").alias("id"), "size", F.explode("bands").alias("key"))
-    counted = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    member = cut(banded.join(counted, "key", "left_semi").select("key", "id", "size"), "members")
+    banded = cut(lead.select(F.col("doc_id").alias("id"), "size", "bands"), "leads").select("id", "size", F.explode("bands").alias("key"))
+    # of buckets with the same members, by number, sum and parity of 64-bit hashes, one is enough
+    counted = banded.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64(F.lit(7), "id")).alias("x")).where("n > 1")
+    counted = counted.groupBy("n", "s", "x").agg(F.min("key").alias("key"))
+    member = cut(banded.join(counted.select("key"), "key", "left_semi").select("key", "id", "size"), "members")
     with released(spark):
         members = member.count()
-    nodes = cut(member.select("id").distinct(), "nodes")
+    nodes = member.select("id").distinct()
     sets = cut(docs.join(nodes, docs["doc_id"] == nodes["id"], "left_semi").mapInArrow(_sets(weighted), "doc_id long, six binary").dropDuplicates(["doc_id"]), "sets")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that are similar."""
-        dealt = cut(in_parts(pairs, "a", F.xxhash64("b"), "pa"), "pairs")
-        dealt = cut(in_parts(dealt, "b", F.xxhash64("a"), "pb"), "pairs")
-        full = attached(attached(dealt, "a", "pa", sets, "x"), "b", "pb", sets, "y").select("a", "b", "x", "y")
-        return cut(full.mapInArrow(_verify(least), "a long, b long"), "links")
-
     near = F.least("size", "size2") >= F.lit(least) * F.greatest("size", "size2") - 1e-9
-    links, tested, comp = None, None, nodes.select("id", F.col("id").alias("comp"))
+    links, comp, rest = None, None, member
     for turn in range(rounds):
-        marked = member.join(comp, "id")
+        # every member is compared to its bucket's leader
         rank = F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn))
-        chosen = marked.groupBy("key").agg(F.min_by(F.struct("id", "size", "comp"), rank).alias("l"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("n")).where("c0 != c1")
-        star = at_groups(marked, chosen, "key", "n", total=members).where("comp != l.comp").select("id", F.col("l.id").alias("b"), "size", F.col("l.size").alias("size2")).where(near)
-        pairs = star.select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut(pairs, "star")
-        if pairs.isEmpty():
-            break
-        found = verified(pairs)
-        tested = pairs if tested is None else tested.unionAll(pairs)
-        links = found if links is None else links.unionAll(found)
-        comp = cut(components(nodes, links), "comp")
-    # what is left: links across components within buckets. Small buckets give pairs, large ones are dealt out in blocks
-    marked = member.join(comp, "id")
+        chosen = rest.groupBy("key").agg(F.min_by(F.struct("id", "size"), rank).alias("l"), F.count("*").alias("n")).where("n > 1")
+        rest = cut(at_groups(rest, chosen, "key", "n", total=members).where("id != l.id"), f"star-{turn}")
+        star = rest.select("id", F.col("l.id").alias("lead"), "size", F.col("l.size").alias("size2"), "n").where(near)
+        star = cut(star.groupBy("id", "lead").agg(F.max("n").alias("n")).withColumn("chunk", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK)).cast("int")), "pairs")
+        rest = rest.select("key", "id", "size")
+        sent = star.select("lead", "chunk", "id").unionByName(star.select("lead", "chunk", F.col("lead").alias("id")).distinct())
+        full = with_sets(sent, sets, "id").repartition("lead", "chunk").sortWithinPartitions("lead", "chunk", F.col("id") != F.col("lead"))
+        found = cut(full.select("lead", "id", "six").mapInArrow(_led(least), "u long, v long"), "links")
+        links = found if links is None else links.unionByName(found)
+    if links is not None:
+        comp = components(links)
+    # what is left: links across components within buckets, of any members but the leaders
+    marked = rest.withColumn("comp", F.col("id")) if comp is None else rest.join(comp, rest["id"] == comp["u"], "left").select("key", "id", "size", F.coalesce("comp", "id").alias("comp"))
     marked = cut(marked, "marked")
-    per_comp = marked.groupBy("key", "comp").agg(F.count("*").alias("n"))
-    mixed = cut(per_comp.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("comps"), F.max_by("comp", F.struct("n", "comp")).alias("main")).where("comps > 1 AND n > 2"), "mixed")
-    small = marked.join(mixed.where(F.col("n") <= SMALL).select("key"), "key")
-    other = small.select("key", F.col("id").alias("b"), F.col("size").alias("size2"), F.col("comp").alias("comp2"))
-    rest = small.join(other, "key").where((F.col("id") > F.col("b")) & (F.col("comp") != F.col("comp2")) & near).select(F.col("id").alias("a"), "b").distinct()
-    if tested is not None:
-        rest = rest.join(tested, ["a", "b"], "left_anti")
-    rest = cut(rest, "rest")
-    found = verified(rest).unionAll(cut(_across(marked, mixed.where(F.col("n") > SMALL), sets, least), "across"))
-    if not found.isEmpty():
-        comp = cut(components(nodes, found if links is None else links.unionAll(found)), "comp")
-    of_set = reps.join(comp, reps["rep"] == comp["id"], "left").select("same", "copies", F.coalesce("comp", "rep").alias("class"))
+    per = marked.groupBy("key", "comp").agg(F.count("*").alias("n"), F.sum("size").alias("s"), F.min("size").alias("lo"), F.max("size").alias("hi"))
+    mixed = per.groupBy("key").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("comps"), F.max_by("comp", F.struct("n", "comp")).alias("main"))
+    mixed = cut(mixed.where(F.col("comps") > 1).where((F.col("n") > 2) | (F.col("lo") >= F.lit(least) * F.col("hi") - 1e-9)).select("key", "n", "s", "main"), "mixed")
+    if not mixed.isEmpty():
+        fits = (F.col("n") <= SMALL) & (F.col("s") <= HELD)
+        whole = marked.join(mixed.where(fits).select("key"), "key").select(_name("key"), F.lit(2).alias("role"), "id", "comp")
+        large = mixed.where(~fits)
+        if not large.isEmpty():
+            open_ = at_groups(marked, large, "key", "n", total=members).select("key", "id", "comp", "size", (F.col("comp") != F.col("main")).alias("outside"))
+            whole = whole.unionByName(_dealt(open_, least))
+        dealt = cut(whole, "dealt")
+        full = with_sets(dealt, sets, "id").repartition("name").sortWithinPartitions("name")
+        across = cut(full.select("name", "role", "comp", "six").mapInArrow(_grouped(least), "u long, v long"), "across")
+        over = components(across).select(F.col("u").alias("comp"), F.col("comp").alias("least"))
+        # of each document's component the least one that it is connected to
+        if comp is None:
+            comp = over.select(F.col("comp").alias("u"), F.col("least").alias("comp"))
+        else:
+            comp = comp.join(over, "comp", "left").select("u", F.coalesce("least", "comp").alias("comp")).unionByName(over.select(F.col("comp").alias("u"), F.col("least").alias("comp")))
+            comp = comp.groupBy("u").agg(F.min("comp").alias("comp"))
+    of_set = reps if comp is None else reps.join(comp, reps["rep"] == comp["u"], "left")
+    of_set = of_set.select("same", "copies", (F.col("rep") if comp is None else F.coalesce("comp", "rep")).alias("class"))
     return join_groups(drawn.select("doc_id", "same"), cut(of_set, "classes"), "same", "copies").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id")).alias("class_id"))
 
 
