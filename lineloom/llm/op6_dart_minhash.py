@@ -20,7 +20,7 @@ weights are whole numbers, the n-th occurrence of a shingle is an element of its
 sets of elements (six bytes of each one's hash).
 
 Hot buckets and documents in many pairs are dealt to many tasks: groups of hot keys are sent to all tasks, and a
-document's set is repeated once for each 64 of its rows. A task holds one leader's set, or the sets of one group.
+document's set is repeated once for each 64 of its rows. Ids are sent to all tasks while there are at most SENT. A task holds one leader's set, or the sets of one group.
 
 Null and empty texts have no shingles and are each alone. Equal texts of fewer than five words are one class. Rows
 that share a doc_id are judged as one document with the shingles of the one whose text hashes least. A null doc_id is
@@ -46,6 +46,10 @@ BANDS, ROWS = 28, 4
 K = BANDS * ROWS
 #: Buckets up to SMALL members are compared whole, larger ones in blocks of BLOCK members; HELD bounds the elements of either.
 SMALL, BLOCK, HELD = 2048, 2048, 1 << 20
+#: So many members are compared to a leader in one place.
+LED = 256
+#: So many ids (some 32 MB) are sent to all tasks, so that no text is shuffled; more are joined.
+SENT = 1 << 20
 #: Poisson(1): the chance of at most so many darts in a cell.
 _TERMS = np.cumsum([1.0, *np.cumprod(1.0 / np.arange(1, 16))]) * np.exp(-1.0)
 U53 = 1.0 / (1 << 53)
@@ -385,8 +389,9 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
     member = cut(banded.join(counted.select("key"), "key", "left_semi").select("key", "id", "size"), "members")
     with released(spark):
         members = member.count()
-    nodes = member.select("id").distinct()
-    sets = cut(docs.join(nodes, docs["doc_id"] == nodes["id"], "left_semi").mapInArrow(_sets(weighted), "doc_id long, six binary").dropDuplicates(["doc_id"]), "sets")
+    nodes = cut(member.select("id").distinct(), "nodes")
+    few = F.broadcast(nodes) if nodes.count() <= SENT else nodes
+    sets = cut(docs.join(few, docs["doc_id"] == few["id"], "left_semi").mapInArrow(_sets(weighted), "doc_id long, six binary").dropDuplicates(["doc_id"]), "sets")
 
     near = F.least("size", "size2") >= F.lit(least) * F.greatest("size", "size2") - 1e-9
     links, comp, rest = None, None, member
@@ -396,7 +401,7 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
         chosen = rest.groupBy("key").agg(F.min_by(F.struct("id", "size"), rank).alias("l"), F.count("*").alias("n")).where("n > 1")
         rest = cut(at_groups(rest, chosen, "key", "n", total=members).where("id != l.id"), f"star-{turn}")
         star = rest.select("id", F.col("l.id").alias("lead"), "size", F.col("l.size").alias("size2"), "n").where(near)
-        star = cut(star.groupBy("id", "lead").agg(F.max("n").alias("n")).withColumn("chunk", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK)).cast("int")), "pairs")
+        star = cut(star.groupBy("id", "lead").agg(F.max("n").alias("n")).withColumn("chunk", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / LED)).cast("int")), "pairs")
         rest = rest.select("key", "id", "size")
         sent = star.select("lead", "chunk", "id").unionByName(star.select("lead", "chunk", F.col("lead").alias("id")).distinct())
         full = with_sets(sent, sets, "id").repartition("lead", "chunk").sortWithinPartitions("lead", "chunk", F.col("id") != F.col("lead"))
