@@ -7,6 +7,7 @@ import hashlib
 import uuid
 from dataclasses import dataclass, replace
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +41,8 @@ def submit_all(spark: SparkSession, prefix: str, fields: list[str], now: dt.date
     return files.select(F.substring(key, 1, 32).alias("job_id"), F.lit(prefix).alias("batch_id"), F.lit(None).cast("string").alias("parent_job_id"), F.lit("path").alias("source_type"), F.col("path").alias("source_ref"), F.array(*map(F.lit, fields)).alias("field_spec"), F.lit("Created").alias("status"), *[F.lit(0).cast("long").alias(c) for c in ("parsed", "dropped_rubbish", "total_failed")], F.lit(now).cast("timestamp").alias("created_at"), F.lit(now).cast("timestamp").alias("updated_at"))
 
 
-PACKED = r"(?i)\.(zip|gz|tgz|tar|7z|rar)$"
+#: Files up to this size fit into a cell.
+CELL = (2 << 30) - 1024
 
 
 def stored(df: DataFrame, tag: str) -> DataFrame:
@@ -53,26 +55,79 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def sources(spark: SparkSession, path: str, large: bool = True) -> DataFrame:
-    """(source, content) of the files under a path, those within archives too, and the errors of those that can't be opened. Without
-    `large`, files that read_lines reads by ranges are left out, but for archives."""
+@dataclass
+class Large:
+    """Files over lines.WHOLE bytes, told apart by their heads: paths to read whole (archives, JSON documents), to read as lines, with
+    the kind of those that are dumps, and what can't be read, with why."""
+
+    whole: list[str]
+    lines: list[str]
+    kinds: dict[str, str]
+    failed: dict[str, str]
+    heads: DataFrame | None
+
+
+def told(spark: SparkSession, path: str) -> Large:
+    """Heads are read in tasks. What comes back is a few bytes for each large file, whose paths Spark's index of files holds as well."""
+    found = spark.read.format("binaryFile").load(path)
+    sizes = {r[0]: r[1] for r in found.where(F.col("length") > lines.WHOLE).select("path", "length").collect()}
+    out = Large([], [], {}, {}, None)
+    by_name = {p for p in sizes if p.lower().endswith(lines.CODEC)}
+    own = {lines.plain(p): p for p in sizes if p not in by_name}
+    rows: list = [(p, "gz" if p.lower().endswith(".gz") else None, None, None, False) for p in by_name]
+    if own:
+        out.heads = lines.head_table(spark, list(own.values()))
+        text = F.decode("head", "ISO-8859-1")
+        first = F.substring_index(F.regexp_replace(F.make_valid_utf8(F.col("head").cast("string")), r"^[\s\ufeff]+", ""), "\n", 1)
+        several = F.try_parse_json(first).isNotNull() & (F.instr(F.ltrim(text), "\n") > 0)  # as in NDJSON
+        rows += [(own[r[0]], *r[1:]) for r in out.heads.select("source", archives.kind(F.col("head")), dumps.kind(text), F.substring(F.ltrim(text), 1, 1), several).collect()]
+    for p, packed, kind, begin, several in rows:
+        if packed or kind == "json" and not several and (sizes[p] <= jsons.WHOLE_MOST or begin == "["):
+            if packed and sizes[p] > CELL:
+                out.failed[p] = f"unreadable_archive: {sizes[p]} bytes, at most {CELL} are read"
+            elif not packed and sizes[p] > jsons.WHOLE_MOST:
+                out.failed[p] = f"too_large: a JSON document of {sizes[p]} bytes, at most {jsons.WHOLE_MOST} are read whole"
+            else:
+                out.whole.append(p)
+        else:
+            out.lines.append(p)
+            if kind in ("mysql", "postgres"):
+                out.kinds[p] = kind
+    return out
+
+
+def sources(spark: SparkSession, path: str, also: list[str] | None = None) -> DataFrame:
+    """(source, content, error) of the files under a path, those within archives too, and the errors of those that can't be opened.
+    Without `also` of all files, else of those up to lines.WHOLE bytes and the paths in `also`."""
     files = spark.read.format("binaryFile").load(path)
-    files = (files if large else files.where((F.col("length") <= lines.WHOLE) | F.col("path").rlike(PACKED))).select("path", "content")
+    if also is not None:
+        files = files.where(F.col("length") <= lines.WHOLE)
+        if also:
+            files = files.unionByName(spark.read.format("binaryFile").load([lines.escaped(p) for p in also]))
+    files = files.select("path", "content")
     packed = archives.extract(files.where(archives.kind(F.col("content")).isNotNull()))
     plain = files.where(archives.kind(F.col("content")).isNull()).select(F.col("path").alias("source"), "content", F.lit(None).cast("string").alias("error"))
     return plain.unionByName(packed.select(F.concat_ws("!", "archive", "entry").alias("source"), "content", "error"))
 
 
 def detect(spark: SparkSession, path: str) -> DataFrame:
-    """Per file: encoding, width of rows, fingerprint, kind of dump and labels, from its head; keys of objects come from probes too."""
-    found = sources(spark, path).where("error IS NULL")
+    """Per file: encoding, width of rows, fingerprint, kind of dump and labels, from its head; keys of objects come from probes too, but
+    of files over lines.WHOLE bytes, of which only the head is read."""
+    large = told(spark, path)
+    found = sources(spark, path, large.whole).where("error IS NULL")
     files = found.select("source", F.substring("content", 1, 1 << 20).alias("head"), F.length("content").cast("long").alias("size"))
+    plain_ones = [p for p in large.lines if not p.lower().endswith(lines.CODEC)]
+    if plain_ones:
+        sizes = spark.read.format("binaryFile").load(path).select(F.col("path"), F.col("length").alias("size"))
+        own = spark.createDataFrame([(lines.plain(p), p) for p in plain_ones], "plain string, path string").join(sizes, "path")
+        heads = lines.heads(spark, plain_ones, 1 << 20)
+        files = files.unionByName(heads.join(own, heads["source"] == own["plain"]).select(own["path"].alias("source"), "head", "size"))
 
     ship(spark)
 
-    @F.udf("string")
-    def encoding(head):
-        return detect_encoding(bytes(head or b""))
+    @F.arrow_udf("string")
+    def encoding(head: pa.Array) -> pa.Array:
+        return pa.array([detect_encoding(bytes(h or b"")) for h in head.to_pylist()], pa.string())
 
     ls = lines.from_binary(files.select(F.col("source").alias("path"), F.col("head").alias("content")))
     first = ls.where("line_no = 1").select("source", F.col("text").alias("first"), dt_ops.fingerprint(F.col("text")).alias("fingerprint"))
@@ -103,7 +158,7 @@ class Parsed:
 
 def whole_records(files: DataFrame) -> DataFrame:
     """Lines (source, line_no, byte_offset, byte_length, text) and error: a record each of JSON files that are one document."""
-    text = F.decode(F.col("content"), "UTF-8")
+    text = F.make_valid_utf8(F.col("content").cast("string"))
     docs = files.select("source", text.alias("text"))
     got = jsons.explode_document(docs, "text", ["source"])
     place = [(F.col("record_index") + 1).cast("long").alias("line_no"), F.lit(0).cast("long").alias("byte_offset"), F.octet_length("record").alias("byte_length"), F.col("record").alias("text")]
@@ -118,16 +173,18 @@ def judged(spark: SparkSession, path: str, spec: FieldSpec, templates: list[Temp
     A file that is one JSON document gives its records, a MySQL dump the tuples of its INSERTs, a PostgreSQL dump its lines by stage,
     any other its lines. What can't be read (a document too large, a statement, a file in a broken archive) becomes a dead letter.
     """
-    files = stored(sources(spark, path, large=False), "files")
+    large = told(spark, path)
+    files = stored(sources(spark, path, large.whole), "files")
     head = F.decode(F.substring("content", 1, 1 << 16), "ISO-8859-1")
-    one = jsons.is_whole(F.decode("content", "UTF-8")) | ((F.length("content") > jsons.WHOLE_MOST) & F.startswith(F.ltrim(head), F.lit("[")))
+    one = jsons.is_whole(F.make_valid_utf8(F.col("content").cast("string"))) | ((F.length("content") > jsons.WHOLE_MOST) & F.startswith(F.ltrim(head), F.lit("[")))
     kinds = files.where("error IS NULL").withColumn("kind", dumps.kind(head))
     kinds = kinds.withColumn("kind", F.when(F.col("kind") != "json", F.col("kind")).when(one, "json"))
     ls = lines.from_binary(kinds.where("kind IS DISTINCT FROM 'json'").select(F.col("source").alias("path"), "content"), encoding)
-    found = spark.read.format("binaryFile").load(path).where(~F.col("path").rlike(PACKED))
-    if big := lines.large_files(found):
-        ls = ls.unionByName(lines.read_large(spark, big, encoding))
-    ls = stored(ls.join(F.broadcast(kinds.where("kind IN ('mysql', 'postgres')").select("source", "kind")), "source", "left"), "lines")
+    dump_kinds = kinds.where("kind IN ('mysql', 'postgres')").select("source", "kind")
+    if large.lines:
+        ls = ls.unionByName(lines.read_large(spark, large.lines, encoding, found=large.heads))
+        dump_kinds = dump_kinds.unionByName(spark.createDataFrame(list(large.kinds.items()), "source string, kind string"))
+    ls = stored(ls.join(dump_kinds, "source", "left"), "lines")
 
     plain = ls.where("kind IS NULL").drop("kind")
     layout = stored(cl.layouts(plain, spec), "layouts") if headers is None else None
@@ -136,7 +193,8 @@ def judged(spark: SparkSession, path: str, spec: FieldSpec, templates: list[Temp
     out = out.unionByName(cl.classify_dump(ls.where("kind = 'postgres'").drop("kind"), spec))
     tuples = dumps.mysql_all(ls.where("kind = 'mysql'").drop("kind")).select("source", "line_no", "byte_offset", F.octet_length("text").alias("byte_length"), "text", "error")
     packed = files.where("error IS NOT NULL").select("source", F.lit(1).cast("long").alias("line_no"), F.lit(0).cast("long").alias("byte_offset"), F.lit(0).alias("byte_length"), F.lit(None).cast("string").alias("text"), F.concat(F.lit("unreadable_archive: "), "error").alias("error"))
-    whole = whole_records(kinds.where("kind = 'json'")).unionByName(tuples).unionByName(packed)
+    unread = spark.createDataFrame([(p, 1, 0, 0, None, why) for p, why in large.failed.items()], packed.schema)
+    whole = whole_records(kinds.where("kind = 'json'")).unionByName(tuples).unionByName(packed).unionByName(unread)
     out = out.unionByName(cl.classify(whole.where("error IS NULL").drop("error"), spec, list(templates), layout=none))
     failed = whole.where("error IS NOT NULL").select(*plain.columns, F.lit("uncertain").alias("verdict"), F.lit(None).cast("string").alias("template_id"), F.lit(None).cast("int").alias("template_version"), F.col("error").alias("failure_class"), F.lit(None).cast("map<string,string>").alias("fields"))
     return stored(out.unionByName(failed), "verdicts"), none if layout is None else layout

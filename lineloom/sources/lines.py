@@ -1,30 +1,31 @@
 """Lines of files with their number, byte offset and byte length.
 
-`read_lines` works on any path that Spark reads: files are read as binary up to a size, larger ones by Spark's own text splits, whose
-lines are counted first so that each split knows where it starts. What must be read in order goes through the `lines` data source.
+`read_lines` works on any path that Spark reads: files are read as binary up to a size, larger ones by Spark's own text splits (see
+`splits`). Only those whose names would have Spark undo a compression go through the `lines` data source.
 """
 
 from __future__ import annotations
 
-import codecs
 import json
 import re
-from collections.abc import Iterable, Iterator
-from urllib.parse import unquote
+import uuid
+from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from ..functions.encoding import HEAD, decode, detect, known_name
+from ..functions.encoding import HEAD, decode, detect
 from ..ship import ship
+from .cutting import BOM, Rule, cut
+from .splits import by_splits, escaped, heads, plain  # noqa: F401
 
 SCHEMA = "source string, line_no long, byte_offset long, byte_length int, text string"
 MAX_LINE_BYTES = 1 << 20
 CHUNK = 32 << 20
 WHOLE = 128 << 20
-BOM = b"\xef\xbb\xbf"
 
 
 def split_lines(raw: bytes, start: int = 0, quoted_newlines: int = 0, last: bool = True, most: int | None = None) -> Iterator[tuple[bytes, int, int]]:
@@ -56,50 +57,6 @@ def split_lines(raw: bytes, start: int = 0, quoted_newlines: int = 0, last: bool
         at = stop
 
 
-def stream_lines(blocks: Iterable[bytes], quoted_newlines: int = 0) -> Iterator[tuple[bytes, int, int]]:
-    """What split_lines gives of the blocks put together; holds a block and a line."""
-    raw, start = b"", 0
-    for block in blocks:
-        raw, used = raw + block, 0
-        for line, at, size in split_lines(raw, start, quoted_newlines, last=False):
-            yield line, at, size
-            used = at + size - start
-        raw, start = raw[used:], start + used
-    yield from split_lines(raw, start, quoted_newlines)
-
-
-def utf16_lines(blocks: Iterable[bytes], name: str) -> Iterator[tuple[str, int, int]]:
-    """(line, offset, length with its end) of UTF-16, cut as text: line ends aren't single bytes."""
-    decoder = codecs.getincrementaldecoder(known_name(name))("replace")
-
-    def decoded():
-        first = True
-        for block in blocks:
-            if t := decoder.decode(block):
-                yield t.lstrip("\ufeff") if first else t
-                first = False
-        yield decoder.decode(b"", True)
-
-    def whole():
-        rest, held = [], ""
-        for t in decoded():
-            t = held + t
-            held = "\r" if t.endswith("\r") else ""  # a \n may follow
-            for x in t[: len(t) - len(held)].splitlines(keepends=True):
-                rest.append(x)
-                if x.splitlines()[0] != x:
-                    yield "".join(rest)
-                    rest = []
-        if last := "".join(rest) + held:
-            yield last
-
-    at = 0
-    for t in whole():
-        size = len(t.encode(name))
-        yield t.rstrip("\r\n"), at, size
-        at += size
-
-
 def split_tail(text: str, label: str = "Email:") -> list[str]:
     """A last line that holds several records is cut before each label."""
     if text.count(label) < 2:
@@ -111,7 +68,7 @@ def lines_of(raw: bytes, encoding: str | None = None, quoted_newlines: int = 0)
     """(line_no, offset, length, text) of a whole file."""
     name = encoding or detect(raw)
     if name.startswith("utf-16"):
-        return [(no, at, size, t) for no, (t, at, size) in enumerate(utf16_lines([raw], name), 1)]
+        return [(no, at, size, t) for no, (t, at, size) in enumerate(cut([raw], Rule(name, quoted_newlines, MAX_LINE_BYTES)), 1)]
     return [(no, at, size, decode(line, name)) for no, (line, at, size) in enumerate(split_lines(raw, 0, quoted_newlines), 1)]
 
 
@@ -132,7 +89,7 @@ def from_binary(files: DataFrame, encoding: str | None = None, quoted_newlines:
 
 
 def read_lines(spark: SparkSession, path: str, encoding: str | None = None, quoted_newlines: int = 0) -> DataFrame:
-    """Lines of all files of a path or pattern. Files over WHOLE bytes are read by byte ranges."""
+    """Lines of all files of a path or pattern. Files over WHOLE bytes are read by splits."""
     files = spark.read.format("binaryFile").load(path)
     small = from_binary(files.where(F.col("length") <= WHOLE), encoding, quoted_newlines)
     large = large_files(files)
@@ -145,88 +102,51 @@ def read_lines(spark: SparkSession, path: str, encoding: str | None = None, quot
 CODEC = (".gz", ".bz2", ".lz4", ".snappy", ".zst", ".deflate")
 
 
-def head_of(spark: SparkSession, path: str) -> bytes:
-    """The first bytes of a file on any file system that Spark reads."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    f = where.getFileSystem(spark._jsc.hadoopConfiguration()).open(where)
-    try:
-        return bytes(f.readNBytes(HEAD))
-    finally:
-        f.close()
-
-
-def read_large(spark: SparkSession, paths: list[str], encoding: str | None = None, quoted_newlines: int = 0) -> DataFrame:
-    """Lines of large files. Those whose lines can be told anywhere are read by Spark's text splits, UTF-16 and quoted newlines by one
-    task a file, which opens it as a file."""
-    heads = {p: head_of(spark, p) for p in paths}
-    kinds = {p: (encoding or detect(h), h.startswith(BOM)) for p, h in heads.items()}
-    split = [p for p, (name, _) in kinds.items() if not quoted_newlines and not name.startswith("utf-16") and not p.lower().endswith(CODEC)]
-    found = [by_splits(spark, {p: kinds[p] for p in split})] if split else []
-    if rest := [p for p in paths if p not in set(split)]:
-        register(spark)
-        own = spark.read.format("lines").option("paths", json.dumps(rest)).option("quoted_newlines", str(quoted_newlines))
-        found.append(numbered((own.option("encoding", encoding) if encoding else own).load()))
-    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
-
-
-def by_splits(spark: SparkSession, kinds: dict[str, tuple[str, bool]]) -> DataFrame:
-    """Lines of files {path: (encoding, whether it has a byte order mark)} by Spark's text splits. They are longer than such a mark.
-
-    A split counts its lines and bytes from its first line on; sums over the splits before it give number and offset. How many lines
-    start up to a place doesn't depend on how a file is split, so a sum is right for any split that starts there; a split that has no
-    sum, as the two passes were split differently, stops the job rather than losing lines.
-    """
-    from pyspark.sql import Window
-
-    ship(spark)
-    place = F.col("_metadata")
-    raw = spark.read.option("lineSep", "\n").text([re.sub(r"([*?{}\[\]\\])", r"\\\1", p) for p in kinds]).select(place["file_path"].alias("source"), place["file_size"].alias("size"), place["file_block_start"].alias("range"), F.col("value").cast("binary").alias("raw"))
-    by_path, most = {_plain(p): (p, *k) for p, k in kinds.items()}, MAX_LINE_BYTES
+def head_table(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(source, head, encoding) of large files, read in tasks; sources are plain paths. Written once."""
 
     def run(batches):
-        now, no, at = None, 0, 0
         for b in batches:
-            out = []
-            for path, size, start, line in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if now != (path, start):
-                    now, no, at = (path, start), 0, 0
-                    own, name, marked = by_path[_plain(unquote(path))]
-                first = start == 0 and at == 0
-                shift = 0 if first else 1  # only the file's start may have a mark, which Spark's reader has taken away
-                for piece, begin, n in split_lines((BOM if first and marked else b"") + line + b"\n", shift, most=most):
-                    no += 1
-                    out.append((own, size, start, no, at + begin - shift, n, decode(piece, name)))
-                at = out[-1][4] + out[-1][5]
-                if len(out) >= 20_000:
-                    yield _cut(out)
-                    out = []
-            if out:
-                yield _cut(out)
-
-    cut = raw.mapInArrow(run, "source string, size long, range long, line_no long, byte_offset long, byte_length int, text string")
-    sums = cut.groupBy("source", "range").agg(F.count("*").alias("_n"), F.max(F.col("byte_offset") + F.col("byte_length")).alias("_bytes"))
-    up_to = Window.partitionBy("source").orderBy("range")
-    before = sums.select("source", "range", (F.sum("_n").over(up_to) - F.col("_n")).alias("_lines"), (F.sum("_bytes").over(up_to) - F.col("_bytes")).alias("_start"))
-    known = F.coalesce("_start", F.raise_error(F.lit("files were split differently in two passes")).cast("long"))
-    out = cut.join(before, ["source", "range"], "left").select("source", "size", (F.col("_lines") + F.col("line_no")).alias("line_no"), (known + F.col("byte_offset")).alias("byte_offset"), "byte_length", "text")
-    # the last line may have no end: it was counted one byte too long
-    whole = out.where(F.col("byte_offset") < F.col("size"))
-    return whole.select("source", "line_no", "byte_offset", F.least("byte_length", F.col("size") - F.col("byte_offset")).cast("int").alias("byte_length"), "text")
-
-
-def _cut(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string())
-    cols = list(zip(*rows, strict=True))
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["source", "size", "range", "line_no", "byte_offset", "byte_length", "text"])
-
-
-def _plain(path: str) -> str:
-    """A path as one form: its scheme is followed by one slash or by several."""
-    return re.sub(r"^(\w+):/+", r"\1:/", path if re.match(r"\w+:/", path) else f"file:{path}")
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([detect(h or b"") for h in b.column(1).to_pylist()], pa.string())], names=["source", "head", "encoding"])
+
+    return written(heads(spark, paths).mapInArrow(run, "source string, head binary, encoding string"))
+
+
+def read_large(spark: SparkSession, paths: list[str], encoding: str | None = None, quoted_newlines: int = 0, found: DataFrame | None = None) -> DataFrame:
+    """Lines of large files, by Spark's text splits. Those whose names would have it undo a compression are read in order, by one task
+    a file, which opens it as a file. found: what head_table gives of the paths, if known."""
+    packed = [p for p in paths if p.lower().endswith(CODEC)]
+    split = {plain(p): p for p in paths if p not in set(packed)}
+    out = []
+    if split:
+        names = {None: list(split)} if encoding else {}
+        if not encoding:
+            for source, name in (head_table(spark, list(split.values())) if found is None else found).select("source", "encoding").collect():
+                if source in split:
+                    names.setdefault(name, []).append(source)
+        own = spark.createDataFrame(list(split.items()), "source string, path string")
+        for name, some in names.items():
+            got = by_splits(spark, [split[p] for p in some], Rule(encoding or name, quoted_newlines, MAX_LINE_BYTES), written)
+            out.append(got.join(F.broadcast(own), "source").select(F.col("path").alias("source"), "line_no", "byte_offset", "byte_length", "text"))
+    if packed:
+        register(spark)
+        reader = spark.read.format("lines").option("paths", json.dumps(packed)).option("quoted_newlines", str(quoted_newlines))
+        out.append(numbered((reader.option("encoding", encoding) if encoding else reader).load()))
+    return reduce(DataFrame.unionByName, out)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df, stored once in the folder that the driver and the executors share (spark.checkpoint.dir) and read again; df itself without one."""
+    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        return df
+    path = f"{folder}/lines-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def large_files(files: DataFrame) -> list[str]:
-    """The paths of all files over WHOLE bytes."""
+    """The paths of all files over WHOLE bytes. Spark's own index of files holds them, too."""
     return [r[0] for r in files.where(F.col("length") > WHOLE).select("path").collect()]
 
 
@@ -319,11 +239,7 @@ class _Reader(DataSourceReader):
     def _all(self, part: _Range):
         with open(part.local, "rb") as f:
             blocks = iter(lambda: f.read(4 * MAX_LINE_BYTES), b"")
-            if part.encoding.startswith("utf-16"):
-                found = utf16_lines(blocks, part.encoding)
-            else:
-                found = ((decode(line, part.encoding), at, size) for line, at, size in stream_lines(blocks, self.quoted_newlines))
-            for no, (text, at, size) in enumerate(found, 1):
+            for no, (text, at, size) in enumerate(cut(blocks, Rule(part.encoding, self.quoted_newlines, MAX_LINE_BYTES)), 1):
                 yield part.path, part.index, no, at, size, text
 
 

@@ -63,6 +63,36 @@ def test_files_by_kind(spark, tmp_path):
     assert "Scan binaryFile" not in got.records._jdf.queryExecution().executedPlan().toString()  # all tables come from the written verdicts
 
 
+def test_large_files_by_kind(spark, tmp_path, monkeypatch):
+    """Whatever is read whole and what by splits: the same verdicts."""
+    from lineloom.sources import lines
+
+    path = _files(tmp_path)
+    (tmp_path / "in" / "entries.bin").write_bytes(_zipped({"in.csv": "email,name\nz@example.com,Zed\n" * 9}))
+    (tmp_path / "in" / "more.ndjson").write_text("".join(f'{{"email":"m{i}@example.com"}}\n' for i in range(12)))
+    spec, got = FieldSpec(["email", "name"]), []
+    for whole in (128 << 20, 200, 60):
+        monkeypatch.setattr(lines, "WHOLE", whole)
+        done = api.parse(spark, path, spec, "j", NOW).lines
+        got.append(sorted(((r.source.rpartition("/")[2], r.line_no, r.byte_offset, r.byte_length, r.verdict, r.template_id, r.failure_class and r.failure_class.split(":")[0], json.dumps(r.fields, sort_keys=True)) for r in done.collect()), key=repr))
+        assert api.detect(spark, path).where("dump = 'mysql' AND encoding = 'utf-8'").count() == 1
+    assert got[0] == got[1] == got[2] and len(got[0]) > 40
+    monkeypatch.setattr(jsons, "WHOLE_MOST", 100)
+    dead = [r.failure_class for r in api.parse(spark, path, spec, "j", NOW).lines.where("source LIKE '%whole.json'").collect()]
+    assert len(dead) == 1 and dead[0].startswith("too_large")
+
+
+def _zipped(files):
+    import io
+    import zipfile
+
+    b = io.BytesIO()
+    with zipfile.ZipFile(b, "w") as z:
+        for name, text in files.items():
+            z.writestr(name, text)
+    return b.getvalue()
+
+
 def test_dump_mode(spark):
     spec = FieldSpec(["user_name", "full_name", "user_email", "msisdn"])
     ls = spark.createDataFrame([("d", i + 1, x) for i, x in enumerate(PG.splitlines())], "source string, line_no long, text string")

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from lineloom.functions import encoding as enc
 from lineloom.sources import archives, dumps, lines, urls
-from lineloom.sources.lines import MAX_LINE_BYTES, from_binary, lines_of, numbered, read_lines, register, split_lines, split_tail, stream_lines, utf16_lines
+from lineloom.sources.cutting import Rule, Trials, after, cut, key
+from lineloom.sources.lines import MAX_LINE_BYTES, from_binary, lines_of, numbered, read_lines, register, split_lines, split_tail
 
 
 @settings(max_examples=60, deadline=None)
@@ -94,6 +95,8 @@ def test_text_splits_give_the_same_lines(spark, tmp_path, monkeypatch, split):
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
     try:
         monkeypatch.setattr(lines, "WHOLE", 0)
+        # tables of a few rows would be cut into splits of these sizes, too
+        monkeypatch.setattr(lines, "written", lambda df: spark.createDataFrame(df.collect(), df.schema))
         for root in (str(tmp_path), f"viewfs://store{split}/in"):
             got = sorted((r.source.rpartition("/")[2], r.line_no, r.byte_offset, r.byte_length, r.text) for r in read_lines(spark, root).collect())
             assert got == sorted((name, *x) for name, raw in made.items() for x in lines_of(raw))
@@ -102,6 +105,31 @@ def test_text_splits_give_the_same_lines(spark, tmp_path, monkeypatch, split):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+@pytest.mark.parametrize("most", [20, 1000])
+def test_splits_of_wide_and_quoted_text(spark, tmp_path, monkeypatch, most):
+    """UTF-16 and quoted newlines by splits on a file system that only Spark's readers open; with most = 20 lines are cut over split borders."""
+    rng = random.Random(most)
+    marks = ["a", "\n", "\r\n", '"', '"', "bcdefgh", "é", "\u0a05", "\u0100", "\u0a0a", "\u010a"]
+    made = {name: ("abcdefghij" * 5 + "".join(rng.choice(marks) for _ in range(200))).encode(name) for name in ("utf-16-le", "utf-16-be")}
+    made["quotes.csv"] = b"".join(rng.choice([b"a", b"\n", b'"', b'"', b"\r\n", b"cell,"]) for _ in range(300))
+    made["marked.csv"] = b'\xef\xbb\xbf"first\nline", x' + b"y" * 90 + b'\n"a\n\nb"\nlast'
+    monkeypatch.setattr(lines, "MAX_LINE_BYTES", most)
+    monkeypatch.setattr(lines, "WHOLE", 0)
+    monkeypatch.setattr(lines, "written", lambda df: spark.createDataFrame(df.collect(), df.schema))
+    for name, raw in made.items():
+        (tmp_path / name).write_bytes(raw)
+    spark._jsc.hadoopConfiguration().set(f"fs.viewfs.mounttable.wide{most}.link./in", f"file://{tmp_path}")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "70")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        for quoted in (0, 2):
+            got = sorted((r.source.rpartition("/")[2], r.line_no, r.byte_offset, r.byte_length, r.text) for r in read_lines(spark, f"viewfs://wide{most}/in", quoted_newlines=quoted).collect())
+            assert got == sorted((name, *x) for name, raw in made.items() for x in lines_of(raw, None, quoted))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_all_large_files_are_known(spark):
     files = spark.range(10_050).selectExpr("concat('file:/f', id) AS path", "if(id = 7, 5, shiftleft(1L, 40)) AS length")
     assert len(lines.large_files(files)) == 10_049
@@ -109,16 +137,53 @@ def test_all_large_files_are_known(spark):
 
 def test_lines_of_blocks():
     raw = b'\xef\xbb\xbfa,"x\r\ny"\r\n\r\nb,"\n\n\n"\n' + b"k" * (MAX_LINE_BYTES + 9) + b'\n"'
-    text = "\ufeffa\r\nb\rc\n\nd\u2028😀é\r"
     for k in (1, 2, 3, 5, 1 << 20):
         part = raw if k > 9 else raw[:40]
         for q in (0, 1, 2):
-            assert list(stream_lines([part[i : i + k] for i in range(0, len(part), k)], q)) == list(split_lines(part, 0, q))
-        for name in ("utf-16le", "utf-16be"):
-            b = text.encode(name)
-            got = list(utf16_lines([b[i : i + k] for i in range(0, len(b), k)], name))
-            assert [x for x, *_ in got] == [x.rstrip("\r\n") for x in text[1:].splitlines(keepends=True)]
-            assert [at for _, at, _ in got] == [sum(n for *_, n in got[:i]) for i in range(len(got))]
+            assert list(cut([part[i : i + k] for i in range(0, len(part), k)], Rule("utf-8", q, MAX_LINE_BYTES))) == [(x.decode(), a, n) for x, a, n in split_lines(part, 0, q)]
+
+
+MARKS = ["a", "\n", "\n", "\r\n", "\r", '"', "bcd", "é", "\f", "\v", "\x1c", "\x85", "\u2028", "\u0a05", "\u0100", "\u010a", "\u0a0a"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(MARKS), max_size=40), st.integers(0, 2), st.integers(1, 9), st.sampled_from(["utf-16le", "utf-16be"]))
+def test_one_rule_for_all_encodings(parts, quoted, k, name):
+    """Form feeds, U+2028 and lone carriage returns end no line, whatever the encoding."""
+    text = "".join(parts)
+    raw = text.encode(name)
+    got = list(cut([raw[i : i + k] for i in range(0, len(raw), k)], Rule(name, quoted, MAX_LINE_BYTES)))
+    assert [t for t, *_ in got] == [x.decode() for x, *_ in split_lines(text.encode(), 0, quoted)]
+    assert [a for _, a, _ in got] == [sum(n for *_, n in got[:i]) for i in range(len(got))] and sum(n for *_, n in got) == len(raw)
+    assert got == [(t, a, n) for _, a, n, t in lines_of(raw, name, quoted)]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(MARKS), min_size=1, max_size=60), st.integers(0, 3), st.sampled_from([8, 20, 1000]), st.sampled_from(["utf-8", "utf-16le", "utf-16be"]), st.randoms(use_true_random=False))
+def test_states_compose(parts, quoted, most, name, r):
+    """A stretch tried from every state it may begin in ends, from the true one, as the whole text does."""
+    raw, rule = "".join(parts).encode(name), Rule(name, quoted, most)
+    begins = [a for _, a, _ in cut([raw], rule)]
+    stretches, at = [], 0
+    while at < len(raw):
+        end = at
+        for _ in range(r.randint(1, 4)):
+            e = raw.find(rule.end, end)
+            end = len(raw) if e < 0 else e + len(rule.end)
+        stretches.append(raw[at:end])
+        at = end
+    state, at = (0, 0, 0), 0
+    for s in stretches:
+        t, exact = Trials(rule), Trials(rule, state)
+        for i in range(0, len(s), 5):
+            t.feed(s[i : i + 5])
+        exact.feed(s)
+        sure = exact.done()[state]
+        then = after(rule, state, sure, len(s))
+        tried = t.done().get(key(rule, state))
+        assert after(rule, state, tried, len(s)) in (None, then) and sure.starts == sum(at <= b < at + len(s) for b in begins)
+        assert after(rule, state, tried, len(s)) is None or tried.starts == sure.starts
+        state, at = then, at + len(s)
 
 
 def test_what_the_queries_leave_out(spark):
