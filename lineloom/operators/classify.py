@@ -25,7 +25,7 @@ from ..spec import META, FieldSpec, copy_targets
 from .cells import best_cells, merge_scheme, split_cells
 from .detect import Layout, given_layout, header_places, layout_of, repeats_header
 from .mapping import Mapper, dump, read_object, unquoted
-from .templates import Template, best_template, rubbish_template
+from .templates import RecordIndex, RubbishIndex, Template
 
 #: Sources whose layouts may be sent to all tasks; more are joined.
 MOST_LAYOUTS = 10_000
@@ -36,7 +36,8 @@ class Judge:
     """The stages for one line, behind the gate."""
 
     def __init__(self, spec: FieldSpec, templates: list[Template] = ()):
-        self.spec, self.mapper, self.templates = spec, Mapper(spec), list(templates)
+        self.spec, self.mapper = spec, Mapper(spec)
+        self.kept, self.junk = RecordIndex(list(templates), spec), RubbishIndex(list(templates))
 
     def _row(self, row: dict, template: str, version: int = 1) -> tuple:
         out = self.mapper.coerced(row)
@@ -82,9 +83,9 @@ class Judge:
                 return self._row(row, "csv-auto")
         if obj is not None and (got := m.from_object(obj, loose=True)) and not got[1]:
             return self._row(got[0], "json")
-        if found := best_template(self.templates, line, spec):
+        if found := self.kept.best(line):
             return self._row(found[1], found[0].template_id, found[0].version)
-        if found := rubbish_template(self.templates, line):
+        if found := self.junk.first(line):
             return ("rubbish", found.template_id, found.version, None, None)
         if structured or t[:1] == '"' and unquoted(t)[:1] in ("{", "["):  # never lose what looks like an object
             return ("parsed", "json-raw-meta", 1, None, dict.fromkeys(spec.wanted, "") | {META: t})

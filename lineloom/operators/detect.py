@@ -53,11 +53,12 @@ def json_keys(text: Column) -> Column:
 
 
 def fingerprint(text: Column, encoding: Column | None = None) -> Column:
-    """The structure of a line, hashed: csv by its first delimiter and number of cells, json by its keys, or text by its length."""
-    t, enc = trim(text), F.lit("utf-8") if encoding is None else encoding
-    forms = [F.when(F.contains(t, F.lit(d)), F.concat_ws("|", F.lit("csv"), F.lit(d), F.size(F.split(t, f"[{d}]" if d != "\t" else d, -1)).cast("string"), enc)) for d in (",", ";", "\t", "|")]
-    form = F.coalesce(*forms, F.when(json_keys(t).isNotNull(), F.concat_ws("|", F.lit("json"), json_keys(t), enc)), F.concat_ws("|", F.lit("text"), F.length(t).cast("string"), enc))
-    return F.substring(F.sha2(form, 256), 1, 24)
+    """The structure of a line, hashed: csv by its first delimiter and number of cells, json by its keys, text by its length, or empty."""
+    enc = F.lit("utf-8") if encoding is None else encoding
+    forms = [F.when(F.contains(text, F.lit(d)), F.concat_ws("|", F.lit("csv"), F.lit(d), F.size(F.split(text, f"[{d}]" if d != "\t" else d, -1)).cast("string"), enc)) for d in (",", ";", "\t", "|")]
+    keys = json_keys(trim(text))
+    form = F.coalesce(*forms, F.when(keys.isNotNull(), F.concat_ws("|", F.lit("json"), keys)), F.concat_ws("|", F.lit("text"), F.length(text).cast("string"), enc))
+    return F.substring(F.sha2(F.when(trim(text) == "", "empty").otherwise(form), 256), 1, 24)
 
 
 def quick_fingerprint(text: Column) -> Column:

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import LITERAL_RUN, literal_run, safe_pattern
 from ..functions.validate import field_ok
+from ..ship import ship
 from ..spec import META, FieldSpec
 from .cells import split_cells
 from .mapping import KV_SEGMENT, dump, flatten, load
@@ -93,7 +97,7 @@ def extract(t: Template, line: str, spec: FieldSpec) -> tuple[dict, float] | Non
 
 
 def best_template(templates: list[Template], line: str, spec: FieldSpec) -> tuple[Template, dict] | None:
-    """The record template with the greatest score, the first of equals."""
+    """The record template with the greatest score, the first of equals, by trying all."""
     best = None
     for t in templates:
         if t.kind == "record" and (got := extract(t, line, spec)) and (best is None or got[1] > best[1]):
@@ -101,20 +105,188 @@ def best_template(templates: list[Template], line: str, spec: FieldSpec) -> tupl
     return (best[0], best[2]) if best else None
 
 
+class RecordIndex:
+    """Finds what best_template finds without trying every template.
+
+    Templates lie by structure and delimiter. What a line can give one at most follows from its number of cells: each field with a
+    place in it counts once, and a tenth. The best bounds are tried first, and the search stops where no bound exceeds the best
+    score, or equals it with an earlier place in the list.
+    """
+
+    def __init__(self, templates: list[Template], spec: FieldSpec):
+        self.spec, self.tried = spec, 0
+        self.groups: dict[tuple[str, str], list[tuple[int, Template]]] = {}
+        for i, t in enumerate(templates):
+            if t.kind == "record":
+                celled = t.structure in ("csv", "fixed")
+                self.groups.setdefault((t.delimiter, "cells") if celled else ("", t.structure), []).append((i, t))
+        self.ranked: dict[tuple, list[tuple[float, int, Template]]] = {}
+
+    def _bound(self, t: Template, cells: int) -> float:
+        n = 0
+        for f in self.spec.wanted:
+            how, _, arg = t.field_map.get(f, "").partition(":")
+            n += how in ("key", "regex") or how == "index" and arg.isdigit() and int(arg) < cells
+        return n + 0.1 * n
+
+    def _by_bound(self, group: tuple[str, str], cells: int) -> list[tuple[float, int, Template]]:
+        if (group, cells) not in self.ranked:
+            own = [(self._bound(t, cells), i, t) for i, t in self.groups[group] if cells != 1 or len(t.field_map) < 2]
+            self.ranked[group, cells] = sorted((x for x in own if x[0]), key=lambda x: (-x[0], x[1]))
+        return self.ranked[group, cells]
+
+    def best(self, line: str) -> tuple[Template, dict] | None:
+        found: tuple[float, int, Template, dict] | None = None
+        begins = line.lstrip()[:1]
+        for group in self.groups:
+            if group[1] == "json" and begins != "{":
+                continue
+            cells = len(split_cells(line, group[0])) if group[1] == "cells" else 0
+            for bound, i, t in self._by_bound(group, cells):
+                if found and bound < found[0] - 1e-9:
+                    break
+                if found and bound <= found[0] + 1e-9 and i > found[1]:
+                    continue
+                self.tried += 1
+                got = extract(t, line, self.spec)
+                if got and (found is None or got[1] > found[0] or got[1] == found[0] and i < found[1]):
+                    found = (got[1], i, t, got[0])
+        return (found[2], found[3]) if found else None
+
+
+def trusted(t: Template) -> bool:
+    """Whether a signature may call lines rubbish."""
+    return t.kind == "rubbish" and t.confidence >= CONFIDENT and literal_run(t.signature) >= LITERAL_RUN and safe_pattern(t.signature)
+
+
 def rubbish_template(templates: list[Template], line: str) -> Template | None:
-    """The first signature that matches and may be trusted."""
+    """The first signature that matches and may be trusted, by trying all."""
     for t in templates:
-        if t.kind == "rubbish" and t.confidence >= CONFIDENT and literal_run(t.signature) >= LITERAL_RUN and safe_pattern(t.signature) and len(line) <= 65_536 and re.search(t.signature, line):
+        if trusted(t) and len(line) <= MOST_TEXT and re.search(t.signature, line):
             return t
     return None
 
 
+MOST_TEXT = 65_536
+
+
+def required_runs(pattern: str) -> list[str]:
+    """Runs of plain characters that every match of a pattern holds; none where that isn't plain to see."""
+    if re.search(r"\(\?[a-zA-Z]*[a-zA-Z)]|\\[xuUN0-9]", pattern):
+        return []
+    runs, run, depth, i = [], "", 0, 0
+    while i < len(pattern):
+        c, plain = pattern[i], None
+        if c == "\\":
+            nxt = pattern[i + 1 : i + 2]
+            plain = nxt if nxt and not nxt.isalnum() else None
+            i += 2
+        elif c == "[":
+            end = pattern.find("]", i + (3 if pattern[i + 1 : i + 2] == "^" else 2))
+            i = len(pattern) if end < 0 else end + 1
+        elif c == "|" and depth == 0:
+            return []
+        else:
+            depth += (c == "(") - (c == ")")
+            plain = c if c not in ".^$*+?{}()|]" else None
+            i += 1
+            if c == "{":
+                i = max(i, pattern.find("}", i) + 1)
+        after = pattern[i : i + 1]
+        if plain is not None and depth == 0 and after not in ("*", "?", "{"):
+            run += plain
+            if after != "+":
+                continue
+        runs.append(run)
+        run = ""
+    return [r for r in [*runs, run] if len(r) >= LITERAL_RUN]
+
+
+def grams(pattern: str) -> list[str]:
+    return sorted({r[k : k + LITERAL_RUN] for r in required_runs(pattern) for k in range(len(r) - LITERAL_RUN + 1)})
+
+
+class RubbishIndex:
+    """Finds what rubbish_template finds: a signature is tried on lines that hold its rarest gram of six characters."""
+
+    def __init__(self, templates: list[Template]):
+        own = [(i, t, grams(t.signature)) for i, t in enumerate(templates) if trusted(t)]
+        shared = Counter(g for *_, gs in own for g in gs)
+        self.by_gram: dict[str, list[tuple[int, Template]]] = {}
+        self.rest = [(i, t) for i, t, gs in own if not gs]
+        for i, t, gs in own:
+            if gs:
+                self.by_gram.setdefault(min(gs, key=lambda g: (shared[g], g)), []).append((i, t))
+
+    def first(self, line: str) -> Template | None:
+        if len(line) > MOST_TEXT:
+            return None
+        near = list(self.rest)
+        if self.by_gram:
+            for g in {line[k : k + LITERAL_RUN] for k in range(len(line) - LITERAL_RUN + 1)} & self.by_gram.keys():
+                near += self.by_gram[g]
+        return next((t for _, t in sorted(near, key=lambda x: x[0]) if re.search(t.signature, line)), None)
+
+
+_BITS = 20
+
+
+def _gram_hashes(raw: bytes) -> np.ndarray:
+    """A 64-bit hash of each six bytes in a row."""
+    x = np.frombuffer(raw, np.uint8).astype(np.uint64)
+    n = max(0, len(x) - LITERAL_RUN + 1)
+    h = np.zeros(n, np.uint64)
+    for k in range(LITERAL_RUN):
+        h = (h + x[k : k + n] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return h
+
+
 def match_rubbish(lines: DataFrame, templates: DataFrame, order: str = "template_id", key: list[str] | None = None, text: str = "text") -> DataFrame:
-    """Native: lines with the first rubbish template whose signature they match, or null. Templates are few by design."""
+    """Lines with the first rubbish template, by `order`, that may be trusted and whose signature they match, or null.
+
+    Lines and signatures meet by an equal join on grams: a signature's rarest six bytes, by how many signatures share them, must be in a
+    line that it matches. Of a line's grams only those go on that a bit map of all signatures' grams (128 KB, whatever their number)
+    lets through. Patterns that may match without a plain run of six are joined to all lines; where there are none, nothing is.
+    """
     key = key or ["source", "line_no"]
-    trusted = templates.where((F.col("kind") == "rubbish") & (F.col("confidence") >= CONFIDENT)).select(F.col(order).alias("_order"), F.col("template_id").alias("rubbish_id"), F.col("signature").alias("_signature"))
-    hit = lines.join(F.broadcast(trusted), F.expr(f"{text} rlike _signature"))
-    first = hit.groupBy(*key).agg(F.min_by("rubbish_id", "_order").alias("rubbish_id"))
+    ship(lines.sparkSession)
+    known = templates.where((F.col("kind") == "rubbish") & (F.col("confidence") >= CONFIDENT)).select(F.col(order).cast("string").alias("_order"), F.col("template_id").alias("rubbish_id"), F.col("signature").alias("_signature"))
+
+    def indexed(batches):
+        for b in batches:
+            rows = [(*r, [int(_gram_hashes(g.encode())[0].view(np.int64)) for g in grams(r[2])]) for r in zip(*(c.to_pylist() for c in b.columns), strict=True) if r[2] and literal_run(r[2]) >= LITERAL_RUN and safe_pattern(r[2])]
+            cols = list(zip(*rows, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.string()) for c in cols[:3]], pa.array(cols[3], pa.list_(pa.int64()))], names=["_order", "rubbish_id", "_signature", "_grams"])
+
+    known = known.mapInArrow(indexed, "_order string, rubbish_id string, _signature string, _grams array<long>")
+    each = known.where(F.size("_grams") > 0).select("_order", "rubbish_id", "_signature", F.explode("_grams").alias("_gram"))
+    shared = each.groupBy("_gram").agg(F.count("*").alias("_n"))
+    rarest = each.join(shared, "_gram").groupBy("_order", "rubbish_id", "_signature").agg(F.min_by("_gram", F.struct("_n", "_gram")).alias("_gram"))
+    bits = np.zeros(1 << _BITS - 6, np.uint64)
+    place = F.shiftrightunsigned("_gram", 64 - _BITS)
+    for word, b in rarest.select(F.shiftright(place, 6).cast("int").alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int")).alias("b")).groupBy("w").agg(F.bit_or("b")).collect():
+        bits[word] = np.int64(b).view(np.uint64)
+    kinds = {f.name: f.dataType.simpleString() for f in lines.schema.fields}
+
+    def hits(batches):
+        for b in batches:
+            raws = [(x or "").encode() for x in b.column(len(key)).to_pylist()]
+            whole = _gram_hashes(b"".join(raws))
+            ends = np.cumsum([len(r) for r in raws])
+            at = np.flatnonzero(bits[(whole >> np.uint64(64 - _BITS + 6)).astype(np.int64)] >> (whole >> np.uint64(64 - _BITS) & np.uint64(63)) & np.uint64(1))
+            row = np.searchsorted(ends, at, side="right")
+            inside = at + LITERAL_RUN <= ends[row] if len(at) else np.empty(0, bool)
+            pairs = np.unique(np.stack([row[inside].astype(np.int64), whole[at[inside]].view(np.int64)], 1), axis=0) if inside.any() else np.empty((0, 2), np.int64)
+            took = b.take(pa.array(pairs[:, 0]))
+            yield pa.RecordBatch.from_arrays([*took.columns, pa.array(pairs[:, 1])], names=[*b.schema.names, "_gram"])
+
+    near = lines.select(*key, text).where(F.length(text) <= MOST_TEXT)
+    found = near.mapInArrow(hits, ", ".join(f"`{c}` {kinds[c]}" for c in [*key, text]) + ", _gram long").join(rarest, "_gram").where(F.expr(f"`{text}` rlike _signature")).select(*key, "rubbish_id", "_order")
+    rest = known.where(F.size("_grams") == 0)
+    if not rest.isEmpty():
+        found = found.unionByName(near.join(rest, F.expr(f"`{text}` rlike _signature")).select(*key, "rubbish_id", "_order"))
+    first = found.groupBy(*key).agg(F.min_by("rubbish_id", "_order").alias("rubbish_id"))
     return lines.join(first, key, "left")
 
 

@@ -165,12 +165,15 @@ SELECT fingerprint, count(*) AS n FROM (
         UNION ALL SELECT event_id || ',' || event_type FROM events))
 GROUP BY fingerprint
 UNION ALL
-SELECT substr(sha256('json|k|utf-8'), 1, 24), count(*) FROM events
+SELECT substr(sha256('json|k'), 1, 24), count(*) FROM events
+UNION ALL
+SELECT substr(sha256('empty'), 1, 24), count(*) FROM events
 UNION ALL
 SELECT substr(sha256('text|' || length(r_name) || '|utf-8'), 1, 24), count(*) FROM region GROUP BY length(r_name)""")
 def fingerprint_groups(spark, sf_dir):
     o, e, r = (t(spark, sf_dir, n) for n in ("orders", "events", "region"))
     ls = o.select(F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderstatus").alias("text")).unionByName(e.select(F.concat_ws(",", "event_id", "event_type").alias("text"))).unionByName(e.select(F.col("props").alias("text"))).unionByName(r.select(F.col("r_name").alias("text")))
+    ls = ls.unionByName(e.select(F.expr("repeat(' ', cast(event_id % 5 AS int))").alias("text")))
     return detect.distinct_structures(ls).select("fingerprint", "n")
 
 
@@ -245,6 +248,19 @@ def rubbish_signature(spark, sf_dir):
     return templates.match_rubbish(ls, known).select(F.col("line_no").alias("k"), "rubbish_id")
 
 
+@query("""
+WITH sig AS (SELECT p_partkey, 'from ' || p_brand || ' part ' || p_partkey || ':' AS s, CASE WHEN p_size % 5 = 0 THEN 0.5 ELSE 0.95 END AS c FROM part),
+line AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, 'note from ' || p_brand || ' part ' || l_partkey || ': ' || l_linenumber AS x FROM lineitem JOIN part ON l_partkey = p_partkey)
+SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN c >= 0.9 THEN 'sig' || lpad(p_partkey::VARCHAR, 8, '0') END AS rubbish_id
+FROM line LEFT JOIN sig ON strpos(x, s) > 0""")
+def rubbish_signatures_many(spark, sf_dir):
+    """As many signatures as there are parts, each with two words that many of them share; a line meets few of them."""
+    p, li = t(spark, sf_dir, "part"), t(spark, sf_dir, "lineitem")
+    known = p.select(F.concat(F.lit("sig"), F.lpad(F.col("p_partkey").cast("string"), 8, "0")).alias("template_id"), F.lit("rubbish").alias("kind"), F.when(F.col("p_size") % 5 == 0, 0.5).otherwise(0.95).alias("confidence"), F.concat(F.lit("from "), F.replace("p_brand", F.lit("#"), F.lit("[#]")), F.lit(" part "), F.col("p_partkey").cast("string"), F.lit(":")).alias("signature"))
+    ls = li.join(p, li["l_partkey"] == p["p_partkey"]).select("l_orderkey", "l_linenumber", "l_partkey", F.concat(F.lit("note from "), "p_brand", F.lit(" part "), F.col("l_partkey").cast("string"), F.lit(": "), F.col("l_linenumber").cast("string")).alias("text"))
+    return templates.match_rubbish(ls.distinct(), known, key=["l_orderkey", "l_linenumber", "l_partkey"]).select("l_orderkey", "l_linenumber", "l_partkey", "rubbish_id")
+
+
 @query("""
 SELECT event_type, count(*) AS n FROM (SELECT CASE WHEN event_type = 'error' THEN 'rubbish' ELSE 'parsed' END AS event_type FROM events) GROUP BY event_type""")
 def learned_templates(spark, sf_dir):

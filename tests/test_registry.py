@@ -1,5 +1,6 @@
 """Kept templates, teachers' answers, headers through the API, compaction by template, and measures."""
 
+import random
 import datetime as dt
 import re
 
@@ -133,3 +134,46 @@ def test_observed(spark):
     out, seen = metrics.observed(df, {"job": "j", "at": "x"}, **metrics.verdict_measures())
     assert out.count() == 4
     assert seen.get == {"lines,at=x,job=j": 4, "parsed,at=x,job=j": 2, "rubbish,at=x,job=j": 1, "uncertain,at=x,job=j": 0}
+
+
+def _random_patterns(r, n):
+    words = ["error", "warning:", "level=", "debugging", "timeout", "user id", "xyzzy", "été chaud"]
+    out = []
+    for i in range(n):
+        w = [re.escape(r.choice(words)) for _ in range(r.randint(1, 3))]
+        form = r.choice(["{0}", "^{0}", "{0}\\d+", "{0}.*{1}", "({0}|{1})", "({0})?{1}", "{0}+{1}", "{0}?{1}", "[^a]{0}", "{0}$", "x|{0}"])
+        out.append(templates.Template(f"t{i:05d}", f"f{i}", "rubbish", signature=form.format(w[0], w[-1]), confidence=r.choice([0.5, 0.95, 1.0])))
+    return out
+
+
+def test_signatures_by_gram(spark):
+    r = random.Random(8)
+    known = _random_patterns(r, 60) + [templates.Template(f"u{i:05d}", "f", "rubbish", signature=f"code {i:05d} at", confidence=1.0) for i in range(5000)]
+    bits = ["error", "warning:", "level=", "debugging", "timeout", "user id", "xyzzy", "été chaud", "77", " ", "a", "code 00042 at", "code 04999 at", "erro", "x"]
+    lines = ["".join(r.choices(bits, k=r.randint(0, 6))) for _ in range(300)] + ["", "warning:" * 9000]
+    index = templates.RubbishIndex(known)
+    want = [w.template_id if (w := templates.rubbish_template(known, x)) else None for x in lines]
+    assert [g.template_id if (g := index.first(x)) else None for x in lines] == want and len(set(want)) > 8
+    df = spark.createDataFrame([("s", i, x) for i, x in enumerate(lines)] + [("s", 999, None)], "source string, line_no long, text string")
+    got = {x.line_no: x.rubbish_id for x in templates.match_rubbish(df, spark.createDataFrame([t.row() for t in known], templates.SCHEMA)).collect()}
+    assert [got[i] for i in range(len(lines))] == want and got[999] is None
+    plain = [t for t in known if templates.grams(t.signature)]
+    plan = templates.match_rubbish(df, spark.createDataFrame([t.row() for t in plain], templates.SCHEMA))._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_record_templates_by_bound():
+    r = random.Random(9)
+    spec = FieldSpec(["email", "name", "phone", "city"])
+    known = []
+    for i in range(5000):
+        structure = r.choice(["csv", "csv", "csv", "kv", "json", "fixed"])
+        how = (lambda: f"index:{r.randint(0, 12)}") if structure in ("csv", "fixed") else (lambda: f"key:{r.choice('abcd')}")
+        places = {f: r.choice([how, how, lambda: "regex:(x+)"])() for f in r.sample(["email", "name", "phone", "city"], r.randint(1, 4))}
+        known.append(templates.Template(f"t{i}", "f", "record", field_map=places, structure=structure, delimiter=r.choice([",", ";", "~"]), length_hint=r.choice([0, 0, 5, 30])))
+    index = templates.RecordIndex(known, spec)
+    lines = [r.choice([",", ";", "~"]).join(r.choice(["a@example.com", "no", "+1 555 010 0101", "", "xx", "Rae"]) for _ in range(r.randint(1, 9))) for _ in range(60)]
+    lines += ['{"a":"x","b":2}', "a: 1 - b: x", "", "{broken", "nothing"]
+    for x in lines:
+        assert index.best(x) == templates.best_template(known, x, spec)
+    assert index.tried < 0.5 * len(lines) * len(known)
