@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .windows import WIDTH, over_last
+
 TERMINAL = ("Completed", "Partial", "On Hold", "Failed")
 #: In order of progress.
 STATUSES = ("Created", "Ingesting", "Needs Password", "Detecting", "Parsing", "Merging Output", "Saving to Database", "Reporting", "Completed", "Partial", "On Hold", "Failed")
@@ -111,8 +113,6 @@ def entry_counts(entries: DataFrame, by: str = "job_id") -> DataFrame:
     return entries.groupBy(by).agg(F.count("*").alias("total"), F.count_if(s.isin("pending", "processing")).alias("open"), F.count_if(s == "completed").alias("completed"), F.count_if(s == "failed").alias("failed"), F.coalesce(F.sum("size"), F.lit(0)).alias("total_bytes"))
 
 
-def match_rate(df: DataFrame, by: list[str], order: str, hit: Column, n: int = 1000) -> DataFrame:
-    """The share of hits among the last n rows."""
-    from pyspark.sql import Window
-
-    return df.withColumn("match_rate", F.avg(hit.cast("double")).over(Window.partitionBy(*by).orderBy(order).rowsBetween(-(n - 1), 0)))
+def match_rate(df: DataFrame, by: list[str], order: str, hit: Column, n: int = 1000, width: int = WIDTH) -> DataFrame:
+    """The share of hits among the last n rows, in order of a number that starts near 1."""
+    return over_last(df.withColumn("_hit", hit.cast("double")), by, order, {"match_rate": (F.avg("_hit"), -(n - 1), 0)}, width).drop("_hit")

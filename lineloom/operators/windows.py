@@ -50,9 +50,28 @@ def newline_lines(df: DataFrame, by: list[str], offset: str, newlines: str, out:
     return got.withColumn(out, (F.col("_ends") - F.coalesce(newlines, F.lit(0)) + 1).cast("long")).drop("_ends")
 
 
-def recent(df: DataFrame, by: list[str], order: list[str], value: str, n: int = 3, out: str = "recent") -> DataFrame:
-    """The n values before each row, oldest first."""
-    return df.withColumn(out, F.collect_list(value).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(-n, -1)))
+def with_halo(df: DataFrame, by: list[str], order: str, n: int, width: int = WIDTH) -> DataFrame:
+    """df in stretches of `width` rows, each with the n rows before it, so that a window over n rows needs no task with a whole group.
+
+    Adds _place, the row's dense place within `by`, _in, the stretch, and _own: false for the rows that a stretch borrows. A row goes to
+    its stretch and to those after it that look back on it, more than one if they are shorter than n.
+    """
+    placed = dense_index(df, by, order, "_place", width)
+    at = lambda c: F.floor(c / width).cast("long")
+    return placed.withColumn("_in", F.explode(F.sequence(at(F.col("_place")), at(F.col("_place") + n)))).withColumn("_own", F.col("_in") == at(F.col("_place")))
+
+
+def over_last(df: DataFrame, by: list[str], order: str, out: dict[str, tuple[Column, int, int]], width: int = WIDTH) -> DataFrame:
+    """df with columns {name: (aggregate, first, last)} over the rows from `first` to `last`, as in rowsBetween, none of them ahead."""
+    n = max(-first for _, first, _ in out.values())
+    halo = with_halo(df, by, order, n, width)
+    own = Window.partitionBy(*by, "_in").orderBy("_place")
+    return halo.withColumns({k: c.over(own.rowsBetween(first, last)) for k, (c, first, last) in out.items()}).where("_own").drop("_place", "_in", "_own")
+
+
+def recent(df: DataFrame, by: list[str], order: str, value: str, n: int = 3, out: str = "recent", width: int = WIDTH) -> DataFrame:
+    """The n values before each row, oldest first, in order of a number that starts near 1; nulls aren't among them."""
+    return over_last(df, by, order, {out: (F.collect_list(value), -n, -1)}, width)
 
 
 def latest(df: DataFrame, by: list[str], order: str) -> DataFrame:

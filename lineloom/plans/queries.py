@@ -484,7 +484,7 @@ def header_set_union(spark, sf_dir):
 
 @query("SELECT event_id, CAST(round(1000 * avg(CASE WHEN event_type = 'click' THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY user_id ORDER BY event_id ROWS 9 PRECEDING)) AS BIGINT) AS rate FROM events")
 def match_rate_history(spark, sf_dir):
-    r = stats.match_rate(t(spark, sf_dir, "events"), ["user_id"], "event_id", F.col("event_type") == "click", 10)
+    r = stats.match_rate(t(spark, sf_dir, "events"), ["user_id"], "event_id", F.col("event_type") == "click", 10, width=64)
     return r.select("event_id", F.round(F.col("match_rate") * 1000).cast("long").alias("rate"))
 
 
@@ -499,7 +499,7 @@ def dense_record_index(spark, sf_dir):
 
 @query("SELECT event_id, list_aggregate(list(event_type) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), 'string_agg', '|') AS recent FROM events")
 def rolling_context(spark, sf_dir):
-    r = windows.recent(t(spark, sf_dir, "events"), ["user_id"], ["event_id"], "event_type")
+    r = windows.recent(t(spark, sf_dir, "events"), ["user_id"], "event_id", "event_type", width=64)
     return r.select("event_id", F.when(F.size("recent") > 0, F.array_join("recent", "|")).alias("recent"))
 
 

@@ -154,6 +154,25 @@ def test_running_values_cross_stretches(spark):
     assert a == b and len(a) == 4
 
 
+def test_windows_over_stretches(spark):
+    """Sliding windows over the borders of stretches, and over stretches shorter than the window, equal plain ones."""
+    import random
+
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from lineloom.operators import stats, windows
+
+    g = random.Random(6)
+    rows = [(s, o, g.choice([None, 1, 2, 5])) for s in ("x", "y", None) for o in g.sample(range(1, 400), 90)]
+    df = spark.createDataFrame(rows, "s string, o long, n long")
+    for n, width in ((3, 16), (7, 3), (20, 5), (4, 4), (2, 1000)):
+        own = Window.partitionBy("s").orderBy("o")
+        want = df.withColumn("recent", F.collect_list("n").over(own.rowsBetween(-n, -1))).withColumn("rate", F.avg((F.col("n") > 1).cast("double")).over(own.rowsBetween(-(n - 1), 0)))
+        got = stats.match_rate(windows.recent(df, ["s"], "o", "n", n, width=width), ["s"], "o", F.col("n") > 1, n, width)
+        assert sorted(map(repr, got.select("s", "o", "recent", F.round("match_rate", 9).alias("rate")).collect())) == sorted(map(repr, want.select("s", "o", "recent", F.round("rate", 9).alias("rate")).collect()))
+
+
 def test_first_load_and_nulls(spark):
     from lineloom.operators import sinks
 
