@@ -18,6 +18,7 @@ from ..operators import headers as hd
 from ..operators.cells import best_delimiter, merged_scheme
 from ..sources import archives, dumps, jsons, lines
 from ..spec import FieldSpec
+from ..streaming import queue
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -912,6 +913,20 @@ def state_fold(spark, sf_dir):
     return jobs.fold(e)
 
 
+@query(ORACLE["state_fold"])
+def queued_fold(spark, sf_dir):
+    """The same states from events that went through a queue, in two batches with the later events first in each."""
+    status = F.element_at(F.array(*map(F.lit, _CYCLE)), (F.col("event_id") % 7 + 1).cast("int"))
+    e = t(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("key"), "event_id", F.to_json(F.struct("event_id", "ts", status.alias("status"))).alias("body"))
+    folder = queue.fresh(spark)
+    for part in (1, 0):
+        queue.publish(e.where(F.col("event_id") % 2 == part), folder, [F.desc("event_id")])
+    queue.register(spark)
+    got = spark.read.format("jobqueue").option("path", folder).load()
+    body = F.from_json("body", "event_id bigint, ts timestamp, status string")
+    return jobs.fold(got.select(F.col("key").cast("long").alias("job_id"), body.alias("b")).select("job_id", "b.event_id", F.col("b.ts").alias("timestamp"), "b.status"))
+
+
 @query("SELECT DISTINCT sha256(o_custkey || chr(31) || o_orderpriority) AS job_id, CAST(o_custkey AS VARCHAR) AS parent FROM orders")
 def child_jobs(spark, sf_dir):
     o = t(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("job_id"), F.col("o_orderpriority").alias("entry"))
