@@ -20,7 +20,7 @@ weights are whole numbers, the n-th occurrence of a shingle is an element of its
 sets of elements (six bytes of each one's hash).
 
 Hot buckets and documents in many pairs are dealt to many tasks: groups of hot keys are sent to all tasks, and a
-document's set is repeated once for each 64 of its rows. Ids are sent to all tasks while there are at most SENT. A task holds one leader's set, or the sets of one group.
+document's set is repeated once for each 64 of its rows. Slim rows are sent to all tasks while there are at most SENT. A task holds one leader's set, or the sets of one group.
 
 Null and empty texts have no shingles and are each alone. Equal texts of fewer than five words are one class. Rows
 that share a doc_id are judged as one document with the shingles of the one whose text hashes least. A null doc_id is
@@ -48,7 +48,7 @@ K = BANDS * ROWS
 SMALL, BLOCK, HELD = 2048, 2048, 1 << 20
 #: So many members are compared to a leader in one place.
 LED = 256
-#: So many ids (some 32 MB) are sent to all tasks, so that no text is shuffled; more are joined.
+#: So many slim rows (some 32 MB) are sent to all tasks, so that texts and sets needn't be shuffled to meet them; more are joined.
 SENT = 1 << 20
 #: Poisson(1): the chance of at most so many darts in a cell.
 _TERMS = np.cumsum([1.0, *np.cumprod(1.0 / np.arange(1, 16))]) * np.exp(-1.0)
@@ -360,8 +360,16 @@ def _name(*of: str) -> Column:
     return F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(seed), *of)), 16, "0") for seed in (1, 2)]).alias("name")
 
 
+def sent_if_few(df: DataFrame) -> DataFrame:
+    """df, to be sent to all tasks if it has at most SENT rows; its rows are slim."""
+    return F.broadcast(df) if df.count() <= SENT else df
+
+
 def with_sets(rows: DataFrame, sets: DataFrame, of: str) -> DataFrame:
     """rows with the set `six` of the document `of`. One with many rows is dealt to many tasks, and its set is repeated for each 64 of them."""
+    few = sent_if_few(rows)
+    if few is not rows:
+        return few.join(sets, few[of] == sets["doc_id"]).drop("doc_id")
     spread = rows.withColumn("_part", F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 20)).cast("int"))
     many = cut(rows.groupBy(of).agg(F.count("*").alias("n")).where("n > 64").select(F.col(of).alias("doc_id"), F.ceil(F.col("n") / 64).cast("int").alias("parts")), "many")
     if many.isEmpty():
@@ -385,12 +393,12 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
     banded = cut(lead.select(F.col("doc_id").alias("id"), "size", "bands"), "leads").select("id", "size", F.explode("bands").alias("key"))
     # of buckets with the same members, by number, sum and parity of 64-bit hashes, one is enough
     counted = banded.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64(F.lit(7), "id")).alias("x")).where("n > 1")
-    counted = counted.groupBy("n", "s", "x").agg(F.min("key").alias("key"))
-    member = cut(banded.join(counted.select("key"), "key", "left_semi").select("key", "id", "size"), "members")
+    counted = cut(counted.groupBy("n", "s", "x").agg(F.min("key").alias("key")).select("key"), "keys")
+    member = cut(banded.join(sent_if_few(counted), "key", "left_semi").select("key", "id", "size"), "members")
     with released(spark):
         members = member.count()
     nodes = cut(member.select("id").distinct(), "nodes")
-    few = F.broadcast(nodes) if nodes.count() <= SENT else nodes
+    few = sent_if_few(nodes)
     sets = cut(docs.join(few, docs["doc_id"] == few["id"], "left_semi").mapInArrow(_sets(weighted), "doc_id long, six binary").dropDuplicates(["doc_id"]), "sets")
 
     near = F.least("size", "size2") >= F.lit(least) * F.greatest("size", "size2") - 1e-9
@@ -403,7 +411,7 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
         star = rest.select("id", F.col("l.id").alias("lead"), "size", F.col("l.size").alias("size2"), "n").where(near)
         star = cut(star.groupBy("id", "lead").agg(F.max("n").alias("n")).withColumn("chunk", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / LED)).cast("int")), "pairs")
         rest = rest.select("key", "id", "size")
-        sent = star.select("lead", "chunk", "id").unionByName(star.select("lead", "chunk", F.col("lead").alias("id")).distinct())
+        sent = cut(star.select("lead", "chunk", "id").unionByName(star.select("lead", "chunk", F.col("lead").alias("id")).distinct()), "sent")
         full = with_sets(sent, sets, "id").repartition("lead", "chunk").sortWithinPartitions("lead", "chunk", F.col("id") != F.col("lead"))
         found = cut(full.select("lead", "id", "six").mapInArrow(_led(least), "u long, v long"), "links")
         links = found if links is None else links.unionByName(found)
