@@ -8,18 +8,18 @@ import uuid
 from dataclasses import dataclass, replace
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.encoding import detect as detect_encoding
 from .operators import classify as cl
 from .operators import detect as dt_ops
 from .operators import headers as hd
-from .operators import jobs, sinks, stats
+from .operators import jobs, metrics, sinks, stats
 from .operators import registry as rg
 from .operators.templates import Teacher, Template, learn
 from .ship import ship
-from .sources import archives, dumps, jsons, lines
+from .sources import archives, dumps, jsons, lines, parts
 from .spec import FieldSpec, guessed_map
 
 JOB = "job_id string, batch_id string, parent_job_id string, source_type string, source_ref string, field_spec array<string>, status string, parsed long, dropped_rubbish long, total_failed long, created_at timestamp, updated_at timestamp"
@@ -154,6 +154,10 @@ class Parsed:
     dead_letters: DataFrame
     counts: DataFrame
     templates: list[Template]
+    #: labels, delimiter and places of each source with a header
+    layout: DataFrame
+    #: lines and verdicts as they were counted while the first verdicts were written: `measures.get`
+    measures: Observation
 
 
 def whole_records(files: DataFrame) -> DataFrame:
@@ -167,8 +171,8 @@ def whole_records(files: DataFrame) -> DataFrame:
     return good.unionByName(bad.select("source", F.lit(1).cast("long").alias("line_no"), F.lit(0).cast("long").alias("byte_offset"), F.lit(0).alias("byte_length"), F.lit(None).cast("string").alias("text"), "error"))
 
 
-def judged(spark: SparkSession, path: str, spec: FieldSpec, templates: list[Template] = (), headers: list[str] | None = None, encoding: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """The lines of all files, judged by what kind of file they are in, and the layouts of those with headers.
+def judged(spark: SparkSession, path: str, spec: FieldSpec, templates: list[Template] = (), headers: list[str] | None = None, encoding: str | None = None) -> tuple[DataFrame, DataFrame, Observation]:
+    """The lines of all files, judged by what kind of file they are in, the layouts of those with headers, and the count of verdicts.
 
     A file that is one JSON document gives its records, a MySQL dump the tuples of its INSERTs, a PostgreSQL dump its lines by stage,
     any other its lines. What can't be read (a document too large, a statement, a file in a broken archive) becomes a dead letter.
@@ -197,7 +201,8 @@ def judged(spark: SparkSession, path: str, spec: FieldSpec, templates: list[Temp
     whole = whole_records(kinds.where("kind = 'json'")).unionByName(tuples).unionByName(packed).unionByName(unread)
     out = out.unionByName(cl.classify(whole.where("error IS NULL").drop("error"), spec, list(templates), layout=none))
     failed = whole.where("error IS NOT NULL").select(*plain.columns, F.lit("uncertain").alias("verdict"), F.lit(None).cast("string").alias("template_id"), F.lit(None).cast("int").alias("template_version"), F.col("error").alias("failure_class"), F.lit(None).cast("map<string,string>").alias("fields"))
-    return stored(out.unionByName(failed), "verdicts"), none if layout is None else layout
+    out, seen = metrics.observed(out.unionByName(failed), **metrics.verdict_measures())
+    return stored(out, "verdicts"), none if layout is None else layout, seen
 
 
 def parse(spark: SparkSession, path: str, spec: FieldSpec, job_id: str, now: dt.datetime, templates: list[Template] = (), teacher: Teacher | None = None, budget: int = 10, headers: list[str] | None = None, encoding: str | None = None, registry: DataFrame | None = None) -> Parsed:
@@ -208,7 +213,7 @@ def parse(spark: SparkSession, path: str, spec: FieldSpec, job_id: str, now: dt.
     """
     if headers and spec.column_map:
         spec = replace(spec, column_map=guessed_map(spec.column_map, headers, spec.fields))
-    done, layout = judged(spark, path, spec, templates, headers, encoding)
+    done, layout, seen = judged(spark, path, spec, templates, headers, encoding)
     known = list(templates)
     open_ = (F.col("verdict") == "uncertain") & (F.col("failure_class") == "uncertain")
     if registry is not None:
@@ -219,7 +224,7 @@ def parse(spark: SparkSession, path: str, spec: FieldSpec, job_id: str, now: dt.
             known += new
             again = done.where(open_).select("source", "line_no", "byte_offset", "byte_length", "text")
             done = stored(done.where(~F.coalesce(open_, F.lit(False))).unionByName(cl.classify(again, spec, known, headers, layout=layout)), "verdicts")
-    return Parsed(done, cl.records(done, job_id, now), cl.rubbish(done, job_id, now), cl.dead_letters(done, job_id, now), stats.job_counts(done.withColumn("job_id", F.lit(job_id)), ["job_id"]), known)
+    return Parsed(done, cl.records(done, job_id, now), cl.rubbish(done, job_id, now), cl.dead_letters(done, job_id, now), stats.job_counts(done.withColumn("job_id", F.lit(job_id)), ["job_id"]), known, layout, seen)
 
 
 def parse_dump(spark: SparkSession, path: str, spec: FieldSpec) -> DataFrame:
@@ -233,7 +238,16 @@ def parse_json(spark: SparkSession, path: str, spec: FieldSpec) -> DataFrame:
     return cl.classify(r, spec, layout=cl.no_layout(spark))
 
 
-def finalize(spark: SparkSession, path: str, target: str, by_template: bool = False) -> int:
+def store(records: DataFrame, path: str) -> int:
+    """Adds records to the parts under a path; they count once the manifest names them. Gives the new generation."""
+    parts.write_parts(records, path)
+    return parts.manifest(path)["generation"]
+
+
+def finalize(spark: SparkSession, path: str, target: str | None = None, by_template: bool = False) -> int:
+    """Few files instead of many: of parts with a manifest in their place, else of Parquet files in a folder of their own."""
+    if target is None:
+        return parts.compact(spark, path)
     return sinks.compact_groups(spark, path, target) if by_template else sinks.compact(spark, path, target)
 
 
@@ -241,18 +255,19 @@ def load(records: DataFrame, table: str) -> None:
     sinks.load(records, table)
 
 
-def report(jobs_: DataFrame, counts: DataFrame, parts: DataFrame) -> DataFrame:
-    return stats.report(jobs_, counts, parts)
+def report(jobs_: DataFrame, counts: DataFrame, part_rows: DataFrame) -> DataFrame:
+    return stats.report(jobs_, counts, part_rows)
 
 
 def rollup(jobs_: DataFrame) -> DataFrame:
     return stats.batch_rollup(jobs_)
 
 
-def retry(dead: DataFrame, spec: FieldSpec, classes: list[str], templates: list[Template] = ()) -> DataFrame:
-    """Dead letters of some classes, judged again."""
-    again = sinks.reprocess(dead, classes).select(F.col("job_id").alias("source"), "line_no", "byte_offset", "byte_length", F.col("raw_bytes").alias("text"))
-    return cl.classify(again, spec, list(templates), layout=cl.no_layout(dead.sparkSession))
+def retry(dead: DataFrame, spec: FieldSpec, classes: list[str], templates: list[Template] = (), layout: DataFrame | None = None) -> DataFrame:
+    """Dead letters of some classes, judged again, each by the layout of its source (what `parse` gives as layout), if there is one."""
+    source = F.coalesce("source", "job_id") if "source" in dead.columns else F.col("job_id")
+    again = sinks.reprocess(dead, classes).select(source.alias("source"), "line_no", "byte_offset", "byte_length", F.col("raw_bytes").alias("text"))
+    return cl.classify(again, spec, list(templates), layout=cl.no_layout(dead.sparkSession) if layout is None else layout)
 
 
 def transition(jobs_: DataFrame, job_id: str, status: str, now: dt.datetime) -> DataFrame:

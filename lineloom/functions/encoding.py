@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import codecs
+import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -38,12 +39,102 @@ def likely_utf8(head: bytes) -> bool:
         return False
 
 
-def detect(head: bytes) -> str:
-    """UTF-16 by lanes, else UTF-8 if valid, else windows-1252, or latin-1 where that has no such characters."""
+#: What a head may be in beside UTF-8 and UTF-16. Of encodings that read a head alike the first counts.
+SINGLE = ("windows-1252", "windows-1251", "koi8-r", "windows-1250")
+DOUBLE = ("shift_jis", "gbk", "big5", "euc_kr")
+SURE = 0.9
+
+
+def _kind(c: str) -> str:
+    """The class of a character: lower or upper case, a letter of another kind, digit, blank, mark; odd is what texts hardly have."""
+    if c.isascii():
+        return "a" if c.islower() else "A" if c.isupper() else "d" if c.isdigit() else " " if c.isspace() else "." if c.isprintable() else "?"
+    if c.isalpha():
+        return "l" if c.islower() else "L" if c.isupper() else "?" if c in "ªº" else "o"
+    return "." if unicodedata.category(c) in ("Pi", "Pf", "Pd", "Po", "Sc") or c in "\u00a0\u00a7\u2116\u00b0" else "?"
+
+
+#: How pairs of classes count, of which one at least isn't ASCII; other pairs count nothing. Lower case follows either case, upper case
+#: begins words; a mark or an odd character within a word, and upper case behind lower case, speak against a reading.
+_PAIRS = {
+    **dict.fromkeys(("ll", "al", "la", "Ll", "Al", "La"), 1.0), **dict.fromkeys((" l", "l ", " L", ".l", "l.", ".L", " .", ". "), 0.6),
+    **dict.fromkeys(("LL", "AL", "LA", "L ", "L."), 0.2), **dict.fromkeys(("lL", "lA", "aL"), -2.0),
+    **dict.fromkeys(("l?", "?l", "a?", "?a", "L?", "?L", "A?", "?A", "??"), -1.5), **dict.fromkeys(("ld", "dl", " ?", "? "), -0.4),
+}
+
+
+# Letters with marks that are frequent in languages written in an encoding.
+_USUAL = {"windows-1252": frozenset("éèêàâçîôûëüäöåæøñóíáúõãßÉÀÄÖÜÇÑ"), "windows-1250": frozenset("ěščřžýůťďňąęłśźżćńőűáíéúóäöüßĚŠČŘŽĄĘŁŚŹŻÚ")}
+
+
+def _single(text: str, name: str) -> float:
+    """How well a reading fits, from -1 to 1."""
+    kinds = [_kind(c) for c in text]
+    pairs = [x + y for x, y, c, d in zip(kinds, kinds[1:], text, text[1:], strict=False) if not (c.isascii() and d.isascii())]
+    if not pairs:
+        return -1.0
+    score = sum(_PAIRS.get(p, 0.0) for p in pairs) / len(pairs)
+    # an alphabet other than Latin is written without Latin letters within its words
+    foreign = sum(not c.isascii() and c.isalpha() for c in text)
+    if name in ("windows-1251", "koi8-r"):
+        mixed = sum(a.isascii() and a.isalpha() and not b.isascii() and b.isalpha() or b.isascii() and b.isalpha() and not a.isascii() and a.isalpha() for a, b in zip(text, text[1:], strict=False))
+        score -= 2.0 * mixed / max(1, foreign)
+        return score
+    if foreign > 0.6 * sum(c.isalpha() for c in text):
+        score -= 1.0  # Latin letters without marks are the rule in the others
+    return score + 0.4 * sum(c in _USUAL[name] for c in text) / max(1, foreign)
+
+
+def _double(head: bytes, name: str) -> float:
+    """How well a reading by pairs of bytes fits: kana or the frequent half of the characters speak for it."""
+    try:
+        text = codecs.getincrementaldecoder(name)("strict").decode(head, False)
+    except UnicodeDecodeError:
+        return -1.0
+    wide = [c for c in text if not c.isascii()]
+    if not wide or any(c == "\ufffd" or unicodedata.category(c) in ("Co", "Cn") for c in wide):
+        return -1.0
+    if name == "shift_jis":
+        half = sum("\uff61" <= c <= "\uff9f" for c in wide)
+        kana = sum("\u3040" <= c <= "\u30ff" for c in wide)
+        return (kana + 0.3 * (len(wide) - kana - half) - 2 * half) / len(wide) + (0.5 if kana > 0.2 * len(wide) else -0.3)
+    if name == "euc_kr":
+        return 1.2 * sum("\uac00" <= c <= "\ud7a3" for c in wide) / len(wide) - 0.4
+    leads = [c.encode(name, "ignore")[:1] for c in wide if "\u4e00" <= c <= "\u9fff"]
+    if not leads:
+        return -0.5
+    low, high = (0xB0, 0xD7) if name == "gbk" else (0xA4, 0xC6)
+    frequent = sum(bool(x) and low <= x[0] <= high for x in leads) / len(leads)
+    odd = sum(not ("\u4e00" <= c <= "\u9fff" or "\u3000" <= c <= "\u303f" or "\uff00" <= c <= "\uffef" or c in "“”‘’…—·") for c in wide) / len(wide)
+    return 2 * frequent - 0.9 - 2 * odd
+
+
+def guess(head: bytes) -> tuple[str, float]:
+    """(encoding, how sure that is, 0 to 1) of a head that is neither UTF-8 nor UTF-16."""
+    head = head[:HEAD]
+    scores = {name: _double(head, name) for name in DOUBLE}
+    for name in SINGLE:
+        try:
+            scores[name] = _single(head.decode(name), name)
+        except UnicodeDecodeError:
+            scores[name] = -1.0
+    ranked = sorted(scores, key=lambda n: -scores[n])
+    best, next_ = scores[ranked[0]], scores[ranked[1]]
+    if best <= 0:
+        return "iso-8859-1", 0.0
+    enough = min(1.0, len({b for b in head if b > 127}) / 6)  # a letter or two may be any
+    return ranked[0], enough * min(1.0, 0.7 + 2 * (best - max(0.0, next_))) if ranked[0] != SINGLE[0] else min(1.0, best + 0.5)
+
+
+def detect(head: bytes, sure: float = SURE) -> str:
+    """UTF-16 by lanes, else UTF-8 if valid, else what is guessed if that is sure enough; else windows-1252, or latin-1 where that has no such characters."""
     if lane := utf16_lane(head):
         return lane
     if likely_utf8(head[:HEAD]):
         return "utf-8"
+    name, how = guess(head)
+    if how >= sure and name != "iso-8859-1":
+        return name
     try:
         head[:HEAD].decode("cp1252")
         return "windows-1252"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column
@@ -91,3 +92,52 @@ def literal_run(pattern: str) -> int:
             run = 0 if pattern[i : i + 1] in ("*", "?", "{") else run
         best = max(best, run)
     return best
+
+
+# -- answers of models ------------------------------------------------------------------------------------------------
+
+_ESCAPE = r'(?:u[0-9a-fA-F]{4}|["\\/bfnrt])'
+#: A backslash that begins no escape, behind escapes that are well-formed.
+_LONE = rf"(?<!\\)((?:\\{_ESCAPE})*+)\\(?!{_ESCAPE})"
+
+
+def _balanced(text: Column, opens: str, closes: str) -> Column:
+    """The first stretch from a bracket to the one that closes it, quoted ones apart; null if none is closed."""
+    start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("depth"), F.lit(0).alias("first"), F.lit(0).alias("last"), F.lit(False).alias("quoted"), F.lit(False).alias("escaped"))
+
+    def step(s: Column, c: Column) -> Column:
+        i, over = s["i"] + 1, s["last"] > 0
+        free = ~s["quoted"] & ~over
+        up, down = free & (c == opens), free & (c == closes) & (s["depth"] > 0)
+        depth = s["depth"] + F.when(up, 1).when(down, -1).otherwise(0)
+        return F.struct(
+            i.alias("i"), depth.alias("depth"), F.when(up & (s["depth"] == 0), i).otherwise(s["first"]).alias("first"), F.when(down & (depth == 0), i).otherwise(s["last"]).alias("last"),
+            F.when((c == '"') & ~s["escaped"], ~s["quoted"]).otherwise(s["quoted"]).alias("quoted"), (s["quoted"] & ~s["escaped"] & (c == "\\")).alias("escaped"),
+        )
+
+    found = F.aggregate(F.split(text, ""), start, step)
+    return F.when(found["last"] > 0, F.substring(text, found["first"], found["last"] - found["first"] + 1))
+
+
+def answer_json(text: Column) -> Column:
+    """Native: the JSON in what a model says. Fences go; text that is JSON stays; else the first object, else the first array, else the
+    text. A backslash that begins no escape is doubled where the result can't be read otherwise."""
+    t = F.trim(F.regexp_replace(F.regexp_replace(F.trim(text), r"^```(?:json)?\s*", ""), r"\s*```\s*$", ""))
+    part = F.when(F.try_parse_json(t).isNotNull(), t).otherwise(F.coalesce(_balanced(t, "{", "}"), _balanced(t, "[", "]"), t))
+    return F.when(F.try_parse_json(part).isNotNull(), part).otherwise(F.regexp_replace(part, _LONE, r"$1\\\\"))
+
+
+def object_in(text: str) -> dict | None:
+    """The first object in what a model says, for a single answer."""
+    mended = re.sub(rf"(\\{_ESCAPE})|\\", lambda m: m[1] or "\\\\", text)
+    for t in (text, mended):
+        at = t.find("{")
+        while at >= 0:
+            try:
+                got = json.JSONDecoder().raw_decode(t, at)[0]
+            except ValueError:
+                got = None
+            if isinstance(got, dict):
+                return got
+            at = t.find("{", at + 1)
+    return None

@@ -302,7 +302,7 @@ def rubbish(classified: DataFrame, job_id: str, now) -> DataFrame:
 def dead_letters(classified: DataFrame, job_id: str, now) -> DataFrame:
     """The uncertain lines; ids are hashes of job and offset, so a repeated run gives the same."""
     at = F.lit(now).cast("timestamp")
-    return classified.where("verdict = 'uncertain'").select(F.sha2(F.concat_ws(":", F.lit(job_id), "source", F.col("byte_offset").cast("string"), F.col("line_no").cast("string")), 256).alias("dlq_id"), F.lit(job_id).alias("job_id"), F.col("byte_offset").cast("long").alias("byte_offset"), F.col("byte_length").cast("int").alias("byte_length"), F.col("line_no").cast("long").alias("line_no"), F.col("text").alias("raw_bytes"), F.split("failure_class", ":")[0].alias("failure_class"), F.col("failure_class").alias("error"), F.lit(0).alias("attempts"), F.lit("pending").alias("status"), at.alias("created_at"), at.alias("updated_at"))
+    return classified.where("verdict = 'uncertain'").select(F.sha2(F.concat_ws(":", F.lit(job_id), "source", F.col("byte_offset").cast("string"), F.col("line_no").cast("string")), 256).alias("dlq_id"), F.lit(job_id).alias("job_id"), F.col("byte_offset").cast("long").alias("byte_offset"), F.col("byte_length").cast("int").alias("byte_length"), F.col("line_no").cast("long").alias("line_no"), F.col("text").alias("raw_bytes"), F.split("failure_class", ":")[0].alias("failure_class"), F.col("failure_class").alias("error"), F.lit(0).alias("attempts"), F.lit("pending").alias("status"), at.alias("created_at"), at.alias("updated_at"), F.col("source").cast("string").alias("source"))
 
 
 def wide(parsed: DataFrame, spec: FieldSpec, fields: str = "fields") -> DataFrame:

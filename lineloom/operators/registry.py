@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import LITERAL_RUN, literal_run, safe_pattern
+from ..functions.text import LITERAL_RUN, literal_run, object_in, safe_pattern
 from ..ship import ship
 from ..spec import FieldSpec
 from .classify import RESULT, Judge, verdict_arrays, with_known
@@ -67,8 +67,10 @@ def tightened(signature: str, line: str) -> str:
     return signature if good else re.escape(line)
 
 
-def from_answer(answer: dict, line: str) -> Template | None:
-    """The template of a teacher's answer {kind: record-template or rubbish-signature, template: {...}}; None if it has none."""
+def from_answer(answer: dict | str, line: str) -> Template | None:
+    """The template of a teacher's answer {kind: record-template or rubbish-signature, template: {...}}, or of text that holds one; None if it has none."""
+    if isinstance(answer, str) and (answer := object_in(answer)) is None:
+        return None
     body = answer.get("template")
     if not isinstance(body, dict):
         return None
@@ -102,7 +104,7 @@ class Limiter:
         self.at.append(self.clock())
 
 
-def asked(ask: Callable[[str, FieldSpec], dict | None], limiter: Limiter | None = None) -> Teacher:
+def asked(ask: Callable[[str, FieldSpec], dict | str | None], limiter: Limiter | None = None) -> Teacher:
     """A teacher from a function that gives answers: what goes by position isn't asked for, all else within the limiter's pace."""
     limiter = limiter or Limiter()
 

@@ -120,17 +120,22 @@ def new_rows(incoming: DataFrame, existing: DataFrame | None, key: tuple[str, ..
 
 def load(records: DataFrame, table: str, fields: str = "fields") -> None:
     """Appends to a table what isn't there yet; columns that the table lacks are left out. The table is parted by job, and only the parts
-    of the jobs that are loaded are looked at."""
+    of the jobs that are loaded are looked at. The JSON text of the fields is stored as a variant, unless the table has it as text."""
     spark = records.sparkSession
+    typed = as_variant(records, fields) if dict(records.dtypes).get(fields) == "string" else records
     if not spark.catalog.tableExists(table):
-        new_rows(records, None).write.partitionBy("_job_id").saveAsTable(table)
+        as_is = new_rows(records, None)
+        (as_variant(as_is, fields) if typed is not records else as_is).write.partitionBy("_job_id").saveAsTable(table)
         return
     there = spark.table(table)
     own = [r[0] for r in records.select("_job_id").distinct().limit(MOST_JOBS + 1).collect()]
     if len(own) <= MOST_JOBS:
         there = there.where(F.col("_job_id").isin([j for j in own if j is not None]) | F.col("_job_id").isNull())
     parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-    rows = new_rows(records, there).select(*[c for c in there.columns if c in records.columns]).write.mode("append")
+    new = new_rows(records, there)
+    if typed is not records and dict(there.dtypes).get(fields) == "variant":
+        new = as_variant(new, fields)
+    rows = new.select(*[c for c in there.columns if c in records.columns]).write.mode("append")
     (rows.partitionBy(*parts) if parts else rows).saveAsTable(table)
 
 

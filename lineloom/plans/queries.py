@@ -16,7 +16,8 @@ from ..operators import classify as cl
 from ..operators import detect, jobs, metrics, registry, sinks, stats, templates, windows
 from ..operators import headers as hd
 from ..operators.cells import best_delimiter, merged_scheme
-from ..sources import archives, dumps, jsons, lines
+from ..ship import shared
+from ..sources import archives, dumps, jsons, lines, parts
 from ..spec import FieldSpec
 from ..streaming import queue
 
@@ -354,6 +355,49 @@ def probe_templates(spark, sf_dir):
     return hd.probed_structures(files, F.lit(1 << 30), known).select(F.col("source").alias("kind"), "n", "template_id")
 
 
+@query("SELECT event_type, count(*) AS n, sum(event_id)::BIGINT AS ids FROM events GROUP BY event_type")
+def written_parts(spark, sf_dir):
+    """Events written as two generations of many parts, which one of few parts takes the place of."""
+    e, folder = t(spark, sf_dir, "events").select("event_id", "event_type"), shared(spark, "parts")
+    for part in (0, 1):
+        parts.write_parts(e.where(F.col("event_id") % 2 == part), folder, rows=2000)
+    parts.compact(spark, folder)
+    return parts.read_parts(spark, folder).groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+
+
+@query("SELECT event_id, event_type AS kind, 'a } \" [' || user_id AS note, 'C:\\dir' AS path, event_id % 3 = 2 AS listed FROM events")
+def model_answers(spark, sf_dir):
+    """Objects within what a model says: fenced, in prose, in a list, with brackets and quotes in strings and with escapes that aren't any."""
+    e = t(spark, sf_dir, "events")
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    obj = F.concat(F.lit('{"id": '), F.col("event_id").cast("string"), F.lit(', "kind": '), quoted(F.col("event_type")), F.lit(', "note": '), quoted(F.concat(F.lit('a } \\" ['), F.col("user_id").cast("string"))), F.lit(', "in": {"path": "C:\\dir"}}'))
+    obj = F.replace(obj, F.lit("C:\\dir"), F.lit("C:\\qdir"))
+    said = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("```json\n"), obj, F.lit("\n```"))).when(F.col("event_id") % 3 == 1, F.concat(F.lit("Sure, here it is: "), obj, F.lit(" - anything {else}?"))).otherwise(F.concat(F.lit("[\n"), obj, F.lit("\n]")))
+    got = tx.answer_json(said)
+    at = lambda p: F.coalesce(F.get_json_object(got, f"$.{p}"), F.get_json_object(got, f"$[0].{p}"))
+    return e.select("event_id", at("kind").alias("kind"), at("note").alias("note"), F.replace(at("in.path"), F.lit("qdir"), F.lit("dir")).alias("path"), (F.col("event_id") % 3 == 2).alias("listed"))
+
+
+@query("""
+SELECT o_custkey AS k, count(*) AS n, sum(length(line)) AS chars, min(line) AS least FROM (
+  SELECT o_custkey, translate(o_orderpriority || ' ' || o_comment_, 'abcdefghijklmnoprstuvwxyzABCDEFGHIJKLMNOPRSTUVWXYZ', 'абцдефгхийклмнопрстувшжызАБЦДЕФГХИЙКЛМНОПРСТУВШЖЫЗ') AS line
+  FROM (SELECT *, 'ordered and delivered with the usual care and signed by hand ' || o_orderkey AS o_comment_ FROM orders)) GROUP BY o_custkey""")
+def legacy_encodings(spark, sf_dir):
+    """Orders of a customer as a file in windows-1251 or KOI8-R, read back by a guess."""
+    o = t(spark, sf_dir, "orders")
+    cyrillic = "абцдефгхийклмнопрстувшжызАБЦДЕФГХИЙКЛМНОПРСТУВШЖЫЗ"
+    plain = F.concat(F.col("o_orderpriority"), F.lit(" ordered and delivered with the usual care and signed by hand "), F.col("o_orderkey").cast("string"))
+    files = o.groupBy("o_custkey").agg(F.concat(F.array_join(F.collect_list(plain), "\n"), F.lit("\n")).alias("text"))
+
+    def raw(name: str):
+        """Letters become the bytes that the encoding has for Cyrillic ones."""
+        return F.encode(F.translate("text", "abcdefghijklmnoprstuvwxyzABCDEFGHIJKLMNOPRSTUVWXYZ", "".join(x.encode(name).decode("iso-8859-1") for x in cyrillic)), "ISO-8859-1")
+
+    content = F.when(F.col("o_custkey") % 2 == 0, raw("windows-1251")).otherwise(raw("koi8-r"))
+    got = lines.from_binary(files.select(F.col("o_custkey").cast("string").alias("path"), content.alias("content")))
+    return got.groupBy(F.col("source").cast("long").alias("k")).agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"), F.min("text").alias("least"))
+
+
 @query("SELECT event_type AS _template_id, CAST(greatest(1, ceil(count(*) * 1e9 / (SELECT count(*) FROM events) / 67108864)) AS INT) AS n_files FROM events GROUP BY event_type")
 def group_files(spark, sf_dir):
     """Files for each template's rows, if all rows come to a billion bytes."""
@@ -764,6 +808,18 @@ def pg_copy_rows(spark, sf_dir):
     return dumps.copy_rows(frame.unionByName(body)).select(f["n_nationkey"].cast("int").alias("n_nationkey"), f["n_name"].alias("n_name"), f["n_regionkey"].cast("int").alias("n_regionkey"))
 
 
+@query("""
+SELECT o_orderkey AS k, '{"k":' || o_orderkey || ',"p":"' || o_orderpriority || '","n":null' || CASE WHEN o_orderkey % 2 = 0 THEN ',"meta":[' || o_custkey || ',"0' || o_custkey || '"]' ELSE '' END || '}' AS text FROM orders""")
+def pg_copy_objects(spark, sf_dir):
+    """Rows of a COPY block as objects: numbers, text, nulls and cells without a column."""
+    o = t(spark, sf_dir, "orders")
+    more = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("\t"), F.col("o_custkey").cast("string"), F.lit("\t0"), F.col("o_custkey").cast("string"))).otherwise("")
+    body = o.select(F.lit("d").alias("source"), (F.col("o_orderkey") + 10).cast("long").alias("line_no"), F.concat(F.concat_ws("\t", "o_orderkey", "o_orderpriority", F.lit("\\N")), more).alias("text"))
+    frame = spark.createDataFrame([("d", 1, "COPY orders (k, p, n) FROM stdin;"), ("d", 1 << 40, "\\.")], "source string, line_no long, text string")
+    got = dumps.copy_objects(frame.unionByName(body))
+    return got.select((F.col("line_no") - 10).alias("k"), "text")
+
+
 @query("SELECT 'pg-copy' AS stage, count(*) AS n FROM nation UNION ALL SELECT 'pg-dump-start', 1 UNION ALL SELECT 'pg-copy-start', 1 UNION ALL SELECT 'pg-copy-end', 1 UNION ALL SELECT 'pg-sql-junk', 2")
 def pg_dump_stages(spark, sf_dir):
     n = t(spark, sf_dir, "nation")
@@ -918,7 +974,7 @@ def queued_fold(spark, sf_dir):
     """The same states from events that went through a queue, in two batches with the later events first in each."""
     status = F.element_at(F.array(*map(F.lit, _CYCLE)), (F.col("event_id") % 7 + 1).cast("int"))
     e = t(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("key"), "event_id", F.to_json(F.struct("event_id", "ts", status.alias("status"))).alias("body"))
-    folder = queue.fresh(spark)
+    folder = shared(spark, "queue")
     for part in (1, 0):
         queue.publish(e.where(F.col("event_id") % 2 == part), folder, [F.desc("event_id")])
     queue.register(spark)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -13,6 +14,17 @@ from pyspark.sql import SparkSession
 _SENT: set[str] = set()
 
 
+def shared(spark: SparkSession, tag: str) -> str:
+    """A new folder that the driver and all executors share, below spark.checkpoint.dir; on one machine, where that isn't set, a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="lineloom-")
+        atexit.register(shutil.rmtree, folder, True)
+    return f"{folder}/{tag}-{uuid.uuid4().hex}"
+
+
 def ship(spark: SparkSession) -> None:
     """Once per application; a few kilobytes of source."""
     sc = spark.sparkContext

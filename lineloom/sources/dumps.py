@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -190,5 +191,24 @@ def dump_stage(lines: DataFrame) -> DataFrame:
 
 def project_known(rows: DataFrame, fields: list[str], text: str = "text") -> DataFrame:
     """Native fast path: fields by the columns' own names; what isn't asked for is meta, the whole object if nothing is met."""
-    out = {f: F.get_json_object(text, f"$.{f}") for f in fields if f != "meta"}
-    return rows.withColumns(out).withColumn("meta", F.col(text))
+    wanted = [f for f in fields if f != "meta"]
+    out = {f: F.get_json_object(text, f"$.{f}") for f in wanted}
+    rest = F.map_filter(F.from_json(text, "map<string,string>"), lambda k, v: ~k.isin(*wanted)) if wanted else F.from_json(text, "map<string,string>")
+    met = reduce(Column.__or__, [c.isNotNull() for c in out.values()], F.lit(False))
+    return rows.withColumns({**out, "meta": F.when(~met, F.col(text)).when(F.size(rest) > 0, F.to_json(rest, {"ignoreNullFields": "false"}))})
+
+
+def copy_objects(lines: DataFrame) -> DataFrame:
+    """Native: (source, line_no, table, text): each row of a COPY block as an object in JSON. Cells that are plain numbers are numbers."""
+
+    def quoted(c: Column) -> Column:
+        listed = F.to_json(F.array(c))
+        return F.substring(listed, F.lit(2), F.length(listed) - 2)
+
+    def said(c: Column) -> Column:
+        return F.when(c.isNull(), "null").when(c.rlike(r"^-?(0|[1-9]\d*)(\.\d+)?$"), c).otherwise(quoted(c))
+
+    rows = copy_rows(lines)
+    pairs = F.transform(F.map_entries("fields"), lambda x: F.concat(quoted(x["key"]), F.lit(":"), said(x["value"])))
+    more = F.when(F.size("meta") > 0, F.array(F.concat(F.lit('"meta":['), F.array_join(F.transform("meta", said), ","), F.lit("]")))).otherwise(F.array().cast("array<string>"))
+    return rows.select("source", "line_no", "table", F.concat(F.lit("{"), F.array_join(F.concat(pairs, more), ","), F.lit("}")).alias("text"))

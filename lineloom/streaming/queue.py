@@ -60,21 +60,6 @@ class _Folder:
             return None
 
 
-def fresh(spark: SparkSession) -> str:
-    """A new folder that the driver and all executors share, below spark.checkpoint.dir; on one machine, where that isn't set, a temporary one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    if not folder:
-        import atexit
-        import shutil
-        import tempfile
-
-        folder = tempfile.mkdtemp(prefix="lineloom-")
-        atexit.register(shutil.rmtree, folder, True)
-    return f"{folder}/queue-{uuid.uuid4().hex}"
-
-
 def bucket_of(key: str) -> int:
     return zlib.crc32(key.encode()) % BUCKETS
 

@@ -3,6 +3,8 @@
 import datetime as dt
 import json
 
+from pyspark.sql import functions as F
+
 from lineloom import api
 from lineloom.operators import classify as cl
 from lineloom.sources import dumps, jsons
@@ -63,6 +65,24 @@ def test_files_by_kind(spark, tmp_path):
     assert "Scan binaryFile" not in got.records._jdf.queryExecution().executedPlan().toString()  # all tables come from the written verdicts
 
 
+def test_retry_knows_the_layout_and_parse_counts(spark, tmp_path):
+    d = tmp_path / "in"
+    d.mkdir()
+    (d / "rows.csv").write_text("email,name\n" + "".join(f"r{i}@example.com,Rae\n" for i in range(5)) + "nothing here to see\n")
+    spec = FieldSpec(["email", "name"])
+    got = api.parse(spark, str(d), spec, "j", NOW)
+    assert {k: got.measures.get[k] for k in ("lines", "parsed")} == {"lines": 7, "parsed": 5}
+    dead = got.dead_letters.withColumn("raw_bytes", F.lit("late@example.com,Lou"))
+    assert dead.count() == 1 and dead.first().source.endswith("rows.csv")
+    again = api.retry(dead, spec, ["uncertain"], layout=got.layout).first()
+    assert (again.verdict, again.template_id, again.fields["name"]) == ("parsed", "csv-mapped", "Lou")
+
+
+def test_known_columns(spark):
+    df = spark.createDataFrame([('{"a":1,"b":"x","c":null}',), ('{"b":2}',), ('{"z":2}',), ('{"a":3}',)], "text string")
+    assert [(r.a, r.meta) for r in dumps.project_known(df, ["a", "meta"]).collect()] == [("1", '{"b":"x","c":null}'), (None, '{"b":2}'), (None, '{"z":2}'), ("3", None)]
+
+
 def test_large_files_by_kind(spark, tmp_path, monkeypatch):
     """Whatever is read whole and what by splits: the same verdicts."""
     from lineloom.sources import lines
