@@ -15,7 +15,7 @@ from .functions.encoding import detect as detect_encoding
 from .operators import classify as cl
 from .operators import detect as dt_ops
 from .operators import headers as hd
-from .operators import jobs, metrics, sinks, stats
+from .operators import jobs, metrics, profiles, sinks, stats
 from .operators import registry as rg
 from .operators.templates import Teacher, Template, learn
 from .ship import ship
@@ -205,12 +205,23 @@ def judged(spark: SparkSession, path: str, spec: FieldSpec, templates: list[Temp
     return stored(out, "verdicts"), none if layout is None else layout, seen
 
 
-def parse(spark: SparkSession, path: str, spec: FieldSpec, job_id: str, now: dt.datetime, templates: list[Template] = (), teacher: Teacher | None = None, budget: int = 10, headers: list[str] | None = None, encoding: str | None = None, registry: DataFrame | None = None) -> Parsed:
+def guessed(spark: SparkSession, path: str, spec: FieldSpec, guess: profiles.Guess = profiles.offline_guess) -> DataFrame:
+    """(source, delimiter, column_map) of the sources without a header: the columns of the fields by what their values look like."""
+    ls = lines.read_lines(spark, path)
+    return profiles.guessed_columns(ls.join(cl.layouts(ls, spec).select("source"), "source", "left_anti"), spec, ["source"], guess)
+
+
+def parse(spark: SparkSession, path: str, spec: FieldSpec, job_id: str, now: dt.datetime, templates: list[Template] = (), teacher: Teacher | None = None, budget: int = 10, headers: list[str] | None = None, encoding: str | None = None, registry: DataFrame | None = None, guess: profiles.Guess | None = None) -> Parsed:
     """All lines of a path, judged. What stays uncertain is judged by the registry's templates for lines of its structure; with a
     teacher, what is left is asked about, within a budget, and judged again.
 
+    With a guess, sources without a header are read by a column map that it gives, if it gives the same one for all of them.
     Verdicts are written once, and all tables come from what is written.
     """
+    if guess and not spec.column_map and not headers:
+        maps = guessed(spark, path, spec, guess).select(F.array_sort(F.map_entries("column_map")).alias("m")).distinct().limit(2).collect()
+        if len(maps) == 1:
+            spec = replace(spec, column_map={e["key"]: e["value"] for e in maps[0]["m"]})
     if headers and spec.column_map:
         spec = replace(spec, column_map=guessed_map(spec.column_map, headers, spec.fields))
     done, layout, seen = judged(spark, path, spec, templates, headers, encoding)

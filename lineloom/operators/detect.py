@@ -77,7 +77,7 @@ def distinct_structures(lines: DataFrame, known: DataFrame | None = None, text:
     """One sample line per fingerprint, with the template that is known for it, the most frequent first."""
     own = lines.withColumn("fingerprint", fingerprint(F.col(text)))
     found = own.groupBy("fingerprint").agg(F.count("*").alias("n"), F.min(text).alias("sample"))
-    return found.join(F.broadcast(known.select("fingerprint", "template_id")), "fingerprint", "left") if known is not None else found.withColumn("template_id", F.lit(None).cast("string"))
+    return found.join(known.select("fingerprint", "template_id"), "fingerprint", "left") if known is not None else found.withColumn("template_id", F.lit(None).cast("string"))
 
 
 # -- headers ----------------------------------------------------------------------------------------------------------

@@ -13,7 +13,7 @@ from ..functions import text as tx
 from ..functions.encoding import recover_mojibake
 from ..functions.validate import CONTROLS, gate, is_email, is_phone, share
 from ..operators import classify as cl
-from ..operators import detect, jobs, metrics, registry, sinks, stats, templates, windows
+from ..operators import detect, jobs, metrics, profiles, registry, sinks, stats, templates, windows
 from ..operators import headers as hd
 from ..operators.cells import best_delimiter, merged_scheme
 from ..ship import shared
@@ -808,6 +808,20 @@ def pg_copy_rows(spark, sf_dir):
     return dumps.copy_rows(frame.unionByName(body)).select(f["n_nationkey"].cast("int").alias("n_nationkey"), f["n_name"].alias("n_name"), f["n_regionkey"].cast("int").alias("n_regionkey"))
 
 
+@query("""
+SELECT DISTINCT c_nationkey AS source, f.field, CASE WHEN c_nationkey % 2 = 0 THEN f.even ELSE f.odd END AS place
+FROM customer, (VALUES ('email', 0, 3), ('phone', 1, 2), ('name', 3, 1), ('id', 4, 0)) AS f(field, even, odd)""")
+def guessed_columns(spark, sf_dir):
+    """Places of fields in files without a header, by what the columns' values look like."""
+    c = t(spark, sf_dir, "customer")
+    key = F.col("c_custkey").cast("string")
+    email, phone, name = F.concat(F.lit("c"), key, F.lit("@example.com")), F.concat(F.lit("+1 555 0"), F.lpad(key, 6, "0")), F.concat(F.lit("Ann "), "c_mktsegment")
+    even, odd = F.concat_ws(";", email, phone, F.lit("left as it is, always"), name, key), F.concat_ws("|", key, name, phone, email)
+    ls = as_lines(c, F.col("c_nationkey"), F.when(F.col("c_nationkey") % 2 == 0, even).otherwise(odd), F.col("c_custkey"))
+    got = profiles.guessed_columns(ls, FieldSpec(["email", "phone", "name", "id", "passport"]), ["source"])
+    return got.select(F.col("source").cast("int").alias("source"), F.explode("column_map").alias("field", "at")).select("source", "field", F.get("at", F.lit(0)).alias("place"))
+
+
 @query("""
 SELECT o_orderkey AS k, '{"k":' || o_orderkey || ',"p":"' || o_orderpriority || '","n":null' || CASE WHEN o_orderkey % 2 = 0 THEN ',"meta":[' || o_custkey || ',"0' || o_custkey || '"]' ELSE '' END || '}' AS text FROM orders""")
 def pg_copy_objects(spark, sf_dir):

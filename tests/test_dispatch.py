@@ -68,7 +68,7 @@ def test_files_by_kind(spark, tmp_path):
 def test_retry_knows_the_layout_and_parse_counts(spark, tmp_path):
     d = tmp_path / "in"
     d.mkdir()
-    (d / "rows.csv").write_text("email,name\n" + "".join(f"r{i}@example.com,Rae\n" for i in range(5)) + "nothing here to see\n")
+    (d / "rows.csv").write_text("email,name\n" + "".join(f"r{i}@example.com,Rae\n" for i in range(5)) + ",\n")
     spec = FieldSpec(["email", "name"])
     got = api.parse(spark, str(d), spec, "j", NOW)
     assert {k: got.measures.get[k] for k in ("lines", "parsed")} == {"lines": 7, "parsed": 5}

@@ -115,3 +115,31 @@ def test_loads_store_variants(spark):
         sinks.load(rows, "variant_rows")
     assert dict(spark.table("variant_rows").dtypes)["fields"] == "variant" and spark.table("variant_rows").count() == 3
     assert {r[0]: r[1] for r in spark.table("variant_rows").selectExpr("_byte_offset", "variant_get(fields, '$.a[1].b', 'string')").collect()} == {1: "x", 2: None, 3: None}
+
+
+def test_columns_without_a_header(spark, tmp_path):
+    from lineloom.operators import profiles
+    from lineloom.spec import FieldSpec
+
+    r = random.Random(5)
+    for _ in range(300):
+        n = r.randint(0, 4)
+        cost = [[r.choice([0, 1, 2, r.random()]) for _ in range(r.randint(n, n))] + [0.7] * n for _ in range(n)]
+        got = profiles.assign(cost)
+        from itertools import permutations
+
+        assert len(set(got)) == n and abs(sum(cost[i][j] for i, j in enumerate(got)) - min((sum(cost[i][p[i]] for i in range(n)) for p in permutations(range(2 * n), n)), default=0)) < 1e-9
+    d = tmp_path / "in"
+    d.mkdir()
+    (d / "a.txt").write_text("".join(f"{i};Rae Lou;x{i}@example.com;1999-01-{i % 28 + 1:02d}\n" for i in range(30)))
+    (d / "b.txt").write_text("".join(f"{i};Di Wu;;2001-01-01\n" if i % 3 else f"{i};Al Bo;y{i}@example.com;2001-01-01\n" for i in range(30)))
+    (d / "c.txt").write_text("email;name\nz@example.com;Zed\n")
+    spec = FieldSpec(["email", "name", "passport"])
+    got = {x.source.rpartition("/")[2]: dict(x.column_map) for x in api.guessed(spark, str(d), spec).collect()}
+    assert got == {"a.txt": {"email": [2], "name": [1]}, "b.txt": {"email": [2], "name": [1]}}
+    import datetime as dt
+
+    done = api.parse(spark, str(d), spec, "j", dt.datetime(2024, 1, 1), guess=profiles.offline_guess).lines
+    mapped = done.where("template_id = 'csv-column-map'").select(F.col("fields")["name"]).distinct().collect()
+    assert {x[0] for x in mapped} == {"Rae Lou", "Al Bo"} and done.where("template_id = 'csv-mapped'").count() == 1
+    assert {tuple(sorted(x.column_map)) for x in profiles.guessed_columns(spark.createDataFrame([("s", "1;Rae Lou;x@example.com")], "source string, text string"), spec, ["source"], lambda c, f: {"email": 2, "name": 1, "passport": 0}).collect()} == {("email", "name")}
