@@ -362,7 +362,9 @@ def _name(*of: str) -> Column:
 
 def sent_if_few(df: DataFrame) -> DataFrame:
     """df, to be sent to all tasks if it has at most SENT rows; its rows are slim."""
-    return F.broadcast(df) if df.count() <= SENT else df
+    with released(df.sparkSession):
+        few = df.count() <= SENT
+    return F.broadcast(df) if few else df
 
 
 def with_sets(rows: DataFrame, sets: DataFrame, of: str) -> DataFrame:
