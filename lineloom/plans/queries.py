@@ -379,7 +379,7 @@ def model_answers(spark, sf_dir):
 
 
 @query("""
-SELECT o_custkey AS k, count(*) AS n, sum(length(line)) AS chars, min(line) AS least FROM (
+SELECT o_custkey AS k, count(*) AS n, sum(length(line))::BIGINT AS chars, min(line) AS least FROM (
   SELECT o_custkey, translate(o_orderpriority || ' ' || o_comment_, 'abcdefghijklmnoprstuvwxyzABCDEFGHIJKLMNOPRSTUVWXYZ', 'абцдефгхийклмнопрстувшжызАБЦДЕФГХИЙКЛМНОПРСТУВШЖЫЗ') AS line
   FROM (SELECT *, 'ordered and delivered with the usual care and signed by hand ' || o_orderkey AS o_comment_ FROM orders)) GROUP BY o_custkey""")
 def legacy_encodings(spark, sf_dir):
