@@ -156,4 +156,4 @@ def test_registered(spark):
     import __spark_entry__ as entry
 
     names = list(entry.queries())
-    assert "pipeline" in names and {f"op{n}_" for n in range(1, 11)} == {n.partition("_")[0] + "_" for n in names if n.startswith("op")}
+    assert "pipeline" in names and {f"op{n}_" for n in range(1, 14)} == {n.partition("_")[0] + "_" for n in names if n.startswith("op")}
