@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.text import LITERAL_RUN, literal_run, safe_pattern
 from ..functions.validate import field_ok
 from ..ship import ship
+from ..sources.lines import written
 from ..spec import META, FieldSpec
 from .cells import split_cells
 from .mapping import KV_SEGMENT, dump, flatten, load
@@ -228,58 +229,123 @@ class RubbishIndex:
         return next((t for _, t in sorted(near, key=lambda x: x[0]) if re.search(t.signature, line)), None)
 
 
-_BITS = 20
+#: Lengths in bytes of what signatures and lines meet by; the longest that a run of plain bytes holds is taken.
+_SIZES = (LITERAL_RUN, 8, 12, 16, 24, 32)
+#: Bits of an index into the counters of grams, and the least and the most into the bit map.
+_COUNTERS, _LEAST_BITS, _MOST_BITS = 20, 20, 27
+#: Bytes of text whose grams are looked up at once.
+_AT_ONCE = 1 << 20
 
 
-def _gram_hashes(raw: bytes) -> np.ndarray:
-    """A 64-bit hash of each six bytes in a row."""
+def long_grams(pattern: str) -> list[bytes]:
+    """Stretches of plain bytes that every match holds. Any six bytes of a run in a row lie in one of them, so the rarest stretch is no
+    more frequent than the rarest six bytes."""
+    out = set()
+    for r in required_runs(pattern):
+        raw = r.encode()
+        size = max(s for s in _SIZES if s <= len(raw))
+        out |= {raw[k : k + size] for k in (*range(0, len(raw) - size, size // 2), len(raw) - size)}
+    return sorted(out)
+
+
+def _gram_hashes(raw: bytes, sizes: list[int]) -> Iterator[np.ndarray]:
+    """For each of the sizes, which rise, a 64-bit hash of every so many bytes in a row."""
     x = np.frombuffer(raw, np.uint8).astype(np.uint64)
-    n = max(0, len(x) - LITERAL_RUN + 1)
-    h = np.zeros(n, np.uint64)
-    for k in range(LITERAL_RUN):
-        h = (h + x[k : k + n] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    h = np.zeros(len(x) + 1, np.uint64)
+    for k in range(max(sizes, default=0)):
+        h = h[: max(0, len(x) - k)]
+        h = (h + x[k:] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
-    return h
+        if k + 1 in sizes:
+            yield h
+
+
+def _bits_of(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of a hash in a bit map of 2 ** bits."""
+    return h >> np.uint64(64 - bits), (h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - bits)
+
+
+def _bit_map(grams: DataFrame, bits: int) -> np.ndarray:
+    """A bit map of grams; tasks give its words, the driver gets it put together."""
+
+    def run(batches):
+        for b in batches:
+            at = np.concatenate(_bits_of(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64), bits))
+            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int32)), pa.array((np.uint64(1) << (at & np.uint64(63))).view(np.int64))], names=["w", "b"])
+
+    words = grams.mapInArrow(run, "w int, b long").groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    out = np.zeros(1 << bits - 6, np.uint64)
+    out[words["w"].to_numpy()] = words["b"].to_numpy().view(np.uint64)
+    return out
 
 
 def match_rubbish(lines: DataFrame, templates: DataFrame, order: str = "template_id", key: list[str] | None = None, text: str = "text") -> DataFrame:
     """Lines with the first rubbish template, by `order`, that may be trusted and whose signature they match, or null.
 
-    Lines and signatures meet by an equal join on grams: a signature's rarest six bytes, by how many signatures share them, must be in a
-    line that it matches. Of a line's grams only those go on that a bit map of all signatures' grams (128 KB, whatever their number)
-    lets through. Patterns that may match without a plain run of six are joined to all lines; where there are none, nothing is.
+    Lines and signatures meet by an equal join on grams of up to 32 bytes: a signature's rarest one must be in a line that it matches. How
+    rare grams are is told by a fixed number of counters. Of a line's grams only those go on that a bit map of all signatures' grams lets
+    through; it has 16 bits a signature, but at most 16 MB. Patterns that may match without a plain run of six are joined to all lines;
+    where there are none, nothing is.
     """
     key = key or ["source", "line_no"]
-    ship(lines.sparkSession)
+    spark = lines.sparkSession
+    ship(spark)
     known = templates.where((F.col("kind") == "rubbish") & (F.col("confidence") >= CONFIDENT)).select(F.col(order).cast("string").alias("_order"), F.col("template_id").alias("rubbish_id"), F.col("signature").alias("_signature"))
+    known = known.repartition(spark.sparkContext.defaultParallelism)  # patterns cost more than their bytes tell
+    grams_of = pa.list_(pa.struct([("size", pa.int32()), ("gram", pa.int64())]))
 
     def indexed(batches):
         for b in batches:
-            rows = [(*r, [int(_gram_hashes(g.encode())[0].view(np.int64)) for g in grams(r[2])]) for r in zip(*(c.to_pylist() for c in b.columns), strict=True) if r[2] and literal_run(r[2]) >= LITERAL_RUN and safe_pattern(r[2])]
+            rows = []
+            for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if r[2] and literal_run(r[2]) >= LITERAL_RUN and safe_pattern(r[2]):
+                    rows.append((*r, [{"size": len(g), "gram": int(next(_gram_hashes(g, [len(g)]))[0].view(np.int64))} for g in long_grams(r[2])]))
             cols = list(zip(*rows, strict=True)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.string()) for c in cols[:3]], pa.array(cols[3], pa.list_(pa.int64()))], names=["_order", "rubbish_id", "_signature", "_grams"])
-
-    known = known.mapInArrow(indexed, "_order string, rubbish_id string, _signature string, _grams array<long>")
-    each = known.where(F.size("_grams") > 0).select("_order", "rubbish_id", "_signature", F.explode("_grams").alias("_gram"))
-    shared = each.groupBy("_gram").agg(F.count("*").alias("_n"))
-    rarest = each.join(shared, "_gram").groupBy("_order", "rubbish_id", "_signature").agg(F.min_by("_gram", F.struct("_n", "_gram")).alias("_gram"))
-    bits = np.zeros(1 << _BITS - 6, np.uint64)
-    place = F.shiftrightunsigned("_gram", 64 - _BITS)
-    for word, b in rarest.select(F.shiftright(place, 6).cast("int").alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int")).alias("b")).groupBy("w").agg(F.bit_or("b")).collect():
-        bits[word] = np.int64(b).view(np.uint64)
+            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.string()) for c in cols[:3]], pa.array(cols[3], grams_of)], names=["_order", "rubbish_id", "_signature", "_grams"])
+
+    known = written(known.mapInArrow(indexed, "_order string, rubbish_id string, _signature string, _grams array<struct<size:int,gram:long>>"))
+    counted = known.select(F.explode("_grams.gram").alias("g")).groupBy(F.shiftrightunsigned("g", 64 - _COUNTERS).cast("int").alias("g")).agg(F.count("*").alias("n")).toArrow()
+    counters = np.zeros(1 << _COUNTERS, np.int64)
+    counters[counted["g"].to_numpy()] = counted["n"].to_numpy()
+
+    def rarest_of(batches):
+        for b in batches:
+            best = [min(gs, key=lambda x: (counters[(x["gram"] & 0xFFFFFFFFFFFFFFFF) >> 64 - _COUNTERS], -x["size"], x["gram"])) for gs in b.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([x["size"] for x in best], pa.int32()), pa.array([x["gram"] for x in best], pa.int64())], names=["_order", "rubbish_id", "_signature", "_size", "_gram"])
+
+    rarest = written(known.where(F.size("_grams") > 0).mapInArrow(rarest_of, "_order string, rubbish_id string, _signature string, _size int, _gram long"))
+    found_sizes = rarest.groupBy("_size").agg(F.count("*").alias("n")).collect()
+    sizes = sorted(r["_size"] for r in found_sizes)
+    bits = min(_MOST_BITS, max(_LEAST_BITS, (16 * sum(r["n"] for r in found_sizes)).bit_length()))
+    bit_map = _bit_map(rarest.select("_gram"), bits)
     kinds = {f.name: f.dataType.simpleString() for f in lines.schema.fields}
 
+    def lit(h: np.ndarray) -> np.ndarray:
+        """Where the first bit is set, and then the second one too."""
+        at = np.arange(len(h))
+        for k in range(2):
+            place = _bits_of(h[at], bits)[k]
+            at = at[(bit_map[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)]
+        return at
+
     def hits(batches):
-        for b in batches:
-            raws = [(x or "").encode() for x in b.column(len(key)).to_pylist()]
-            whole = _gram_hashes(b"".join(raws))
-            ends = np.cumsum([len(r) for r in raws])
-            at = np.flatnonzero(bits[(whole >> np.uint64(64 - _BITS + 6)).astype(np.int64)] >> (whole >> np.uint64(64 - _BITS) & np.uint64(63)) & np.uint64(1))
-            row = np.searchsorted(ends, at, side="right")
-            inside = at + LITERAL_RUN <= ends[row] if len(at) else np.empty(0, bool)
-            pairs = np.unique(np.stack([row[inside].astype(np.int64), whole[at[inside]].view(np.int64)], 1), axis=0) if inside.any() else np.empty((0, 2), np.int64)
-            took = b.take(pa.array(pairs[:, 0]))
-            yield pa.RecordBatch.from_arrays([*took.columns, pa.array(pairs[:, 1])], names=[*b.schema.names, "_gram"])
+        for whole in batches:
+            ends = np.cumsum([len((x or "").encode()) for x in whole.column(len(key)).to_pylist()], dtype=np.int64)
+            last = int(ends[-1]) if len(ends) else 0
+            cuts = np.unique([0, *(np.searchsorted(ends, np.arange(_AT_ONCE, last, _AT_ONCE)) + 1), whole.num_rows])
+            for a, z in zip(cuts, cuts[1:], strict=False):
+                b = whole.slice(a, z - a)
+                raws = [(x or "").encode() for x in b.column(len(key)).to_pylist()]
+                own = np.cumsum([len(r) for r in raws])
+                pairs = [np.empty((0, 2), np.int64)]
+                for size, h in zip(sizes, _gram_hashes(b"".join(raws), sizes), strict=True):
+                    at = lit(h)
+                    row = np.searchsorted(own, at, side="right")
+                    inside = at + size <= own[row]
+                    pairs.append(np.stack([row[inside].astype(np.int64), h[at[inside]].view(np.int64)], 1))
+                pairs = np.unique(np.concatenate(pairs), axis=0)
+                took = b.take(pa.array(pairs[:, 0]))
+                yield pa.RecordBatch.from_arrays([*took.columns, pa.array(pairs[:, 1])], names=[*b.schema.names, "_gram"])
 
     near = lines.select(*key, text).where(F.length(text) <= MOST_TEXT)
     found = near.mapInArrow(hits, ", ".join(f"`{c}` {kinds[c]}" for c in [*key, text]) + ", _gram long").join(rarest, "_gram").where(F.expr(f"`{text}` rlike _signature")).select(*key, "rubbish_id", "_order")

@@ -177,3 +177,17 @@ def test_record_templates_by_bound():
     for x in lines:
         assert index.best(x) == templates.best_template(known, x, spec)
     assert index.tried < 0.5 * len(lines) * len(known)
+
+
+def test_signatures_that_share_short_grams(spark):
+    """Numbers of seven digits share their six-byte grams; the longer ones that are used tell them apart. Texts of over a megabyte in a batch are cut."""
+    known = [templates.Template(f"n{i:07d}", "f", "rubbish", signature=f"from Brand[#]{i % 5} part {i}:", confidence=1.0) for i in range(1_000_000, 1_003_000)]
+    owners = {}
+    for t in known:
+        for g in templates.long_grams(t.signature):
+            owners.setdefault(g, set()).add(t.template_id)
+    assert all(min(len(owners[g]) for g in templates.long_grams(t.signature)) == 1 for t in known)
+    lines = ["y" * (60_000 * (i % 3 == 0)) + f"note from Brand#{i % 5} part {i}: é" for i in range(1_000_000, 1_000_120)] + ["part 1000001:", "from Brand#1 part 100000", ""]
+    df = spark.createDataFrame([("s", i, x) for i, x in enumerate(lines)], "source string, line_no long, text string").coalesce(1)
+    got = {x.line_no: x.rubbish_id for x in templates.match_rubbish(df, spark.createDataFrame([t.row() for t in known], templates.SCHEMA)).collect()}
+    assert got == {i: f"n{1_000_000 + i:07d}" if i < 120 else None for i in range(len(lines))}
