@@ -25,6 +25,8 @@ _CONTROL = re.compile(CONTROLS)
 #: Trimmed like a script engine's trim(): tabs, line ends and Unicode spaces too.
 BLANKS = r"[\s   -     　﻿]+"
 NOT_BLANK = "[^" + BLANKS[1:-2] + "]"
+#: A blank that isn't a plain space.
+ODD_BLANK = "[" + NOT_BLANK[2:-1].replace("\\s", "\\t\\n\\x0B\\f\\r") + "]"
 
 
 def trim(c: Column) -> Column:
@@ -32,11 +34,11 @@ def trim(c: Column) -> Column:
 
 
 def is_email(c: Column) -> Column:
-    return trim(c).rlike(EMAIL)
+    return F.contains(c, F.lit("@")) & trim(c).rlike(EMAIL)
 
 
 def digits(c: Column) -> Column:
-    return F.regexp_replace(c, r"[^0-9]", "")
+    return F.regexp_replace(c, r"[^0-9]+", "")
 
 
 def is_phone(c: Column) -> Column:

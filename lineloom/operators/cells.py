@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.validate import trim
+from ..functions.validate import ODD_BLANK, trim
 
 #: Tried in this order; the one that gives most cells wins, the earlier of equals.
 DELIMITERS = (",", ";", "\t", "|", ":")
@@ -75,13 +77,28 @@ def best_cells(line: str) -> tuple[list[str], str] | None:
 
 
 def best_delimiter(line: Column) -> Column:
-    """Native: struct(n, delimiter, cells) for lines without quotes; null under two cells."""
-    tried = []
-    for order, d in enumerate(DELIMITERS):
-        cells = F.transform(F.split(line, f"[{d}]" if d != "\t" else "\t", -1), trim)
-        tried.append(F.struct(F.size(cells).alias("n"), F.lit(-order).alias("order"), F.lit(d).alias("delimiter"), cells.alias("cells")))
-    best = F.greatest(*tried)
-    return F.when(best["n"] >= 2, best)
+    """Native: struct(n, delimiter, cells) for lines without quotes; null under two cells.
+
+    Delimiters are counted before any cell is cut. A line is bound to a variable, and its best delimiter too, so neither is worked out
+    again for each use.
+    """
+
+    def cut(x: Column) -> Column:
+        pattern = F.concat(F.lit("\\"), x["delimiter"])
+        return F.struct(x["n"].alias("n"), x["order"].alias("order"), x["delimiter"].alias("delimiter"), trimmed(x["line"], F.split(x["line"], pattern, -1)).alias("cells"))
+
+    tried = [F.struct((F.length(line) - F.length(F.replace(line, F.lit(d), F.lit(""))) + 1).alias("n"), F.lit(-order).alias("order"), F.lit(d).alias("delimiter"), line.alias("line")) for order, d in enumerate(DELIMITERS)]
+    return bound(F.greatest(*tried), lambda x: F.when(x["n"] >= 2, cut(x)))
+
+
+def bound(c: Column, then: Callable[[Column], Column]) -> Column:
+    """then(c), with c worked out once however often it is used."""
+    return F.get(F.transform(F.array(c), then), F.lit(0))
+
+
+def trimmed(line: Column, cells: Column) -> Column:
+    """The cells of a line, trimmed; one look at the line spares most cells the general trim."""
+    return F.when(line.rlike(ODD_BLANK), F.transform(cells, trim)).otherwise(F.transform(cells, lambda c: F.trim(c)))
 
 
 def merged_scheme(cells: Column, delimiter: Column) -> Column:

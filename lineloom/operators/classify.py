@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import sanitize
-from ..functions.validate import BINARY, BINARY_SHARE, NOT_BLANK, gate, share, trim, valid_field
+from ..functions.validate import BINARY, BINARY_SHARE, gate, share, valid_field
 from ..functions.validate import field_ok as _field_ok
 from ..ship import ship
 from ..sources.dumps import COPY, copy_cell, dump_stage
 from ..spec import META, FieldSpec, copy_targets
-from .cells import best_cells, merge_scheme, split_cells
+from .cells import best_cells, merge_scheme, split_cells, trimmed
 from .detect import Layout, given_layout, header_places, layout_of, repeats_header
 from .mapping import Mapper, dump, read_object, unquoted
 from .templates import RecordIndex, RubbishIndex, Template
@@ -116,10 +116,6 @@ def with_known(lines: DataFrame, found: DataFrame, source: str) -> DataFrame:
     return lines.withColumn("_part", F.pmod(F.xxhash64("line_no"), F.lit(parts)).cast("int")).join(wide, [source, "_part"], "left").drop("_part")
 
 
-#: A blank that isn't a plain space.
-ODD_BLANK = "[" + NOT_BLANK[2:-1].replace("\\s", "\\t\\n\\x0B\\f\\r") + "]"
-
-
 def _split(c: Column) -> Column:
     """A line's cells by its layout's delimiter, which is a comma if none is known."""
     out = F.split(c, ",", -1)
@@ -146,9 +142,7 @@ def classify(lines: DataFrame, spec: FieldSpec, templates: list[Template] = (),
         found = layouts(lines, spec, source) if layout is None else layout
     found = found.withColumn("label_keys", F.transform("labels", lambda h: F.regexp_replace(F.lower(h), r"[^\p{L}\p{N}]", "")))
     gated = with_known(lines, found, source).withColumn("_gate", gate(F.col("text")))
-    # one look at the line spares most cells the general trim
-    split = _split(F.col("text"))
-    cells = F.when(F.col("text").rlike(ODD_BLANK), F.transform(split, trim)).otherwise(F.transform(split, lambda c: F.trim(c)))
+    cells = trimmed(F.col("text"), _split(F.col("text")))
     gated = gated.withColumn("_cells", F.when(F.col("delimiter").isNotNull(), cells))
     gated = gated.withColumn("_route", F.when(F.col("_gate").isNotNull(), "gate").when(_plain() & F.lit(native and headers is None), "plain").otherwise("judge"))
 

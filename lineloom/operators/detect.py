@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.text import normalize_key as native_key
 from ..functions.validate import BLANKS, HEADER_LABEL, trim
 from ..spec import DENIED, META, FieldSpec, normalize_key
-from .cells import best_cells, best_delimiter
+from .cells import best_cells, best_delimiter, bound
 from .mapping import Mapper
 
 # Probing.
@@ -173,9 +173,8 @@ def denied(label: Column) -> Column:
 
 def header_labels(line: Column) -> Column:
     """Native: the cells of a line if all of them look like labels, else null."""
-    cells = best_delimiter(line)["cells"]
     label = lambda c: (c == "") | (c.rlike(HEADER_LABEL) & ~F.contains(c, F.lit("@")) & (F.length(F.regexp_replace(c, "[^0-9]", "")) < 7))
-    return F.when(F.forall(cells, label), cells)
+    return bound(best_delimiter(line)["cells"], lambda cells: F.when(F.forall(cells, label), cells))
 
 
 def header_union(objects: DataFrame, order: list[str], by: list[str], text: str = "text") -> DataFrame:

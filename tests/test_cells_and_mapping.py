@@ -134,3 +134,20 @@ def test_templates():
     assert offline_teacher("ERROR x", s).kind == "rubbish" and offline_teacher("a,b,c", s).kind == "record" and offline_teacher("a", s) is None
     assert not safe_pattern("(a+)+b") and not safe_pattern("x" * 2000) and not safe_pattern("(") and safe_pattern("a+b")
     assert literal_run(r"^\[INFO\] x") >= 6 and literal_run("^a.b$") == 1
+
+
+def test_delimiters_are_counted_before_cells_are_cut(spark):
+    from pyspark.sql import functions as F
+
+    from lineloom.operators.cells import best_delimiter
+    from lineloom.operators.detect import header_labels
+
+    lines = ["a, b ,　c\t", "a;b,c", "x\ty\tz|", ":", "one", "", "a|b|c,d", "\\;\\", "é.,x", " lead ; trail ", None, "Name,Город,e-mail_address", "a@x.com,b", "12,b"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, x string")
+    got = {r.i: (r.b.cells, r.b.delimiter, r.b.n) if r.b else None for r in df.select("i", best_delimiter(F.col("x")).alias("b")).collect()}
+    assert got == {i: (*b, len(b[0])) if x is not None and (b := best_cells(x)) else None for i, x in enumerate(lines)}
+    labels = {r.i for r in df.where(header_labels(F.col("x")).isNotNull()).select("i").collect()}
+    assert labels == {i for i, x in enumerate(lines) if x and (b := best_cells(x)) and all(not c or is_label(c) for c in b[0])}
+    # a split for lines with odd blanks, one for others: each delimiter had its own before, and each use of the result all of them again
+    plan = df.select(header_labels(F.col("x")).alias("h"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 2
