@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.validate import is_email, is_phone
 from ..ship import ship
 from ..spec import FieldSpec, category, denied, guessed_map
-from .cells import best_delimiter
+from .cells import best_delimiter, bound
 
 #: What a column can look like. A value counts for the first of these that it is.
 KINDS = ("blank", "email", "url", "date", "number", "phone", "name", "word", "text")
@@ -27,12 +27,15 @@ Guess = Callable[[list[dict], list[str]], dict[str, int]]
 
 def kind_of_value(c: Column) -> Column:
     """Native: the first of KINDS that a cell is."""
-    t = F.trim(c)
-    tests = {
+
+    def kind(t: Column) -> Column:
+        return F.coalesce(*[F.when(test, F.lit(k)) for k, test in tests(t).items()], F.lit("text"))
+
+    tests = lambda t: {
         "blank": t == "", "email": is_email(t), "url": t.rlike(r"^(https?://|www\.)\S+$"), "date": t.rlike(r"^\d{4}-\d{2}-\d{2}([T ].*)?$|^\d{1,2}[./]\d{1,2}[./]\d{2,4}$"),
         "number": t.rlike(r"^-?\d{1,9}([.,]\d+)?$"), "phone": is_phone(t), "name": t.rlike(r"^\p{Lu}[\p{L}'.-]+( \p{Lu}[\p{L}'.-]*){1,3}$"), "word": t.rlike(r"^[\p{L}\p{N}_#-]+$"),
     }
-    return F.coalesce(*[F.when(test, F.lit(k)) for k, test in tests.items()], F.lit("text"))
+    return bound(F.trim(c), kind)
 
 
 def profiles(lines: DataFrame, by: list[str], text: str = "text") -> DataFrame:
@@ -42,7 +45,7 @@ def profiles(lines: DataFrame, by: list[str], text: str = "text") -> DataFrame:
     Lines are counted under their own delimiter first, so a source with many lines is summed in many tasks. Lines with quotes, whose cells
     take more than a split, don't count.
     """
-    cut = lines.where(~F.contains(F.col(text), F.lit('"'))).select(*by, best_delimiter(F.col(text)).alias("_b")).where("_b IS NOT NULL")
+    cut = lines.where(~F.contains(F.col(text), F.lit('"'))).select(*by, F.explode(F.array(best_delimiter(F.col(text)))).alias("_b")).where("_b IS NOT NULL")  # a generator, so no filter repeats the work
     each = cut.select(*by, F.col("_b.delimiter").alias("delimiter"), F.posexplode("_b.cells").alias("place", "cell")).withColumn("kind", kind_of_value(F.col("cell")))
     counts = [F.count_if(F.col("kind") == k).alias(k) for k in KINDS]
     one = each.groupBy(*by, "delimiter", "place").agg(F.count("*").alias("n"), *counts, F.avg(F.length("cell")).alias("length"), F.approx_count_distinct("cell").alias("values"))
