@@ -26,6 +26,8 @@ SCHEMA = "source string, line_no long, byte_offset long, byte_length int, text s
 MAX_LINE_BYTES = 1 << 20
 CHUNK = 32 << 20
 WHOLE = 128 << 20
+#: What a batch of lines holds at most.
+MOST_HELD, MOST_BYTES = 20_000, 16 << 20
 
 
 def split_lines(raw: bytes, start: int = 0, quoted_newlines: int = 0, last: bool = True, most: int | None = None) -> Iterator[tuple[bytes, int, int]]:
@@ -76,14 +78,27 @@ def from_binary(files: DataFrame, encoding: str | None = None, quoted_newlines:
     """Lines of files that are read whole (path, content)."""
     ship(files.sparkSession)
 
+    kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string())
+
+    def batch(held: list[tuple]) -> pa.RecordBatch:
+        cols = zip(*held, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["source", "line_no", "byte_offset", "byte_length", "text"])
+
     def run(batches):
+        """Small files share a batch of lines; one holds at most MOST_HELD lines or about MOST_BYTES."""
+        held: list[tuple] = []
+        size = 0
         for b in batches:
-            for path, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                got = lines_of(raw or b"", encoding, quoted_newlines)
-                for k in range(0, len(got), 20_000):
-                    part = got[k : k + 20_000]
-                    cols = list(zip(*part, strict=True))
-                    yield pa.RecordBatch.from_arrays([pa.array([path] * len(part), pa.string()), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.string())], names=["source", "line_no", "byte_offset", "byte_length", "text"])
+            for path, raw in zip(b.column(0), b.column(1), strict=True):  # one at a time, as files may be large
+                path, raw = path.as_py(), raw.as_py()
+                for row in lines_of(raw or b"", encoding, quoted_newlines):
+                    held.append((path, *row))
+                    size += row[2]
+                    if len(held) >= MOST_HELD or size >= MOST_BYTES:
+                        yield batch(held)
+                        held, size = [], 0
+        if held:
+            yield batch(held)
 
     return files.select("path", "content").mapInArrow(run, SCHEMA)
 
