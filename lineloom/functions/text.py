@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -101,30 +102,39 @@ _ESCAPE = r'(?:u[0-9a-fA-F]{4}|["\\/bfnrt])'
 _LONE = rf"(?<!\\)((?:\\{_ESCAPE})*+)\\(?!{_ESCAPE})"
 
 
+#: What matters to brackets, as wholes: a quoted string (to the end, if it is left open), a bracket of the kind, or a run of all else.
+_TOKEN = r"""(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+(?:"|\\?\z)|[%s]|[^"%s]++"""
+
+
+def bound(c: Column, then: Callable[[Column], Column]) -> Column:
+    """then(c), with c worked out once however often it is used."""
+    return F.get(F.transform(F.array(c), then), F.lit(0))
+
+
 def _balanced(text: Column, opens: str, closes: str) -> Column:
     """The first stretch from a bracket to the one that closes it, quoted ones apart; null if none is closed."""
-    start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("depth"), F.lit(0).alias("first"), F.lit(0).alias("last"), F.lit(False).alias("quoted"), F.lit(False).alias("escaped"))
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("depth"), F.lit(0).alias("first"), F.lit(0).alias("last"))
 
-    def step(s: Column, c: Column) -> Column:
-        i, over = s["i"] + 1, s["last"] > 0
-        free = ~s["quoted"] & ~over
-        up, down = free & (c == opens), free & (c == closes) & (s["depth"] > 0)
-        depth = s["depth"] + F.when(up, 1).when(down, -1).otherwise(0)
+    def step(s: Column, token: Column) -> Column:
+        free = s["last"] == 0
+        up, down = free & (token == opens), free & (token == closes) & (s["depth"] > 0)
         return F.struct(
-            i.alias("i"), depth.alias("depth"), F.when(up & (s["depth"] == 0), i).otherwise(s["first"]).alias("first"), F.when(down & (depth == 0), i).otherwise(s["last"]).alias("last"),
-            F.when((c == '"') & ~s["escaped"], ~s["quoted"]).otherwise(s["quoted"]).alias("quoted"), (s["quoted"] & ~s["escaped"] & (c == "\\")).alias("escaped"),
+            (s["at"] + F.length(token)).alias("at"), (s["depth"] + F.when(up, 1).when(down, -1).otherwise(0)).alias("depth"),
+            F.when(up & (s["depth"] == 0), s["at"] + 1).otherwise(s["first"]).alias("first"), F.when(down & (s["depth"] == 1), s["at"] + 1).otherwise(s["last"]).alias("last"),
         )
 
-    found = F.aggregate(F.split(text, ""), start, step)
-    return F.when(found["last"] > 0, F.substring(text, found["first"], found["last"] - found["first"] + 1))
+    both = re.escape(opens) + re.escape(closes)
+    found = F.aggregate(F.regexp_extract_all(text, F.lit(_TOKEN % (both, both)), F.lit(0)), start, step)
+    return bound(found, lambda s: F.when(s["last"] > 0, F.substring(text, s["first"], s["last"] - s["first"] + 1)))
 
 
 def answer_json(text: Column) -> Column:
     """Native: the JSON in what a model says. Fences go; text that is JSON stays; else the first object, else the first array, else the
     text. A backslash that begins no escape is doubled where the result can't be read otherwise."""
-    t = F.trim(F.regexp_replace(F.regexp_replace(F.trim(text), r"^```(?:json)?\s*", ""), r"\s*```\s*$", ""))
-    part = F.when(F.try_parse_json(t).isNotNull(), t).otherwise(F.coalesce(_balanced(t, "{", "}"), _balanced(t, "[", "]"), t))
-    return F.when(F.try_parse_json(part).isNotNull(), part).otherwise(F.regexp_replace(part, _LONE, r"$1\\\\"))
+    part = lambda t: F.when(F.try_parse_json(t).isNotNull(), t).otherwise(F.coalesce(_balanced(t, "{", "}"), _balanced(t, "[", "]"), t))
+    mended = lambda p: F.when(F.try_parse_json(p).isNotNull(), p).otherwise(F.regexp_replace(p, _LONE, r"$1\\\\"))
+    bare = F.trim(F.regexp_replace(F.regexp_replace(F.trim(text), r"^```(?:json)?\s*", ""), r"\s*```\s*$", ""))
+    return bound(bare, lambda t: bound(part(t), mended))
 
 
 def object_in(text: str) -> dict | None:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..functions.text import bound
 from ..functions.validate import ODD_BLANK, trim
 
 #: Tried in this order; the one that gives most cells wins, the earlier of equals.
@@ -91,11 +90,6 @@ def best_delimiter(line: Column) -> Column:
     return bound(F.greatest(*tried), lambda x: F.when(x["n"] >= 2, cut(x)))
 
 
-def bound(c: Column, then: Callable[[Column], Column]) -> Column:
-    """then(c), with c worked out once however often it is used."""
-    return F.get(F.transform(F.array(c), then), F.lit(0))
-
-
 def trimmed(line: Column, cells: Column) -> Column:
     """The cells of a line, trimmed; one look at the line spares most cells the general trim."""
     return F.when(line.rlike(ODD_BLANK), F.transform(cells, trim)).otherwise(F.transform(cells, lambda c: F.trim(c)))

@@ -378,9 +378,9 @@ def model_answers(spark, sf_dir):
     obj = F.concat(F.lit('{"id": '), F.col("event_id").cast("string"), F.lit(', "kind": '), quoted(F.col("event_type")), F.lit(', "note": '), quoted(F.concat(F.lit('a } \\" ['), F.col("user_id").cast("string"))), F.lit(', "in": {"path": "C:\\dir"}}'))
     obj = F.replace(obj, F.lit("C:\\dir"), F.lit("C:\\qdir"))
     said = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("```json\n"), obj, F.lit("\n```"))).when(F.col("event_id") % 3 == 1, F.concat(F.lit("Sure, here it is: "), obj, F.lit(" - anything {else}?"))).otherwise(F.concat(F.lit("[\n"), obj, F.lit("\n]")))
-    got = tx.answer_json(said)
-    at = lambda p: F.coalesce(F.get_json_object(got, f"$.{p}"), F.get_json_object(got, f"$[0].{p}"))
-    return e.select("event_id", at("kind").alias("kind"), at("note").alias("note"), F.replace(at("in.path"), F.lit("qdir"), F.lit("dir")).alias("path"), (F.col("event_id") % 3 == 2).alias("listed"))
+    got = dealt(e.select("event_id", "event_type", "user_id")).select("event_id", F.explode(F.array(tx.answer_json(said))).alias("got"))  # once for all that is read from it
+    at = lambda p: F.coalesce(F.get_json_object("got", f"$.{p}"), F.get_json_object("got", f"$[0].{p}"))
+    return got.select("event_id", at("kind").alias("kind"), at("note").alias("note"), F.replace(at("in.path"), F.lit("qdir"), F.lit("dir")).alias("path"), (F.col("event_id") % 3 == 2).alias("listed"))
 
 
 @query("""

@@ -143,3 +143,29 @@ def test_columns_without_a_header(spark, tmp_path):
     mapped = done.where("template_id = 'csv-column-map'").select(F.col("fields")["name"]).distinct().collect()
     assert {x[0] for x in mapped} == {"Rae Lou", "Al Bo"} and done.where("template_id = 'csv-mapped'").count() == 1
     assert {tuple(sorted(x.column_map)) for x in profiles.guessed_columns(spark.createDataFrame([("s", "1;Rae Lou;x@example.com")], "source string, text string"), spec, ["source"], lambda c, f: {"email": 2, "name": 1, "passport": 0}).collect()} == {("email", "name")}
+
+
+def test_brackets_in_answers_by_tokens(spark):
+    """Against a plain walk over characters; steps are tokens, not characters, and the text is walked through once."""
+    from pyspark.sql import functions as F
+
+    def walk(text, opens, closes):
+        depth = first = 0
+        quoted = escaped = False
+        for i, c in enumerate(text):
+            if not quoted and c == opens:
+                first, depth = (i if depth == 0 else first), depth + 1
+            elif not quoted and c == closes and depth:
+                depth -= 1
+                if not depth:
+                    return text[first : i + 1]
+            quoted, escaped = (not quoted if c == '"' and not escaped else quoted), quoted and not escaped and c == "\\"
+        return None
+
+    r = random.Random(3)
+    texts = ["".join(r.choices('{}[]"\\a\n😀é', k=r.randint(0, 25))) for _ in range(1500)] + ['{"' + "\\n" * 20_000 + '"}', "x" * 50_000 + "{}"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)] + [(-1, None)], "i int, x string")
+    rows = df.select("i", tx._balanced(F.col("x"), "{", "}").alias("o"), tx._balanced(F.col("x"), "[", "]").alias("l")).collect()
+    assert all((x.o, x.l) == ((walk(texts[x.i], "{", "}"), walk(texts[x.i], "[", "]")) if x.i >= 0 else (None, None)) for x in rows)
+    plan = df.select(tx.answer_json(F.col("x")).alias("j"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 2  # one for each kind of bracket
