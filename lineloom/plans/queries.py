@@ -700,20 +700,23 @@ def archive_entries(spark, sf_dir):
     import tarfile
     import zipfile
 
+    def zipped(text: str | None) -> bytes:
+        raw, whole, tar = (text or "").encode(), io.BytesIO(), io.BytesIO()
+        with tarfile.open(fileobj=tar, mode="w") as f:
+            info = tarfile.TarInfo("c.txt")
+            info.size = len(raw)
+            f.addfile(info, io.BytesIO(raw))
+        with zipfile.ZipFile(whole, "w") as z:
+            for name, content in (("a.txt", raw), ("d/b.gz", gzip.compress(raw, 0)), ("t.tar", tar.getvalue())):
+                z.writestr(name, content)
+        return whole.getvalue()
+
     def packed(batches):
+        """Archives are thrice a text and more, so few of them are held at once."""
         for b in batches:
-            out = []
-            for text in b.column(1).to_pylist():
-                raw, whole, tar = (text or "").encode(), io.BytesIO(), io.BytesIO()
-                with tarfile.open(fileobj=tar, mode="w") as f:
-                    info = tarfile.TarInfo("c.txt")
-                    info.size = len(raw)
-                    f.addfile(info, io.BytesIO(raw))
-                with zipfile.ZipFile(whole, "w") as z:
-                    for name, content in (("a.txt", raw), ("d/b.gz", gzip.compress(raw, 0)), ("t.tar", tar.getvalue())):
-                        z.writestr(name, content)
-                out.append(whole.getvalue())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["path", "content"])
+            for k in range(0, b.num_rows, 50):
+                some = b.slice(k, 50)
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(map(zipped, some.column(1).to_pylist()), pa.binary())], names=["path", "content"])
 
     d = t(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), "text")
     got = archives.extract(d.mapInArrow(packed, "path string, content binary")).where("error IS NULL")

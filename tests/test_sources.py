@@ -297,3 +297,32 @@ def test_guess_counts_pairs_of_bytes():
     for _ in range(100):
         encoding._single(head, "koi8-r")
     assert (time.process_time() - t) / 100 < 0.0004  # about 40 microseconds; a millisecond before
+
+
+def test_entries_share_batches_of_bounded_size():
+    """Each entry was a batch before; now small ones share one, and no batch holds more than HELD bytes of several entries."""
+    import gzip
+
+    import pyarrow as pa
+
+    from lineloom.sources import archives
+
+    class Files:
+        sparkSession = None
+
+        def select(self, *names):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    was, archives._ready = archives._ready, lambda spark: None
+    try:
+        run = archives.extract(Files())
+    finally:
+        archives._ready = was
+    batch = lambda raws: pa.RecordBatch.from_arrays([pa.array([f"{i}.gz" for i in range(len(raws))]), pa.array(raws, pa.binary())], names=["path", "content"])
+    small = list(run(iter([batch([gzip.compress(b"abc", 0)] * 500 + [b"\x1f\x8bxx", None])])))
+    assert [b.num_rows for b in small] == [502] and small[0].column("content").to_pylist()[:2] == [b"abc", b"abc"] and small[0].column("error")[500].as_py()
+    large = list(run(iter([batch([gzip.compress(bytes(1_000_000), 0)] * 10 + [gzip.compress(bytes(9_000_000), 0)])])))
+    assert [b.num_rows for b in large] == [4, 4, 2, 1]
