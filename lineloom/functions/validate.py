@@ -99,4 +99,6 @@ def is_zip(v: str) -> bool:
 
 
 def mostly_binary(s: str) -> bool:
+    if s.isascii() and s.isprintable():
+        return False
     return bool(s) and sum(bool(_CONTROL.match(c)) or unicodedata.category(c) == "Cn" for c in s if ord(c) < 32 or ord(c) > 126) / len(s) > BINARY_SHARE
