@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, hidden, join_groups, pieces, table, texts, tune
+from .common import cut, hidden, join_groups, passing, pieces, released, table, texts, tune, without
 
 DIGESTS = {"xxh3_128": xxhash.xxh3_128_digest, "sha256": lambda b: hashlib.sha256(b).digest()}
 LEAST, MEAN_BITS, MOST = 256, 11, 1 << 14
@@ -98,7 +98,9 @@ def verified_digest(df: DataFrame, digests: tuple[str, ...] = tuple(DIGESTS)) ->
     """The first digest that no two different chunks of df share."""
     for digest in digests:
         ends = contents(df, digest).groupBy("h").agg(F.min("content").alias("lo"), F.max("content").alias("hi"))
-        if not ends.where("lo != hi").limit(1).count():
+        with released(df.sparkSession):
+            clash = ends.where("lo != hi").limit(1).count()
+        if not clash:
             return digest
     raise ValueError("every digest gives different chunks one identifier")
 
@@ -115,12 +117,14 @@ def groups(df: DataFrame, digests: tuple[str, ...] = tuple(DIGESTS)) -> DataFram
 
 def kept(df: DataFrame, digests: tuple[str, ...] = tuple(DIGESTS)) -> DataFrame:
     """The rows of df that stay, with its columns."""
-    marked = cut(groups(df, digests), "groups")
-    good = marked.where("kept").select(F.col("doc_id").alias("_id"), F.col("raw").alias("_raw"))
     own, at, back = hidden(df)
-    keyed = own.withColumn("_key", row_key(at["text"]))
-    out = keyed.join(good.hint("shuffle_hash"), keyed[at["doc_id"]].eqNullSafe(good["_id"]) & (keyed["_key"] == good["_raw"]), "left_semi")
-    again = marked.where("NOT kept").select("doc_id", "raw").intersect(marked.where("kept").select("doc_id", "raw")).limit(1).count()
+    with passing(df.sparkSession) as stays:
+        marked = cut(groups(df, digests), "groups")
+        good, gone = (marked.where(x).select(F.col("doc_id").alias("_id"), F.col("raw").alias("_raw")) for x in ("kept", "NOT kept"))
+        with released(df.sparkSession):
+            again = gone.intersect(good).limit(1).count()
+        gone = stays(gone.subtract(good) if again else gone.distinct(), "gone")
+    out = without(own.withColumn("_key", row_key(at["text"])), gone, {"_id": at["doc_id"], "_raw": "_key"})
     return back(out.dropDuplicates([at["doc_id"], "_key"]) if again else out)
 
 

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, hidden, pieces, table, texts, tune
+from .common import cut, hidden, passing, pieces, table, texts, tune
 from .words import hash64
 
 DOMAINS = ("toxic", "low", "good")
@@ -260,7 +260,8 @@ def fit(rows: DataFrame, weights: dict[str, float] = WEIGHTS) -> list[list[float
 def _rated(rows: DataFrame, model: Classifier, weights: dict[str, float]) -> DataFrame:
     """rows with rate and copies. rows is read often and should be a written table."""
     u = F.shiftrightunsigned(F.xxhash64("key", F.lit("copies")), 11).cast("double") / F.lit(float(1 << 53))
-    rate = F.lit(1.0) if model.blank else rate_of(fit(rows, weights))
+    with passing(rows.sparkSession):
+        rate = F.lit(1.0) if model.blank else rate_of(fit(rows, weights))
     return rows.withColumn("rate", rate).withColumn("copies", F.floor(F.col("rate") + u).cast("long"))
 
 

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import at_groups, cut, hidden, join_groups, mix, pieces, released, runs, table, texts, tune
+from .common import SENT, at_groups, cut, hidden, join_groups, mix, passing, pieces, released, runs, table, texts, tune, without
 from .words import hash64, windows
 
 SHINGLE, LEAST = 5, 0.8
@@ -48,8 +48,6 @@ K = BANDS * ROWS
 SMALL, BLOCK, HELD = 2048, 2048, 1 << 20
 #: So many members are compared to a leader in one place.
 LED = 256
-#: So many slim rows (some 32 MB) are sent to all tasks, so that texts and sets needn't be shuffled to meet them; more are joined.
-SENT = 1 << 20
 #: Poisson(1): the chance of at most so many darts in a cell.
 _TERMS = np.cumsum([1.0, *np.cumprod(1.0 / np.arange(1, 16))]) * np.exp(-1.0)
 U53 = 1.0 / (1 << 53)
@@ -449,9 +447,11 @@ def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: fl
 
 def kept(df: DataFrame) -> DataFrame:
     """The rows of df whose doc_id names their class, with its columns; rows that share it stay."""
-    good = cut(classes(df), "classes").where("doc_id = class_id OR doc_id IS NULL").select("doc_id").distinct()
     own, at, back = hidden(df)
-    return back(own.join(good.select(F.col("doc_id").alias("_id")), own[at["doc_id"]].eqNullSafe(F.col("_id")), "left_semi"))
+    with passing(df.sparkSession) as stays:
+        named = classes(df).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("class_id")).alias("named"))
+        gone = stays(named.where("NOT named").select(F.col("doc_id").alias("_id")), "gone")
+    return back(without(own, gone, {"_id": at["doc_id"]}))
 
 
 def op6_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
